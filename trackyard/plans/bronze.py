@@ -269,13 +269,7 @@ def ingest_folder(spark: SparkSession, folder: str, bronze_root: str, batch_id:
     """
     tracking_root = tracking_root or bronze_root
     started = started or tracking.now()
-    listed = X.list_files(spark, folder)
-    hashed = (spark.read.format("binaryFile").option("recursiveFileLookup", "false").load(folder)
-              .select("path", F.element_at(F.split("path", "/"), -1).alias("filename"),
-                      F.sha2("content", 256).alias("file_id"))
-              if listed.schema and _has_files(listed) else None)
-    if hashed is None:
-        return Stats()
+    hashed = X.list_files(spark, folder, with_hash=True)
 
     log = tracking.read_log(spark, tracking_root, tracking.FILE_LOG)
     if tables is None:
@@ -283,7 +277,10 @@ def ingest_folder(spark: SparkSession, folder: str, bronze_root: str, batch_id:
     else:
         route = F.lit(tables[0])
     classified = classify_listed_files(hashed.withColumn("table", route), log)
+    # one row per listed file (metadata only) reaches the driver
     files = sorted((r.asDict() for r in classified.collect()), key=lambda r: (r["filename"].lower(), r["filename"]))
+    if not files:
+        return Stats()
 
     stats = Stats(files_total=len(files))
     results: list[FileResult] = []
@@ -308,17 +305,15 @@ def ingest_folder(spark: SparkSession, folder: str, bronze_root: str, batch_id:
         stats.files_failed += r.status == "FAILED"
         stats.rows_loaded += r.row_count if r.status == "SUCCESS" else 0
 
+    # processed_at follows processing order, so the current state per hash is the last decision
     processed = tracking.now()
-    rows = [(r.file_id, batch_id, source_system, processed, r.filename, r.row_count if r.status == "SUCCESS" else 0,
-             r.status, r.error) for r in results]
+    order = {f["path"]: i for i, f in enumerate(files)}
+    rows = [(r.file_id, batch_id, source_system, processed + _dt.timedelta(microseconds=order.get(r.path, 0)),
+             r.filename, r.row_count if r.status == "SUCCESS" else 0, r.status, r.error) for r in results]
     tracking.record_file_results(spark.createDataFrame(rows, tracking.FILE_LOG_SCHEMA), tracking_root)
     return stats
 
 
-def _has_files(listed: DataFrame) -> bool:
-    return bool(listed.limit(1).collect())
-
-
 def run_ingestion(spark: SparkSession, exports_dir: str | None, incidents_dir: str | None, bronze_root: str,
                   batch_id: str | None = None, incidents_sep: str = X.SEP) -> tuple[str, str, Stats]:
     """Bronze entry: both sources under one batch id, run log start/end, status roll-up."""

@@ -20,22 +20,27 @@ SEP = ";"
 CSV_OPTIONS = {"sep": SEP, "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
 
 
-def list_files(spark: SparkSession, folder: str) -> DataFrame:
-    """Files directly in ``folder`` (not recursive), with size; empty if the folder is missing.
+def list_files(spark: SparkSession, folder: str, with_hash: bool = False) -> DataFrame:
+    """S2 (+S10): files directly in ``folder`` (not recursive); empty if the folder is missing.
 
-    Listing goes through the binaryFile source with the content column pruned,
-    so nothing but metadata is read here.
+    Listing goes through the binaryFile source: without ``with_hash`` the
+    content column is pruned and only metadata is read; with it, each file's
+    sha-256 is computed on the executors (``file_id``).
     """
-    schema = "path string, modificationTime timestamp, length bigint"
+    cols = [F.col("path"), F.col("length"), F.element_at(F.split("path", "/"), -1).alias("filename")]
+    schema = "path string, length bigint, filename string"
+    if with_hash:
+        cols.append(F.sha2("content", 256).alias("file_id"))
+        schema += ", file_id string"
     try:
         listed = (spark.read.format("binaryFile").option("recursiveFileLookup", "false")
-                  .load(folder).select("path", "modificationTime", "length"))
+                  .load(folder).select(*cols))
         listed.schema  # noqa: B018 - resolves the folder now
     except Exception as exc:  # noqa: BLE001
         if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
             return spark.createDataFrame([], schema)
         raise
-    return listed.withColumn("filename", F.element_at(F.split("path", "/"), -1))
+    return listed
 
 
 def file_hashes(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
