@@ -20,7 +20,7 @@ SEP = ";"
 CSV_OPTIONS = {"sep": SEP, "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
 
 
-def list_files(spark: SparkSession, folder: str, with_hash: bool = False) -> DataFrame:
+def list_files(spark: SparkSession, folder: str | Sequence[str], with_hash: bool = False) -> DataFrame:
     """S2 (+S10): files directly in ``folder`` (not recursive); empty if the folder is missing.
 
     Listing goes through the binaryFile source: without ``with_hash`` the
@@ -33,8 +33,11 @@ def list_files(spark: SparkSession, folder: str, with_hash: bool = False) -> Dat
         cols.append(F.sha2("content", 256).alias("file_id"))
         schema += ", file_id string"
     try:
+        src = folder if isinstance(folder, str) else list(folder)
+        if not src:
+            return spark.createDataFrame([], schema)
         listed = (spark.read.format("binaryFile").option("recursiveFileLookup", "false")
-                  .load(folder).select(*cols))
+                  .load(src).select(*cols))
         listed.schema  # noqa: B018 - resolves the folder now
     except Exception as exc:  # noqa: BLE001
         if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
