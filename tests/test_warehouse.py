@@ -160,3 +160,28 @@ def test_failures_are_isolated(spark, tmp_path):
 def test_empty_and_missing_folder(spark, tmp_path):
     bid, status, st = bronze.run_ingestion(spark, str(tmp_path / "missing"), None, str(tmp_path / "wh"))
     assert status == "SUCCESS" and st.files_total == 0
+
+
+def test_numeric_text_coercion_per_file(spark, tmp_path):
+    """A text column is written as integers only when every value of the file is a whole number."""
+    folder = str(tmp_path / "in")
+    h = headers("exp_transaction_tracing")
+    rows = transactions_rows()
+    hexed = [list(r) for r in rows]
+    for i, r in enumerate(hexed):
+        r[0] = f"2026-05-14 10:0{i}:00.000"
+        r[19] = "14B36" if i == 0 else "20108101.0"
+    floats = [list(r) for r in rows]
+    for i, r in enumerate(floats):
+        r[0] = f"2026-05-15 10:0{i}:00.000"
+        r[19] = "20108101.0"
+    write_export(folder, "Transaction-tracing_hex.csv", h, hexed)
+    write_export(folder, "Transaction-tracing_float.csv", h, floats)
+    root = str(tmp_path / "wh")
+    bid, status, st = bronze.run_ingestion(spark, folder, None, root)
+    assert status == "SUCCESS"
+    b = bronze.read_bronze(spark, root, "exp_transaction_tracing")
+    got = {(r["_source_file"], r["functional_number"]) for r in b.collect()}
+    assert ("Transaction-tracing_hex.csv", "14B36") in got
+    assert ("Transaction-tracing_hex.csv", "20108101.0") in got  # mixed file: text kept as is
+    assert {fn for f, fn in got if f == "Transaction-tracing_float.csv"} == {"20108101"}

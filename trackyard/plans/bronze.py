@@ -22,6 +22,7 @@ import secrets
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -98,11 +99,11 @@ def typed_cell(raw: Column, kind: str, dtype: T.DataType) -> tuple[Column, Colum
     if kind == "string":
         return raw, F.lit(False)
     if kind in ("smallint", "int", "bigint"):
-        t = F.trim(raw)
-        value = F.when(t.rlike(r"^[+-]?\d+\z"), t.try_cast(dtype)).otherwise(
-            t.try_cast("decimal(38,10)").try_cast(dtype))
-        bad = raw.isNotNull() & (value.isNull() | ~P.is_whole_text(raw))
-        return value, bad
+        # digits cast directly (exact for 15-19 digit ids); '13042.0' goes
+        # through DECIMAL and must be whole; anything else is a bad cell
+        dec = raw.try_cast("decimal(38,10)")
+        value = F.coalesce(raw.try_cast(dtype), F.when(dec % 1 == 0, dec.try_cast(dtype)))
+        return value, raw.isNotNull() & value.isNull()
     if kind == "time_text":
         ts = F.try_to_timestamp(F.concat(F.lit("1970-01-01 "), F.trim(raw)))
         value = F.date_format(ts, "HH:mm:ss")
@@ -150,7 +151,20 @@ def _load_table(spark: SparkSession, spec: SourceSpec, files: list[dict], bronze
     """Validate and append the files routed to one table; returns per-file results."""
     paths = [f["path"] for f in files]
     by_path = {f["path"]: f for f in files}
-    lines = X.numbered_lines(spark, paths)
+    # the batch's numbered lines feed three actions (headers, validation, write):
+    # keep them for the duration of this load; a lost block is recomputed from
+    # the files (the numbering is deterministic)
+    lines = X.numbered_lines(spark, paths).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _load_lines(spark, spec, files, lines, bronze_root, batch_id, sep)
+    finally:
+        lines.unpersist()
+
+
+def _load_lines(spark: SparkSession, spec: SourceSpec, files: list[dict], lines: DataFrame, bronze_root: str,
+                batch_id: str, sep: str) -> list[FileResult]:
+    paths = [f["path"] for f in files]
+    by_path = {f["path"]: f for f in files}
     headers = {r["path"]: (r["header"], r["header_index"]) for r in X.file_headers(lines).collect()}
 
     results: list[FileResult] = []
@@ -177,7 +191,9 @@ def _load_table(spark: SparkSession, spec: SourceSpec, files: list[dict], bronze
     info = spark.createDataFrame(file_rows, "path string, __layout int, __hidx long, __width int, "
                                             "_file_hash string, _source_file string, _ingested_at timestamp_ntz")
     width = max(len(cols) for cols in layouts)
-    data = (lines.join(info, "path").filter(F.col("line_index") > F.col("__hidx"))
+    # one row per file of the batch (bounded by the listing): broadcast, so the
+    # lines keep their split partitioning instead of being shuffled by file
+    data = (lines.join(F.broadcast(info), "path").filter(F.col("line_index") > F.col("__hidx"))
                  .withColumn("__p", X.parse_fields(F.col("value"), width, sep))
                  .withColumn("__tokens", X.token_count(F.col("value"), sep)))
 
@@ -198,7 +214,9 @@ def _load_table(spark: SparkSession, spec: SourceSpec, files: list[dict], bronze
     aggs = [F.count(F.lit(1)).alias("rows"),
             F.count_if(F.col("__tokens") > F.col("__width")).alias("surplus")]
     aggs += [F.count_if(typed[n][1]).alias(f"bad__{n}") for n in typed if n not in string_cols]
-    aggs += [F.bool_and(raw[n].isNull() | P.is_whole_text(raw[n])).alias(f"int__{n}") for n in string_cols]
+    # (non-numeric text must count as False, not NULL: bool_and skips NULLs)
+    aggs += [F.bool_and(raw[n].isNull() | F.coalesce(raw[n].try_cast("decimal(38,10)") % 1 == 0, F.lit(False)))
+             .alias(f"int__{n}") for n in string_cols]
     aggs += [F.count(raw[n]).alias(f"nn__{n}") for n in string_cols]
     checks = {r["path"]: r.asDict() for r in data.groupBy("path").agg(*aggs).collect()}
 
@@ -221,7 +239,7 @@ def _load_table(spark: SparkSession, spec: SourceSpec, files: list[dict], bronze
 
     if good_rows:
         good = spark.createDataFrame(good_rows, "path string, __coerce string")
-        out = data.join(good, "path")
+        out = data.join(F.broadcast(good), "path")
         cols = []
         for c in spec.columns:
             value = typed[c.name][0]
@@ -259,13 +277,14 @@ def read_bronze(spark: SparkSession, bronze_root: str, table: str) -> DataFrame:
 # --------------------------------------------------------------------------
 
 def ingest_folder(spark: SparkSession, folder: str | Sequence[str], bronze_root: str, batch_id: str,
-                  source_system: str = SOURCE_EXPORTS, tables: Sequence[str] | None = None,
+                  source_system: str = SOURCE_EXPORTS, tables: Sequence[str] | dict | None = None,
                   sep: str = X.SEP, tracking_root: str | None = None,
                   started: _dt.datetime | None = None) -> Stats:
     """Ingest every file of ``folder`` (or an explicit list of files); returns the run statistics.
 
     ``tables`` None routes export files by name (S3); a single table (the
-    incident sheet) takes every file. Per-file outcomes go to the file log.
+    incident sheet) takes every file; a dict ``{folder: table}`` routes a
+    directory-per-source layout. Per-file outcomes go to the file log.
     """
     tracking_root = tracking_root or bronze_root
     started = started or tracking.now()
@@ -274,6 +293,11 @@ def ingest_folder(spark: SparkSession, folder: str | Sequence[str], bronze_root:
     log = tracking.read_log(spark, tracking_root, tracking.FILE_LOG)
     if tables is None:
         route = N.route_source("filename")
+    elif isinstance(tables, dict):
+        route = None
+        for prefix, table in tables.items():
+            cond = F.col("path").startswith(_as_uri(prefix))
+            route = F.when(cond, F.lit(table)) if route is None else route.when(cond, F.lit(table))
     else:
         route = F.lit(tables[0])
     classified = classify_listed_files(hashed.withColumn("table", route), log)
@@ -314,6 +338,11 @@ def ingest_folder(spark: SparkSession, folder: str | Sequence[str], bronze_root:
     return stats
 
 
+def _as_uri(path: str) -> str:
+    """binaryFile reports qualified paths (``file:/...``); qualify a bare local prefix the same way."""
+    return f"file:{path}" if path.startswith("/") else path
+
+
 def run_ingestion(spark: SparkSession, exports_dir: str | None, incidents_dir: str | None, bronze_root: str,
                   batch_id: str | None = None, incidents_sep: str = X.SEP) -> tuple[str, str, Stats]:
     """Bronze entry: both sources under one batch id, run log start/end, status roll-up."""

@@ -71,7 +71,9 @@ def numbered_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     w = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     splits = splits.select("path", "block", "__first",
                            F.coalesce(F.sum("__n").over(w), F.lit(0)).alias("__offset"))
-    return (lines.join(splits, ["path", "block"])
+    # one row per input split (bytes / split size): a bounded table, broadcast so
+    # the lines keep the scan's split parallelism for the parsing that follows
+    return (lines.join(F.broadcast(splits), ["path", "block"])
                  .select("path", "value",
                          (F.col("__offset") + F.col("__id") - F.col("__first")).alias("line_index")))
 
@@ -97,8 +99,10 @@ def split_header(header: str | None, sep: str = SEP) -> list[str]:
 
 def token_count(value_col, sep: str = SEP):
     """Number of fields in a line, ignoring separators inside quoted fields."""
+    plain = F.length(value_col) - F.length(F.replace(value_col, F.lit(sep), F.lit(""))) + 1
     unquoted = F.regexp_replace(value_col, r'"([^"]|"")*"', "")
-    return F.size(F.split(unquoted, sep, -1))
+    quoted = F.size(F.split(unquoted, sep, -1))
+    return F.when(value_col.contains('"'), quoted).otherwise(plain)
 
 
 def parse_fields(value_col, width: int, sep: str = SEP):
