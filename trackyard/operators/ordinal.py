@@ -2,8 +2,9 @@
 
 ``ROW_NUMBER() OVER (ORDER BY k)`` has no partition key, so Spark runs it in
 one task. Here the rows are range-partitioned on the order key, numbered
-inside each partition, frozen with a reliable checkpoint (range bounds are
-sampled, so a recomputation could move rows), and shifted by the row counts of
+inside each partition, frozen as a Parquet copy in the checkpoint folder
+(range bounds are sampled, so a recomputation could move rows), and shifted
+by the row counts of
 the preceding partitions. Only one row per partition ever reaches the driver
 side of a join (the offset table), so the broadcast is bounded by the
 partition count, not by the data.
@@ -16,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from trackyard.session import ensure_checkpoint_dir
+from trackyard.session import freeze
 
 _LOW33 = (1 << 33) - 1
 
@@ -34,14 +35,13 @@ def global_ordinal_counted(df: DataFrame, order_by: Sequence[str | Column], out:
     numbers, exactly like ROW_NUMBER.
     """
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = _cols(order_by)
     # monotonically_increasing_id = partition index << 33 | position in partition
     ranged = (df.repartitionByRange(n, *order)
                 .sortWithinPartitions(*order)
                 .withColumn("__pos", F.monotonically_increasing_id()))
-    frozen = ranged.checkpoint(eager=True)
+    frozen = freeze(ranged)
     pid = F.shiftright(F.col("__pos"), 33)
     # one row per range partition: the only data that reaches the driver
     counts = sorted((r[0], r[1]) for r in frozen.groupBy(pid).agg(F.count(F.lit(1))).collect())
@@ -74,13 +74,12 @@ def grouped_ordinal(df: DataFrame, group_by: Sequence[str], order_by: Sequence[s
     (partition, group) counts give the offsets.
     """
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = _cols(list(group_by) + list(order_by))
     ranged = (df.repartitionByRange(n, *order)
                 .sortWithinPartitions(*order)
                 .withColumn("__pos", F.monotonically_increasing_id()))
-    frozen = ranged.checkpoint(eager=True)
+    frozen = freeze(ranged)
     pid = F.shiftright(F.col("__pos"), 33)
     keyed = frozen.withColumn("__pid", pid)
     # one row per (range partition, group): bounded by partitions + groups,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -71,3 +72,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     raise RuntimeError(
         "spark.checkpoint.dir is not set: point it at a shared folder (HDFS/S3/ABFS) "
         "so lineage cuts survive executor loss")
+
+
+def freeze(df):
+    """Cut lineage by writing ``df`` as Parquet under the checkpoint folder and reading it back.
+
+    One job computes and writes the data (an eager ``checkpoint()`` computes
+    it twice unless persisted), the copy lives on the shared checkpoint
+    storage so it survives executor loss, and later scans of it get column
+    pruning. Used where a recomputation could change the result (sampled range
+    bounds, monotonically increasing ids).
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/frozen-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
