@@ -92,3 +92,11 @@ def test_header_names(spark):
 def test_routing(spark, name, table):
     assert names.route_source_py(name) == table
     assert _eval(spark, [name], names.route_source) == [table]
+
+
+def test_success_rate_signs_and_halves(spark):
+    vals = ["-5 / 6", "5 / -6", "1 / 3", "2 / 3", "1 / 32", "-1 / 32", "1 / 16", "9 / 1", "2147483647 / 2147483647"]
+    df = spark.createDataFrame([(v,) for v in vals], "x string")
+    got = [r[0] for r in df.select(parse.success_rate_parts("x")[2]).collect()]
+    assert got == [Decimal(v) for v in ("-0.8333", "-0.8333", "0.3333", "0.6667", "0.0313", "-0.0313", "0.0625",
+                                        "9.0000", "1.0000")]

@@ -6,6 +6,8 @@ decimal overflow raises exactly like the SQL they reproduce.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,22 +44,42 @@ def parse_duration_ms(c, hours: bool = False) -> Column:
     return F.when(text.isNotNull() & text.rlike(r"\d"), total)
 
 
-def success_rate_parts(c) -> tuple[Column, Column, Column]:
-    """``'5 / 6'`` -> (5, 6, 0.8333). Returns (numerator, denominator, rate).
+def success_rate_split(c) -> tuple[Column, Column]:
+    """Numerator and denominator of ``'5 / 6'``.
 
-    All NULL unless the text contains ``' / '`` with at least one character
-    on both sides (SQL ``LIKE '% / %'``); an empty part is NULL; a zero
-    denominator gives a NULL rate; the rate is rounded half-up to 4 places and
-    must fit DECIMAL(5,4).
+    Both NULL unless the text contains ``' / '`` with at least one character
+    on both sides (SQL ``LIKE '% / %'``); an empty part is NULL.
     """
     text = _col(c)
     ok = text.isNotNull() & text.like("% / %")
-    num = F.nullif(F.split_part(text, F.lit(" / "), F.lit(1)), F.lit("")).cast("int")
+    # field 1 = text before the first separator; field 2 as SQL split_part
+    num = F.nullif(F.substring_index(text, " / ", 1), F.lit("")).cast("int")
     den = F.nullif(F.split_part(text, F.lit(" / "), F.lit(2)), F.lit("")).cast("int")
-    # decimal(20,0) / decimal(20,0) keeps 18 fractional digits: the 4-digit
-    # rounding below is exact for any pair of 32-bit integers.
-    ratio = F.round(num.cast("decimal(20,0)") / F.nullif(den, F.lit(0)).cast("decimal(20,0)"), 4)
-    return (F.when(ok, num), F.when(ok, den), F.when(ok, ratio.cast(RATE_TYPE)))
+    return F.when(ok, num), F.when(ok, den)
+
+
+def success_rate_value(num, den) -> Column:
+    """``ROUND(num / den, 4)`` as DECIMAL(5,4); NULL when den is 0 or NULL; a ratio >= 10 raises.
+
+    Exact rounding in integers: q = round(|n| / |d| * 10^4), half away from
+    zero. For a ratio below 10 (larger ones overflow DECIMAL(5,4) either way)
+    the quotient is < 2^17 while its distance to the next integer is at least
+    1/(2|d|), far above the double's resolution, so floor() of the double is exact.
+    Pass column references: the inputs are used several times.
+    """
+    n, d = _col(num), _col(den)
+    an, ad = F.abs(n.cast("long")), F.abs(d.cast("long"))
+    q = F.floor((an * 20000 + ad) / (ad * 2))
+    signed = F.when((n < 0) != (d < 0), -q).otherwise(q)
+    ratio = (signed.cast("decimal(9,0)") * F.lit(Decimal("0.0001"))).cast(RATE_TYPE)
+    return F.when(d != 0, ratio)
+
+
+def success_rate_parts(c) -> tuple[Column, Column, Column]:
+    """``'5 / 6'`` -> (5, 6, 0.8333) in one projection (see the two-step pair above
+    for wide tables: it parses each text once)."""
+    num, den = success_rate_split(c)
+    return num, den, success_rate_value(num, den)
 
 
 def sentinel_timestamp(c, trim: bool = True) -> Column:

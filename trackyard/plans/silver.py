@@ -26,6 +26,16 @@ RATE_COLUMNS = ("sccp_success_rate", "cell_success_rate", "dispatcher_success_ra
 POINTER = "_published"
 
 
+def _prepared(table: str) -> dict[str, Column]:
+    """Helper columns computed before the projection (each ratio text parsed once)."""
+    pre = {}
+    if table == "exp_vgcs_vbs_rec_tracing":
+        for rate in RATE_COLUMNS:
+            num, den = P.success_rate_split(rate)
+            pre[f"__{rate}_num"], pre[f"__{rate}_den"] = num, den
+    return pre
+
+
 def _derived(table: str) -> dict[str, Column | list[tuple[str, Column]]]:
     """Silver expressions that differ from the bronze column of the same name."""
     dur = P.parse_duration_ms
@@ -42,8 +52,9 @@ def _derived(table: str) -> dict[str, Column | list[tuple[str, Column]]]:
         out: dict = {"establishment_delay": dur("establishment_delay"), "vgcs_duration": dur("vgcs_duration")}
         for rate in RATE_COLUMNS:
             stem = rate[: -len("_rate")]
-            num, den, ratio = P.success_rate_parts(rate)
-            out[rate] = [(f"{stem}_numerator", num), (f"{stem}_denominator", den), (rate, ratio)]
+            num, den = F.col(f"__{rate}_num"), F.col(f"__{rate}_den")
+            out[rate] = [(f"{stem}_numerator", num), (f"{stem}_denominator", den),
+                         (rate, P.success_rate_value(num, den))]
         return out
     if table == "sp_ertms_disconnects":
         return {"mrm": P.guarded_int("mrm"), "km": P.guarded_decimal("km")}
@@ -67,10 +78,15 @@ def silver_projection(table: str, loaded_at: _dt.datetime) -> list[Column]:
     return cols + lineage
 
 
+def to_silver(bronze_rows: DataFrame, table: str, loaded_at: _dt.datetime) -> DataFrame:
+    """L4 on already-deduplicated rows: helper columns, then the typed projection."""
+    pre = _prepared(table)
+    return (bronze_rows.withColumns(pre) if pre else bronze_rows).select(*silver_projection(table, loaded_at))
+
+
 def build_silver_table(bronze: DataFrame, table: str, loaded_at: _dt.datetime) -> DataFrame:
     """D1-D7 + L4: dedup-latest on the table's key, then the typed projection."""
-    deduped = dedup_latest(bronze, SOURCES[table].dedup_keys)
-    return deduped.select(*silver_projection(table, loaded_at))
+    return to_silver(dedup_latest(bronze, SOURCES[table].dedup_keys), table, loaded_at)
 
 
 def build_silver(bronze: Mapping[str, DataFrame], loaded_at: _dt.datetime | None = None) -> dict[str, DataFrame]:

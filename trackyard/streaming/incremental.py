@@ -85,8 +85,7 @@ def current_table(spark: SparkSession, silver_root: str, table: str) -> DataFram
 
 def merge_batch(current: DataFrame | None, batch_bronze: DataFrame, table: str, loaded_at) -> DataFrame:
     """Current silver rows + projected new bronze rows, latest per business key."""
-    projected = dedup_latest(batch_bronze, SOURCES[table].dedup_keys).select(
-        *S.silver_projection(table, loaded_at))
+    projected = S.build_silver_table(batch_bronze, table, loaded_at)
     if current is None:
         return projected
     return dedup_latest(current.unionByName(projected), SOURCES[table].dedup_keys)
