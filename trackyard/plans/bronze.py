@@ -31,6 +31,7 @@ from trackyard.functions import names as N
 from trackyard.functions import parse as P
 from trackyard.plans import tracking
 from trackyard.schemas import EXPORT_TABLES, INCIDENT_TABLE, SOURCE_EXPORTS, SOURCE_INCIDENTS, SOURCES, SourceSpec
+from trackyard.session import run_concurrently
 from trackyard.sources import exports as X
 
 
@@ -255,13 +256,8 @@ def _load_lines(spark: SparkSession, spec: SourceSpec, files: list[dict], lines:
 
 def write_bronze(df: DataFrame, bronze_root: str, table: str) -> None:
     """Typed append, one directory per batch; a retried batch replaces only its own directory."""
-    spark = df.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        df.write.mode("overwrite").partitionBy("_batch_id").parquet(f"{bronze_root}/{table}")
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+       .partitionBy("_batch_id").parquet(f"{bronze_root}/{table}"))
 
 
 def read_bronze(spark: SparkSession, bronze_root: str, table: str) -> DataFrame:
@@ -320,8 +316,11 @@ def ingest_folder(spark: SparkSession, folder: str | Sequence[str], bronze_root:
         else:
             todo.setdefault(f["table"], []).append(f)
 
-    for table, tfiles in todo.items():
-        results.extend(_load_table(spark, SOURCES[table], tfiles, bronze_root, batch_id, sep))
+    # the tables are independent: their jobs run side by side
+    loads = [lambda t=t, fs=fs: _load_table(spark, SOURCES[t], fs, bronze_root, batch_id, sep)
+             for t, fs in todo.items()]
+    for table_results in run_concurrently(loads):
+        results.extend(table_results)
 
     for r in results:
         stats.files_success += r.status == "SUCCESS"

@@ -14,6 +14,7 @@ from pyspark.sql import SparkSession
 from trackyard.plans import bronze as B
 from trackyard.plans import gold as G
 from trackyard.plans import silver as S
+from trackyard.session import run_concurrently
 
 
 @dataclass
@@ -34,10 +35,14 @@ def publish_gold(spark: SparkSession, silver_root: str, gold_root: str, snapshot
     dim.write.mode("overwrite").parquet(f"{gold_root}/snapshot={snapshot}/dim_subscriber")
     dim = spark.read.parquet(f"{gold_root}/snapshot={snapshot}/dim_subscriber")
     rows = {"dim_subscriber": dim_rows}
-    for name in G.FACTS:
-        fact = G.build_fact(name, silver, dim, dim_rows)
-        fact.write.mode("overwrite").parquet(f"{gold_root}/snapshot={snapshot}/{name}")
-        rows[name] = spark.read.parquet(f"{gold_root}/snapshot={snapshot}/{name}").count()
+
+    def write_fact(name: str) -> int:
+        G.build_fact(name, silver, dim, dim_rows).write.mode("overwrite").parquet(
+            f"{gold_root}/snapshot={snapshot}/{name}")
+        return spark.read.parquet(f"{gold_root}/snapshot={snapshot}/{name}").count()
+
+    counts = run_concurrently([lambda n=n: write_fact(n) for n in G.FACTS])
+    rows.update(zip(G.FACTS, counts, strict=True))
     S.publish(spark, gold_root, snapshot)
     return rows
 

@@ -21,6 +21,7 @@ from trackyard.operators.dedup import dedup_latest
 from trackyard.plans import tracking
 from trackyard.plans.bronze import read_bronze
 from trackyard.schemas import ALL_TABLES, LINEAGE_COLUMNS, SOURCES
+from trackyard.session import run_concurrently
 
 RATE_COLUMNS = ("sccp_success_rate", "cell_success_rate", "dispatcher_success_rate")
 POINTER = "_published"
@@ -124,8 +125,8 @@ def load_silver(spark: SparkSession, bronze_root: str, silver_root: str, snapsho
     """L1/L2: full rebuild of the seven tables into ``snapshot``, published when all are written."""
     bronze = {t: read_bronze(spark, bronze_root, t) for t in ALL_TABLES}
     silver = build_silver(bronze, loaded_at)
-    for table, df in silver.items():
-        df.write.mode("overwrite").parquet(f"{silver_root}/snapshot={snapshot}/{table}")
+    run_concurrently([lambda t=t, df=df: df.write.mode("overwrite").parquet(f"{silver_root}/snapshot={snapshot}/{t}")
+                      for t, df in silver.items()])
     counts = {r["table_name"]: int(r["row_count"]) for r in tracking.layer_counts(
         read_silver(spark, silver_root, snapshot)).collect()}  # T7, read back from the written files
     publish(spark, silver_root, snapshot)

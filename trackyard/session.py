@@ -87,3 +87,25 @@ def freeze(df):
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/frozen-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.parquet(path)
+
+
+def run_concurrently(tasks, max_workers: int | None = None) -> list:
+    """Run independent driver-side job builders (one table each) on threads.
+
+    Spark schedules jobs submitted from several threads side by side, so small
+    tables fill cores a large one leaves idle. Results come back in task order;
+    the first exception is re-raised after all tasks finished.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    tasks = list(tasks)
+    if len(tasks) <= 1:
+        return [t() for t in tasks]
+    workers = max_workers or int(os.environ.get("TRACKYARD_TABLE_THREADS", "4"))
+    with ThreadPoolExecutor(max_workers=min(workers, len(tasks))) as pool:
+        futures = [pool.submit(t) for t in tasks]
+        errors = [f.exception() for f in futures]
+    for e in errors:
+        if e is not None:
+            raise e
+    return [f.result() for f in futures]
