@@ -53,3 +53,16 @@ def test_silver_stream_latest_wins(spark, tmp_path):
     assert merged.count() == 4
     changed = merged.filter(F.col("start_time") == F.lit("2026-05-13 10:00:00").cast("timestamp_ntz")).first()
     assert changed["transaction_duration"] == 540000
+    # a batch on another day leaves the existing day partition untouched
+    day13 = os.path.join(sroot, "incremental", "exp_transaction_tracing", "_part=2026-05-13")
+    before = sorted(f for f in os.listdir(day13) if f.endswith(".parquet"))
+    other = transactions_rows()[:1]
+    other[0][0] = "2026-05-20 08:00:00.000"
+    write_export(inbox, "Transaction-tracing_3.csv", headers("exp_transaction_tracing"), other)
+    U.start_export_stream(spark, inbox, broot, str(tmp_path / "c1")).awaitTermination()
+    U.start_silver_stream(spark, broot, sroot, "exp_transaction_tracing", str(tmp_path / "c2")).awaitTermination()
+    final = U.current_table(spark, sroot, "exp_transaction_tracing")
+    assert final.count() == 5
+    days = sorted(os.listdir(os.path.join(sroot, "incremental", "exp_transaction_tracing")))
+    assert [d for d in days if d.startswith("_part=")] == ["_part=2026-05-13", "_part=2026-05-20"]
+    assert sorted(f for f in os.listdir(day13) if f.endswith(".parquet")) == before

@@ -72,39 +72,65 @@ def start_export_stream(spark: SparkSession, exports_dir: str, bronze_root: str,
 # --------------------------------------------------------------------------
 # U2 / U3 incremental latest-per-key
 # --------------------------------------------------------------------------
+# Every dedup key carries a time column except the matrix's (imsi alone), so
+# all copies of a key share one day: the incremental silver table is
+# partitioned by that day (the matrix by a hash bucket of imsi) and an epoch
+# rewrites only the partitions its rows touch, not the whole table.
 
-def _versions_root(silver_root: str, table: str) -> str:
+MATRIX_BUCKETS = 64
+PART = "_part"
+
+
+def partition_column(table: str):
+    spec = SOURCES[table]
+    timed = [k for k in spec.dedup_keys if spec.column(k).kind in ("timestamp_ntz", "date")]
+    if timed:
+        day = F.date_format(F.col(timed[0]), "yyyy-MM-dd")
+    else:
+        day = F.format_string("b%03d", F.pmod(F.xxhash64(*[F.col(k) for k in spec.dedup_keys]),
+                                               F.lit(MATRIX_BUCKETS)))
+    return F.coalesce(day, F.lit("none"))
+
+
+def _table_root(silver_root: str, table: str) -> str:
     return f"{silver_root}/incremental/{table}"
 
 
 def current_table(spark: SparkSession, silver_root: str, table: str) -> DataFrame | None:
-    root = _versions_root(silver_root, table)
-    version = S.current_snapshot(spark, root)
-    return None if version is None else spark.read.parquet(f"{root}/snapshot={version}")
+    root = _table_root(silver_root, table)
+    if not tracking._exists(spark, root):
+        return None
+    return spark.read.parquet(root).drop(PART)
 
 
-def merge_batch(current: DataFrame | None, batch_bronze: DataFrame, table: str, loaded_at) -> DataFrame:
-    """Current silver rows + projected new bronze rows, latest per business key."""
-    projected = S.build_silver_table(batch_bronze, table, loaded_at)
+def merge_batch(current: DataFrame | None, batch_bronze: DataFrame, table: str, loaded_at,
+                touched: list[str] | None = None) -> DataFrame:
+    """Silver rows of the touched partitions + projected new bronze rows, latest per key."""
+    projected = S.build_silver_table(batch_bronze, table, loaded_at).withColumn(PART, partition_column(table))
     if current is None:
         return projected
+    if touched is not None:
+        current = current.filter(F.col(PART).isin(touched))  # partition pruning
     return dedup_latest(current.unionByName(projected), SOURCES[table].dedup_keys)
 
 
 def start_silver_stream(spark: SparkSession, bronze_root: str, silver_root: str, table: str, checkpoint: str,
                         available_now: bool = True) -> StreamingQuery:
-    """Fold each new bronze micro-batch of ``table`` into a new silver version."""
+    """Fold each new bronze micro-batch of ``table`` into the silver table, partition by partition."""
     spec = SOURCES[table]
     stream = spark.readStream.schema(spec.bronze_schema).parquet(f"{bronze_root}/{table}")
-    root = _versions_root(silver_root, table)
+    root = _table_root(silver_root, table)
 
     def on_batch(batch: DataFrame, epoch_id: int) -> None:
         if batch.isEmpty():
             return
-        merged = merge_batch(current_table(spark, silver_root, table), batch, table, tracking.now())
-        version = f"v{epoch_id:08d}"
-        merged.write.mode("overwrite").parquet(f"{root}/snapshot={version}")
-        S.publish(spark, root, version)
+        # the days (or buckets) this batch touches: bounded by the batch's time span
+        touched = [r[0] for r in batch.select(partition_column(table).alias(PART)).distinct().collect()]
+        current = spark.read.parquet(root) if tracking._exists(spark, root) else None
+        merged = merge_batch(current, batch, table, tracking.now(), touched)
+        # dynamic overwrite: only the touched partitions are replaced (staged, moved at commit)
+        (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+               .partitionBy(PART).parquet(root))
 
     writer = stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="60 minutes")
