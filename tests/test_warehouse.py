@@ -185,3 +185,16 @@ def test_numeric_text_coercion_per_file(spark, tmp_path):
     assert ("Transaction-tracing_hex.csv", "14B36") in got
     assert ("Transaction-tracing_hex.csv", "20108101.0") in got  # mixed file: text kept as is
     assert {fn for f, fn in got if f == "Transaction-tracing_float.csv"} == {"20108101"}
+
+
+def test_gold_quality_report(warehouse):
+    from trackyard.plans import profile
+
+    rep = profile.gold_report(warehouse["gold"])
+    nulls = {r["column_name"]: r["null_rows"] for r in rep["null_rates"].collect()}
+    assert nulls["imsi_last_time"] == rep["null_rates"].first()["total_rows"] - 35
+    match = {r["fact_name"]: (r["matched_rows"], r["total_rows"]) for r in rep["match_rates"].collect()}
+    assert match["fact_group_call"] == (17, 27) and match["fact_etcs_call"] == (57, 57)
+    dom = rep["domains"].collect()
+    assert {(r["fact_name"], r["column_name"]) for r in dom} >= {("fact_etcs_call", "root_failure")}
+    assert all(r["allowed"] for r in dom if r["fact_name"] == "fact_etcs_call" and r["value"] == "Success")
