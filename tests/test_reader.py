@@ -1,6 +1,5 @@
 """The export reader on files split over many scan partitions."""
 
-import os
 
 from pyspark.sql import functions as F
 

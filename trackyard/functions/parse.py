@@ -152,7 +152,8 @@ def is_whole_text(c) -> Column:
 
 def integral_value(c, dtype="bigint") -> Column:
     """Whole numeric text -> integer type; plain digits cast directly (exact),
-    ``'13042.0'`` / ``'1.3042e4'`` via DECIMAL(38,10). Non-whole raises under ANSI."""
+    ``'13042.0'`` / ``'1.3042e4'`` via DECIMAL(38,10). Callers check wholeness first
+    (:func:`is_whole_text`); a fractional part would be truncated."""
     text = F.trim(_col(c))
     return F.when(text.rlike(_INT_TEXT), text.cast(dtype)).otherwise(
         text.cast("decimal(38,10)").cast(dtype))
