@@ -13,7 +13,7 @@ def _eval(spark, values, fn, dtype="string"):
     return [r[0] for r in df.select(fn(F.col("x"))).collect()]
 
 
-def test_duration_reference_semantics(spark):
+def test_duration_original_semantics(spark):
     vals = ["43min 16s 695ms", "1h 13min 40s 49ms", "5min 874ms", "12min 25s", "0ms", "7s 55ms",
             "2s797ms", "12", "Call running...", "", None]
     assert _eval(spark, vals, parse.parse_duration_ms) == [

@@ -22,7 +22,7 @@ def _first(pattern, text):
     return int(m.group(1)) if m else 0
 
 
-def duration_reference(text, hours=False):
+def duration_expected(text, hours=False):
     """NULL without a digit; minutes*60000 + seconds*1000 + ms from the first match of each unit."""
     if text is None or not re.search(r"\d", text):
         return None
@@ -34,8 +34,8 @@ def duration_reference(text, hours=False):
 
 @settings(max_examples=8, deadline=None)
 @given(st.lists(DURATION_TEXT, min_size=20, max_size=60))
-def test_duration_matches_reference(spark, texts):
-    expected = [duration_reference(t) for t in texts]
+def test_duration_matches_python(spark, texts):
+    expected = [duration_expected(t) for t in texts]
     if "overflow" in expected:  # the SQL raises on integer overflow; so does ANSI Spark
         return
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, x string")
@@ -43,7 +43,7 @@ def test_duration_matches_reference(spark, texts):
     assert got == expected
 
 
-def rate_reference(text):
+def rate_expected(text):
     if text is None or not re.fullmatch(r"(?s).* / .*", text):
         return (None, None, None)
     parts = text.split(" / ")
@@ -65,8 +65,8 @@ RATE_TEXT = st.one_of(
 
 @settings(max_examples=8, deadline=None)
 @given(st.lists(RATE_TEXT, min_size=20, max_size=60))
-def test_success_rate_matches_reference(spark, texts):
-    expected = [rate_reference(t) for t in texts]
+def test_success_rate_matches_python(spark, texts):
+    expected = [rate_expected(t) for t in texts]
     if any(r[2] is not None and abs(r[2]) >= 10 for r in expected):  # DECIMAL(5,4) overflow raises
         return
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, x string")
@@ -78,19 +78,19 @@ def test_success_rate_matches_reference(spark, texts):
 @settings(max_examples=6, deadline=None)
 @given(st.lists(st.one_of(st.integers(0, 10**6).map(str), st.text(alphabet="0123456789 ,.-+a", max_size=8)),
                 min_size=20, max_size=60))
-def test_guarded_casts_match_reference(spark, texts):
-    def int_ref(t):
+def test_guarded_casts_match_python(spark, texts):
+    def int_expected(t):
         s = t.strip(" ")
         return int(s) if re.fullmatch(r"\d+", s) and int(s) < 2**31 else (None if not re.fullmatch(r"\d+", s) else "big")
 
-    def km_ref(t):
+    def km_expected(t):
         s = t.strip(" ").replace(",", ".")
         if not re.fullmatch(r"\d+(\.\d+)?", s):
             return None
         v = Decimal(s).quantize(Decimal("0.001"), rounding=ROUND_HALF_UP)
         return v if v < Decimal("100000") else "big"
 
-    ints, kms = [int_ref(t) for t in texts], [km_ref(t) for t in texts]
+    ints, kms = [int_expected(t) for t in texts], [km_expected(t) for t in texts]
     if "big" in ints or "big" in kms:
         return
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, x string")
