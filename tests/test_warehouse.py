@@ -142,9 +142,10 @@ def test_failures_are_isolated(spark, tmp_path):
     write_export(folder, "ETCS-Call-tracing_d.csv", etcs_header, [good, bad_int])
     write_export(folder, "ETCS-Call-tracing_e.csv", etcs_header, [good[:5] + ["1.0", "2"] + good[7:] + ["extra"]])
     write_export(folder, "Cell-Load-report.csv", ["a", "b"], [["1", "2"]])
+    write_export(folder, "ETCS-Call-tracing_f.csv", etcs_header + ["IMSI"], [good + ["1"]])
     root = str(tmp_path / "wh")
     bid, status, st = bronze.run_ingestion(spark, folder, None, root)
-    assert (st.files_total, st.files_success, st.files_skipped, st.files_failed) == (6, 1, 1, 4)
+    assert (st.files_total, st.files_success, st.files_skipped, st.files_failed) == (7, 1, 1, 5)
     assert status == "PARTIAL"
     rows = tracking.read_log(spark, root, tracking.FILE_LOG).collect()
     by_name = {r["filename"]: r for r in rows}
@@ -154,7 +155,8 @@ def test_failures_are_isolated(spark, tmp_path):
     assert "fields" in by_name["ETCS-Call-tracing_e.csv"]["error_message"]
     assert by_name["Cell-Load-report.csv"]["error_message"].startswith("No matching load function")
     assert bronze.read_bronze(spark, root, "exp_etcs_call").count() == 1
-    assert tracking.non_success_files(spark, root).count() == 5
+    assert "imsi.1" in by_name["ETCS-Call-tracing_f.csv"]["error_message"]
+    assert tracking.non_success_files(spark, root).count() == 6
 
 
 def test_empty_and_missing_folder(spark, tmp_path):
@@ -198,3 +200,12 @@ def test_gold_quality_report(warehouse):
     dom = rep["domains"].collect()
     assert {(r["fact_name"], r["column_name"]) for r in dom} >= {("fact_etcs_call", "root_failure")}
     assert all(r["allowed"] for r in dom if r["fact_name"] == "fact_etcs_call" and r["value"] == "Success")
+
+
+def test_run_totals_per_source(spark, warehouse):
+    totals = tracking.run_totals(spark, warehouse["wh"] + "/bronze")
+    first = warehouse["report"].bronze_batch
+    got = {r["source_system"]: (r["files_total"], r["files_success"], r["rows_loaded"], r["status"])
+           for r in totals.filter(F.col("batch_id") == first).collect()}
+    assert got[None] == (7, 7, 57 + 35 + 27 + 5 + 3 + 2 + 4, "SUCCESS")
+    assert got["sharepoint"] == (1, 1, 4, "SUCCESS") and got["expandium"][0] == 6

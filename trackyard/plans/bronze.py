@@ -143,6 +143,10 @@ def _layout(spec: SourceSpec, header: str | None, sep: str) -> tuple[list[str],
             name = N.sanitise_name_py(key) if spec.case_sensitive_headers else key
             if name not in spec.names:
                 unknown.append(name)
+        if name in out:
+            # a CSV reader de-duplicates repeated names as "name.1", which no table has
+            name = f"{name}.{out.count(name)}"
+            unknown.append(name)
         out.append(name)
     return out, unknown
 

@@ -136,3 +136,19 @@ def non_success_files(spark: SparkSession, root: str) -> DataFrame:
     return (files(spark, root).filter(F.col("status") != "SUCCESS")
             .orderBy(F.col("processed_at").desc_nulls_last(), F.col("file_id"))
             .select("batch_id", "filename", "source_system", "status", "row_count", "error_message"))
+
+
+def run_totals(spark: SparkSession, root: str) -> DataFrame:
+    """File counts and rows per run and source system, plus the run's total row
+    (``source_system`` NULL) from a ROLLUP; status rolled up as for a run."""
+    log = read_log(spark, root, FILE_LOG)
+    # one event per (run, file): a replayed micro-batch may have logged a file twice
+    per_file = latest_state(log, ["batch_id", "file_id", "filename"], "processed_at")
+    agg = per_file.rollup("batch_id", "source_system").agg(
+        F.count(F.lit(1)).alias("files_total"),
+        F.count_if(F.col("status") == "SUCCESS").alias("files_success"),
+        F.count_if(F.col("status") == "SKIPPED").alias("files_skipped"),
+        F.count_if(F.col("status") == "FAILED").alias("files_failed"),
+        F.sum("row_count").cast("bigint").alias("rows_loaded"))
+    return (agg.filter(F.col("batch_id").isNotNull())
+               .withColumn("status", rollup_status(F.col("files_failed"), F.col("files_success"))))
