@@ -66,3 +66,16 @@ def test_quoted_fields_and_blank_lines(spark, tmp_path):
     b = bronze.read_bronze(spark, root, "exp_etcs_call").orderBy("_row_num").collect()
     assert b[1]["isdn_port_probe"] == 'probe; patch panel "A"'
     assert [r["_row_num"] for r in b] == [1, 2, 3]
+
+
+def test_special_characters_in_names(spark, tmp_path):
+    """Spaces, '#', '%', '+', accents and glob characters in folder and file names."""
+    folder = str(tmp_path / "my exports+x")
+    write_export(folder, "ETCS-Call-tracing #1 (é) 100%.csv", headers("exp_etcs_call"), _etcs_rows(4))
+    write_export(folder, "ETCS-Call-tracing [a]+{b}.csv", headers("exp_etcs_call"), _etcs_rows(3, 2))
+    root = str(tmp_path / "wh")
+    _, status, st = bronze.run_ingestion(spark, folder, None, root)
+    assert status == "SUCCESS" and st.rows_loaded == 7
+    got = {r["_source_file"]: r["n"] for r in
+           bronze.read_bronze(spark, root, "exp_etcs_call").groupBy("_source_file").agg(F.count("*").alias("n")).collect()}
+    assert got == {"ETCS-Call-tracing #1 (é) 100%.csv": 4, "ETCS-Call-tracing [a]+{b}.csv": 3}

@@ -46,6 +46,23 @@ def list_files(spark: SparkSession, folder: str | Sequence[str], with_hash: bool
     return listed
 
 
+_GLOB_CHARS = "\\[]{}*?"
+
+
+def glob_escape(path: str) -> str:
+    """Paths handed to a reader are glob patterns: escape ``[ ] { } * ?`` so a file
+    named ``export[1].csv`` is read as itself."""
+    return "".join("\\" + ch if ch in _GLOB_CHARS else ch for ch in path)
+
+
+def file_path_column():
+    """The text source's ``_metadata.file_path`` is a URI (space -> %20, # -> %23, % -> %25);
+    decode it to the plain path the binaryFile listing reports. A literal '+' is legal in a
+    URI path, so it is protected from the form-decoding rule '+' -> ' '."""
+    encoded = F.col("_metadata.file_path")
+    return F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B"))).alias("path")
+
+
 def file_hashes(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """Sha-256 of each file's bytes, computed on the executors (path, file_id)."""
     if not paths:
@@ -63,9 +80,8 @@ def numbered_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     give each split's offset inside its file. The scan is deterministic, so
     the two uses of it agree on the ids.
     """
-    raw = (spark.read.text(list(paths))
-                .select("value", F.col("_metadata.file_path").alias("path"),
-                        F.col("_metadata.file_block_start").alias("block")))
+    raw = (spark.read.text([glob_escape(p) for p in paths])
+                .select("value", file_path_column(), F.col("_metadata.file_block_start").alias("block")))
     lines = raw.filter(F.trim(F.col("value")) != "").withColumn("__id", F.monotonically_increasing_id())
     splits = lines.groupBy("path", "block").agg(F.min("__id").alias("__first"), F.count(F.lit(1)).alias("__n"))
     w = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
