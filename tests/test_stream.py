@@ -66,3 +66,11 @@ def test_silver_stream_latest_wins(spark, tmp_path):
     days = sorted(os.listdir(os.path.join(sroot, "incremental", "exp_transaction_tracing")))
     assert [d for d in days if d.startswith("_part=")] == ["_part=2026-05-13", "_part=2026-05-20"]
     assert sorted(f for f in os.listdir(day13) if f.endswith(".parquet")) == before
+
+
+def test_stream_special_names(spark, tmp_path):
+    inbox = str(tmp_path / "in box")
+    write_export(inbox, "Transaction-tracing [1] #a.csv", headers("exp_transaction_tracing"), transactions_rows())
+    broot = str(tmp_path / "bronze")
+    U.start_export_stream(spark, inbox, broot, str(tmp_path / "ckpt")).awaitTermination()
+    assert bronze.read_bronze(spark, broot, "exp_transaction_tracing").count() == 5

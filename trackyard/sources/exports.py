@@ -33,7 +33,7 @@ def list_files(spark: SparkSession, folder: str | Sequence[str], with_hash: bool
         cols.append(F.sha2("content", 256).alias("file_id"))
         schema += ", file_id string"
     try:
-        src = folder if isinstance(folder, str) else list(folder)
+        src = glob_escape(folder) if isinstance(folder, str) else [glob_escape(f) for f in folder]
         if not src:
             return spark.createDataFrame([], schema)
         listed = (spark.read.format("binaryFile").option("recursiveFileLookup", "false")
