@@ -88,3 +88,22 @@ def test_global_ordinal_plain(spark):
     df = spark.range(0, 1000).withColumnRenamed("id", "k").orderBy(F.rand(1))
     got = global_ordinal(df, ["k"], out="o", num_partitions=4)
     assert got.filter(F.col("o") != F.col("k") + 1).count() == 0
+
+
+def test_global_ordinal_with_aqe_sized_ranges(spark):
+    """Without an explicit count AQE merges neighbouring range partitions; numbering stays exact."""
+    prev = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.advisoryPartitionSizeInBytes",
+                                           "spark.sql.adaptive.coalescePartitions.minPartitionSize",
+                                           "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16k")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "16k")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        df = spark.range(0, 50000).select((F.col("id") * 7919 % 50000).alias("k"), F.lit("x").alias("pad"))
+        ranges = df.repartitionByRange("k").select(F.spark_partition_id()).distinct().count()
+        assert 1 < ranges < 64  # AQE merged neighbours, and more than one range remains
+        got, n = global_ordinal_counted(df, ["k"], out="o")
+        assert n == 50000 and got.filter(F.col("o") != F.col("k") + 1).count() == 0
+    finally:
+        for k, v in prev.items():
+            spark.conf.set(k, v)

@@ -26,6 +26,10 @@ def _cols(cs):
     return [F.col(c) if isinstance(c, str) else c for c in cs]
 
 
+def _by_range(df: DataFrame, num_partitions: int | None, order):
+    return df.repartitionByRange(num_partitions, *order) if num_partitions else df.repartitionByRange(*order)
+
+
 def global_ordinal_counted(df: DataFrame, order_by: Sequence[str | Column], out: str = "ordinal",
                            num_partitions: int | None = None) -> tuple[DataFrame, int]:
     """Append ``out`` = 1..n (BIGINT) in ``order_by`` order; also return n.
@@ -35,10 +39,11 @@ def global_ordinal_counted(df: DataFrame, order_by: Sequence[str | Column], out:
     numbers, exactly like ROW_NUMBER.
     """
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = _cols(order_by)
-    # monotonically_increasing_id = partition index << 33 | position in partition
-    ranged = (df.repartitionByRange(n, *order)
+    # monotonically_increasing_id = partition index << 33 | position in partition.
+    # Without an explicit count AQE sizes the range partitions to the data by
+    # merging neighbours, which keeps them contiguous and in key order.
+    ranged = (_by_range(df, num_partitions, order)
                 .sortWithinPartitions(*order)
                 .withColumn("__pos", F.monotonically_increasing_id()))
     frozen = freeze(ranged)
@@ -73,10 +78,8 @@ def grouped_ordinal(df: DataFrame, group_by: Sequence[str], order_by: Sequence[s
     on (group, order) splits big groups over several partitions; per
     (partition, group) counts give the offsets.
     """
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = _cols(list(group_by) + list(order_by))
-    ranged = (df.repartitionByRange(n, *order)
+    ranged = (_by_range(df, num_partitions, order)
                 .sortWithinPartitions(*order)
                 .withColumn("__pos", F.monotonically_increasing_id()))
     frozen = freeze(ranged)
