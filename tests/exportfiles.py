@@ -79,7 +79,9 @@ def incident_rows() -> list[list[str]]:
         r[4], r[5], r[9], r[12], r[13] = "4411", "12", "Pair", "2", "Deconnexion"
         r[33] = "2026-06-01"
         return r
-    return [row("1", "2026-05-13", "10:15:00", "35214500047160", "12", "12,5"),
+    rows = [row("1", "2026-05-13", "10:15:00", "35214500047160", "12", "12,5"),
             row("2", "2026-05-13", "10:15:00", "35214500047160", " 7 ", "PK 3"),  # same key: later row wins
             row("3", "2026-05-14", "08:00:00", "", "x1", "101.25"),
-            row("4", "2026-05-14", "09:30:00", "35214500099999", "", "")]
+            row("4", "14/05/2026", "09:30", "35214500099999", "", "")]   # French-locale date, short time
+    rows[2][1], rows[3][1] = "FAUX", "VRAI"
+    return rows

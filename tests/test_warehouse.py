@@ -86,6 +86,9 @@ def test_silver_synthetic_sources(warehouse):
     assert got[2][0] == 7 and got[2][1] is None  # " 7 " -> 7, "PK 3" -> NULL
     assert got[3] == (None, __import__("decimal").Decimal("101.250"))
     assert got[4] == (None, None)
+    r4 = inc.filter(F.col("nombre_ordre") == 4).first()
+    assert (str(r4["date"]), r4["heure"], r4["derniere_7_jours"]) == ("2026-05-14", "09:30:00", True)
+    assert inc.filter(F.col("nombre_ordre") == 3).first()["derniere_7_jours"] is False
 
 
 def test_gold(warehouse):
