@@ -212,3 +212,19 @@ def test_run_totals_per_source(spark, warehouse):
            for r in totals.filter(F.col("batch_id") == first).collect()}
     assert got[None] == (7, 7, 57 + 35 + 27 + 5 + 3 + 2 + 4, "SUCCESS")
     assert got["sharepoint"] == (1, 1, 4, "SUCCESS") and got["expandium"][0] == 6
+
+
+def test_log_compaction(spark, tmp_path):
+    root = str(tmp_path / "wh")
+    for i in range(3):
+        tracking.record_run_start(spark, root, f"b{i}", "bronze")
+        tracking.record_run_end(spark, root, f"b{i}", "bronze", tracking.now(), "SUCCESS", 0, 0)
+    before = sorted(r.asDict().items() for r in tracking.runs(spark, root).collect())
+    month_dir = [d for d in os.listdir(os.path.join(root, tracking.RUN_LOG)) if d.startswith("month=")]
+    assert len(month_dir) == 1
+    files = lambda: [f for f in os.listdir(os.path.join(root, tracking.RUN_LOG, month_dir[0]))
+                     if f.endswith(".parquet")]
+    assert len(files()) == 6
+    tracking.compact_logs(spark, root, before_month="9999-12")
+    assert len(files()) == 1
+    assert sorted(r.asDict().items() for r in tracking.runs(spark, root).collect()) == before

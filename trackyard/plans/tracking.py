@@ -38,16 +38,42 @@ def _exists(spark: SparkSession, path: str) -> bool:
         return False
 
 
+def _schema(which: str):
+    return RUN_LOG_SCHEMA if which == RUN_LOG else FILE_LOG_SCHEMA
+
+
+def _time_col(which: str) -> str:
+    return "event_time" if which == RUN_LOG else "processed_at"
+
+
 def read_log(spark: SparkSession, root: str, which: str) -> DataFrame:
     path = f"{root}/{which}"
-    schema = RUN_LOG_SCHEMA if which == RUN_LOG else FILE_LOG_SCHEMA
+    schema = _schema(which)
     if not _exists(spark, path):
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.parquet(path).select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
 
 
 def _append(df: DataFrame, root: str, which: str) -> None:
-    df.write.mode("append").parquet(f"{root}/{which}")
+    """Logs are partitioned by month, so old months can be compacted and recent reads prune."""
+    (df.withColumn("month", F.date_format(_time_col(which), "yyyy-MM"))
+       .write.mode("append").partitionBy("month").parquet(f"{root}/{which}"))
+
+
+def compact_logs(spark: SparkSession, root: str, before_month: str | None = None) -> None:
+    """Rewrite every month before ``before_month`` (default: the current month) of both
+    logs as one file per month. A month is small (one row per file or run event); the
+    rewrite replaces only those month directories (dynamic partition overwrite)."""
+    before_month = before_month or now().strftime("%Y-%m")
+    for which in (RUN_LOG, FILE_LOG):
+        path = f"{root}/{which}"
+        if not _exists(spark, path):
+            continue
+        old = spark.read.parquet(path).filter(F.col("month") < before_month)
+        if old.isEmpty():
+            continue
+        (old.repartition("month").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy("month").parquet(path))
 
 
 # --- T2 / T3 run log --------------------------------------------------------
