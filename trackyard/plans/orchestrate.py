@@ -14,6 +14,7 @@ from pyspark.sql import SparkSession
 from trackyard.plans import bronze as B
 from trackyard.plans import gold as G
 from trackyard.plans import silver as S
+from trackyard.plans import tracking
 from trackyard.session import run_concurrently
 
 
@@ -28,30 +29,54 @@ class RunReport:
     gold_rows: dict = field(default_factory=dict)
 
 
-def publish_gold(spark: SparkSession, silver_root: str, gold_root: str, snapshot: str) -> dict[str, int]:
-    """Materialise the dimension once per silver snapshot; write the facts next to it."""
+def publish_gold(spark: SparkSession, silver_root: str, gold_root: str, snapshot: str,
+                 materialise_facts: bool = True) -> dict[str, int]:
+    """Materialise the dimension once per silver snapshot (its key must be frozen);
+    write the facts next to it, or, with ``materialise_facts=False``, leave them as
+    views that ``read_gold`` builds on the fly, as the original's gold views were."""
     silver = S.read_silver(spark, silver_root, snapshot)
     dim, dim_rows = G.build_dim(silver)
     dim.write.mode("overwrite").parquet(f"{gold_root}/snapshot={snapshot}/dim_subscriber")
-    dim = spark.read.parquet(f"{gold_root}/snapshot={snapshot}/dim_subscriber")
+    _dim_rows_marker(spark, gold_root, snapshot, dim_rows)
     rows = {"dim_subscriber": dim_rows}
+    if materialise_facts:
+        dim = spark.read.parquet(f"{gold_root}/snapshot={snapshot}/dim_subscriber")
 
-    def write_fact(name: str) -> int:
-        G.build_fact(name, silver, dim, dim_rows).write.mode("overwrite").parquet(
-            f"{gold_root}/snapshot={snapshot}/{name}")
-        return spark.read.parquet(f"{gold_root}/snapshot={snapshot}/{name}").count()
+        def write_fact(name: str) -> int:
+            G.build_fact(name, silver, dim, dim_rows).write.mode("overwrite").parquet(
+                f"{gold_root}/snapshot={snapshot}/{name}")
+            return spark.read.parquet(f"{gold_root}/snapshot={snapshot}/{name}").count()
 
-    counts = run_concurrently([lambda n=n: write_fact(n) for n in G.FACTS])
-    rows.update(zip(G.FACTS, counts, strict=True))
+        counts = run_concurrently([lambda n=n: write_fact(n) for n in G.FACTS])
+        rows.update(zip(G.FACTS, counts, strict=True))
     S.publish(spark, gold_root, snapshot)
     return rows
 
 
-def read_gold(spark: SparkSession, gold_root: str, register: bool = True) -> dict:
+def _dim_rows_marker(spark: SparkSession, gold_root: str, snapshot: str, dim_rows: int) -> None:
+    spark.createDataFrame([(snapshot, int(dim_rows))], "snapshot string, dim_rows bigint").write.mode(
+        "overwrite").parquet(f"{gold_root}/snapshot={snapshot}/_dim_rows")
+
+
+def read_gold(spark: SparkSession, gold_root: str, register: bool = True, silver_root: str | None = None) -> dict:
+    """Current gold tables; facts that were not materialised are built as views over the
+    silver snapshot of the same name (``silver_root`` defaults to a sibling ``silver``)."""
     snap = S.current_snapshot(spark, gold_root)
     if snap is None:
         raise FileNotFoundError(f"no published gold snapshot under {gold_root}")
-    tables = {n: spark.read.parquet(f"{gold_root}/snapshot={snap}/{n}") for n in ["dim_subscriber", *G.FACTS]}
+    base = f"{gold_root}/snapshot={snap}"
+    dim = spark.read.parquet(f"{base}/dim_subscriber")
+    tables = {"dim_subscriber": dim}
+    silver = None
+    for name in G.FACTS:
+        if tracking._exists(spark, f"{base}/{name}"):
+            tables[name] = spark.read.parquet(f"{base}/{name}")
+            continue
+        if silver is None:  # not materialised: the fact is a view over silver
+            silver_root = silver_root or gold_root.rstrip("/").rsplit("/", 1)[0] + "/silver"
+            silver = S.read_silver(spark, silver_root, snap)
+            dim_rows = spark.read.parquet(f"{base}/_dim_rows").first()["dim_rows"]
+        tables[name] = G.build_fact(name, silver, dim, dim_rows)
     if register:
         G.register_views(spark, tables)
     return tables
