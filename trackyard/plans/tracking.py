@@ -169,7 +169,11 @@ def run_totals(spark: SparkSession, root: str) -> DataFrame:
     (``source_system`` NULL) from a ROLLUP; status rolled up as for a run."""
     log = read_log(spark, root, FILE_LOG)
     # one event per (run, file): a replayed micro-batch may have logged a file twice
-    per_file = latest_state(log, ["batch_id", "file_id", "filename"], "processed_at")
+    return totals_by_source(latest_state(log, ["batch_id", "file_id", "filename"], "processed_at"))
+
+
+def totals_by_source(per_file: DataFrame) -> DataFrame:
+    """ROLLUP(batch_id, source_system) of per-file results; the NULL-source row is the run total."""
     agg = per_file.rollup("batch_id", "source_system").agg(
         F.count(F.lit(1)).alias("files_total"),
         F.count_if(F.col("status") == "SUCCESS").alias("files_success"),
