@@ -4,8 +4,7 @@
 one task. Here the rows are range-partitioned on the order key, numbered
 inside each partition, frozen as a Parquet copy in the checkpoint folder
 (range bounds are sampled, so a recomputation could move rows), and shifted
-by the row counts of
-the preceding partitions. Only one row per partition ever reaches the driver
+by the row counts of the preceding partitions. Only one row per partition ever reaches the driver
 side of a join (the offset table), so the broadcast is bounded by the
 partition count, not by the data.
 """

@@ -133,7 +133,7 @@ def dense_subscriber_key(conformed: DataFrame, matrix: DataFrame) -> tuple[DataF
 
     The matrix is deduplicated per imsi, so the left join is 1:1; joining
     before numbering lets both sides keep their hash partitioning on imsi and
-    the dimension is frozen by one checkpoint.
+    the dimension is frozen by one Parquet copy.
     """
     sm = matrix.filter(F.col("imsi").isNotNull()).select(
         F.col("imsi").alias("__sm_imsi"), F.col("last_imsi_time").alias("imsi_last_time"),
