@@ -302,8 +302,6 @@ def ingest_folder(spark: SparkSession, folder: str | Sequence[str], bronze_root:
     tracking_root = tracking_root or bronze_root
     started = started or tracking.now()
     hashed = X.list_files(spark, folder, with_hash=True)
-
-    log = tracking.read_log(spark, tracking_root, tracking.FILE_LOG)
     if tables is None:
         route = N.route_source("filename")
     elif isinstance(tables, dict):
@@ -313,8 +311,17 @@ def ingest_folder(spark: SparkSession, folder: str | Sequence[str], bronze_root:
             route = F.when(cond, F.lit(table)) if route is None else route.when(cond, F.lit(table))
     else:
         route = F.lit(tables[0])
-    classified = classify_listed_files(hashed.withColumn("table", route), log)
     # one row per listed file (metadata only) reaches the driver
+    listing = hashed.withColumn("table", route).select("path", "filename", "file_id", "table").collect()
+    if not listing:
+        return Stats()
+    # the file log grows with history: read only this listing's hashes (a scan filter,
+    # no join against, and no shuffle of, every file ever seen)
+    ids = sorted({r["file_id"] for r in listing})
+    log = tracking.read_log(spark, tracking_root, tracking.FILE_LOG).filter(F.col("file_id").isin(ids))
+    listed = spark.createDataFrame([tuple(r) for r in listing],
+                                   "path string, filename string, file_id string, table string")
+    classified = classify_listed_files(listed, log)
     files = sorted((r.asDict() for r in classified.collect()), key=lambda r: (r["filename"].lower(), r["filename"]))
     if not files:
         return Stats()
