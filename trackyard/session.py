@@ -101,7 +101,7 @@ def run_concurrently(tasks, max_workers: int | None = None) -> list:
     tasks = list(tasks)
     if len(tasks) <= 1:
         return [t() for t in tasks]
-    workers = max_workers or int(os.environ.get("TRACKYARD_TABLE_THREADS", "4"))
+    workers = max_workers or int(os.environ.get("TRACKYARD_TABLE_THREADS", "8"))
     with ThreadPoolExecutor(max_workers=min(workers, len(tasks))) as pool:
         futures = [pool.submit(t) for t in tasks]
         errors = [f.exception() for f in futures]
