@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trackyard.llm import decontamination, line_dedup
+from trackyard.llm import decontamination, line_dedup, near_dedup
 from trackyard.llm.common import read_table
 
 
@@ -54,7 +54,32 @@ SELECT doc_id, count(*) AS n_lines, CAST(count(*) FILTER (gone) AS BIGINT) AS n_
 FROM j GROUP BY doc_id
 """
 
+def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicate_report(read_table(spark, sf_dir, "documents"))
+
+
+OP6_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x20\x09-\x0D]+'), []) AS words FROM documents),
+p AS (SELECT doc_id, words, least(5, len(words)) AS size, unnest(range(1, len(words) - least(5, len(words)) + 2)) AS k
+      FROM w WHERE len(words) > 0),
+s AS (SELECT DISTINCT doc_id, array_to_string(words[k : k + size - 1], ' ') AS gram FROM p),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+i AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM s a JOIN s b ON a.gram = b.gram AND a.doc_id < b.doc_id
+      GROUP BY ALL),
+e AS (SELECT a, b FROM i JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
+      WHERE 100 * common >= 75 * (na.n + nb.n - common)),
+both_ways AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+r AS (SELECT doc_id, doc_id AS seen FROM w UNION SELECT r.doc_id, x.b FROM r JOIN both_ways x ON x.a = r.seen)
+SELECT r.doc_id, CAST(coalesce(any_value(n.n), 0) AS BIGINT) AS n_shingles, min(seen) AS component_id,
+       min(seen) = r.doc_id AS kept
+FROM r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id
+"""
+
+
 QUERIES = {
     "op2_decontamination": (op2_decontamination, OP2_SQL),
+    "op6_minhash_near_dedup": (op6_minhash_near_dedup, OP6_SQL),
     "op10_line_dedup": (op10_line_dedup, OP10_SQL),
 }
