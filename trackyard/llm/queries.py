@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from trackyard.llm import decontamination, line_dedup, near_dedup
+from trackyard.llm import decontamination, line_dedup, near_dedup, quality
 from trackyard.llm.common import read_table
 
 
@@ -54,6 +55,17 @@ SELECT doc_id, count(*) AS n_lines, CAST(count(*) FILTER (gone) AS BIGINT) AS n_
 FROM j GROUP BY doc_id
 """
 
+QUALITY_THRESHOLD = 0.3
+
+
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    weights = quality.train(docs, read_table(spark, sf_dir, "labels"))
+    return quality.score_documents(docs, weights).select(
+        "doc_id", quality.held_out("doc_id").alias("held_out"), "score",
+        (F.col("score") >= QUALITY_THRESHOLD).cast("int").alias("predicted"))
+
+
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicate_report(read_table(spark, sf_dir, "documents"))
 
@@ -80,6 +92,7 @@ FROM r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id
 
 QUERIES = {
     "op2_decontamination": (op2_decontamination, OP2_SQL),
+    "op5_quality_classifier": (op5_quality_classifier, None),
     "op6_minhash_near_dedup": (op6_minhash_near_dedup, OP6_SQL),
     "op10_line_dedup": (op10_line_dedup, OP10_SQL),
 }
