@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackyard.llm import decontamination, line_dedup, near_dedup, quality
+from trackyard.llm import bpe, decontamination, line_dedup, near_dedup, quality
 from trackyard.llm.common import read_table
 
 
@@ -41,6 +41,16 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_report(read_table(spark, sf_dir, "documents"))
 
 
+def tokenizer_file(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op8_bpe_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(read_table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
+
+
 OP10_SQL = r"""
 WITH s AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
 p AS (SELECT doc_id, lines, unnest(range(1, len(lines) + 1)) AS pos FROM s),
@@ -94,5 +104,6 @@ QUERIES = {
     "op2_decontamination": (op2_decontamination, OP2_SQL),
     "op5_quality_classifier": (op5_quality_classifier, None),
     "op6_minhash_near_dedup": (op6_minhash_near_dedup, OP6_SQL),
+    "op8_bpe_trie": (op8_bpe_trie, None),
     "op10_line_dedup": (op10_line_dedup, OP10_SQL),
 }
