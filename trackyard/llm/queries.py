@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackyard.llm import bpe, decontamination, line_dedup, near_dedup, quality
-from trackyard.llm.common import read_table
+from trackyard.llm import bpe, decontamination, line_dedup, near_dedup, quality, token_files
+from trackyard.llm.common import read_table, shared_path
 
 
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,10 +37,6 @@ FROM w LEFT JOIN nh USING (doc_id) LEFT JOIN it USING (doc_id)
 """
 
 
-def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.line_report(read_table(spark, sf_dir, "documents"))
-
-
 def tokenizer_file(name: str) -> str:
     import public_tokenizers
 
@@ -51,6 +47,16 @@ def op8_bpe_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(read_table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
 
 
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_path(spark, "token-files")
+    token_files.write_token_files(read_table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"), path)
+    return token_files.read_token_files(spark, path)
+
+
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_report(read_table(spark, sf_dir, "documents"))
+
+
 OP10_SQL = r"""
 WITH s AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
 p AS (SELECT doc_id, lines, unnest(range(1, len(lines) + 1)) AS pos FROM s),
@@ -105,5 +111,6 @@ QUERIES = {
     "op5_quality_classifier": (op5_quality_classifier, None),
     "op6_minhash_near_dedup": (op6_minhash_near_dedup, OP6_SQL),
     "op8_bpe_trie": (op8_bpe_trie, None),
+    "op9_token_files": (op9_token_files, None),
     "op10_line_dedup": (op10_line_dedup, OP10_SQL),
 }
