@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackyard.llm import bpe, decontamination, line_dedup, near_dedup, quality, token_files
+from trackyard.llm import bpe, decontamination, line_dedup, near_dedup, quality, token_files, toxicity
 from trackyard.llm.common import read_table, shared_path
 
 
@@ -71,6 +71,17 @@ SELECT doc_id, count(*) AS n_lines, CAST(count(*) FILTER (gone) AS BIGINT) AS n_
 FROM j GROUP BY doc_id
 """
 
+TOXICITY_THRESHOLD = 0.5
+
+
+def op4_toxicity_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    field = toxicity.train(docs, read_table(spark, sf_dir, "labels"))
+    return toxicity.score_documents(docs, field).select(
+        "doc_id", quality.held_out("doc_id").alias("held_out"), "score",
+        (F.col("score") >= TOXICITY_THRESHOLD).cast("int").alias("predicted"), "spans")
+
+
 QUALITY_THRESHOLD = 0.3
 
 
@@ -108,6 +119,7 @@ FROM r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id
 
 QUERIES = {
     "op2_decontamination": (op2_decontamination, OP2_SQL),
+    "op4_toxicity_crf": (op4_toxicity_crf, None),
     "op5_quality_classifier": (op5_quality_classifier, None),
     "op6_minhash_near_dedup": (op6_minhash_near_dedup, OP6_SQL),
     "op8_bpe_trie": (op8_bpe_trie, None),
