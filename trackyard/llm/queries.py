@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackyard.llm import bpe, decontamination, line_dedup, near_dedup, quality, token_files, toxicity
+from trackyard.llm import bpe, decontamination, imatch, line_dedup, near_dedup, quality, token_files, toxicity
 from trackyard.llm.common import read_table, shared_path
 
 
@@ -71,6 +71,10 @@ SELECT doc_id, count(*) AS n_lines, CAST(count(*) FILTER (gone) AS BIGINT) AS n_
 FROM j GROUP BY doc_id
 """
 
+def op3_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.edited_report(read_table(spark, sf_dir, "documents"))
+
+
 TOXICITY_THRESHOLD = 0.5
 
 
@@ -119,6 +123,7 @@ FROM r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id
 
 QUERIES = {
     "op2_decontamination": (op2_decontamination, OP2_SQL),
+    "op3_imatch": (op3_imatch, None),
     "op4_toxicity_crf": (op4_toxicity_crf, None),
     "op5_quality_classifier": (op5_quality_classifier, None),
     "op6_minhash_near_dedup": (op6_minhash_near_dedup, OP6_SQL),
