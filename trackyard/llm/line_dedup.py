@@ -144,7 +144,10 @@ def line_verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         keys = once.groupBy(*_HASH).agg(F.count("one").alias("n"), F.max("doc").alias("owner"))
         store.add_batch(keys)
 
-    frequent = store.totals().filter(F.col("n") >= min_docs).select(*_HASH, "owner")
+    # written out, so that both sides of the join are plain shuffles and AQE can split a hot line
+    frequent_path = f"{root}/frequent"
+    store.totals().filter(F.col("n") >= min_docs).select(*_HASH, "owner").write.parquet(frequent_path)
+    frequent = spark.read.schema("h1 bigint, h2 bigint, owner bigint").parquet(frequent_path)
     losing = lines.join(frequent, _HASH).filter(F.col("doc") < F.col("owner"))
     return losing.groupBy("doc", "tag").agg(F.collect_set("pos").alias("dropped"))
 
