@@ -28,7 +28,7 @@ beyond id and text are not read.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -221,16 +221,13 @@ def _search_unit(similarity: int, least: int):
     return run
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    similarity: int = SIMILARITY, block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
-    """(doc, key, n, component) of each row: its class, its set's size and the smallest document reachable."""
-    spark = docs.sparkSession
-    least = _least_agreement(similarity)
-    drawn = stored(sketches(docs, id_col, text_col), "sketches")
-    classes = stored(drawn.filter("n > 0").groupBy("key").agg(
-        F.min("doc").alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands"),
-        F.first("sig").alias("sig")), "classes")
+def class_components(classes: DataFrame, load_sets: Callable[[DataFrame], DataFrame], similarity: int = SIMILARITY,
+                     least: int = 0, block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
+    """(u, v) of ``connected_components`` over all links between classes.
 
+    ``classes`` (key, n, bands, sig) is a written table; ``load_sets`` gives (key, set), written too, for the
+    keys it is asked for. ``least`` is the number of signature entries that must agree.
+    """
     placed = classes.select("key", "n", F.explode("bands").alias("h"))
     buckets = placed.groupBy("h").agg(F.count("key").alias("members"), F.min("key").alias("centre"),
                                       F.sum("n").alias("total")).filter("members > 1")
@@ -248,10 +245,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                             ["centre", "key"], "left_semi").filter("members > 2").select("h").distinct()
     wanted = close.select(F.col("u").alias("key")).unionAll(close.select(F.col("v").alias("key"))).unionAll(
         members.filter("members > 2").join(doubtful, "h", "left_semi").select("key")).distinct()
-    reps = classes.join(wanted, "key").select("key", F.col("rep").alias("doc"))
-    texts = docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(_LONG_MIN)).alias("doc"),
-                        utf8(text_col).alias("text")).join(reps, "doc").select("key", "text")
-    sets = stored(map_batches(texts, _sets, "key binary, set binary").dropDuplicates(["key"]), "sets")
+    sets = load_sets(wanted)
 
     pairs = (close.join(sets.select(F.col("key").alias("u"), F.col("set").alias("a")), "u")
                   .join(sets.select(F.col("key").alias("v"), F.col("set").alias("b")), "v")
@@ -271,8 +265,24 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                          "block", "key", "comp"))
     loaded = units.join(sets, "key").join(classes.select("key", "bands", "sig"), "key")
     more = loaded.groupBy("h", "i", "j").applyInPandas(_search_unit(similarity, least), "u binary, v binary")
-    final = connected_components(first.unionAll(more))
+    return connected_components(first.unionAll(more))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                    similarity: int = SIMILARITY, block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
+    """(doc, key, n, component) of each row: its class, its set's size and the smallest document reachable."""
+    drawn = stored(sketches(docs, id_col, text_col), "sketches")
+    classes = stored(drawn.filter("n > 0").groupBy("key").agg(
+        F.min("doc").alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands"),
+        F.first("sig").alias("sig")), "classes")
+
+    def load_sets(wanted: DataFrame) -> DataFrame:
+        reps = classes.join(wanted, "key").select("key", F.col("rep").alias("doc"))
+        texts = docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(_LONG_MIN)).alias("doc"),
+                            utf8(text_col).alias("text")).join(reps, "doc").select("key", "text")
+        return stored(map_batches(texts, _sets, "key binary, set binary").dropDuplicates(["key"]), "sets")
 
+    final = class_components(classes, load_sets, similarity, _least_agreement(similarity), block_shingles)
     roots = classes.select("key", "rep").join(final.withColumnsRenamed({"u": "key", "v": "root"}), "key", "left") \
                    .withColumn("root", F.coalesce("root", "key"))
     least_doc = roots.groupBy("root").agg(F.min("rep").alias("component"))

@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackyard.llm import bpe, decontamination, imatch, line_dedup, near_dedup, quality, token_files, toxicity
+from trackyard.llm import bpe, decontamination, imatch, line_dedup, near_dedup, paragraph_dedup, quality, token_files, toxicity
 from trackyard.llm.common import read_table, shared_path
 
 
+def op1_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return paragraph_dedup.repeat_report(read_table(spark, sf_dir, "documents"))
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination_report(read_table(spark, sf_dir, "documents"),
                                                 read_table(spark, sf_dir, "benchmark"))
@@ -122,6 +126,7 @@ FROM r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id
 
 
 QUERIES = {
+    "op1_paragraph_dedup": (op1_paragraph_dedup, None),
     "op2_decontamination": (op2_decontamination, OP2_SQL),
     "op3_imatch": (op3_imatch, None),
     "op4_toxicity_crf": (op4_toxicity_crf, None),
