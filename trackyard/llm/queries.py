@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackyard.llm import bpe, decontamination, imatch, line_dedup, near_dedup, paragraph_dedup, quality, token_files, toxicity
+from trackyard.llm import bpe, decontamination, imatch, line_dedup, near_dedup, paragraph_dedup, pii, quality, \
+    token_files, toxicity
 from trackyard.llm.common import read_table, shared_path
 
 
@@ -41,6 +42,13 @@ FROM w LEFT JOIN nh USING (doc_id) LEFT JOIN it USING (doc_id)
 """
 
 
+SURROGATE_KEY = b"a deployment sets its own secret"
+
+
+def op7_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonymised(read_table(spark, sf_dir, "documents"), SURROGATE_KEY)
+
+
 def tokenizer_file(name: str) -> str:
     import public_tokenizers
 
@@ -132,6 +140,7 @@ QUERIES = {
     "op4_toxicity_crf": (op4_toxicity_crf, None),
     "op5_quality_classifier": (op5_quality_classifier, None),
     "op6_minhash_near_dedup": (op6_minhash_near_dedup, OP6_SQL),
+    "op7_pii_surrogates": (op7_pii_surrogates, None),
     "op8_bpe_trie": (op8_bpe_trie, None),
     "op9_token_files": (op9_token_files, None),
     "op10_line_dedup": (op10_line_dedup, OP10_SQL),
