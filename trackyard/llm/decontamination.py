@@ -224,8 +224,8 @@ def _report_by_join(docs: DataFrame, benchmark: DataFrame, n: int, id_col: str,
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, remove: str = "documents",
                   text_col: str = "text", max_broadcast_words: int = MAX_BROADCAST_WORDS) -> DataFrame:
-    """The documents, all columns, without contaminated ones (``remove="documents"``) or without their
-    hit spans (``remove="spans"``; ``n_chars`` follows the text if there)."""
+    """The documents, all columns, without contaminated ones (``remove="documents"``) or without their hit
+    spans (``remove="spans"``; ``n_chars`` follows the text if there, a text of hit words alone goes)."""
     if remove not in ("documents", "spans"):
         raise ValueError(f"remove: {remove!r}")
     items = benchmark_items(benchmark, max_words=max_broadcast_words)
@@ -247,7 +247,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, remove
                 t = text.as_py()
                 hit, _ = ngrams.scan(words_of((t or "").encode()))
                 dirty = bool(hit.any())
-                keep.append(not (dirty and remove == "documents"))
+                keep.append(not dirty or remove == "spans" and not hit.all())
                 texts.append(cut_spans(t, hit) if dirty and remove == "spans" else t)
             arrays = list(batch.columns)
             if remove == "spans":

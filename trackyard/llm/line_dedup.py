@@ -170,9 +170,9 @@ def _judged(docs: DataFrame, id_col: str, text_col: str, **options) -> DataFrame
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The documents without their over-frequent lines, same columns; ``n_chars`` follows the text if there.
 
-    A document that loses all its lines goes; one that had no text to lose stays as it is.
+    A document that loses all its lines stays, with an empty text.
     """
-    judged = _judged(docs, id_col, text_col, **options).filter("__n_dropped < __n_lines")
+    judged = _judged(docs, id_col, text_col, **options)
     changed = F.col("__n_dropped") > 0
     out = []
     for c in docs.columns:

@@ -20,9 +20,9 @@ a pair at the threshold is missed with probability (1 - 0.75^4)^32 = 5e-6; the
 signature test lets pass whatever is within five standard deviations.
 
 Defined results: a document without words has ``n_shingles`` 0 and is its own
-component. Rows that share a doc_id are one document where ids are compared:
-they share the fate of their id. A null doc_id is the smallest id. Columns
-beyond id and text are not read.
+component. Rows that share a doc_id are judged by their own texts; equal ones
+stay or go together. A null doc_id is the smallest id. Columns beyond id and
+text are not read.
 """
 
 from __future__ import annotations
@@ -131,15 +131,20 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 bands.append(none if low is None else bucket_keys(low))
                 sigs.append(none.astype(np.int16) if low is None else signature(low))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(keys, pa.binary()), pa.array(counts, pa.int64()),
-                 _lists(bands, np.int64), _lists(sigs, np.int16)], names=["doc", "key", "n", "bands", "sig"])
+                [batch.column(0), batch.column(2), pa.array(keys, pa.binary()), pa.array(counts, pa.int64()),
+                 _lists(bands, np.int64), _lists(sigs, np.int16)], names=["doc", "tag", "key", "n", "bands", "sig"])
+
+
+def _tag(text_col: str):
+    return F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
 
 
 def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc, key, n, bands, sig) of each row."""
+    """(doc, tag, key, n, bands, sig) of each row; ``tag`` tells apart texts of one doc_id."""
     rows = docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(_LONG_MIN)).alias("doc"),
-                       utf8(text_col).alias("text"))
-    return map_batches(rows, _sketch, "doc bigint, key binary, n bigint, bands array<bigint>, sig array<smallint>")
+                       utf8(text_col).alias("text"), _tag(text_col).alias("tag"))
+    return map_batches(rows, _sketch,
+                       "doc bigint, tag bigint, key binary, n bigint, bands array<bigint>, sig array<smallint>")
 
 
 def _least_agreement(similarity: int) -> int:
@@ -270,7 +275,7 @@ def class_components(classes: DataFrame, load_sets: Callable[[DataFrame], DataFr
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     similarity: int = SIMILARITY, block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
-    """(doc, key, n, component) of each row: its class, its set's size and the smallest document reachable."""
+    """(doc, tag, key, n, component) of each row: its class, its set's size and the smallest document reachable."""
     drawn = stored(sketches(docs, id_col, text_col), "sketches")
     classes = stored(drawn.filter("n > 0").groupBy("key").agg(
         F.min("doc").alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands"),
@@ -287,7 +292,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                    .withColumn("root", F.coalesce("root", "key"))
     least_doc = roots.groupBy("root").agg(F.min("rep").alias("component"))
     named = roots.join(least_doc, "root").select("key", "component")
-    return drawn.select("doc", "key", "n").join(named, "key", "left").withColumn(
+    return drawn.select("doc", "tag", "key", "n").join(named, "key", "left").withColumn(
         "component", F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc")))
 
 
@@ -304,7 +309,9 @@ def near_duplicate_report(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The documents, all columns, one of each group: the one of the smallest id."""
-    # a row goes only if its own text lost: texts of one doc_id are judged apart
+    # a row goes only if its own text has lost: texts of one doc_id are judged apart
     gone = near_duplicates(docs, id_col, text_col, **options).filter("doc <> component").select(
-        F.col("doc").alias("__doc")).distinct()
-    return docs.join(gone, F.coalesce(F.col(id_col).cast("bigint"), F.lit(_LONG_MIN)) == F.col("__doc"), "left_anti")
+        F.col("doc").alias("__doc"), F.col("tag").alias("__tag")).distinct()
+    same = (F.coalesce(F.col(id_col).cast("bigint"), F.lit(_LONG_MIN)) == F.col("__doc")) & \
+        (_tag(text_col) == F.col("__tag"))
+    return docs.join(gone, same, "left_anti")
