@@ -38,7 +38,7 @@ def test_fact_join_hot_key_is_split(spark):
     try:
         fact = _hot(spark, 60000).repartition(8)
         dim = spark.range(0, 1001).select(F.col("id").alias("imsi"), (F.col("id") + 100).alias("subscriber_key"))
-        joined = left_join_dim(fact, dim, "k", "imsi", ["subscriber_key"], dim_rows=None)  # size unknown: no broadcast
+        joined = left_join_dim(fact, dim, "k", "imsi", ["subscriber_key"])
         rows = joined.collect()  # executes this plan, so its adaptive plan is final afterwards
         assert len(rows) == 60000 and all(r["subscriber_key"] == r["k"] + 100 for r in rows)
         final = joined._jdf.queryExecution().executedPlan().toString()

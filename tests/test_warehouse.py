@@ -156,7 +156,7 @@ def test_failures_are_isolated(spark, tmp_path):
     assert "surprise" in by_name["ETCS-Call-tracing_c.csv"]["error_message"]
     assert "imsi" in by_name["ETCS-Call-tracing_d.csv"]["error_message"]
     assert "fields" in by_name["ETCS-Call-tracing_e.csv"]["error_message"]
-    assert by_name["Cell-Load-report.csv"]["error_message"].startswith("No matching load function")
+    assert by_name["Cell-Load-report.csv"]["error_message"] == "the name fits no known export"
     assert bronze.read_bronze(spark, root, "exp_etcs_call").count() == 1
     assert "imsi.1" in by_name["ETCS-Call-tracing_f.csv"]["error_message"]
     assert tracking.non_success_files(spark, root).count() == 6

@@ -7,31 +7,29 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A dimension is broadcast only below this many rows (and below Spark's own
-# byte threshold when AQE measures it); beyond, a shuffle join with AQE's
-# skew split handles it.
-DEFAULT_BROADCAST_ROWS = 2_000_000
+# rows without a key are dealt over so many values that match nothing
+NULL_SPREAD = 4096
 
 
 def left_join_dim(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
-                  dim_cols: Sequence[str], dim_rows: int | None = None,
-                  broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``fact LEFT JOIN dim ON fact.fact_key = dim.dim_key`` adding ``dim_cols``.
+                  dim_cols: Sequence[str]) -> DataFrame:
+    """``fact LEFT JOIN dim ON fact.fact_key = dim.dim_key`` adding ``dim_cols``; the fact is read once.
 
-    * Rows whose key is NULL can never match: they bypass the join and come back
-      with typed NULL dimension columns, so they are neither shuffled nor piled
-      into the one reducer that hash(NULL) maps to (up to ~half of transactions).
-    * The dimension is broadcast only when its row count is known and below
-      ``broadcast_rows``; otherwise a sort-merge join, where AQE splits a hot
-      fact key (the left side of a left join is splittable).
+    * Rows whose key is NULL can never match. In a shuffle they would all go to
+      the one reducer of hash(NULL) (up to about half of the transactions), so the
+      join key is a pair (spread, key): spread is 0 for rows with a key and for the
+      dimension, and one of many values that no dimension row has without one.
+    * Nothing is hinted: Spark broadcasts the dimension if its measured size is
+      below the threshold, and otherwise joins by shuffle, where AQE splits a hot
+      fact key (the left side of a left join can be split).
     * A non-unique ``dim_key`` fans out, as the SQL join does.
     """
-    right = dim.select(F.col(dim_key).alias("__dk"), *[F.col(c) for c in dim_cols])
-    if dim_rows is not None and dim_rows <= broadcast_rows:
-        right = F.broadcast(right)
-    keyed = fact.filter(F.col(fact_key).isNotNull())
-    joined = keyed.join(right, keyed[fact_key] == right["__dk"], "left").drop("__dk")
-    dtypes = dict(right.dtypes)
-    unmatched = fact.filter(F.col(fact_key).isNull()).select(
-        "*", *[F.lit(None).cast(dtypes[c]).alias(c) for c in dim_cols])
-    return joined.unionByName(unmatched)
+    kind = dim.schema[dim_key].dataType
+    key = F.col(fact_key).cast(kind)
+    spread = F.when(key.isNull(), F.pmod(F.xxhash64(*fact.columns), F.lit(NULL_SPREAD)).cast("int") + 1) \
+              .otherwise(F.lit(0))
+    keyed = fact.withColumn("__fk", F.struct(spread.alias("spread"),
+                                             F.coalesce(key, F.lit(0).cast(kind)).alias("key")))
+    right = dim.filter(F.col(dim_key).isNotNull()).select(
+        F.struct(F.lit(0).alias("spread"), F.col(dim_key).alias("key")).alias("__dk"), *[F.col(c) for c in dim_cols])
+    return keyed.join(right, keyed["__fk"] == right["__dk"], "left").drop("__fk", "__dk")

@@ -57,8 +57,9 @@ class Stats:
 
 
 def create_batch_id(prefix: str = "run", at: _dt.datetime | None = None) -> str:
-    at = at or tracking.now()
-    return f"{prefix}_{at:%Y-%m-%d_%H:%M:%S}_{secrets.token_hex(3)}"
+    """A run's own id; it names folders, so it holds nothing that a file system refuses."""
+    stamp = (at or tracking.now()).strftime("%Y%m%dT%H%M%S%f")
+    return "-".join((prefix, stamp, secrets.token_hex(4)))
 
 
 # --------------------------------------------------------------------------
@@ -66,23 +67,24 @@ def create_batch_id(prefix: str = "run", at: _dt.datetime | None = None) -> str:
 # --------------------------------------------------------------------------
 
 def classify_listed_files(listed: DataFrame, log: DataFrame) -> DataFrame:
-    """Add ``decision``: SKIPPED when the content hash has a SUCCESS in the file
-    log, or when an earlier file (by lower-cased name) of this listing has the
-    same content; NEW otherwise.
-
-    The first copy per hash comes from a hash aggregation (partial per map
-    task), not a window, so a hash shared by a third of the files costs one
-    row per task in the shuffle; the join back is AQE-managed (broadcast when
-    small, skew-split otherwise).
+    """Add ``decision`` to listed files (path, filename, file_id, table; ``table`` NULL if the name fits none).
+
+    SKIPPED: the content has a SUCCESS in the file log. UNROUTED: no table. COPY: an
+    earlier file of this listing, by (lower-cased name, name, path), that has a table
+    holds the same content; it is skipped only once that one has succeeded. NEW: the rest.
+
+    The first copy per hash comes from an aggregation (partial per map task), so a
+    hash shared by a third of the files costs one row per task in the shuffle; the
+    join back is AQE-managed (broadcast when small, skew-split otherwise).
     """
     seen = (log.filter(F.col("status") == "SUCCESS").select("file_id").distinct()
                .withColumn("__seen", F.lit(True)))
-    first = listed.groupBy("file_id").agg(
-        F.min(F.struct(F.lower("filename").alias("l"), F.col("filename").alias("n"))).getField("n")
-        .alias("__first"))
+    place = F.struct(F.lower("filename").alias("l"), F.col("filename").alias("n"), F.col("path").alias("p"))
+    first = listed.filter(F.col("table").isNotNull()).groupBy("file_id").agg(F.min(place).alias("__first"))
     out = listed.join(first, "file_id", "left").join(seen, "file_id", "left")
     decision = (F.when(F.col("__seen"), F.lit("SKIPPED"))
-                 .when(F.col("filename") != F.col("__first"), F.lit("SKIPPED"))
+                 .when(F.col("table").isNull(), F.lit("UNROUTED"))
+                 .when(place != F.col("__first"), F.lit("COPY"))
                  .otherwise(F.lit("NEW")))
     return out.withColumn("decision", decision).drop("__seen", "__first")
 
@@ -179,6 +181,16 @@ def _load_table(spark: SparkSession, spec: SourceSpec, files: list[dict], bronze
         lines.unpersist()
 
 
+def _load_or_fail(spark: SparkSession, spec: SourceSpec, files: list[dict], bronze_root: str, batch_id: str,
+                  sep: str) -> list[FileResult]:
+    """A table whose load throws fails its own files; the others are loaded and logged."""
+    try:
+        return _load_table(spark, spec, files, bronze_root, batch_id, sep)
+    except Exception as exc:  # noqa: BLE001 - recorded for each of its files
+        text = f"{type(exc).__name__}: {exc}".splitlines()[0][:500]
+        return [FileResult(f["path"], f["filename"], f["file_id"], spec.table, "FAILED", error=text) for f in files]
+
+
 def _load_lines(spark: SparkSession, spec: SourceSpec, files: list[dict], lines: DataFrame, bronze_root: str,
                 batch_id: str, sep: str) -> list[FileResult]:
     paths = [f["path"] for f in files]
@@ -267,12 +279,25 @@ def _load_lines(spark: SparkSession, spec: SourceSpec, files: list[dict], lines:
             cols.append(value.cast(c.dtype).alias(c.name))
         cols += [F.lit(batch_id).alias("_batch_id"), F.col("_source_file"), F.col("_ingested_at"),
                  (F.col("line_index") - F.col("__hidx")).cast("int").alias("_row_num"), F.col("_file_hash")]
-        write_bronze(out.select(*cols), bronze_root, spec.table)
+        own = {r.file_id for r in results if r.status == "SUCCESS"}
+        write_bronze(out.select(*cols), bronze_root, spec.table, batch_id, own)
     return results
 
 
-def write_bronze(df: DataFrame, bronze_root: str, table: str) -> None:
-    """Typed append, one directory per batch; a retried batch replaces only its own directory."""
+def write_bronze(df: DataFrame, bronze_root: str, table: str, batch_id: str | None = None,
+                 hashes: set[str] | None = None) -> None:
+    """Typed append, one directory per batch; a retried batch replaces only its own directory.
+
+    With ``batch_id`` and the ``hashes`` about to be written, a batch directory that holds
+    any other file's rows is left alone and the write refused: another run has used the id.
+    """
+    if batch_id is not None and hashes is not None:
+        held = f"{bronze_root}/{table}/_batch_id={batch_id}"
+        if tracking._exists(df.sparkSession, held):
+            others = (df.sparkSession.read.parquet(held).filter(~F.col("_file_hash").isin(sorted(hashes)))
+                        .select("_file_hash"))
+            if not others.isEmpty():
+                raise ValueError(f"batch {batch_id} of {table} holds rows of other files")
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .partitionBy("_batch_id").parquet(f"{bronze_root}/{table}"))
 
@@ -307,44 +332,61 @@ def ingest_folder(spark: SparkSession, folder: str | Sequence[str], bronze_root:
     elif isinstance(tables, dict):
         route = None
         for prefix, table in tables.items():
-            cond = F.col("path").startswith(_as_uri(prefix))
+            cond = F.col("path").startswith(X.qualified(spark, prefix))
             route = F.when(cond, F.lit(table)) if route is None else route.when(cond, F.lit(table))
     else:
         route = F.lit(tables[0])
     # one row per listed file (metadata only) reaches the driver
     listing = hashed.withColumn("table", route).select("path", "filename", "file_id", "table").collect()
-    if not listing:
-        return Stats()
     # the file log grows with history: read only this listing's hashes (a scan filter,
     # no join against, and no shuffle of, every file ever seen)
     ids = sorted({r["file_id"] for r in listing})
     log = tracking.read_log(spark, tracking_root, tracking.FILE_LOG).filter(F.col("file_id").isin(ids))
+    unread = [FileResult(p, n, f"unread:{n}", None, "FAILED", error="a name beginning with _ or . is not read")
+              for p, n in X.hidden_files(spark, folder)]
     listed = spark.createDataFrame([tuple(r) for r in listing],
                                    "path string, filename string, file_id string, table string")
     classified = classify_listed_files(listed, log)
-    files = sorted((r.asDict() for r in classified.collect()), key=lambda r: (r["filename"].lower(), r["filename"]))
-    if not files:
+    files = sorted((r.asDict() for r in classified.collect()),
+                   key=lambda r: (r["filename"].lower(), r["filename"], r["path"]))
+    if not files and not unread:
         return Stats()
 
-    stats = Stats(files_total=len(files))
-    results: list[FileResult] = []
+    stats = Stats(files_total=len(files) + len(unread))
+    results: list[FileResult] = unread
     todo: dict[str, list[dict]] = {}
+    waves = 0
+    copies: list[dict] = []
     for i, f in enumerate(files):
         # one load stamp per file, in processing order: a later file wins ties in silver
         f["ingested_at"] = started + _dt.timedelta(microseconds=i)
         if f["decision"] == "SKIPPED":
             results.append(FileResult(f["path"], f["filename"], f["file_id"], f["table"], "SKIPPED"))
-        elif f["table"] is None:
+        elif f["decision"] == "COPY":
+            copies.append(f)
+        elif f["decision"] == "UNROUTED":
             results.append(FileResult(f["path"], f["filename"], f["file_id"], None, "FAILED",
-                                      error=f"No matching load function for file: {f['filename']}"))
+                                      error="the name fits no known export"))
         else:
             todo.setdefault(f["table"], []).append(f)
 
-    # the tables are independent: their jobs run side by side
-    loads = [lambda t=t, fs=fs: _load_table(spark, SOURCES[t], fs, bronze_root, batch_id, sep)
-             for t, fs in todo.items()]
-    for table_results in run_concurrently(loads):
-        results.extend(table_results)
+    while todo:
+        # the tables are independent: their jobs run side by side
+        loads = [lambda t=t, fs=fs: _load_or_fail(spark, SOURCES[t], fs, bronze_root, wave_id, sep)
+                 for wave_id in [batch_id if not waves else f"{batch_id}-{waves}"] for t, fs in todo.items()]
+        for table_results in run_concurrently(loads):
+            results.extend(table_results)
+        # a copy is skipped once its content is in; else the next copy has its turn
+        done = {r.file_id for r in results if r.status == "SUCCESS"}
+        todo, later, waves = {}, [], waves + 1
+        for f in copies:
+            if f["file_id"] in done:
+                results.append(FileResult(f["path"], f["filename"], f["file_id"], f["table"], "SKIPPED"))
+            elif any(g["file_id"] == f["file_id"] for fs in todo.values() for g in fs):
+                later.append(f)
+            else:
+                todo.setdefault(f["table"], []).append(f)
+        copies = later
 
     for r in results:
         stats.files_success += r.status == "SUCCESS"
@@ -361,11 +403,6 @@ def ingest_folder(spark: SparkSession, folder: str | Sequence[str], bronze_root:
     return stats
 
 
-def _as_uri(path: str) -> str:
-    """binaryFile reports qualified paths (``file:/...``); qualify a bare local prefix the same way."""
-    return f"file:{path}" if path.startswith("/") else path
-
-
 def run_ingestion(spark: SparkSession, exports_dir: str | None, incidents_dir: str | None, bronze_root: str,
                   batch_id: str | None = None, incidents_sep: str = X.SEP) -> tuple[str, str, Stats]:
     """Bronze entry: both sources under one batch id, run log start/end, status roll-up."""

@@ -1,9 +1,8 @@
 """Gold star schema: dim_subscriber (G1-G6) and six facts.
 
 The dimension is built once per silver snapshot and materialised (its dense
-key needs a frozen order anyway); every fact is a left join against it. The
-dimension's row count is known after materialisation, which is what decides
-whether a fact join may broadcast it.
+key needs a frozen order anyway); every fact is a left join against it. Spark
+decides by the materialised size whether a fact join broadcasts it.
 """
 
 from __future__ import annotations
@@ -148,7 +147,7 @@ def build_dim(silver: Mapping[str, DataFrame]) -> tuple[DataFrame, int]:
     return dense_subscriber_key(conform_identities(identity_branches(silver)), silver["exp_subscriber_matrix"])
 
 
-def build_fact(name: str, silver: Mapping[str, DataFrame], dim: DataFrame, dim_rows: int | None) -> DataFrame:
+def build_fact(name: str, silver: Mapping[str, DataFrame], dim: DataFrame) -> DataFrame:
     """Left join of one silver table to the dimension, renamed to the gold names."""
     table, fact_key, dim_key, cols = FACTS[name]
     src = silver[table]
@@ -157,17 +156,16 @@ def build_fact(name: str, silver: Mapping[str, DataFrame], dim: DataFrame, dim_r
     keep_key = fact_key in [out for out, _ in cols]
     fact = src.select(*projected, *([] if keep_key else [F.col(fact_key).alias(f"__fk_{fact_key}")]))
     key = fact_key if keep_key else f"__fk_{fact_key}"
-    joined = left_join_dim(fact, dim, key, dim_key, ["subscriber_key"], dim_rows=dim_rows)
+    joined = left_join_dim(fact, dim, key, dim_key, ["subscriber_key"])
     return joined.select("subscriber_key", *[out for out, _ in cols])
 
 
-def build_gold(silver: Mapping[str, DataFrame], dim: DataFrame | None = None,
-               dim_rows: int | None = None) -> dict[str, DataFrame]:
+def build_gold(silver: Mapping[str, DataFrame], dim: DataFrame | None = None) -> dict[str, DataFrame]:
     if dim is None:
-        dim, dim_rows = build_dim(silver)
+        dim, _ = build_dim(silver)
     out = {"dim_subscriber": dim}
     for name in FACTS:
-        out[name] = build_fact(name, silver, dim, dim_rows)
+        out[name] = build_fact(name, silver, dim)
     return out
 
 

@@ -37,13 +37,12 @@ def publish_gold(spark: SparkSession, silver_root: str, gold_root: str, snapshot
     silver = S.read_silver(spark, silver_root, snapshot)
     dim, dim_rows = G.build_dim(silver)
     dim.write.mode("overwrite").parquet(f"{gold_root}/snapshot={snapshot}/dim_subscriber")
-    _dim_rows_marker(spark, gold_root, snapshot, dim_rows)
     rows = {"dim_subscriber": dim_rows}
     if materialise_facts:
         dim = spark.read.parquet(f"{gold_root}/snapshot={snapshot}/dim_subscriber")
 
         def write_fact(name: str) -> int:
-            G.build_fact(name, silver, dim, dim_rows).write.mode("overwrite").parquet(
+            G.build_fact(name, silver, dim).write.mode("overwrite").parquet(
                 f"{gold_root}/snapshot={snapshot}/{name}")
             return spark.read.parquet(f"{gold_root}/snapshot={snapshot}/{name}").count()
 
@@ -53,11 +52,6 @@ def publish_gold(spark: SparkSession, silver_root: str, gold_root: str, snapshot
     return rows
 
 
-def _dim_rows_marker(spark: SparkSession, gold_root: str, snapshot: str, dim_rows: int) -> None:
-    spark.createDataFrame([(snapshot, int(dim_rows))], "snapshot string, dim_rows bigint").write.mode(
-        "overwrite").parquet(f"{gold_root}/snapshot={snapshot}/_dim_rows")
-
-
 def read_gold(spark: SparkSession, gold_root: str, register: bool = True, silver_root: str | None = None) -> dict:
     """Current gold tables; facts that were not materialised are built as views over the
     silver snapshot of the same name (``silver_root`` defaults to a sibling ``silver``)."""
@@ -75,8 +69,7 @@ def read_gold(spark: SparkSession, gold_root: str, register: bool = True, silver
         if silver is None:  # not materialised: the fact is a view over silver
             silver_root = silver_root or gold_root.rstrip("/").rsplit("/", 1)[0] + "/silver"
             silver = S.read_silver(spark, silver_root, snap)
-            dim_rows = spark.read.parquet(f"{base}/_dim_rows").first()["dim_rows"]
-        tables[name] = G.build_fact(name, silver, dim, dim_rows)
+        tables[name] = G.build_fact(name, silver, dim)
     if register:
         G.register_views(spark, tables)
     return tables

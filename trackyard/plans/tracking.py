@@ -10,7 +10,6 @@ quirk: "already ingested" asks whether *any* SUCCESS event exists).
 from __future__ import annotations
 
 import datetime as _dt
-import os
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,13 +28,13 @@ def now() -> _dt.datetime:
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    if "://" not in path or path.startswith("file:"):
-        return os.path.exists(path.removeprefix("file:"))
-    try:
-        spark.read.parquet(path).schema  # noqa: B018 - probes existence on remote stores
-        return True
-    except Exception:  # noqa: BLE001
-        return False
+    """Whether the path is there, as the file system it belongs to says.
+
+    Only a real "not found" is False. A store that can't be asked (no connector,
+    no permission, throttling) raises: an unreadable table is not an empty one.
+    """
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
 
 
 def _schema(which: str):

@@ -46,6 +46,31 @@ def list_files(spark: SparkSession, folder: str | Sequence[str], with_hash: bool
     return listed
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path as listings report it: with its file system's scheme and authority."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.makeQualified(p).toString()
+
+
+def hidden_files(spark: SparkSession, folder: str | Sequence[str]) -> list[tuple[str, str]]:
+    """(path, name) of the files that Spark's readers pass over: names beginning with ``_`` or ``.``.
+
+    Checksum files (``.name.crc``) are the file system's own and don't count.
+    """
+    out = []
+    for one in [folder] if isinstance(folder, str) else folder:
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(one)
+        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        if not fs.exists(p):
+            continue
+        for status in fs.listStatus(p):
+            name = status.getPath().getName()
+            if status.isFile() and name[:1] in ("_", ".") and not name.endswith(".crc"):
+                out.append((status.getPath().toString(), name))
+    return sorted(out)
+
+
 _GLOB_CHARS = "\\[]{}*?"
 
 
@@ -63,14 +88,6 @@ def file_path_column():
     return F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B"))).alias("path")
 
 
-def file_hashes(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Sha-256 of each file's bytes, computed on the executors (path, file_id)."""
-    if not paths:
-        return spark.createDataFrame([], "path string, file_id string")
-    return (spark.read.format("binaryFile").load(list(paths))
-                 .select("path", F.sha2("content", 256).alias("file_id")))
-
-
 def numbered_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """Non-blank lines of the files with a 0-based per-file line index.
 

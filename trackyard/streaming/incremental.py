@@ -14,6 +14,8 @@ such rows) and published as a new version.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,6 +35,12 @@ BINARY_FILE_SCHEMA = T.StructType([
 ])
 
 
+def query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that a streaming query keeps in its checkpoint for good."""
+    text = spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0]
+    return json.loads(text)["id"]
+
+
 def start_export_stream(spark: SparkSession, exports_dir: str, bronze_root: str, checkpoint: str,
                         source_system: str = SOURCE_EXPORTS, tables=None, sep: str = ";",
                         available_now: bool = True, max_files_per_trigger: int | None = None) -> StreamingQuery:
@@ -52,7 +60,8 @@ def start_export_stream(spark: SparkSession, exports_dir: str, bronze_root: str,
         paths = sorted(r["path"] for r in batch.distinct().collect())
         if not paths:
             return
-        batch_id = f"stream_{epoch_id:08d}"
+        # the query's own id: another stream, or a new checkpoint, can't reuse a batch's name
+        batch_id = f"stream-{query_id(spark, checkpoint)}-{epoch_id:08d}"
         started = tracking.record_run_start(spark, bronze_root, batch_id, "bronze")
         try:
             stats = B.ingest_folder(spark, paths, bronze_root, batch_id, source_system, tables=tables, sep=sep,
