@@ -1,4 +1,3 @@
-import glob
 import os
 import sys
 import tempfile
@@ -7,17 +6,10 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-def _find_samples() -> str:
-    """Folder holding the three real sample exports: $TRACKYARD_SAMPLE_EXPORTS, else the first
-    ``datasets/*`` folder under /root that contains an ETCS call export."""
-    env = os.environ.get("TRACKYARD_SAMPLE_EXPORTS")
-    if env:
-        return env
-    hits = sorted(glob.glob("/root/*/datasets/*/ETCS-Call-tracing_*.csv"))
-    return os.path.dirname(hits[0]) if hits else "/nonexistent"
+from tests.exportfiles import write_samples  # noqa: E402
 
-
-SAMPLES = _find_samples()
+# invented exports of the supervision tool, written anew for each session
+SAMPLES = write_samples(tempfile.mkdtemp(prefix="trackyard-samples-"))
 
 
 @pytest.fixture(scope="session")

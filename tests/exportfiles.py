@@ -85,3 +85,67 @@ def incident_rows() -> list[list[str]]:
             row("4", "14/05/2026", "09:30", "35214500099999", "", "")]   # French-locale date, short time
     rows[2][1], rows[3][1] = "FAUX", "VRAI"
     return rows
+
+
+# --- invented sample exports of three sources, with what must come of them ------------------------
+
+IMSI = 604070051706194
+
+
+def _rows(table: str, cells: list[dict]) -> list[list[str]]:
+    return [[str(c.get(col.name, "")) for col in SOURCES[table].columns] for c in cells]
+
+
+def etcs_cells() -> list[dict]:
+    out = []
+    for i in range(57):
+        start = f"2026-05-13 {8 + i // 20:02d}:{i % 20 + 10}:{i:02d}"
+        out.append({
+            "start_time": start + ".000", "stop_time": "Call running..." if i in (5, 40) else start + ".500",
+            "call_setup_duration": f"{3 - i % 3}s {591 - i}ms", "transaction_duration": f"{i % 60}min {i % 50}s {i}ms",
+            "etcs_baseline": 2, "system_version": "1.0", "nid_engine": 13000 + i % 40, "imsi": IMSI + i % 40,
+            "msisdn": 212799997194 + i % 40, "imei": 35214500047160 + i % 40, "calling_number": "00212799997194",
+            "root_failure": "Success"})
+    return out
+
+
+def matrix_cells() -> list[dict]:
+    return [{"imsi": IMSI + 10 + i, "msisdn": 212799997204 + i, "last_imsi_time": f"2026-05-12 07:{i:02d}:00.000"}
+            for i in range(35)]
+
+
+def group_call_cells() -> list[dict]:
+    out = []
+    for i in range(27):
+        out.append({
+            "start_time": f"2026-05-13 12:{i:02d}:00.000", "stop_time": f"2026-05-13 12:{i:02d}:30.000", "gid": 200 + i % 3,
+            "functional_number": 7000 + i, "imsi": "" if i < 10 else IMSI + 100 + i,
+            "establishment_delay": "" if i % 4 == 0 else f"{i % 3}s {i}ms", "vgcs_duration": f"{i}s",
+            "sccp_success_rate": "" if i % 5 == 0 else f"{i % 3} / 3", "cell_success_rate": f"{i % 2} / 2",
+            "dispatcher_success_rate": "0 / 0" if i < 3 else "1 / 2"})
+    return out
+
+
+SAMPLE_FILES = {"ETCS-Call-tracing_2026-05-13_16-44-29.csv": ("exp_etcs_call", etcs_cells),
+                "Subscriber-Matrix_2026-05-13_16-44-41.csv": ("exp_subscriber_matrix", matrix_cells),
+                "VGCS-_-VBS-_-REC-tracing_2026-05-13_16-45-02.csv": ("exp_vgcs_vbs_rec_tracing", group_call_cells)}
+
+
+def write_samples(folder: str) -> str:
+    for name, (table, cells) in SAMPLE_FILES.items():
+        write_export(folder, name, headers(table), _rows(table, cells()))
+    return folder
+
+
+def duration_sum(cells: list[dict], name: str) -> int:
+    """Milliseconds of texts like '1min 2s 3ms', worked out in plain Python."""
+    scale = {"min": 60_000, "ms": 1, "s": 1000}
+    total = 0
+    for c in cells:
+        for part in str(c.get(name, "")).split():
+            unit = next(u for u in scale if part.endswith(u))
+            total += int(part.removesuffix(unit)) * scale[unit]
+    return total
+
+
+SUBSCRIBERS = len({c["imsi"] for cells in (etcs_cells(), matrix_cells(), group_call_cells()) for c in cells if c["imsi"]})

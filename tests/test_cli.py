@@ -3,13 +3,11 @@
 import os
 import shutil
 
-import pytest
 
 from tests.conftest import SAMPLES
+from tests.exportfiles import SUBSCRIBERS
 from trackyard.__main__ import main
 
-pytestmark = pytest.mark.skipif(not os.path.isdir(SAMPLES), reason="sample exports not available")
-
 
 def test_cli_all_then_report(spark, tmp_path):
     exports = str(tmp_path / "exports")
@@ -19,7 +17,7 @@ def test_cli_all_then_report(spark, tmp_path):
     wh = str(tmp_path / "wh")
     out = main(["all", "--warehouse", wh, "--exports", exports])
     assert out["bronze_status"] == "SUCCESS" and out["silver_status"] == "SUCCESS"
-    assert out["gold"]["dim_subscriber"] == 74
+    assert out["gold"]["dim_subscriber"] == SUBSCRIBERS
     rep = main(["report", "--warehouse", wh])
     assert rep["silver_counts"]["total"] == 119
     assert [r["layer"] for r in rep["recent_runs"]] == ["silver", "bronze"]

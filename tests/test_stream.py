@@ -3,7 +3,6 @@
 import os
 import shutil
 
-import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import SAMPLES
@@ -11,8 +10,6 @@ from tests.exportfiles import headers, transactions_rows, write_export
 from trackyard.plans import bronze, tracking
 from trackyard.streaming import incremental as U
 
-pytestmark = pytest.mark.skipif(not os.path.isdir(SAMPLES), reason="sample exports not available")
-
 
 def test_stream_ingest_exactly_once(spark, tmp_path):
     inbox = str(tmp_path / "inbox")
