@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from trackyard.operators.dedup import dedup_latest
 from trackyard.operators.joins import left_join_dim
-from trackyard.operators.merge import upsert_latest
+from trackyard.operators.merge import latest_state
 from trackyard.operators.ordinal import global_ordinal, global_ordinal_counted, grouped_ordinal
 
 EVENTS = "/root/testdata/sf0.001/events.parquet"
@@ -78,11 +78,10 @@ def test_left_join_dim_null_split_and_fanout(spark):
     assert plan.count("Scan ExistingRDD") == 2 and "Union" not in plan  # the fact is read once
 
 
-def test_upsert_updates_win(spark):
-    cur = spark.createDataFrame([(1, "old", 5), (2, "keep", 1)], "k int, v string, t int")
-    upd = spark.createDataFrame([(1, "new", 0), (1, "newer", 3)], "k int, v string, t int")
-    got = sorted(tuple(r) for r in upsert_latest(cur, upd, ["k"], [F.col("t").desc()]).collect())
-    assert got == [(1, "newer", 3), (2, "keep", 1)]
+def test_latest_event_is_the_state(spark):
+    log = spark.createDataFrame([(1, "old", 5), (2, "keep", 1), (1, "new", 6), (3, None, None)], "k int, v string, t int")
+    got = sorted(tuple(r) for r in latest_state(log, ["k"], "t").collect())
+    assert got == [(1, "new", 6), (2, "keep", 1), (3, None, None)]
 
 
 def test_global_ordinal_plain(spark):

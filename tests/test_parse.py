@@ -62,7 +62,9 @@ def test_seconds_to_ms(spark):
 
 def test_integral_text(spark):
     vals = ["13042.0", "00212799997194", "12", "1.5", "abc"]
-    assert _eval(spark, vals, parse.is_whole_text) == [True, True, True, False, False]
+    whole = lambda *v: spark.createDataFrame([(x,) for x in v], "x string").agg(parse.all_whole("x")).first()[0]
+    assert [whole(v) for v in vals] == [True, True, True, False, False]
+    assert whole("1", None, "2.0") and not whole("1", "abc")
     assert _eval(spark, ["13042.0", "00212799997194", "604070051706194"], parse.integral_value) == [
         13042, 212799997194, 604070051706194]
 

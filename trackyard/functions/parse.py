@@ -115,45 +115,30 @@ def seconds_to_ms(c) -> Column:
     return F.round(_col(c) * F.lit(1000)).cast("int")
 
 
-def typed_null(dtype) -> Column:
-    return F.lit(None).cast(dtype)
-
-
 def na_to_null(c) -> Column:
     """Empty or NA-token text -> NULL (a CSV reader's default NA set)."""
     text = _col(c)
     return F.when(~F.trim(text).isin(list(NA_TOKENS)), text)
 
 
-def python_strip(c) -> Column:
-    """Whitespace strip with Python ``str.strip()`` semantics (not SQL TRIM)."""
-    return F.regexp_replace(_col(c), r"^\s+|\s+$", "")
-
-
 # --- integral coercion ------------------------------------------------------
 # A numeric text column of one file becomes integral when every non-null value
 # is whole (``'13042.0'`` -> 13042). Decimal text is cast through DECIMAL so
 # 15-19 digit identifiers stay exact (a DOUBLE detour would round them).
 
 _INT_TEXT = r"^\s*[+-]?\d+\s*\z"
-_NUM_TEXT = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*\z"
-
-
-def is_numeric_text(c) -> Column:
-    return _col(c).rlike(_NUM_TEXT)
 
 
-def is_whole_text(c) -> Column:
-    """Numeric text whose value has no fractional part."""
+def all_whole(c) -> Column:
+    """Aggregate: every non-null text is a whole number (other text counts as not whole, not as NULL)."""
     text = _col(c)
-    return F.when(text.rlike(_INT_TEXT), F.lit(True)).when(
-        text.rlike(_NUM_TEXT), text.try_cast("double") % 1 == 0).otherwise(F.lit(False))
+    return F.bool_and(text.isNull() | F.coalesce(text.try_cast("decimal(38,10)") % 1 == 0, F.lit(False)))
 
 
 def integral_value(c, dtype="bigint") -> Column:
     """Whole numeric text -> integer type; plain digits cast directly (exact),
     ``'13042.0'`` / ``'1.3042e4'`` via DECIMAL(38,10). Callers check wholeness first
-    (:func:`is_whole_text`); a fractional part would be truncated."""
+    (:func:`all_whole`); a fractional part would be truncated."""
     text = F.trim(_col(c))
     return F.when(text.rlike(_INT_TEXT), text.cast(dtype)).otherwise(
         text.cast("decimal(38,10)").cast(dtype))

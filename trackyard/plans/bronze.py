@@ -244,9 +244,7 @@ def _load_lines(spark: SparkSession, spec: SourceSpec, files: list[dict], lines:
     aggs = [F.count(F.lit(1)).alias("rows"),
             F.count_if(F.col("__tokens") > F.col("__width")).alias("surplus")]
     aggs += [F.count_if(typed[n][1]).alias(f"bad__{n}") for n in typed if n not in string_cols]
-    # (non-numeric text must count as False, not NULL: bool_and skips NULLs)
-    aggs += [F.bool_and(raw[n].isNull() | F.coalesce(raw[n].try_cast("decimal(38,10)") % 1 == 0, F.lit(False)))
-             .alias(f"int__{n}") for n in string_cols]
+    aggs += [P.all_whole(raw[n]).alias(f"int__{n}") for n in string_cols]
     aggs += [F.count(raw[n]).alias(f"nn__{n}") for n in string_cols]
     checks = {r["path"]: r.asDict() for r in data.groupBy("path").agg(*aggs).collect()}
 

@@ -10,7 +10,7 @@ quirk: "already ingested" asks whether *any* SUCCESS event exists).
 from __future__ import annotations
 
 import datetime as _dt
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -111,12 +111,6 @@ def files(spark: SparkSession, root: str) -> DataFrame:
     return latest_state(read_log(spark, root, FILE_LOG), ["file_id"], "processed_at")
 
 
-def succeeded_hashes(spark: SparkSession, root: str) -> DataFrame:
-    """Hashes with any SUCCESS event (the already-ingested test)."""
-    log = read_log(spark, root, FILE_LOG)
-    return log.filter(F.col("status") == "SUCCESS").select("file_id").distinct()
-
-
 # --- T5 / T6 status roll-up -------------------------------------------------
 
 def rollup_status(failed, success):
@@ -126,17 +120,6 @@ def rollup_status(failed, success):
              .otherwise(F.lit("FAILED")))
 
 
-def run_status_from_files(file_results: DataFrame, group_cols: Sequence[str]) -> DataFrame:
-    """Per run (or per run and source): file counts by status, rows loaded, roll-up status."""
-    agg = file_results.groupBy(*group_cols).agg(
-        F.count(F.lit(1)).alias("files_total"),
-        F.count_if(F.col("status") == "SUCCESS").alias("files_success"),
-        F.count_if(F.col("status") == "SKIPPED").alias("files_skipped"),
-        F.count_if(F.col("status") == "FAILED").alias("files_failed"),
-        F.sum("row_count").cast("bigint").alias("rows_loaded"))
-    return agg.withColumn("status", rollup_status(F.col("files_failed"), F.col("files_success")))
-
-
 # --- T7 / T10 counts, T8 / T9 reports ----------------------------------------
 
 def layer_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -149,20 +132,28 @@ def layer_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     return rolled.select(F.coalesce("table_name", F.lit("total")).alias("table_name"), "row_count")
 
 
-def recent_runs(spark: SparkSession, root: str, n: int = 10) -> DataFrame:
+def latest_runs(run_states: DataFrame, n: int = 10) -> DataFrame:
     """``ORDER BY start_time DESC LIMIT n`` (a top-k report: the limit is the feature)."""
-    return (runs(spark, root).orderBy(F.col("start_time").desc_nulls_last(), F.col("batch_id").desc())
+    return (run_states.orderBy(F.col("start_time").desc_nulls_last(), F.col("batch_id").desc())
             .limit(n).select("batch_id", "layer", "start_time", "status", "total_files", "total_rows",
                              "error_message"))
 
 
-def non_success_files(spark: SparkSession, root: str) -> DataFrame:
+def recent_runs(spark: SparkSession, root: str, n: int = 10) -> DataFrame:
+    return latest_runs(runs(spark, root), n)
+
+
+def not_successful(file_states: DataFrame) -> DataFrame:
     """Files whose current status is not SUCCESS (NULL status drops out), newest first."""
-    return (files(spark, root).filter(F.col("status") != "SUCCESS")
+    return (file_states.filter(F.col("status") != "SUCCESS")
             .orderBy(F.col("processed_at").desc_nulls_last(), F.col("file_id"))
             .select("batch_id", "filename", "source_system", "status", "row_count", "error_message"))
 
 
+def non_success_files(spark: SparkSession, root: str) -> DataFrame:
+    return not_successful(files(spark, root))
+
+
 def run_totals(spark: SparkSession, root: str) -> DataFrame:
     """File counts and rows per run and source system, plus the run's total row
     (``source_system`` NULL) from a ROLLUP; status rolled up as for a run."""
