@@ -65,7 +65,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
-    if sc.master.startswith("local"):
+    # driver and executors share one machine's folders here, and only here
+    if sc.master == "local" or sc.master.startswith("local["):
         local_dir = tempfile.mkdtemp(prefix="trackyard-ckpt-")
         sc.setCheckpointDir(local_dir)
         return sc.getCheckpointDir() or local_dir
