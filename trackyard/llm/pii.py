@@ -30,6 +30,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -146,11 +147,12 @@ def entities(text: str) -> list[tuple[int, int, str, str]]:
                 if c is not None:
                     found.append((a, b, k, c))
     found.sort(key=lambda x: (x[0] - x[1], TYPES.index(x[2]), x[0]))
-    taken: list[tuple[int, int, str, str]] = []
+    taken: list[tuple[int, int, str, str]] = []  # in order, so that a find meets its neighbours alone
     for x in found:
-        if all(x[1] <= t[0] or t[1] <= x[0] for t in taken):
-            taken.append(x)
-    return sorted(taken)
+        at = bisect(taken, x)
+        if (at == 0 or taken[at - 1][1] <= x[0]) and (at == len(taken) or x[1] <= taken[at][0]):
+            taken.insert(at, x)
+    return taken
 
 
 class _Draw:

@@ -161,11 +161,13 @@ def spans_of(text: bytes, p: np.ndarray, least: float = 0.5) -> list[dict]:
     out: list[dict] = []
     if not len(p) or p.max() < least:
         return out
-    at = -2
+    at, byte, char = -2, 0, 0  # characters are counted on from the last find
     for k, m in enumerate(re.finditer(rb"\S+", text)):
         if p[k] < least:
             continue
-        a, b = (len(text[:x].decode("utf-8", "replace")) for x in m.span())
+        a = char + len(text[byte:m.start()].decode("utf-8", "replace"))
+        b = a + len(m.group().decode("utf-8", "replace"))
+        byte, char = m.end(), b
         if k == at + 1:
             out[-1] |= {"end": b, "probability": max(out[-1]["probability"], float(p[k]))}
         else:
