@@ -31,6 +31,7 @@ import re
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,15 +42,18 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from trackyard.llm.bpe import byte_letters
 from trackyard.llm.common import drop_path, map_batches, shared_path, utf8
 
 END = 1
 FILE_TOKENS = 16_000_000
-PIECES_KEPT = 500_000
+PIECES_KEPT = 800_000
 _MAGIC = b"TYTK"
 _HEAD = struct.Struct("<4sIQQQ")  # magic, version, documents, ids, control bytes of the ids
-_TAIL = re.compile(rb"(.*[0-9A-Za-z])([.,;:!?]+)", re.DOTALL)
-_LETTERS = re.compile(rb"[a-z]+")
+_CLOSING, _ALNUM = b".,;:!?", b"0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+# letters that normalisation leaves as they are but for their case
+_LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+_WRITTEN = {b: c for c, b in byte_letters().items()}
 
 
 # ---- variable-length code ---------------------------------------------------
@@ -116,49 +120,46 @@ def parse_file(raw: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
 
 # ---- encoding with the library ------------------------------------------------
 
-class PieceEncoder:
-    """white-space separated piece -> its ids' bytes, each distinct piece encoded once by the library."""
+class PieceEncoder(dict):
+    """white-space separated piece -> its ids' bytes, each distinct piece encoded once by the library.
 
-    def __init__(self, spec: str, width: int):
+    When half of ``PIECES_KEPT`` are held they become the old half; old pieces that are met again move over.
+    """
+
+    def __init__(self, spec: str, width: int, keep: int = PIECES_KEPT):
+        super().__init__()
         from tokenizers import Tokenizer
         self.library = Tokenizer.from_str(spec)
         self.library.no_truncation()
         self.library.no_padding()
-        self.kind = np.dtype(f"<u{width}")
-        self.pieces: dict[bytes, bytes] = {}
-        self.cores: dict[bytes, bytes] = {}
-
-    def _parts(self, piece: bytes) -> tuple[bytes, ...]:
-        # the pattern cuts between a letter or digit and closing punctuation; lower-casing is the tokenizer's own
-        # first step, so equal lower-cased ASCII has equal ids. Special tokens are left to the library whole.
-        if b"<|" in piece:
-            return (piece,)
-        m = _TAIL.fullmatch(piece)
-        return tuple(p.lower() if p.isascii() else p for p in (m.groups() if m else (piece,)))
-
-    def learn(self, pieces: set[bytes]) -> None:
-        if len(self.pieces) > PIECES_KEPT:
-            self.pieces.clear()
-        if len(self.cores) > PIECES_KEPT:
-            self.cores.clear()
-        fresh = {p: self._parts(p) for p in pieces if p not in self.pieces}
-        rest = []
-        for core in {c for parts in fresh.values() for c in parts if c not in self.cores}:
-            if _LETTERS.fullmatch(core):  # one word for the model as it is
-                ids = [t.id for t in self.library.model.tokenize(core.decode())]
-                self.cores[core] = np.array(ids, self.kind).tobytes()
+        self.tokenize, self.code = self.library.model.tokenize, "H" if width == 2 else "I"
+        self.keep, self.old = keep, {}
+
+    def _ids(self, core: bytes) -> bytes:
+        word = core.decode("utf-8", "replace")
+        if _LETTERS.fullmatch(word):  # one word for the model, once lower-cased and written byte by byte
+            written = word.lower().encode().decode("latin-1").translate(_WRITTEN)
+            return array(self.code, [t.id for t in self.tokenize(written)]).tobytes()
+        return array(self.code, self.library.encode(word, add_special_tokens=False).ids).tobytes()
+
+    def __missing__(self, piece: bytes) -> bytes:
+        ids = self.old.get(piece)
+        if ids is None:
+            # the pattern cuts between a letter or digit and closing punctuation; special tokens go whole
+            core = piece.rstrip(_CLOSING)
+            if len(core) < len(piece) and core and core[-1] in _ALNUM and b"<|" not in piece:
+                ids = self[core] + self[piece[len(core):]]
             else:
-                rest.append(core)
-        for core, e in zip(rest, self.library.encode_batch_fast([c.decode("utf-8", "replace") for c in rest],
-                                                                 add_special_tokens=False), strict=True):
-            self.cores[core] = np.array(e.ids, self.kind).tobytes()
-        for piece, parts in fresh.items():
-            self.pieces[piece] = b"".join([self.cores[c] for c in parts])
+                ids = self._ids(piece)
+        self[piece] = ids
+        return ids
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        cut = [t.split() for t in texts]
-        self.learn(set().union(*cut))
-        return [b"".join(map(self.pieces.__getitem__, c)) for c in cut]
+        if len(self) > self.keep // 2:
+            self.old = dict(self)
+            self.clear()
+        # A-Z lower-cased at once, as the tokenizer does first; its special tokens are told apart by case
+        return [b"".join(map(self.__getitem__, (t if b"<|" in t else t.lower()).split())) for t in texts]
 
 
 _ENCODERS: dict[str, PieceEncoder] = {}
@@ -214,8 +215,9 @@ def _ranks(staged: DataFrame, width: int, size: int) -> np.ndarray:
     def count(batches):
         total, open_ = np.zeros(size, np.int64), zstandard.ZstdDecompressor().decompress
         for batch in batches:
-            for ids in batch.column(0):
-                total += np.bincount(np.frombuffer(open_(ids.as_py()), f"<u{width}"), minlength=size)
+            for at in range(0, batch.num_rows, 1024):
+                ids = b"".join([open_(x.as_py()) for x in batch.column(0).slice(at, 1024)])
+                total += np.bincount(np.frombuffer(ids, f"<u{width}"), minlength=size)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int64)), pa.array(total[at])], names=["id", "n"])
 
@@ -261,7 +263,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, path: str, end: int = END
         def flush():
             name = f"tokens-{part:06d}-{block:06d}-{attempt}.bin"
             with fs.open_output_stream(f"{folder}/files/{name}") as out:
-                out.write(file_bytes(doc_ids, np.array(counts), np.concatenate(coded)))
+                out.write(file_bytes(doc_ids, np.array(counts), ranks[np.frombuffer(b"".join(coded), f"<u{width}")]))
             return pa.RecordBatch.from_arrays(
                 [pa.array([part], pa.int32()), pa.array([block], pa.int32()), pa.array([name], pa.string()),
                  pa.array([doc_ids[0]], pa.int64()), pa.array([len(doc_ids)], pa.int64()),
@@ -275,7 +277,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, path: str, end: int = END
                     doc_ids, counts, coded, held, block = [], [], [], 0, block + 1
                 doc_ids.append(doc_id.as_py())
                 counts.append(n)
-                coded.append(ranks[np.frombuffer(open_(ids.as_py()), f"<u{width}")].astype(f"<u{width}"))
+                coded.append(open_(ids.as_py()))
                 held += n
         if doc_ids:
             yield flush()
