@@ -51,7 +51,10 @@ def domain_check(df: DataFrame, column: str, allowed: Sequence[str]) -> DataFram
 DOMAINS = [
     ("fact_etcs_call", "root_failure", ["Success", "Dropped", "Rejected"]),
     ("fact_transaction", "direction", ["Mobile Originated", "Mobile Terminated"]),
+    ("fact_transaction", "transaction_type", ["Call"]),
+    ("fact_transaction", "application_type", ["ETCS", "LDA"]),
     ("fact_transaction", "root_failure", ["Success", "Dropped", "Rejected"]),
+    ("fact_group_call", "transaction_type", ["Call"]),
     ("fact_handover", "handover_end_event", ["HO Complete", "HO Performed", "HO Failure", "RLC HO Failure"]),
     ("fact_frame_error", "direction", ["Uplink", "Downlink"]),
 ]
