@@ -211,17 +211,16 @@ def _search_unit(similarity: int, least: int):
             rest = rest[(sigs[rest] == sigs[a]).sum(axis=1) >= least]
             same = bands[rest] == bands[a]
             rest = rest[bands[a][same.argmax(axis=1)] == h] if len(rest) else rest
-            mine = top(comps[a])
-            rest = [b for b in rest.tolist() if top(comps[b]) != mine]
-            if not rest:
+            if not len(rest):
                 continue
-            mark[ids[starts[a]:starts[a] + sizes[a]]] = True
-            for b in rest:
-                both = int(mark[ids[starts[b]:starts[b] + sizes[b]]].sum())
-                if 100 * both >= similarity * (sizes[a] + sizes[b] - both) and top(comps[b]) != top(comps[a]):
+            own = ids[starts[a]:starts[a] + sizes[a]]
+            mark[own] = True
+            both = np.add.reduceat(mark[ids], starts, dtype=np.int64)[rest]
+            mark[own] = False
+            for b in rest[100 * both >= similarity * (sizes[a] + sizes[rest] - both)].tolist():
+                if top(comps[b]) != top(comps[a]):
                     root[top(comps[b])] = top(comps[a])
                     found.append((keys[a], keys[b]))
-            mark[ids[starts[a]:starts[a] + sizes[a]]] = False
         return pd.DataFrame(found, columns=["u", "v"])
     return run
 
