@@ -11,8 +11,8 @@ why the lexicon may be broadcast.
 ``SUBSETS`` randomised subsets of the lexicon are drawn by a hash of the term,
 at sampling rates of 1, 1/2, 1/4, ...: a text uses the rate that leaves it one
 or two terms a subset, in the lexicon or not, and the next. For each subset the text's terms in it
-are sorted and hashed. The fingerprint lists these hashes, ``---`` where a text
-has no term in a subset. A text with fewer than ``FEW`` lexicon terms takes all
+are sorted and hashed. The fingerprint lists these hashes with their subsets, those
+without a term left out. A text with fewer than ``FEW`` lexicon terms takes all
 its terms instead, so short texts have fingerprints as well.
 
 Two fingerprints are compared at a rate both have: of the subsets where at
@@ -45,7 +45,7 @@ _LONG_MIN = -(1 << 63)
 
 def terms_of(text: Column) -> Column:
     """64-bit hashes of the distinct terms."""
-    words = F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+", -1), lambda w: w != "")
+    words = F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+", -1), "")
     return F.array_distinct(F.transform(words, lambda w: F.xxhash64(w)))
 
 
@@ -64,55 +64,87 @@ def _rate(terms: Column) -> Column:
     return F.floor(F.log2(F.greatest(F.size(terms) / F.lit(float(SUBSETS)), F.lit(1.0)))).cast("int")
 
 
-def _at_rate(term: Column, rate: Column) -> Column:
-    mask = F.pow(F.lit(2.0), rate).cast("bigint") - 1
-    return F.shiftrightunsigned(term, 6).bitwiseAND(mask) == 0
+def _mask(rate: Column) -> Column:
+    return F.pow(F.lit(2.0), rate).cast("bigint") - 1
 
 
-def sampled(terms: Column, rate: Column) -> Column:
-    return F.filter(terms, lambda t: _at_rate(t, rate))
+def sampled(terms: Column, mask: Column) -> Column:
+    """The terms drawn at a rate, given by its mask."""
+    return F.filter(terms, lambda t: F.shiftrightunsigned(t, 6).bitwiseAND(mask) == 0)
 
 
-def _subset_hashes(terms: Column) -> Column:
+def _entries(terms: Column, subsets: Column, reverse: Column) -> Column:
+    """subset * 4096 + 12 bits of the hash of the sorted terms in it, for each subset that has any.
+
+    ``terms`` are sorted by subset, then by value; ``subsets`` are theirs, in the same order and in ``reverse``.
+    """
     def one(k: Column) -> Column:
-        mine = F.filter(terms, lambda t: t.bitwiseAND(F.lit(SUBSETS - 1)) == k)
-        return F.when(F.size(mine) == 0, F.lit("---")).otherwise(
-            F.lower(F.lpad(F.hex(F.xxhash64(mine).bitwiseAND(F.lit(0xFFF))), 3, "0")))
-    return F.transform(F.sequence(F.lit(0), F.lit(SUBSETS - 1)), one)
+        begin = F.array_position(subsets, k).cast("int")
+        end = F.size(subsets) + 1 - F.array_position(reverse, k).cast("int")
+        return (k * 4096 + F.xxhash64(F.slice(terms, begin, end - begin + 1)).bitwiseAND(F.lit(0xFFF))).cast("int")
+    return F.transform(F.array_distinct(subsets), one)
+
 
+def _by_subset(terms: Column) -> Column:
+    """Terms sorted by subset, then by value."""
+    # the subset's six bits are put before the others, so that one native sort does both
+    turned = F.transform(terms, lambda t: F.shiftleft(t, 58).bitwiseOR(F.shiftrightunsigned(t, 6)))
+    return F.transform(F.sort_array(turned),
+                       lambda t: F.shiftleft(t, 6).bitwiseOR(F.shiftrightunsigned(t, 58)))
 
-def fingerprint(terms: Column, rate: Column) -> Column:
-    """``rate:hashes:hashes of the next rate`` from the sorted terms that were sampled at ``rate``."""
-    return F.concat_ws(":", rate.cast("string"), F.array_join(_subset_hashes(terms), ""),
-                       F.array_join(_subset_hashes(sampled(terms, rate + 1)), ""))
+
+def _subset(t: Column) -> Column:
+    return t.bitwiseAND(F.lit(SUBSETS - 1))
+
+
+def prints(df: DataFrame, lists: dict[str, tuple[str, str]]) -> DataFrame:
+    """For each (column name: term list column, rate column) a struct (rate, at, next) of entry lists.
+
+    Every step is a column of its own, so that nothing is worked out twice.
+    """
+    for name, (terms, rate) in lists.items():
+        df = df.withColumn(f"__t0_{name}", _by_subset(F.col(terms))).withColumn(f"__m_{name}", _mask(F.col(rate) + 1))
+    for name in lists:
+        df = df.withColumn(f"__t1_{name}", sampled(F.col(f"__t0_{name}"), F.col(f"__m_{name}")))
+    for name in lists:
+        for k in (0, 1):
+            df = df.withColumn(f"__s{k}_{name}", F.transform(F.col(f"__t{k}_{name}"), _subset))
+    for name in lists:
+        for k in (0, 1):
+            df = df.withColumn(f"__r{k}_{name}", F.reverse(f"__s{k}_{name}"))
+    for name, (_, rate) in lists.items():
+        df = df.withColumn(name, F.struct(
+            F.col(rate).alias("rate"),
+            *(_entries(F.col(f"__t{k}_{name}"), F.col(f"__s{k}_{name}"), F.col(f"__r{k}_{name}")).alias(part)
+              for k, part in ((0, "at"), (1, "next")))))
+    return df
+
+
+def written(p: Column) -> Column:
+    """The fingerprint as text: ``rate:entries:entries of the next rate``, five hex digits an entry."""
+    digits = lambda e: F.array_join(F.transform(e, lambda x: F.lower(F.lpad(F.hex(x), 5, "0"))), "")
+    return F.concat_ws(":", p["rate"].cast("string"), digits(p["at"]), digits(p["next"]))
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Of two fingerprints: 1 for equal ones, about the share of common terms otherwise."""
-    ra, rb = (F.split(x, ":")[0].cast("int") for x in (a, b))
-    rate = F.greatest(ra, rb)
-
-    def hashes(x: Column, r: Column) -> Column:
-        at = rate - r
-        return F.when(at <= 1, F.split(x, ":")[at + 1])
-
-    ha, hb = hashes(a, ra), hashes(b, rb)
-    places = F.sequence(F.lit(0), F.lit(SUBSETS - 1))
-    piece = lambda h, k: F.substring(h, k * 3 + 1, F.lit(3))
-    either = F.size(F.filter(places, lambda k: (piece(ha, k) != "---") | (piece(hb, k) != "---")))
-    agree = F.size(F.filter(places, lambda k: (piece(ha, k) != "---") & (piece(ha, k) == piece(hb, k))))
-    f = agree / either
-    return F.when(a == b, F.lit(1.0)).when(ha.isNull() | hb.isNull() | (either == 0), F.lit(0.0)) \
+    """Of two structs of ``prints``: 1 for equal ones, about the share of common terms otherwise."""
+    rate = F.greatest(a["rate"], b["rate"])
+    at = lambda p: F.when(p["rate"] == rate, p["at"]).when(p["rate"] == rate - 1, p["next"])
+    ea, eb = at(a), at(b)
+    subset_ids = lambda e: F.transform(e, lambda x: F.shiftright(x, 12))
+    either = F.size(F.array_union(subset_ids(ea), subset_ids(eb)))
+    f = F.size(F.array_intersect(ea, eb)) / either
+    return F.when(a == b, F.lit(1.0)).when(ea.isNull() | eb.isNull() | (either == 0), F.lit(0.0)) \
             .otherwise(2 * f / (1 + f)).cast("double")
 
 
 def _chosen(within: Column, every: Column) -> Column:
-    return F.array_sort(F.when(F.size(within) >= FEW, within).otherwise(every))
+    return F.when(F.size(within) >= FEW, within).otherwise(every)
 
 
 def _with_fingerprints(rows: DataFrame, keys: list[str], texts: dict[str, str], words: DataFrame,
                        carried: list[str]) -> DataFrame:
-    """rows' keys and carried columns with a fingerprint (column name) for each text column.
+    """rows' keys and carried columns with a struct of ``prints`` (by column name) for each text column.
 
     ``keys`` name a row; where rows are already dealt by one of them, nothing moves again.
     """
@@ -121,25 +153,32 @@ def _with_fingerprints(rows: DataFrame, keys: list[str], texts: dict[str, str],
         listed = listed.withColumn(f"__all_{text}", terms_of(F.col(text)))
     for text in texts.values():
         listed = listed.withColumn(f"__rate_{text}", _rate(F.col(f"__all_{text}")))
+    for text in texts.values():
+        listed = listed.withColumn(f"__mask_{text}", _mask(F.col(f"__rate_{text}")))
     rates = [f"__rate_{t}" for t in texts.values()]
 
+    # what a row carries along stands in one element of its list, the terms' rows stay narrow
+    rest = F.struct(*carried, *rates)
+    kind = listed.select(rest.alias("rest")).schema["rest"].dataType
+
     def owned(i: int, t: str) -> Column:
-        return F.transform(sampled(F.col(f"__all_{t}"), F.col(f"__rate_{t}")),
-                           lambda x: F.struct(F.lit(i).alias("of"), x.alias("term")))
+        return F.transform(sampled(F.col(f"__all_{t}"), F.col(f"__mask_{t}")),
+                           lambda x: F.struct(F.lit(i).alias("of"), x.alias("term"), F.lit(None).cast(kind).alias("rest")))
 
-    both = F.concat(*(owned(i, t) for i, t in enumerate(texts.values())))
-    spread = listed.select(*keys, *carried, *rates, F.explode_outer(both).alias("x")).select(
-        *keys, *carried, *rates, F.col("x.of").alias("of"), F.col("x.term").alias("term"))
+    head = F.array(F.struct(F.lit(-1).alias("of"), F.lit(None).cast("bigint").alias("term"), rest.alias("rest")))
+    spread = listed.select(*keys, F.explode(F.concat(head, *(owned(i, t) for i, t in enumerate(texts.values())))).alias("x")) \
+                   .select(*keys, "x.of", "x.term", "x.rest")
     known = spread.join(F.broadcast(words.withColumn("known", F.lit(True))), "term", "left")
     lists = []
     for i, _ in enumerate(texts):
         own = F.when(F.col("of") == i, F.col("term"))
         lists += [F.collect_list(F.when(F.col("known"), own)).alias(f"__in_{i}"), F.collect_list(own).alias(f"__of_{i}")]
-    packed = known.groupBy(*keys).agg(*(F.first(c).alias(c) for c in [*carried, *rates]), *lists)
-    for i, name in enumerate(texts):
+    packed = known.groupBy(*keys).agg(F.first("rest", ignorenulls=True).alias("rest"), *lists).select(
+        *keys, "rest.*", *(f"__{k}_{i}" for i, _ in enumerate(texts) for k in ("in", "of")))
+    for i, _ in enumerate(texts):
         packed = packed.withColumn(f"__terms_{i}", _chosen(F.col(f"__in_{i}"), F.col(f"__of_{i}")))
-    return packed.select(*keys, *carried, *(fingerprint(F.col(f"__terms_{i}"), F.col(f"__rate_{t}")).alias(name)
-                                            for i, (name, t) in enumerate(texts.items())))
+    made = prints(packed, {name: (f"__terms_{i}", f"__rate_{t}") for i, (name, t) in enumerate(texts.items())})
+    return made.select(*keys, *carried, *texts)
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
@@ -147,7 +186,8 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     words = lexicon(docs, text_col, **options)
     rows = docs.select(F.monotonically_increasing_id().alias("__row"), F.col(id_col).cast("bigint").alias("doc_id"),
                        F.coalesce(F.col(text_col), F.lit("")).alias("__text"))
-    return _with_fingerprints(rows, ["__row"], {"fingerprint": "__text"}, words, ["doc_id"]).drop("__row")
+    made = _with_fingerprints(rows, ["__row"], {"fingerprint": "__text"}, words, ["doc_id"])
+    return made.select("doc_id", written(F.col("fingerprint")).alias("fingerprint"))
 
 
 def _ranges(ids: DataFrame, n: int) -> tuple[list[int], dict[int, int], dict[int, int]]:
@@ -203,6 +243,8 @@ def edited_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     following = Window.partitionBy("part").orderBy("row")
     compared = marked.withColumn("next", F.lead("fingerprint").over(following)).filter(~F.col("ghost"))
     return compared.select(
-        F.when(F.col("id") != _LONG_MIN, F.col("id")).alias("doc_id"), "n_chars", "edited_sha256", "fingerprint",
-        "edited_fingerprint", likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
+        F.when(F.col("id") != _LONG_MIN, F.col("id")).alias("doc_id"), "n_chars", "edited_sha256",
+        written(F.col("fingerprint")).alias("fingerprint"),
+        written(F.col("edited_fingerprint")).alias("edited_fingerprint"),
+        likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
         likeness(F.col("fingerprint"), F.col("next")).alias("near_next"))
