@@ -31,7 +31,6 @@ import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -180,51 +179,78 @@ def _confirm(similarity: int):
     return run
 
 
-def _search_unit(similarity: int, least: int):
-    """Links between components among the members of one block or between two blocks of a bucket."""
-    def run(unit: pd.DataFrame) -> pd.DataFrame:
-        h, lo, hi = (int(unit[c].iloc[0]) for c in ("h", "i", "j"))
-        unit = unit.drop_duplicates("key").reset_index(drop=True)
-        keys = unit["key"].tolist()
-        root = {c: c for c in unit["comp"]}
-
-        def top(c):
-            while root[c] != c:
-                root[c] = root[root[c]]
-                c = root[c]
-            return c
-
-        block = unit["block"].to_numpy()
-        bands, sigs = np.stack(unit["bands"].to_list()), np.stack(unit["sig"].to_list())
-        sets = [np.frombuffer(s, np.uint64) for s in unit["set"]]
-        sizes = np.array([len(s) for s in sets])
-        vocabulary, ids = np.unique(np.concatenate(sets), return_inverse=True)
-        starts = np.concatenate(([0], np.cumsum(sizes)))[:-1]
-        comps = unit["comp"].tolist()
-        found = []
-        mark = np.zeros(len(vocabulary), bool)
-        for a in range(len(keys) - 1):
-            rest = np.arange(a + 1, len(keys))
-            if lo != hi:
-                rest = rest[block[rest] != block[a]]
-            rest = rest[100 * np.minimum(sizes[rest], sizes[a]) >= similarity * np.maximum(sizes[rest], sizes[a])]
-            rest = rest[(sigs[rest] == sigs[a]).sum(axis=1) >= least]
-            same = bands[rest] == bands[a]
-            rest = rest[bands[a][same.argmax(axis=1)] == h] if len(rest) else rest
-            if not len(rest):
-                continue
-            own = ids[starts[a]:starts[a] + sizes[a]]
-            mark[own] = True
-            both = np.add.reduceat(mark[ids], starts, dtype=np.int64)[rest]
-            mark[own] = False
-            for b in rest[100 * both >= similarity * (sizes[a] + sizes[rest] - both)].tolist():
-                if top(comps[b]) != top(comps[a]):
-                    root[top(comps[b])] = top(comps[a])
-                    found.append((keys[a], keys[b]))
-        return pd.DataFrame(found, columns=["u", "v"])
+def _search(unit: list[tuple], similarity: int, least: int) -> list[tuple[bytes, bytes]]:
+    """Links between components among the members of one block, or between two blocks, of a bucket.
+
+    ``unit`` holds (h, i, j, block, key, comp, set, bands, sig) of each member.
+    """
+    h, lo, hi = unit[0][:3]
+    members = list({row[4]: row for row in unit}.values())
+    keys, comps = [r[4] for r in members], [r[5] for r in members]
+    root = {c: c for c in comps}
+
+    def top(c):
+        while root[c] != c:
+            root[c] = root[root[c]]
+            c = root[c]
+        return c
+
+    block = np.array([r[3] for r in members])
+    bands, sigs = np.array([r[7] for r in members], np.int64), np.array([r[8] for r in members], np.int16)
+    sets = [np.frombuffer(r[6], np.uint64) for r in members]
+    sizes = np.array([len(s) for s in sets])
+    vocabulary, ids = np.unique(np.concatenate(sets), return_inverse=True)
+    starts = np.concatenate(([0], np.cumsum(sizes)))[:-1]
+    found = []
+    mark = np.zeros(len(vocabulary), bool)
+    for a in range(len(keys) - 1):
+        rest = np.arange(a + 1, len(keys))
+        fit = 100 * np.minimum(sizes[rest], sizes[a]) >= similarity * np.maximum(sizes[rest], sizes[a])
+        if lo != hi:
+            fit &= block[rest] != block[a]
+        rest = rest[fit]
+        rest = rest[(sigs[rest] == sigs[a]).sum(axis=1) >= least]
+        if len(rest):  # the pair's first common bucket is the one to compare it
+            rest = rest[bands[a][(bands[rest] == bands[a]).argmax(axis=1)] == h]
+        if not len(rest):
+            continue
+        own = ids[starts[a]:starts[a] + sizes[a]]
+        mark[own] = True
+        both = np.add.reduceat(mark[ids], starts, dtype=np.int64)[rest]
+        mark[own] = False
+        for b in rest[100 * both >= similarity * (sizes[a] + sizes[rest] - both)].tolist():
+            if top(comps[b]) != top(comps[a]):
+                root[top(comps[b])] = top(comps[a])
+                found.append((keys[a], keys[b]))
+    return found
+
+
+def _search_units(similarity: int, least: int):
+    """Rows come sorted by unit (h, i, j); one unit at a time is held."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unit: list[tuple] = []
+        found: list[tuple[bytes, bytes]] = []
+        for batch in batches:
+            for at in range(0, batch.num_rows, 512):
+                for row in zip(*(c.to_pylist() for c in batch.slice(at, 512).columns), strict=True):
+                    if unit and unit[0][:3] != row[:3]:
+                        found += _search(unit, similarity, least)
+                        unit = []
+                    unit.append(row)
+            if found:
+                yield _links(found)
+                found = []
+        if unit:
+            found = _search(unit, similarity, least)
+        yield _links(found)
     return run
 
 
+def _links(found: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([u for u, _ in found], pa.binary()),
+                                       pa.array([v for _, v in found], pa.binary())], names=["u", "v"])
+
+
 def class_components(classes: DataFrame, load_sets: Callable[[DataFrame], DataFrame], similarity: int = SIMILARITY,
                      least: int = 0, block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
     """(u, v) of ``connected_components`` over all links between classes.
@@ -267,8 +293,10 @@ def class_components(classes: DataFrame, load_sets: Callable[[DataFrame], DataFr
                  .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
                  .select("h", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
                          "block", "key", "comp"))
-    loaded = units.join(sets, "key").join(classes.select("key", "bands", "sig"), "key")
-    more = loaded.groupBy("h", "i", "j").applyInPandas(_search_unit(similarity, least), "u binary, v binary")
+    loaded = units.join(sets, "key").join(classes.select("key", "bands", "sig"), "key").select(
+        "h", "i", "j", "block", "key", "comp", "set", "bands", "sig")
+    ordered = loaded.repartition("h", "i", "j").sortWithinPartitions("h", "i", "j")
+    more = map_batches(ordered, _search_units(similarity, least), "u binary, v binary")
     return connected_components(first.unionAll(more))
 
 
