@@ -69,6 +69,17 @@ def test_spans_cut(spark):
     assert got == {1: ("Before, ; after.", 16), 3: ("clean text", 10), 4: (None, None)}
 
 
+def test_spans_cut_alike_with_and_without_broadcast(spark, awkward):
+    docs = docs_frame(spark, ROWS + awkward + [(200, f"Before, {LONG}; after."), (201, LONG)])
+    bench = spark.createDataFrame(ITEMS, "item_id bigint, text string")
+    small, large = (D.decontaminate(docs, bench, remove="spans", max_broadcast_words=limit)
+                    for limit in (D.MAX_BROADCAST_WORDS, 0))
+    assert large.columns == docs.columns
+    got = srt(map(tuple, large.collect()))
+    assert got == srt(map(tuple, small.collect()))
+    assert (200, "Before, ; after.", 16) in {(r[0], r[1], r[4]) for r in got} and 201 not in {r[0] for r in got}
+
+
 def test_empty_tables(spark):
     bench = spark.createDataFrame([], "item_id bigint, text string")
     assert D.contamination_report(docs_frame(spark, []), bench).collect() == []

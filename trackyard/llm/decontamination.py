@@ -185,30 +185,38 @@ def _window_digests(df: DataFrame, sizes: list[int]) -> DataFrame:
     return map_batches(df, emit, "key string, pos int, size int, digest binary")
 
 
-def _report_by_join(docs: DataFrame, benchmark: DataFrame, n: int, id_col: str, text_col: str) -> DataFrame:
-    """The same report where the benchmark is too large to broadcast: a join on 128-bit window digests."""
+def _hits_by_join(texts: DataFrame, benchmark: DataFrame, n: int) -> DataFrame:
+    """(key, spans, items) of each text (key, text) with a hit: (pos, size) of its windows that items hold."""
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("\0")).alias("key"),
                              utf8("text").alias("text"), F.lit(n).alias("of"))
     grams = _window_digests(items, []).select("size", "digest", F.col("key").alias("item")).distinct()
-    # repeated rows have equal digests of the text, hence equal verdicts
     # one scan of at most n sizes; sizes that no item has match nothing
-    tagged = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), utf8(text_col).alias("text")) \
-                 .withColumn("key", F.sha2("text", 256))
-    texts = tagged.groupBy("key").agg(F.first("text").alias("text"))
     windows = _window_digests(texts.select("key", "text", F.lit(None).cast("int").alias("of")), list(range(1, n + 1)))
     hits = windows.join(grams, ["size", "digest"])
-    spans = hits.groupBy("key").agg(F.collect_set(F.struct("pos", "size")).alias("spans"),
-                                    F.collect_set(F.when(F.col("item") != "\0", F.col("item"))).alias("items"))
+    return hits.groupBy("key").agg(F.collect_set(F.struct("pos", "size")).alias("spans"),
+                                   F.collect_set(F.when(F.col("item") != "\0", F.col("item"))).alias("items"))
+
+
+def _hit_words(n_words: int, spans: list[dict] | None) -> np.ndarray:
+    hit = np.zeros(n_words, bool)
+    for s in spans or []:
+        hit[s["pos"]:s["pos"] + s["size"]] = True
+    return hit
+
+
+def _report_by_join(docs: DataFrame, benchmark: DataFrame, n: int, id_col: str, text_col: str) -> DataFrame:
+    """The same report where the benchmark is too large to broadcast: a join on 128-bit window digests."""
+    # repeated rows have equal digests of the text, hence equal verdicts
+    tagged = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), utf8(text_col).alias("text")) \
+                 .withColumn("key", F.sha2("text", 256))
+    spans = _hits_by_join(tagged.groupBy("key").agg(F.first("text").alias("text")), benchmark, n)
 
     def count(batches):
         for batch in batches:
             rows = []
             for text, spans in zip(batch.column(1), batch.column(2), strict=True):
                 total = len(words_of(text.as_py()))
-                hit = np.zeros(total, bool)
-                for s in spans.as_py() or []:
-                    hit[s["pos"]:s["pos"] + s["size"]] = True
-                rows.append((total, int(hit.sum())))
+                rows.append((total, int(_hit_words(total, spans.as_py()).sum())))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([r[0] for r in rows], pa.int64()),
                  pa.array([r[1] for r in rows], pa.int64()), batch.column(3)],
@@ -228,28 +236,38 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, remove
     spans (``remove="spans"``; ``n_chars`` follows the text if there, a text of hit words alone goes)."""
     if remove not in ("documents", "spans"):
         raise ValueError(f"remove: {remove!r}")
+    at, names = docs.columns.index(text_col), docs.columns
     items = benchmark_items(benchmark, max_words=max_broadcast_words)
-    if items is None:
+    if items is None and remove == "documents":
         report = contamination_report(docs.select(F.xxhash64(text_col).alias("doc_id"), text_col), benchmark, n,
                                       max_broadcast_words=max_broadcast_words)
-        if remove == "spans":
-            raise ValueError("spans can be cut only with a benchmark within max_broadcast_words")
         bad = report.filter("contaminated").select(F.col("doc_id").alias("__bad")).distinct()
         return docs.join(bad, F.xxhash64(text_col) == F.col("__bad"), "left_anti")
-    shared = docs.sparkSession.sparkContext.broadcast(NgramSet(items, n))
-    at, names = docs.columns.index(text_col), docs.columns
+    if items is None:
+        tagged = docs.withColumn("__key", F.sha2(utf8(text_col), 256))
+        spans = _hits_by_join(tagged.groupBy(F.col("__key").alias("key")).agg(utf8(F.first(text_col)).alias("text")),
+                              benchmark, n).select(F.col("key").alias("__key"), F.col("spans").alias("__spans"))
+        rows = tagged.join(spans, "__key", "left").select(*names, "__spans")
+
+        def hits_of(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+            for text, found in zip(batch.column(at), batch.column(len(names)), strict=True):
+                yield _hit_words(len(words_of((text.as_py() or "").encode())), found.as_py())
+    else:
+        rows, shared = docs, docs.sparkSession.sparkContext.broadcast(NgramSet(items, n))
+
+        def hits_of(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+            for text in batch.column(at):
+                yield shared.value.scan(words_of((text.as_py() or "").encode()))[0]
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ngrams = shared.value
         for batch in batches:
             keep, texts = [], []
-            for text in batch.column(at):
+            for text, hit in zip(batch.column(at), hits_of(batch), strict=True):
                 t = text.as_py()
-                hit, _ = ngrams.scan(words_of((t or "").encode()))
                 dirty = bool(hit.any())
                 keep.append(not dirty or remove == "spans" and not hit.all())
                 texts.append(cut_spans(t, hit) if dirty and remove == "spans" else t)
-            arrays = list(batch.columns)
+            arrays = list(batch.columns[:len(names)])
             if remove == "spans":
                 old = arrays[at].to_pylist()
                 arrays[at] = pa.array(texts, arrays[at].type)
@@ -257,6 +275,6 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, remove
                     k = names.index("n_chars")
                     arrays[k] = pa.array([len(t) if t != o else c for t, o, c in
                                           zip(texts, old, arrays[k].to_pylist(), strict=True)], arrays[k].type)
-            yield pa.RecordBatch.from_arrays(arrays, schema=batch.schema).filter(pa.array(keep, pa.bool_()))
+            yield pa.RecordBatch.from_arrays(arrays, names=names).filter(pa.array(keep, pa.bool_()))
 
-    return map_batches(docs, clean, docs.schema)
+    return map_batches(rows, clean, docs.schema)
