@@ -1,4 +1,4 @@
-from tests.llm.conftest import docs_frame, prose
+from tests.llm.conftest import docs_frame, prose, words
 from trackyard.llm import paragraph_dedup as P
 
 PASSAGE = prose(77, 60)
@@ -39,5 +39,19 @@ def test_near_equal_paragraphs_link(spark):
     assert {r.doc_id for r in got} == {1, 2}
 
 
+def test_exact_passages_to_their_true_ends(spark):
+    rows, passages = [], {}
+    for k in range(40):
+        passages[k] = words(500 + k, 51, 3000)
+        for side in (0, 1):
+            text = words(700 + 2 * k + side, 40, 3000) + passages[k] + words(900 + 2 * k + side, 30, 3000)
+            rows.append((2 * k + side, " ".join(text)))
+    got = P.repeat_report(docs_frame(spark, rows)).collect()
+    spans = {r.doc_id: dict(rows)[r.doc_id].encode()[r.begin:r.end].decode().split() for r in got}
+    assert len(got) == len(spans) == 80 and all(spans[2 * k + side] == p for k, p in passages.items() for side in (0, 1))
+    left = {r.doc_id: r.text for r in P.remove_repeats(docs_frame(spark, rows)).collect()}
+    assert all(len(left[2 * k].split()) == 121 and len(left[2 * k + 1].split()) == 70 for k in passages)
+
+
 def test_empty_table(spark):
     assert P.repeat_report(docs_frame(spark, [])).collect() == []

@@ -16,9 +16,14 @@ paragraphs (``2 * REACH + 1`` words on average, ``REACH + 1`` at least).
    equal word sequences, and near-equal classes are linked by exact Jaccard
    similarity and put together by components (``near_dedup.class_components``:
    stars, then whole buckets in blocks; no centre or cap costs a link).
-4. In a component that spans documents, the smallest document keeps its
-   paragraphs; elsewhere they are removed, if the run of neighbouring
-   repeated paragraphs they belong to has ``MIN_WORDS`` words or more.
+4. Exact passages: each window of ``EXACT`` words names its least ``GRAM`` words
+   by hash (winnowing), so equal windows name equal seeds. Seeds are counted
+   along with the bands; all windows around a seed that some other document has
+   are compared by 64-bit hashes. So each word of a passage of ``EXACT`` words or
+   more that another document holds is found, up to the passage's true ends.
+5. Of the documents that hold a window, and in a component that spans documents,
+   the smallest keeps its words; elsewhere they are removed, if the run of
+   neighbouring repeated words they belong to has ``MIN_WORDS`` words or more.
 
 Paragraphs of fewer than ``SHINGLE`` words, at the ends of texts, are not
 compared. Repeats within one document are left alone.
@@ -36,7 +41,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trackyard.llm.common import map_batches, stored, utf8
@@ -46,6 +51,8 @@ from trackyard.llm.near_dedup import SHINGLE, SIMILARITY, _A, _B, _LONG_MIN, _P,
 REACH = 6
 BANDS = 3
 MIN_WORDS = 20
+EXACT = 18  # words of a window that is compared as it stands
+GRAM = 9    # words of a seed
 _TOP = np.iinfo(np.uint64).max
 
 
@@ -65,6 +72,37 @@ def paragraph_starts(w: np.ndarray, reach: int = REACH) -> np.ndarray:
     return np.flatnonzero(least)
 
 
+_BASE = 0xC2B2AE3D27D4EB4F
+_POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]  # of the base and of its inverse
+
+
+def _powers(n: int) -> list[np.ndarray]:
+    if len(_POWERS[0]) < n:
+        for k, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
+            _POWERS[k] = np.concatenate(([np.uint64(1)], np.cumprod(np.full(2 * n, base, np.uint64))))
+    return _POWERS
+
+
+def window_hashes(w: np.ndarray, size: int) -> np.ndarray:
+    """A hash of each window of ``size`` words."""
+    n = len(w)
+    if n < size:
+        return np.zeros(0, np.uint64)
+    up, down = _powers(n)
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_mixed(w) * up[:n], dtype=np.uint64)))
+    return _mixed((sums[size:] - sums[:-size]) * down[:n - size + 1] + np.uint64(size))
+
+
+def seeds(w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places and hashes of the least ``GRAM`` words in each window of ``EXACT``: equal windows have equal ones."""
+    grams = window_hashes(w, GRAM)
+    if len(w) < EXACT:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    view = np.lib.stride_tricks.sliding_window_view(grams, EXACT - GRAM + 1)
+    at = np.unique(view.argmin(axis=1) + np.arange(len(view)))
+    return at, grams[at].view(np.int64)
+
+
 class Paragraphs:
     """The paragraphs of one text: places, sizes, shingle hashes."""
 
@@ -111,7 +149,7 @@ def _band_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             own = []
             for text in whole.column(1).slice(at, 2048):
                 p = Paragraphs(normalised_words(text.as_py()), hashes)
-                own.append(np.unique(p.minima()[p.whole]))
+                own.append(np.unique(np.append(p.minima()[p.whole].ravel(), seeds(p.words)[1])))
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(own) if own else np.zeros(0, np.int64))],
                                              names=["h"])
 
@@ -125,9 +163,10 @@ def _band_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for doc, text in zip(batch.column(0), batch.column(1), strict=True):
                 p = Paragraphs(normalised_words(text.as_py()), hashes)
                 which = np.flatnonzero(p.whole)
-                docs.append(np.full(BANDS * len(which), doc.as_py(), np.int64))
-                paras.append(np.repeat(which, BANDS).astype(np.int32))
-                bands.append(p.minima()[which].reshape(-1))
+                own = np.unique(seeds(p.words)[1])
+                docs.append(np.full(BANDS * len(which) + len(own), doc.as_py(), np.int64))
+                paras.append(np.append(np.repeat(which, BANDS), np.full(len(own), -1)).astype(np.int32))
+                bands.append(np.append(p.minima()[which].reshape(-1), own))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate(x)) for x in (docs, paras, bands)], names=["doc", "para", "h"])
 
@@ -143,18 +182,44 @@ def _reread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 raw = text.as_py()
                 words = normalised_words(raw)
                 p = Paragraphs(words, hashes)
-                places = _word_places(raw, words)
                 m, tag = p.minima(), xxhash.xxh3_64_intdigest(raw) >> 1
                 for k in sorted(which.as_py()):
                     if k < len(p.starts) and p.whole[k]:
                         a, b = int(p.starts[k]), int(p.starts[k] + p.sizes[k])
-                        rows.append((doc.as_py(), tag, k, places[a][0], places[b - 1][1], b - a, p.key(k),
-                                     p.set(k).tobytes(), m[k]))
-            cols = list(zip(*rows, strict=True)) or [()] * 9
-            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
+                        rows.append((doc.as_py(), tag, a, b, p.key(k), p.set(k).tobytes(), m[k]))
+            cols = list(zip(*rows, strict=True)) or [()] * 7
+            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
             yield pa.RecordBatch.from_arrays(
-                [*(pa.array(c, t) for c, t in zip(cols[:8], kinds, strict=True)), _lists(list(cols[8]), np.int64)],
-                names=["doc", "tag", "para", "begin", "end", "n_words", "key", "set", "bands"])
+                [*(pa.array(c, t) for c, t in zip(cols[:6], kinds, strict=True)), _lists(list(cols[6]), np.int64)],
+                names=["doc", "tag", "first", "last", "key", "set", "bands"])
+
+
+def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Hashes of all windows of ``EXACT`` words that hold one of the given seeds."""
+    hashes = _WordHashes()
+    for whole in batches:
+        for at in range(0, whole.num_rows, 256):
+            docs, tags, places, found = [], [], [], []
+            for doc, text, wanted in zip(*whole.slice(at, 256).columns, strict=True):
+                raw = text.as_py()
+                words = normalised_words(raw)
+                w = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
+                h = window_hashes(w, EXACT)
+                if not len(h):
+                    continue
+                place, seed = seeds(w)
+                edges = np.zeros(len(w) + 1, np.int64)
+                hit = place[np.isin(seed, np.array(wanted.as_py(), np.int64))]
+                np.add.at(edges, np.maximum(hit + GRAM - EXACT, 0), 1)
+                np.add.at(edges, hit + 1, -1)
+                own = np.flatnonzero(np.cumsum(edges)[:len(h)])
+                docs.append(np.full(len(own), doc.as_py(), np.int64))
+                tags.append(np.full(len(own), xxhash.xxh3_64_intdigest(raw) >> 1, np.int64))
+                places.append(own.astype(np.int32))
+                found.append(h[own].view(np.int64))
+            if docs:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (docs, tags, places, found)],
+                                                 names=["doc", "tag", "pos", "h"])
 
 
 def _word_places(raw: bytes, words: list[bytes]) -> list[tuple[int, int]]:
@@ -167,19 +232,12 @@ def _word_places(raw: bytes, words: list[bytes]) -> list[tuple[int, int]]:
     return out
 
 
-def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                        similarity: int = SIMILARITY) -> DataFrame:
-    """(doc, tag, para, begin, end, n_words, component, removed) of each paragraph in a component of several
-    documents; ``component`` is the smallest document, ``begin`` and ``end`` are byte offsets."""
-    rows = docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(_LONG_MIN)).alias("doc"),
-                       utf8(text_col).alias("text"))
-    shared = stored(map_batches(rows.select("doc", "text"), _band_hashes, "h bigint").groupBy("h").count()
-                    .filter("count > 1").select("h"), "colliding")
-    hits = map_batches(rows, _band_rows, "doc bigint, para int, h bigint").join(shared, "h", "left_semi")
-    wanted = hits.groupBy("doc").agg(F.collect_set("para").alias("which"))
-    read = stored(map_batches(rows.join(wanted, "doc").select("doc", "text", "which"), _reread,
-                              "doc bigint, tag bigint, para int, begin bigint, end bigint, n_words bigint, key binary, "
-                              "set binary, bands array<bigint>"), "paragraphs")
+def repeated_paragraphs(rows: DataFrame, wanted: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
+    """(doc, tag, first, last, component) of each paragraph in a component of several documents: its words from
+    ``first`` up to ``last``, and the smallest document."""
+    read = stored(map_batches(rows.join(wanted.filter(F.size("which") > 0), "doc").select("doc", "text", "which"), _reread,
+                              "doc bigint, tag bigint, first int, last int, key binary, set binary, "
+                              "bands array<bigint>"), "paragraphs")
     classes = stored(read.groupBy("key").agg(F.first("set").alias("set"), F.first("bands").alias("bands"))
                          .select("key", "set", "bands", (F.octet_length("set") / 8).cast("bigint").alias("n"),
                                  F.array().cast("array<smallint>").alias("sig")), "paragraph-classes")
@@ -189,26 +247,100 @@ def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     label = roots.select(F.col("u").alias("key"), F.col("v").alias("root"))
     placed = stored(read.drop("set", "bands").join(label, "key", "left")
                         .withColumn("root", F.coalesce("root", "key")).drop("key"), "placed")
-    clusters = stored(placed.groupBy("root").agg(F.min("doc").alias("component"), F.max("doc").alias("last"))
-                            .filter("component < last").select("root", "component"), "clusters")
-    return placed.join(clusters, "root").withColumn("removed", F.col("doc") != F.col("component")).drop("root")
+    clusters = stored(placed.groupBy("root").agg(F.min("doc").alias("component"), F.max("doc").alias("top"))
+                            .filter("component < top").select("root", "component"), "clusters")
+    return placed.join(clusters, "root").select("doc", "tag", "first", "last", "component")
+
+
+def repeated_windows(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(doc, tag, pos, component, its_tag, its_pos) of each window of ``EXACT`` words that several documents hold;
+    the last three are its place in the smallest of them."""
+    windows = stored(map_batches(rows.join(wanted.filter(F.size("seeds") > 0), "doc").select("doc", "text", "seeds"),
+                                 _windows, "doc bigint, tag bigint, pos int, h bigint"), "windows")
+    shared = stored(windows.groupBy("h").agg(F.min(F.struct("doc", "tag", "pos")).alias("at"), F.max("doc").alias("top"))
+                           .filter("at.doc < top").select("h", F.col("at.doc").alias("component"),
+                                                          F.col("at.tag").alias("its_tag"),
+                                                          F.col("at.pos").alias("its_pos")), "shared-windows")
+    return windows.join(shared, "h").drop("h")
+
+
+def _window_runs(found: list[tuple[int, int, int, int]]) -> list[list[int]]:
+    """[first, last, component, its_tag, shift] of windows (pos, component, its_tag, its_pos) that go on side by side."""
+    runs: list[list[int]] = []
+    for pos, *its, its_pos in sorted(found, key=lambda x: (x[1], x[2], x[3] - x[0], x[0])):
+        if runs and runs[-1][2:] == [*its, its_pos - pos] and pos <= runs[-1][1]:
+            runs[-1][1] = pos + EXACT
+        else:
+            runs.append([pos, pos + EXACT, *its, its_pos - pos])
+    return runs
+
+
+def _trimmed(first: int, last: int, runs: list[list[int]]) -> tuple[int, int]:
+    """A paragraph without what juts out of a run by so few words that no equal shingle lies there."""
+    for a, b, *_ in runs:
+        if a < last and first < b:
+            if 0 < a - first <= SHINGLE:
+                first = a
+            if 0 < last - b <= SHINGLE:
+                last = b
+    return first, last
+
+
+def _spans(min_words: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for doc, text, paras, windows in zip(*batch.columns, strict=True):
+                doc, raw = doc.as_py(), text.as_py()
+                tag = xxhash.xxh3_64_intdigest(raw) >> 1
+                runs = _window_runs([(x["pos"], x["component"], x["its_tag"], x["its_pos"])
+                                     for x in windows.as_py() or [] if x["tag"] == tag])
+                marks = [(*_trimmed(x["first"], x["last"], runs), x["component"])
+                         for x in paras.as_py() or [] if x["tag"] == tag]
+                marks += [tuple(r[:3]) for r in runs]
+                if not marks:
+                    continue
+                words = normalised_words(raw)
+                state = np.zeros(len(words), np.int8)  # 1 repeated and kept, 2 removed
+                for gone in (False, True):
+                    for a, b, component in marks:
+                        if (component != doc) == gone:
+                            state[a:b] = 1 + gone
+                edges = np.flatnonzero(np.diff(np.concatenate(([0], state, [0])))).tolist()
+                places = None
+                for a, b in zip(edges, edges[1:], strict=False):
+                    if state[a] and b - a >= min_words:
+                        places = places or _word_places(raw, words)
+                        mine = [m for m in marks if m[0] < b and m[1] > a and (m[2] != doc) == (state[a] == 2)]
+                        out.append((doc, tag, places[a][0], places[b - 1][1], b - a, len(mine), min(m[2] for m in mine),
+                                    bool(state[a] == 2)))
+            cols = list(zip(*out, strict=True)) or [()] * 8
+            yield pa.RecordBatch.from_arrays(
+                [*(pa.array(c, pa.int64()) for c in cols[:7]), pa.array(cols[7], pa.bool_())],
+                names=["doc", "tag", "begin", "end", "n_words", "n_paragraphs", "component", "removed"])
+    return run
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: int = SIMILARITY,
                    min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc, tag, begin, end, n_words, n_paragraphs, component, removed): runs of neighbouring repeated paragraphs.
+    """(doc, tag, begin, end, n_words, n_paragraphs, component, removed): runs of repeated words, in byte offsets.
 
-    A run holds paragraphs that are all removed or all kept; ``component`` is the smallest among its paragraphs'.
+    A run's words are all removed or all kept; ``component`` is the smallest among its paragraphs and windows.
     """
-    found = repeated_paragraphs(docs, id_col, text_col, similarity)
-    inside = Window.partitionBy("doc", "tag").orderBy("para")  # one text's paragraphs
-    breaks = (F.col("para") - F.lag("para").over(inside) != 1) | (F.col("removed") != F.lag("removed").over(inside))
-    numbered = found.dropDuplicates(["doc", "tag", "para"]).withColumn("fresh", F.coalesce(breaks, F.lit(True)).cast("int")) \
-                    .withColumn("run", F.sum("fresh").over(inside))
-    return numbered.groupBy("doc", "tag", "run").agg(
-        F.min("begin").alias("begin"), F.max("end").alias("end"), F.sum("n_words").alias("n_words"),
-        F.count("para").alias("n_paragraphs"), F.min("component").alias("component"),
-        F.first("removed").alias("removed")).filter(F.col("n_words") >= min_words).drop("run")
+    rows = docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(_LONG_MIN)).alias("doc"),
+                       utf8(text_col).alias("text"))
+    shared = stored(map_batches(rows.select("doc", "text"), _band_hashes, "h bigint").groupBy("h").count()
+                    .filter("count > 1").select("h"), "colliding")
+    hits = map_batches(rows, _band_rows, "doc bigint, para int, h bigint").join(shared, "h", "left_semi")
+    wanted = stored(hits.groupBy("doc").agg(F.collect_set(F.when(F.col("para") >= 0, F.col("para"))).alias("which"),
+                                            F.collect_set(F.when(F.col("para") < 0, F.col("h"))).alias("seeds")), "wanted")
+    paras = repeated_paragraphs(rows, wanted, similarity).groupBy("doc").agg(
+        F.collect_set(F.struct("tag", "first", "last", "component")).alias("paras"))
+    windows = repeated_windows(rows, wanted).groupBy("doc").agg(
+        F.collect_set(F.struct("tag", "pos", "component", "its_tag", "its_pos")).alias("windows"))
+    marked = rows.join(paras.join(windows, "doc", "full"), "doc").select("doc", "text", "paras", "windows")
+    return map_batches(marked, _spans(min_words), "doc bigint, tag bigint, begin bigint, end bigint, n_words bigint, "
+                       "n_paragraphs bigint, component bigint, removed boolean").dropDuplicates(["doc", "tag", "begin"])
 
 
 def repeat_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
