@@ -53,5 +53,28 @@ def test_exact_passages_to_their_true_ends(spark):
     assert all(len(left[2 * k].split()) == 121 and len(left[2 * k + 1].split()) == 70 for k in passages)
 
 
+def test_edited_prose_links_whole(spark):
+    rows, edited = [], {}
+    for k, (n, edits) in enumerate([(60, (30,)), (60, (22,)), (80, (25, 52)), (100, (28, 55)), (80, (30,))] * 4):
+        passage = words(1500 + k, n, 3000)
+        copy = list(passage)
+        for at in edits:
+            copy[at] = f"edited{at}"
+        for side, inner in ((0, passage), (1, copy)):
+            rows.append((2 * k + side, " ".join(words(1700 + 2 * k + side, 40, 3000) + inner
+                                                + words(1900 + 2 * k + side, 30, 3000))))
+        edited[2 * k + 1] = copy
+    got = [r for r in P.repeat_report(docs_frame(spark, rows)).collect() if r.removed]
+    spans = {r.doc_id: dict(rows)[r.doc_id].encode()[r.begin:r.end].decode().split() for r in got}
+    assert len(got) == len(spans) and spans == edited
+
+
+def test_dissimilar_neighbours_stay_apart():
+    a, b = [0, 30, 7, 1, 100], [60, 90, 7, 1, 100]
+    assert P._near_passages([a, b], 9, 75) == [(0, 30, 7), (60, 90, 7)]
+    assert P._near_passages([a, [31, 90, 7, 1, 100]], 9, 75) == [(0, 90, 7)]
+    assert P._near_passages([a, [31, 90, 7, 1, 400]], 9, 75) == [(0, 30, 7), (31, 90, 7)]
+
+
 def test_empty_table(spark):
     assert P.repeat_report(docs_frame(spark, [])).collect() == []

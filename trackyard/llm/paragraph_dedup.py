@@ -21,7 +21,12 @@ paragraphs (``2 * REACH + 1`` words on average, ``REACH + 1`` at least).
    along with the bands; all windows around a seed that some other document has
    are compared by 64-bit hashes. So each word of a passage of ``EXACT`` words or
    more that another document holds is found, up to the passage's true ends.
-5. Of the documents that hold a window, and in a component that spans documents,
+5. Near-equal passages: runs of windows that follow each other both in the text
+   and in the smallest document that holds them are one passage, words between
+   them included, if the runs' shingles alone make the two sides' similarity
+   0.75 or more. Two passages of 45 words or more that are so similar share
+   a run of 18 words, for each edit costs several shingles.
+6. Of the documents that hold a window, and in a component that spans documents,
    the smallest keeps its words; elsewhere they are removed, if the run of
    neighbouring repeated words they belong to has ``MIN_WORDS`` words or more.
 
@@ -286,7 +291,35 @@ def _trimmed(first: int, last: int, runs: list[list[int]]) -> tuple[int, int]:
     return first, last
 
 
-def _spans(min_words: int):
+def _near_passages(runs: list[list[int]], doc: int, similarity: int) -> list[tuple[int, int, int]]:
+    """(first, last, component) of passages that neighbouring runs show to be near equal to one of a smaller document.
+
+    The runs' shingles are common for certain; all between them counts as different.
+    """
+    places: dict[tuple[int, int], list[list[int]]] = {}
+    for a, b, component, its_tag, shift in runs:
+        if component != doc:
+            places.setdefault((component, its_tag), []).append([a, b, a + shift, b + shift, b - a - SHINGLE + 1])
+    out = []
+    for (component, _), chain in places.items():
+        chain.sort()
+        merged = True
+        while merged and len(chain) > 1:
+            merged, rest = False, [chain[0]]
+            for x in chain[1:]:
+                y = rest[-1]
+                common, here, there = y[4] + x[4], x[1] - y[0] - SHINGLE + 1, x[3] - y[2] - SHINGLE + 1
+                # runs may overlap by words that an edit repeats, their shingles may not
+                if min(x[0] - y[1], x[2] - y[3]) > -SHINGLE and 100 * common >= similarity * (here + there - common):
+                    rest[-1], merged = [y[0], x[1], y[2], x[3], common], True
+                else:
+                    rest.append(x)
+            chain = rest
+        out += [(x[0], x[1], component) for x in chain]
+    return out
+
+
+def _spans(min_words: int, similarity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
@@ -297,7 +330,7 @@ def _spans(min_words: int):
                                      for x in windows.as_py() or [] if x["tag"] == tag])
                 marks = [(*_trimmed(x["first"], x["last"], runs), x["component"])
                          for x in paras.as_py() or [] if x["tag"] == tag]
-                marks += [tuple(r[:3]) for r in runs]
+                marks += [tuple(r[:3]) for r in runs] + _near_passages(runs, doc, similarity)
                 if not marks:
                     continue
                 words = normalised_words(raw)
@@ -339,7 +372,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     windows = repeated_windows(rows, wanted).groupBy("doc").agg(
         F.collect_set(F.struct("tag", "pos", "component", "its_tag", "its_pos")).alias("windows"))
     marked = rows.join(paras.join(windows, "doc", "full"), "doc").select("doc", "text", "paras", "windows")
-    return map_batches(marked, _spans(min_words), "doc bigint, tag bigint, begin bigint, end bigint, n_words bigint, "
+    return map_batches(marked, _spans(min_words, similarity), "doc bigint, tag bigint, begin bigint, end bigint, n_words bigint, "
                        "n_paragraphs bigint, component bigint, removed boolean").dropDuplicates(["doc", "tag", "begin"])
 
 
