@@ -2,7 +2,7 @@ import hashlib
 
 from pyspark.sql import functions as F
 
-from tests.llm.conftest import docs_frame, prose
+from tests.llm.conftest import docs_frame, prose, words
 from trackyard.llm import imatch
 
 
@@ -55,6 +55,15 @@ def test_lexicon_is_bounded_and_banded(spark):
     assert imatch.lexicon(docs, size=5, most=1.0).count() <= 5
 
 
+def test_copies_outside_the_band_are_like_their_edited_texts(spark):
+    copy, others = prose(7, 80), words(999, 80 * 60, 1500)
+    rows = [(k, copy if k % 3 == 0 else " ".join(others[60 * (k * 2 // 3):][:60])) for k in range(120)]
+    got = {r.doc_id: r for r in imatch.edited_report(docs_frame(spark, rows), ranges=3).collect()}
+    assert len(got) == 120 and all(r.near_next < 0.4 for r in got.values())
+    copies = [r.near_edited for k, r in got.items() if k % 3 == 0]
+    assert min(copies) > 0.4 and sum(copies) / len(copies) > 0.6
+
+
 def test_native_plan(spark):
     plan = imatch.edited_report(docs_frame(spark, [(1, "a b"), (2, "c d")]))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan

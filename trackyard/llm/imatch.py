@@ -12,10 +12,12 @@ why the lexicon may be broadcast.
 at sampling rates of 1, 1/2, 1/4, ...: a text uses the rate that leaves it one
 or two terms a subset, in the lexicon or not, and the next. For each subset the text's terms in it
 are sorted and hashed. The fingerprint lists these hashes with their subsets, those
-without a term left out. A text with fewer than ``FEW`` lexicon terms takes all
-its terms instead, so short texts have fingerprints as well.
+without a term left out. It has a list for the lexicon terms, if there are ``FEW``
+or more, and one for all terms, so short texts and texts of terms outside the band
+have fingerprints as well.
 
-Two fingerprints are compared at a rate both have: of the subsets where at
+Two fingerprints are compared by their lexicon terms if both list them, by all terms
+otherwise, at a rate both have: of the subsets where at
 least one has a term, the share f whose hashes agree estimates the terms'
 Jaccard similarity; the likeness is 2f / (1 + f), the share of common terms.
 
@@ -121,15 +123,19 @@ def prints(df: DataFrame, lists: dict[str, tuple[str, str]]) -> DataFrame:
 
 
 def written(p: Column) -> Column:
-    """The fingerprint as text: ``rate:entries:entries of the next rate``, five hex digits an entry."""
+    """The fingerprint as text: rate and kind (``l`` with lexicon terms, ``a`` of all terms alone), then the entries and
+    those of the next rate, of the lexicon and of all terms, apart by colons; five hex digits an entry."""
     digits = lambda e: F.array_join(F.transform(e, lambda x: F.lower(F.lpad(F.hex(x), 5, "0"))), "")
-    return F.concat_ws(":", p["rate"].cast("string"), digits(p["at"]), digits(p["next"]))
+    kind = F.concat(p["rate"].cast("string"), F.when(p["lexical"], "l").otherwise("a"))
+    return F.concat_ws(":", kind, *(digits(p[k]) for k in ("at", "next", "all_at", "all_next")))
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Of two structs of ``prints``: 1 for equal ones, about the share of common terms otherwise."""
+    """Of two fingerprints: 1 for equal ones, about the share of common terms otherwise."""
     rate = F.greatest(a["rate"], b["rate"])
-    at = lambda p: F.when(p["rate"] == rate, p["at"]).when(p["rate"] == rate - 1, p["next"])
+    both = a["lexical"] & b["lexical"]
+    at = lambda p: F.when(p["rate"] == rate, F.when(both, p["at"]).otherwise(p["all_at"])).when(
+        p["rate"] == rate - 1, F.when(both, p["next"]).otherwise(p["all_next"]))
     ea, eb = at(a), at(b)
     subset_ids = lambda e: F.transform(e, lambda x: F.shiftright(x, 12))
     either = F.size(F.array_union(subset_ids(ea), subset_ids(eb)))
@@ -138,13 +144,10 @@ def likeness(a: Column, b: Column) -> Column:
             .otherwise(2 * f / (1 + f)).cast("double")
 
 
-def _chosen(within: Column, every: Column) -> Column:
-    return F.when(F.size(within) >= FEW, within).otherwise(every)
-
-
 def _with_fingerprints(rows: DataFrame, keys: list[str], texts: dict[str, str], words: DataFrame,
                        carried: list[str]) -> DataFrame:
-    """rows' keys and carried columns with a struct of ``prints`` (by column name) for each text column.
+    """rows' keys and carried columns with a fingerprint (by column name) for each text column: a struct of
+    rate, lexical (whether there are lexicon terms enough), and the entries of ``prints`` of both term lists.
 
     ``keys`` name a row; where rows are already dealt by one of them, nothing moves again.
     """
@@ -176,8 +179,15 @@ def _with_fingerprints(rows: DataFrame, keys: list[str], texts: dict[str, str],
     packed = known.groupBy(*keys).agg(F.first("rest", ignorenulls=True).alias("rest"), *lists).select(
         *keys, "rest.*", *(f"__{k}_{i}" for i, _ in enumerate(texts) for k in ("in", "of")))
     for i, _ in enumerate(texts):
-        packed = packed.withColumn(f"__terms_{i}", _chosen(F.col(f"__in_{i}"), F.col(f"__of_{i}")))
-    made = prints(packed, {name: (f"__terms_{i}", f"__rate_{t}") for i, (name, t) in enumerate(texts.items())})
+        packed = packed.withColumn(f"__lexical_{i}", F.size(f"__in_{i}") >= FEW).withColumn(
+            f"__in_{i}", F.when(F.col(f"__lexical_{i}"), F.col(f"__in_{i}")).otherwise(F.array().cast("array<bigint>")))
+    made = prints(packed, {f"__{k}_{name}": (f"__{k}_{i}", f"__rate_{t}")
+                           for i, (name, t) in enumerate(texts.items()) for k in ("in", "of")})
+    for i, name in enumerate(texts):
+        within, every = F.col(f"__in_{name}"), F.col(f"__of_{name}")
+        made = made.withColumn(name, F.struct(
+            every["rate"].alias("rate"), F.col(f"__lexical_{i}").alias("lexical"), within["at"].alias("at"),
+            within["next"].alias("next"), every["at"].alias("all_at"), every["next"].alias("all_next")))
     return made.select(*keys, *carried, *texts)
 
 
