@@ -36,6 +36,26 @@ def test_surrogates_keep_type_format_and_coreference(spark, awkward):
     assert out[None].text == out[1].text
 
 
+def test_whole_names_and_their_later_mentions(spark):
+    text = ("Dr. Maria Jose Garcia met Mrs. Ada Lovelace. Later Lovelace wrote to Garcia; ADA LOVELACE's notes, Garcia-Lovelace. "
+            "Maria agreed, the Lovelacean idea stays, so does ada.")
+    kinds = [(text[a:b], k) for a, b, k, _ in pii.entities(text)]
+    assert kinds == [("Maria", "given_x"), ("Jose", "given_x"), ("Garcia", "surname"), ("Ada", "given_f"),
+                     ("Lovelace", "surname"), ("Lovelace", "surname"), ("Garcia", "surname"), ("ADA", "given_f"),
+                     ("LOVELACE", "surname"), ("Garcia", "surname"), ("Lovelace", "surname"), ("Maria", "given_x")]
+    [row] = pii.pseudonymised(docs_frame(spark, [(1, text), (2, "Lovelace Garcia Maria")]), KEY).collect()
+    s = [x.surrogate for x in row.spans]
+    assert s[4] == s[5] == s[10] and s[8] == s[4].upper() and s[2] == s[6] == s[9] and s[0] == s[11]
+    assert "Garcia" not in row.text and "Lovelace " not in row.text and "Maria" not in row.text
+
+
+def test_initials_and_particles_do_not_end_a_name():
+    kinds = lambda t: [(t[a:b], k) for a, b, k, _ in pii.entities(t)]
+    assert kinds("Dr. J. Garcia and Herr Otto von Bismarck") == [("Garcia", "surname"), ("Otto", "given_m"),
+                                                                 ("Bismarck", "surname")]
+    assert kinds("Mr. X. did") == []
+
+
 def test_key_matters():
     assert pii.surrogate(b"a", "email", "x.yz@mail.org", 0) != pii.surrogate(b"b", "email", "x.yz@mail.org", 0)
     assert pii.surrogate(b"a", "email", "x.yz@mail.org", 0) == pii.surrogate(b"a", "email", "x.yz@mail.org", 0)

@@ -2,7 +2,9 @@
 
 1. Detection. Each text is searched for e-mail and IPv4 addresses, phone
    numbers, payment cards (Luhn-valid), IBANs (valid check digits), social
-   security numbers, access keys, tokens and passwords, and names after a title.
+   security numbers, access keys, tokens and passwords, and names: all capitalised words
+   after a title (past initials and particles, which stay), and wherever else
+   the same text has one of them.
    An entity is a type and a canonical form (digits of a phone number however
    written, lower-cased addresses, one part of a name), so all mentions of one
    entity, in whatever format, meet.
@@ -70,6 +72,7 @@ _ENDINGS = {"latin": ("er", "man", "son", "berg", "i", "o"), "cyrillic": ("ск
             "greek": ("ίδης", "άκης", "όπουλος")}
 
 _NAME = r"[^\W\d_]*[A-ZÀ-ÖØ-ÞΑ-ΩΆ-ΏА-ЯЁ][^\W\d_]+(?:-[^\W\d_]+)?"
+_PARTICLE = "(?:van|von|zu|der|den|de|del|della|di|da|dos|la|le)"  # stay as they are
 _PATTERNS = {
     "email": re.compile(r"(?<![\w.+-])[\w+-]+(?:\.[\w+-]+)*@[\w-]+(?:\.[\w-]+)*\.[^\W\d_]{2,}(?!\w)"),
     "key": re.compile(r"(?<!\w)(?:AKIA|ASIA)[A-Z0-9]{16}(?!\w)|(?<!\w)(?:ghp|gho|sk|pk)_[A-Za-z0-9]{20,}(?!\w)"),
@@ -81,8 +84,12 @@ _PATTERNS = {
     "phone": re.compile(r"(?<![\w+])\+\d{1,3}(?:[ .-]?\(?\d{1,4}\)?){2,5}(?!\w)|"
                         r"(?<![\w(])(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[.-]\d{4}(?!\w)"),
     "ip": re.compile(r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(?![\w]|\.\d)"),
-    "name": re.compile(rf"(?<!\w)({'|'.join(sorted(_GENDER, key=len, reverse=True))})\.?[  ]({_NAME})(?:[  ]({_NAME}))?"),
+    "name": re.compile(rf"(?<!\w)({'|'.join(sorted(_GENDER, key=len, reverse=True))})\.?"
+                       rf"((?:[  ](?:{_PARTICLE}[  ])*(?:{_NAME}|[^\W\d_]\.))+)"),
 }
+_WORD = re.compile(_NAME)
+_PART = re.compile(r"[^\W\d_]+")
+_ANY = re.compile(rf"(?<!\w){_NAME}(?!\w)")
 _MAYBE = {"email": re.compile("@"), "key": re.compile("AKIA|ASIA|gh[po]_|[sp]k_"), "token": re.compile("(?i)token|secret|api_?key"),
           "password": re.compile("(?i)passw|pwd")}
 _DIGITS = re.compile(r"\d[\d. ()+-]{5}|[A-Z]{2}\d\d")
@@ -129,23 +136,34 @@ def canonical(kind: str, text: str) -> str | None:
 
 def entities(text: str) -> list[tuple[int, int, str, str]]:
     """(start, end, type, canonical) in code points, not overlapping, in order."""
-    found = []
+    found: list[tuple[int, int, str, str]] = []
+    names: dict[str, set[str]] = {}
     numeric = _DIGITS.search(text)
     for kind, pattern in _PATTERNS.items():
         if kind in _NUMERIC and not numeric or kind in _MAYBE and not _MAYBE[kind].search(text):
             continue
         for m in pattern.finditer(text):
             if kind == "name":
-                gender, parts = _GENDER[m[1]], [g for g in (2, 3) if m[g]]
-                spans = [(m.span(parts[-1]), "surname")]
-                if len(parts) == 2:
-                    spans.append((m.span(2), f"given_{gender}"))
+                parts = [x.span() for x in _WORD.finditer(text, *m.span(2))]
+                if not parts:
+                    continue
+                spans = [(p, f"given_{_GENDER[m[1]]}") for p in parts[:-1]] + [(parts[-1], "surname")]
+                for (a, b), k in spans:
+                    names.setdefault(text[a:b].casefold(), set()).add(k)
             else:
                 spans = [(m.span(m.lastindex or 0), kind)]
             for (a, b), k in spans:
                 c = canonical(k, text[a:b])
                 if c is not None:
                     found.append((a, b, k, c))
+    if names:  # the same names without a title, as the same entities
+        titled = {x[:2] for x in found if x[2] == "surname" or x[2].startswith("given")}
+        for m in _ANY.finditer(text):
+            # a double name is looked for as it is, or else part by part
+            for a, b in [m.span()] if m[0].casefold() in names else [x.span() for x in _PART.finditer(text, *m.span())]:
+                kinds = names.get(text[a:b].casefold())
+                if kinds and (a, b) not in titled:
+                    found.append((a, b, max(kinds, key=TYPES.index), text[a:b].casefold()))
     found.sort(key=lambda x: (x[0] - x[1], TYPES.index(x[2]), x[0]))
     taken: list[tuple[int, int, str, str]] = []  # in order, so that a find meets its neighbours alone
     for x in found:
