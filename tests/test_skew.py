@@ -2,8 +2,10 @@
 
 from pyspark.sql import functions as F
 
+from tests.oracle import compare, duck
 from trackyard.operators.dedup import dedup_latest
 from trackyard.operators.joins import left_join_dim
+from trackyard.plans.analogues import SQL_LINEAGE_ROWS, q_lineage_rows
 
 
 def _hot(spark, n=30000):
@@ -49,3 +51,17 @@ def test_fact_join_hot_key_is_split(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_lineage_rows_of_one_status_are_written_by_several_tasks(spark):
+    key, sf = "spark.sql.adaptive.coalescePartitions.enabled", "/root/testdata/sf0.001"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        out = q_lineage_rows(spark, sf)
+        files = [f.split("o_orderstatus=")[1][0] for f in out.inputFiles()]
+        assert min(files.count(s) for s in "FO") > 1
+        ok, why = compare(out, duck(sf), SQL_LINEAGE_ROWS)
+        assert ok, why
+    finally:
+        spark.conf.set(key, before)
