@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackyard.llm import bpe, decontamination, imatch, line_dedup, near_dedup, paragraph_dedup, pii, quality, \
+from trackyard.llm import bpe, decontamination, hard_negatives, imatch, line_dedup, near_dedup, paragraph_dedup, pii, quality, \
     token_files, toxicity
 from trackyard.llm.common import read_table, shared_path
 
@@ -133,6 +133,30 @@ FROM r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id
 """
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(read_table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, label=label)
+
+
+OP11_SQL = """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS x FROM embeddings
+           WHERE label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same,
+             CAST(list_dot_product(a.x, b.x) AS BIGINT) AS score
+      FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT anchor_id, other AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+SELECT p.anchor_id, positive_id,
+       CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other) AS INTEGER) AS rank,
+       other AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same
+     AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3
+"""
+
+
 QUERIES = {
     "op1_paragraph_dedup": (op1_paragraph_dedup, None),
     "op2_decontamination": (op2_decontamination, OP2_SQL),
@@ -144,4 +168,5 @@ QUERIES = {
     "op8_bpe_trie": (op8_bpe_trie, None),
     "op9_token_files": (op9_token_files, None),
     "op10_line_dedup": (op10_line_dedup, OP10_SQL),
+    "op11_hard_negatives": (op11_hard_negatives, OP11_SQL),
 }
