@@ -16,6 +16,8 @@ import trackyard
 from trackyard.session import ensure_checkpoint_dir
 
 _SHIPPED: set[str] = set()
+BATCH_BYTES = 8 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -51,13 +53,31 @@ def utf8(col: str | Column) -> Column:
     return F.coalesce(c, F.lit("")).cast("binary")
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Let Arrow batches hold ``BATCH_BYTES`` at most, unless the session says otherwise.
+
+    A batch is held several times over at once: in the JVM's buffers, in the worker, and as what is made of it.
+    """
+    if spark.conf.get(_BATCH_SETTING, None) is None:
+        spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
+
+
 def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
                 schema) -> DataFrame:
     """``mapInArrow`` with the package on the workers."""
     ship_package(df.sparkSession)
+    bounded_batches(df.sparkSession)
     return df.mapInArrow(fn, schema)
 
 
+def arrow_column(spark: SparkSession, fn: Callable[[Iterator[pa.Array]], Iterator[pa.Array]], kind: str):
+    """A function of one column that works on Arrow arrays; the other columns of a row stay in the JVM."""
+    ship_package(spark)
+    bounded_batches(spark)
+    # nondeterministic, so that a filter on its result isn't pushed below it, where it would run a second time
+    return F.arrow_udf(fn, kind).asNondeterministic()
+
+
 def shared_path(spark: SparkSession, what: str) -> str:
     """A new path in the shared checkpoint folder."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{what}-{uuid.uuid4().hex}"
@@ -70,6 +90,32 @@ def drop_path(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+class Scratch:
+    """Tables in the shared checkpoint folder that go when the block ends.
+
+    What leaves the block must not read them any more: write it with ``stored`` inside the block.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self._paths = spark, []
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_exc) -> None:
+        for path in self._paths:
+            drop_path(self.spark, path)
+
+    def path(self, what: str) -> str:
+        self._paths.append(shared_path(self.spark, what))
+        return self._paths[-1]
+
+    def stored(self, df: DataFrame, what: str) -> DataFrame:
+        path = self.path(what)
+        df.write.parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def stored(df: DataFrame, what: str) -> DataFrame:
     """Cut lineage: write ``df`` as Parquet in the shared checkpoint folder and read it back."""
     path = shared_path(df.sparkSession, what)

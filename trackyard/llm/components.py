@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trackyard.llm.common import drop_path, shared_path
+from trackyard.llm.common import Scratch, drop_path, shared_path
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -27,15 +27,16 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.unionAll(least.select("u", F.col("m").alias("v"))).filter("u <> v")
 
 
-def connected_components(edges: DataFrame) -> DataFrame:
+def connected_components(edges: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     """(u, v): each vertex of ``edges`` (u, v) but the smallest of its component, and that smallest vertex.
 
     Loops and repeated edges are harmless; edges with a null end are dropped. No edges, no rows.
+    The result's table lives as long as ``scratch``, if there is one.
     """
     spark = edges.sparkSession
 
     def write(df: DataFrame):
-        path = shared_path(spark, "components")
+        path = scratch.path("components") if scratch else shared_path(spark, "components")
         df.write.parquet(path)
         return path, spark.read.schema(schema).parquet(path)
 

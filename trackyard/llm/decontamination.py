@@ -7,9 +7,9 @@ tuples of word ids, are a hash set that goes to every task; each document is
 scanned whole. Word ids stand for exact words, so a hit is verified by the
 lookup itself; only the quick rolling hash that picks candidates can collide.
 
-The set is broadcast only if the benchmark's words stay under
-``max_broadcast_words``. A larger benchmark is matched by a join on window
-digests instead, where neither side is broadcast.
+The set is broadcast whole only if the benchmark's words stay under
+``max_broadcast_words``. A larger benchmark is dealt into parts of that size, and
+the documents are scanned for one part after the other.
 
 Defined results: a null text has no words; an item without words gives no
 window; a null item_id counts its hits in ``n_hit`` but is no item; rows that
@@ -22,13 +22,14 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trackyard.llm.common import map_batches, utf8
+from trackyard.llm.common import arrow_column, map_batches, stored, utf8
 
 WINDOW = 10
 MAX_BROADCAST_WORDS = 4_000_000
@@ -107,9 +108,8 @@ def _item_digest(items: set) -> tuple[int, str]:
     return len(named), hashlib.sha256(",".join(named).encode()).hexdigest()
 
 
-def cut_spans(text: str, hit: np.ndarray) -> str:
+def cut_spans(raw: bytes, hit: np.ndarray) -> str:
     """The text without its hit words and what stands between neighbouring ones."""
-    raw = text.encode()
     spans = [m.span() for m in _WORD.finditer(raw.translate(_TO_WORDS))]
     edges = np.flatnonzero(np.diff(np.concatenate(([0], hit.view(np.int8), [0]))))
     out, at = [], 0
@@ -139,7 +139,7 @@ def contamination_report(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW,
     """One row per document: words, hit words, items with occurring windows and their digest."""
     items = benchmark_items(benchmark, max_words=max_broadcast_words)
     if items is None:
-        return _report_by_join(docs, benchmark, n, id_col, text_col)
+        return _report_by_part(docs, benchmark, n, id_col, text_col, max_broadcast_words)
     shared = docs.sparkSession.sparkContext.broadcast(NgramSet(items, n))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -161,40 +161,62 @@ def contamination_report(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW,
                        scan, REPORT_SCHEMA)
 
 
-def _window_digests(df: DataFrame, sizes: list[int]) -> DataFrame:
-    """(key, pos, size, digest) of every window of these sizes, plus (key, -1, n_words, null) per row."""
-    wanted = list(sizes)
+SEGMENT_WORDS = 50_000
 
-    def emit(batches):
+
+def _segments(n: int):
+    """Items, long ones in overlapping segments that together have the same windows."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for key, text, of in zip(batch.column(0), batch.column(1), batch.column(2), strict=True):
+            for item, text in zip(batch.column(0), batch.column(1), strict=True):
                 words = words_of(text.as_py())
-                mine = [min(of.as_py(), len(words))] if of.is_valid else wanted
-                for size in mine:
-                    if not 0 < size <= len(words):
-                        continue
-                    count = len(words) - size + 1
-                    for lo in range(0, count, 65536):
-                        span = range(lo, min(lo + 65536, count))
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array([key.as_py()] * len(span), pa.string()), pa.array(span, pa.int32()),
-                             pa.array([size] * len(span), pa.int32()),
-                             pa.array([hashlib.blake2b(b" ".join(words[k:k + size]), digest_size=16).digest()
-                                       for k in span], pa.binary())], names=["key", "pos", "size", "digest"])
-
-    return map_batches(df, emit, "key string, pos int, size int, digest binary")
-
-
-def _hits_by_join(texts: DataFrame, benchmark: DataFrame, n: int) -> DataFrame:
-    """(key, spans, items) of each text (key, text) with a hit: (pos, size) of its windows that items hold."""
-    items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("\0")).alias("key"),
-                             utf8("text").alias("text"), F.lit(n).alias("of"))
-    grams = _window_digests(items, []).select("size", "digest", F.col("key").alias("item")).distinct()
-    # one scan of at most n sizes; sizes that no item has match nothing
-    windows = _window_digests(texts.select("key", "text", F.lit(None).cast("int").alias("of")), list(range(1, n + 1)))
-    hits = windows.join(grams, ["size", "digest"])
-    return hits.groupBy("key").agg(F.collect_set(F.struct("pos", "size")).alias("spans"),
-                                   F.collect_set(F.when(F.col("item") != "\0", F.col("item"))).alias("items"))
+                starts = range(0, max(1, len(words) - n + 1), SEGMENT_WORDS)
+                parts = [b" ".join(words[k:k + SEGMENT_WORDS + n - 1]) for k in starts]
+                yield pa.RecordBatch.from_arrays([pa.array([item.as_py()] * len(parts), pa.string()),
+                                                  pa.array(parts, pa.binary())], names=["item", "words"])
+    return run
+
+
+def _hits_by_part(texts: DataFrame, benchmark: DataFrame, n: int, max_words: int) -> DataFrame:
+    """(key, spans, items) of each text (key, text) with a hit: (pos, size) of its hit runs, and the items.
+
+    The benchmark is dealt into parts of some ``max_words`` words. One part at a time is broadcast
+    and all texts are scanned for it, so the texts are never shuffled.
+    """
+    spark = texts.sparkSession
+    items = stored(map_batches(benchmark.select(F.col("item_id").cast("string").alias("item"), utf8("text").alias("text")),
+                               _segments(n), "item string, words binary"), "items")
+    size = items.agg(F.sum(F.octet_length("words") + 1)).first()[0] or 0
+    # a word takes at least one byte and all but the last a separator
+    parts = -(-size // (2 * max(max_words, 500)))
+    schema = "key string, spans array<struct<pos: int, size: int>>, items array<string>"
+    found = []
+    for part in range(parts):
+        mine = items.filter(F.pmod(F.xxhash64("item", "words"), F.lit(parts)) == part)
+        shared = spark.sparkContext.broadcast(NgramSet([(r[0], bytes(r[1]).split()) for r in mine.collect()], n))
+
+        def scan(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            ngrams = shared.value
+            for batch in batches:
+                keys, runs, of = [], [], []
+                for key, text in zip(batch.column(0), batch.column(1), strict=True):
+                    hit, held = ngrams.scan(words_of(text.as_py()))
+                    if hit.any():
+                        edges = np.flatnonzero(np.diff(np.concatenate(([0], hit.view(np.int8), [0])))).tolist()
+                        keys.append(key.as_py())
+                        runs.append([{"pos": a, "size": b - a} for a, b in zip(edges[::2], edges[1::2], strict=True)])
+                        of.append([x for x in held if x is not None])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys, pa.string()),
+                     pa.array(runs, pa.list_(pa.struct([("pos", pa.int32()), ("size", pa.int32())]))),
+                     pa.array(of, pa.list_(pa.string()))], names=["key", "spans", "items"])
+
+        # equal texts have equal hits: one of them is enough
+        found.append(stored(map_batches(texts.select("key", "text"), scan, schema).dropDuplicates(["key"]), "hits"))
+        shared.destroy()
+    hits = reduce(DataFrame.unionAll, found) if found else spark.createDataFrame([], schema)
+    return hits.groupBy("key").agg(F.flatten(F.collect_list("spans")).alias("spans"),
+                                   F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"))
 
 
 def _hit_words(n_words: int, spans: list[dict] | None) -> np.ndarray:
@@ -204,12 +226,12 @@ def _hit_words(n_words: int, spans: list[dict] | None) -> np.ndarray:
     return hit
 
 
-def _report_by_join(docs: DataFrame, benchmark: DataFrame, n: int, id_col: str, text_col: str) -> DataFrame:
-    """The same report where the benchmark is too large to broadcast: a join on 128-bit window digests."""
+def _report_by_part(docs: DataFrame, benchmark: DataFrame, n: int, id_col: str, text_col: str, max_words: int) -> DataFrame:
+    """The same report where the benchmark is too large to broadcast whole."""
     # repeated rows have equal digests of the text, hence equal verdicts
     tagged = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), utf8(text_col).alias("text")) \
                  .withColumn("key", F.sha2("text", 256))
-    spans = _hits_by_join(tagged.groupBy("key").agg(F.first("text").alias("text")), benchmark, n)
+    spans = _hits_by_part(tagged, benchmark, n, max_words)
 
     def count(batches):
         for batch in batches:
@@ -233,48 +255,54 @@ def _report_by_join(docs: DataFrame, benchmark: DataFrame, n: int, id_col: str,
 def decontaminate(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, remove: str = "documents",
                   text_col: str = "text", max_broadcast_words: int = MAX_BROADCAST_WORDS) -> DataFrame:
     """The documents, all columns, without contaminated ones (``remove="documents"``) or without their hit
-    spans (``remove="spans"``; ``n_chars`` follows the text if there, a text of hit words alone goes)."""
+    spans (``remove="spans"``; ``n_chars`` follows the text if there, a text of hit words alone goes).
+
+    Python gets the texts and returns, for contaminated ones alone, what is left of them.
+    """
     if remove not in ("documents", "spans"):
         raise ValueError(f"remove: {remove!r}")
-    at, names = docs.columns.index(text_col), docs.columns
+    spark, spans = docs.sparkSession, remove == "spans"
     items = benchmark_items(benchmark, max_words=max_broadcast_words)
-    if items is None and remove == "documents":
-        report = contamination_report(docs.select(F.xxhash64(text_col).alias("doc_id"), text_col), benchmark, n,
-                                      max_broadcast_words=max_broadcast_words)
-        bad = report.filter("contaminated").select(F.col("doc_id").alias("__bad")).distinct()
-        return docs.join(bad, F.xxhash64(text_col) == F.col("__bad"), "left_anti")
     if items is None:
-        tagged = docs.withColumn("__key", F.sha2(utf8(text_col), 256))
-        spans = _hits_by_join(tagged.groupBy(F.col("__key").alias("key")).agg(utf8(F.first(text_col)).alias("text")),
-                              benchmark, n).select(F.col("key").alias("__key"), F.col("spans").alias("__spans"))
-        rows = tagged.join(spans, "__key", "left").select(*names, "__spans")
-
-        def hits_of(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
-            for text, found in zip(batch.column(at), batch.column(len(names)), strict=True):
-                yield _hit_words(len(words_of((text.as_py() or "").encode())), found.as_py())
+        rows = docs.withColumn("__key", F.sha2(utf8(text_col), 256))
+        found = _hits_by_part(rows.select(F.col("__key").alias("key"), utf8(text_col).alias("text")), benchmark, n,
+                              max_broadcast_words).select(F.col("key").alias("__key"), F.col("spans").alias("__spans"))
+        rows = rows.join(found, "__key", "left")
+        seen = F.struct(F.when(F.col("__spans").isNotNull(), utf8(text_col)).alias("text"), F.col("__spans").alias("spans"))
+
+        def hits_of(batch: pa.StructArray) -> Iterator[tuple[bytes, np.ndarray]]:
+            for text, found in zip(batch.field("text"), batch.field("spans"), strict=True):
+                raw = text.as_py() or b""
+                yield raw, _hit_words(len(words_of(raw)), found.as_py())
     else:
-        rows, shared = docs, docs.sparkSession.sparkContext.broadcast(NgramSet(items, n))
+        rows, shared = docs, spark.sparkContext.broadcast(NgramSet(items, n))
+        seen = utf8(text_col)
 
-        def hits_of(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
-            for text in batch.column(at):
-                yield shared.value.scan(words_of((text.as_py() or "").encode()))[0]
+        def hits_of(batch: pa.Array) -> Iterator[tuple[bytes, np.ndarray]]:
+            for text in batch:
+                raw = text.as_py()
+                yield raw, shared.value.scan(words_of(raw))[0]
 
-    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def left_over(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            keep, texts = [], []
-            for text, hit in zip(batch.column(at), hits_of(batch), strict=True):
-                t = text.as_py()
-                dirty = bool(hit.any())
-                keep.append(not dirty or remove == "spans" and not hit.all())
-                texts.append(cut_spans(t, hit) if dirty and remove == "spans" else t)
-            arrays = list(batch.columns[:len(names)])
-            if remove == "spans":
-                old = arrays[at].to_pylist()
-                arrays[at] = pa.array(texts, arrays[at].type)
-                if "n_chars" in names:
-                    k = names.index("n_chars")
-                    arrays[k] = pa.array([len(t) if t != o else c for t, o, c in
-                                          zip(texts, old, arrays[k].to_pylist(), strict=True)], arrays[k].type)
-            yield pa.RecordBatch.from_arrays(arrays, names=names).filter(pa.array(keep, pa.bool_()))
-
-    return map_batches(rows, clean, docs.schema)
+            clean, left = [], []
+            for raw, hit in hits_of(batch):
+                clean.append(not hit.any())
+                left.append(cut_spans(raw, hit) if spans and not clean[-1] and not hit.all() else None)
+            yield pa.StructArray.from_arrays([pa.array(clean, pa.bool_()), pa.array(left, pa.string())],
+                                             names=["clean", "left"])
+
+    judged = rows.withColumn("__judged", arrow_column(spark, left_over, "clean boolean, left string")(seen))
+    clean, left = F.col("__judged.clean"), F.col("__judged.left")
+    if not spans:
+        return judged.filter(clean).select(*docs.columns)
+    out = []
+    for c in docs.columns:
+        if c == text_col:
+            out.append(F.when(clean, F.col(c)).otherwise(left).alias(c))
+        elif c == "n_chars":
+            changed = ~clean & (left != F.col(text_col))
+            out.append(F.when(changed, F.char_length(left)).otherwise(F.col(c)).cast(docs.schema[c].dataType).alias(c))
+        else:
+            out.append(F.col(c))
+    return judged.filter(clean | left.isNotNull()).select(*out)

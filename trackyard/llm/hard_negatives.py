@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from trackyard.llm.common import map_batches, stored
+from trackyard.llm.common import Scratch, map_batches, stored
 
 ARITY, LEVELS = 16, 3
 CHUNK_ROWS = 2048
@@ -412,18 +412,20 @@ def _searched(k: int, same_label: bool):
 class HardNegativeIndex:
     """The tree over (id, label, vector) rows, all of them, in the shared folder."""
 
-    def __init__(self, rows: DataFrame, id_col: str, vector_col: str, label: str | Column, scale: float = 256.0):
+    def __init__(self, rows: DataFrame, id_col: str, vector_col: str, label: str | Column, scale: float = 256.0,
+                 scratch: Scratch | None = None):
         spark = rows.sparkSession
+        keep = scratch.stored if scratch else stored
         label = F.col(label) if isinstance(label, str) else label
         taken = rows.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(_NO_ID)).alias("id"),
                             label.cast("bigint").alias("label"), F.col(vector_col).cast("array<double>").alias("vector")) \
             .filter("label is not null and vector is not null").filter(
                 F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))))
-        points = stored(map_batches(taken, _prepared(scale), "id bigint, label bigint, vector binary, square bigint")
+        points = keep(map_batches(taken, _prepared(scale), "id bigint, label bigint, vector binary, square bigint")
                         .withColumn("key", F.monotonically_increasing_id()), "points")
         n, most = points.agg(F.count("key"), F.max("square")).first()
         self.r = float(np.sqrt(most or 0)) * (1 + 1e-12)
-        levels = min(LEVELS, next(x for x in range(64) if n <= CHUNK_ROWS * ARITY ** x))
+        levels = max(x for x in range(LEVELS + 1) if not x or CHUNK_ROWS * ARITY ** x <= n)
         sample = points.select("vector").orderBy(F.xxhash64("key"), "key").limit(ARITY ** levels * 16) if levels else None
         rows_ = [bytes(x[0]) for x in sample.collect()] if levels else []
         self.top, cells = fit_top(Points(_matrix(rows_), self.r), levels)
@@ -434,7 +436,7 @@ class HardNegativeIndex:
             # at most one row a slot of the bounded top of the tree
             for x in found.groupBy("node", "i", "j").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).collect():
                 nodes[x["node"]].lo[x["i"], x["j"]], nodes[x["node"]].hi[x["i"], x["j"]] = x["lo"], x["hi"]
-        placed = stored(map_batches(points, _placed(self.top, self.r),
+        placed = keep(map_batches(points, _placed(self.top, self.r),
                                     "id bigint, label bigint, vector binary, square bigint, key bigint, cell int"), "placed")
         counts = {x["cell"]: x["count"] for x in placed.groupBy("cell").count().collect()}
         self.pieces = [-(-counts.get(c, 0) // CHUNK_ROWS) for c in range(cells)]
@@ -443,7 +445,7 @@ class HardNegativeIndex:
             "piece", F.pmod(F.xxhash64("key"), "pieces").cast("int")).drop("pieces")
         ordered = self.points.select("id", "label", "vector", "cell", "piece") \
                              .repartition("cell", "piece").sortWithinPartitions("cell", "piece")
-        self.chunks = stored(map_batches(ordered, _chunked(self.r), "cell int, piece int, chunk binary"), "chunks")
+        self.chunks = keep(map_batches(ordered, _chunked(self.r), "cell int, piece int, chunk binary"), "chunks")
 
     def search(self, anchors: DataFrame, k: int, same_label: bool, home: bool = False) -> DataFrame:
         """(key, window, rank, other, score): the best ``k`` rows in each window of each anchor.
@@ -453,7 +455,8 @@ class HardNegativeIndex:
         cols = ["key", "id", "label", "vector", "cell", "piece", "low", "high"]
         blocks = map_batches(anchors.filter(F.size("low") > 0).select(*cols), _routed(self.top, self.pieces, home),
                              "cell int, piece int, block binary")
-        units = blocks.join(self.chunks, ["cell", "piece"])
+        # either side may be large, whatever its estimate says
+        units = blocks.join(self.chunks.hint("merge"), ["cell", "piece"])
         found = map_batches(units.select("cell", "piece", "block", "chunk"), _searched(k, same_label),
                             "key bigint, window int, other bigint, score bigint")
         best = Window.partitionBy("key", "window").orderBy(F.desc("score"), "other")
@@ -468,31 +471,33 @@ def hard_negatives(rows: DataFrame, is_anchor: Column, id_col: str = "vec_id", v
     ``is_anchor`` is a condition on the column ``id``. A negative's score lies between ``low_percent`` and
     ``high_percent`` of the positive's.
     """
-    index = HardNegativeIndex(rows, id_col, vector_col, label)
-    all_scores = [F.array(F.lit(x).cast("bigint")) for x in (_LEAST, _MOST)]
-    anchors = stored(index.points.filter((F.col("id") != _NO_ID) & is_anchor)
-                          .withColumn("low", all_scores[0]).withColumn("high", all_scores[1]), "anchors")
-    near = index.search(anchors, positives, same_label=True, home=True)
-    bound = near.filter(F.col("rank") == positives).select("key", F.array("score").alias("at_least"))
-    bounded = anchors.join(bound, "key", "left").withColumn("low", F.coalesce("at_least", "low")).drop("at_least")
-    found = stored(index.search(bounded, positives, same_label=True), "positives")
-
-    # floors of exact integers; a positive below zero leaves no window
-    low = F.expr(f"-floor(cast(-{low_percent} * cast(score as decimal(38,0)) as decimal(38,0)) / 100)").cast("bigint")
-    high = F.expr(f"floor(cast({high_percent} * cast(score as decimal(38,0)) as decimal(38,0)) / 100)").cast("bigint")
-    windows = found.groupBy("key").agg(F.sort_array(F.collect_list(
-        F.struct("rank", low.alias("low"), high.alias("high")))).alias("w")).select(
-        "key", F.col("w.low").alias("low"), F.col("w.high").alias("high"))
-    windowed = anchors.drop("low", "high").join(windows, "key")
-    mined = index.search(windowed, negatives, same_label=False).select(
-        "key", "window", F.col("rank").cast("int").alias("rank"), F.col("other").alias("negative"),
-        F.col("score").alias("negative_score"))
-    of = found.select("key", (F.col("rank") - 1).alias("window"), F.col("other").alias("positive"),
-                      F.col("score").alias("positive_score"))
-
-    def shown(c: str) -> Column:
-        return F.when(F.col(c) != _NO_ID, F.col(c))
-
-    return mined.join(of, ["key", "window"]).join(anchors.select("key", "id"), "key").select(
-        F.col("id").alias("anchor_id"), shown("positive").alias("positive_id"), "rank",
-        shown("negative").alias("negative_id"), "positive_score", "negative_score")
+    with Scratch(rows.sparkSession) as scratch:
+        index = HardNegativeIndex(rows, id_col, vector_col, label, scratch=scratch)
+        all_scores = [F.array(F.lit(x).cast("bigint")) for x in (_LEAST, _MOST)]
+        anchors = scratch.stored(index.points.filter((F.col("id") != _NO_ID) & is_anchor)
+                              .withColumn("low", all_scores[0]).withColumn("high", all_scores[1]), "anchors")
+        near = index.search(anchors, positives, same_label=True, home=True)
+        bound = near.filter(F.col("rank") == positives).select("key", F.array("score").alias("at_least"))
+        bounded = anchors.join(bound, "key", "left").withColumn("low", F.coalesce("at_least", "low")).drop("at_least")
+        found = scratch.stored(index.search(bounded, positives, same_label=True), "positives")
+
+        # floors of exact integers; a positive below zero leaves no window
+        low = F.expr(f"-floor(cast(-{low_percent} * cast(score as decimal(38,0)) as decimal(38,0)) / 100)").cast("bigint")
+        high = F.expr(f"floor(cast({high_percent} * cast(score as decimal(38,0)) as decimal(38,0)) / 100)").cast("bigint")
+        windows = found.groupBy("key").agg(F.sort_array(F.collect_list(
+            F.struct("rank", low.alias("low"), high.alias("high")))).alias("w")).select(
+            "key", F.col("w.low").alias("low"), F.col("w.high").alias("high"))
+        windowed = anchors.drop("low", "high").join(windows, "key")
+        mined = index.search(windowed, negatives, same_label=False).select(
+            "key", "window", F.col("rank").cast("int").alias("rank"), F.col("other").alias("negative"),
+            F.col("score").alias("negative_score"))
+        of = found.select("key", (F.col("rank") - 1).alias("window"), F.col("other").alias("positive"),
+                          F.col("score").alias("positive_score"))
+
+        def shown(c: str) -> Column:
+            return F.when(F.col(c) != _NO_ID, F.col(c))
+
+        result = mined.join(of, ["key", "window"]).join(anchors.select("key", "id"), "key").select(
+            F.col("id").alias("anchor_id"), shown("positive").alias("positive_id"), "rank",
+            shown("negative").alias("negative_id"), "positive_score", "negative_score")
+        return stored(result, "hard-negatives")

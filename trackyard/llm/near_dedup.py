@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trackyard.llm.common import map_batches, stored, utf8
+from trackyard.llm.common import Scratch, map_batches, stored, utf8
 from trackyard.llm.components import connected_components
 
 SHINGLE = 5
@@ -186,15 +186,9 @@ def _search(unit: list[tuple], similarity: int, least: int) -> list[tuple[bytes,
     """
     h, lo, hi = unit[0][:3]
     members = list({row[4]: row for row in unit}.values())
-    keys, comps = [r[4] for r in members], [r[5] for r in members]
-    root = {c: c for c in comps}
-
-    def top(c):
-        while root[c] != c:
-            root[c] = root[root[c]]
-            c = root[c]
-        return c
-
+    keys = [r[4] for r in members]
+    # the component of each member, as a number; members of one component aren't compared
+    comp = np.unique(np.array([r[5].hex() for r in members]), return_inverse=True)[1]
     block = np.array([r[3] for r in members])
     bands, sigs = np.array([r[7] for r in members], np.int64), np.array([r[8] for r in members], np.int16)
     sets = [np.frombuffer(r[6], np.uint64) for r in members]
@@ -204,7 +198,7 @@ def _search(unit: list[tuple], similarity: int, least: int) -> list[tuple[bytes,
     found = []
     mark = np.zeros(len(vocabulary), bool)
     for a in range(len(keys) - 1):
-        rest = np.arange(a + 1, len(keys))
+        rest = a + 1 + np.flatnonzero(comp[a + 1:] != comp[a])
         fit = 100 * np.minimum(sizes[rest], sizes[a]) >= similarity * np.maximum(sizes[rest], sizes[a])
         if lo != hi:
             fit &= block[rest] != block[a]
@@ -214,14 +208,15 @@ def _search(unit: list[tuple], similarity: int, least: int) -> list[tuple[bytes,
             rest = rest[bands[a][(bands[rest] == bands[a]).argmax(axis=1)] == h]
         if not len(rest):
             continue
-        own = ids[starts[a]:starts[a] + sizes[a]]
-        mark[own] = True
-        both = np.add.reduceat(mark[ids], starts, dtype=np.int64)[rest]
-        mark[own] = False
-        for b in rest[100 * both >= similarity * (sizes[a] + sizes[rest] - both)].tolist():
-            if top(comps[b]) != top(comps[a]):
-                root[top(comps[b])] = top(comps[a])
+        mark[ids[starts[a]:starts[a] + sizes[a]]] = True
+        for b in rest.tolist():
+            if comp[b] == comp[a]:  # linked just now
+                continue
+            both = int(mark[ids[starts[b]:starts[b] + sizes[b]]].sum())
+            if 100 * both >= similarity * (sizes[a] + sizes[b] - both):
+                comp[comp == comp[b]] = comp[a]
                 found.append((keys[a], keys[b]))
+        mark[ids[starts[a]:starts[a] + sizes[a]]] = False
     return found
 
 
@@ -252,21 +247,23 @@ def _links(found: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
 
 
 def class_components(classes: DataFrame, load_sets: Callable[[DataFrame], DataFrame], similarity: int = SIMILARITY,
-                     least: int = 0, block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
+                     least: int = 0, block_shingles: int = BLOCK_SHINGLES, scratch: Scratch | None = None) -> DataFrame:
     """(u, v) of ``connected_components`` over all links between classes.
 
     ``classes`` (key, n, bands, sig) is a written table; ``load_sets`` gives (key, set), written too, for the
-    keys it is asked for. ``least`` is the number of signature entries that must agree.
+    keys it is asked for. ``least`` is the number of signature entries that must agree. Tables on the way,
+    and the result's, live as long as ``scratch``.
     """
+    keep = scratch.stored if scratch else stored
     placed = classes.select("key", "n", F.explode("bands").alias("h"))
     buckets = placed.groupBy("h").agg(F.count("key").alias("members"), F.min("key").alias("centre"),
                                       F.sum("n").alias("total")).filter("members > 1")
-    members = stored(placed.drop("n").join(buckets, "h"), "buckets")
+    members = keep(placed.drop("n").join(buckets, "h"), "buckets")
 
     sig = classes.select("key", "sig")
     stars = members.filter("key <> centre").select(F.col("centre").alias("u"), F.col("key").alias("v")).distinct()
     agree = F.size(F.filter(F.zip_with("a", "b", lambda x, y: x == y), lambda same: same))
-    rated = stored(stars.join(sig.select(F.col("key").alias("u"), F.col("sig").alias("a")), "u")
+    rated = keep(stars.join(sig.select(F.col("key").alias("u"), F.col("sig").alias("a")), "u")
                         .join(sig.select(F.col("key").alias("v"), F.col("sig").alias("b")), "v")
                         .select("u", "v", (agree >= least).alias("close")), "stars")
     close = rated.filter("close").select("u", "v")
@@ -281,7 +278,7 @@ def class_components(classes: DataFrame, load_sets: Callable[[DataFrame], DataFr
                   .join(sets.select(F.col("key").alias("v"), F.col("set").alias("b")), "v")
                   .select("u", "v", "a", "b"))
     links = map_batches(pairs, _confirm(similarity), "u binary, v binary")
-    first = connected_components(links)
+    first = connected_components(links, scratch)
 
     label = first.select(F.col("u").alias("key"), F.col("v").alias("comp"))
     held = members.filter("members > 2").select("h", "key", "total").join(label, "key", "left") \
@@ -297,30 +294,34 @@ def class_components(classes: DataFrame, load_sets: Callable[[DataFrame], DataFr
         "h", "i", "j", "block", "key", "comp", "set", "bands", "sig")
     ordered = loaded.repartition("h", "i", "j").sortWithinPartitions("h", "i", "j")
     more = map_batches(ordered, _search_units(similarity, least), "u binary, v binary")
-    return connected_components(first.unionAll(more))
+    return connected_components(first.unionAll(more), scratch)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     similarity: int = SIMILARITY, block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
-    """(doc, tag, key, n, component) of each row: its class, its set's size and the smallest document reachable."""
-    drawn = stored(sketches(docs, id_col, text_col), "sketches")
-    classes = stored(drawn.filter("n > 0").groupBy("key").agg(
-        F.min("doc").alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands"),
-        F.first("sig").alias("sig")), "classes")
+    """(doc, tag, n, component) of each row: its set's size and the smallest document reachable.
 
+    The one table left in the shared folder is the narrow one that the result reads.
+    """
     def load_sets(wanted: DataFrame) -> DataFrame:
         reps = classes.join(wanted, "key").select("key", F.col("rep").alias("doc"))
         texts = docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(_LONG_MIN)).alias("doc"),
                             utf8(text_col).alias("text")).join(reps, "doc").select("key", "text")
-        return stored(map_batches(texts, _sets, "key binary, set binary").dropDuplicates(["key"]), "sets")
-
-    final = class_components(classes, load_sets, similarity, _least_agreement(similarity), block_shingles)
-    roots = classes.select("key", "rep").join(final.withColumnsRenamed({"u": "key", "v": "root"}), "key", "left") \
-                   .withColumn("root", F.coalesce("root", "key"))
-    least_doc = roots.groupBy("root").agg(F.min("rep").alias("component"))
-    named = roots.join(least_doc, "root").select("key", "component")
-    return drawn.select("doc", "tag", "key", "n").join(named, "key", "left").withColumn(
-        "component", F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc")))
+        return scratch.stored(map_batches(texts, _sets, "key binary, set binary").dropDuplicates(["key"]), "sets")
+
+    with Scratch(docs.sparkSession) as scratch:
+        drawn = scratch.stored(sketches(docs, id_col, text_col), "sketches")
+        classes = scratch.stored(drawn.filter("n > 0").groupBy("key").agg(
+            F.min("doc").alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands"),
+            F.first("sig").alias("sig")), "classes")
+        final = class_components(classes, load_sets, similarity, _least_agreement(similarity), block_shingles, scratch)
+        roots = classes.select("key", "rep").join(final.withColumnsRenamed({"u": "key", "v": "root"}), "key", "left") \
+                       .withColumn("root", F.coalesce("root", "key"))
+        least_doc = roots.groupBy("root").agg(F.min("rep").alias("component"))
+        named = roots.join(least_doc, "root").select("key", "component")
+        judged = drawn.select("doc", "tag", "key", "n").join(named, "key", "left").select(
+            "doc", "tag", "n", F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc")).alias("component"))
+        return stored(judged, "near-duplicates")
 
 
 def _id(c: str):

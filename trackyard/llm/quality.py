@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trackyard.llm.common import map_batches, utf8
+from trackyard.llm.common import arrow_column, map_batches, utf8
 
 BITS = 18
 SAMPLE = 8_000
@@ -207,14 +207,13 @@ def score_documents(docs: DataFrame, weights: np.ndarray, id_col: str = "doc_id"
 
 
 def keep_quality(docs: DataFrame, weights: np.ndarray, threshold: float = 0.3, text_col: str = "text") -> DataFrame:
-    """The documents, all columns, that score ``threshold`` or more."""
+    """The documents, all columns, that score ``threshold`` or more. Python gets the text and returns a verdict."""
     shared = docs.sparkSession.sparkContext.broadcast(weights)
-    at = docs.columns.index(text_col)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         words, w = _Words(), shared.value
-        for batch in batches:
-            keep = [score(w, *vector((t.as_py() or "").encode(), words)) >= threshold for t in batch.column(at)]
-            yield batch.filter(pa.array(keep, pa.bool_()))
+        for texts in batches:
+            yield pa.array([score(w, *vector(t.as_py(), words)) >= threshold for t in texts], pa.bool_())
 
-    return map_batches(docs, run, docs.schema)
+    keep = arrow_column(docs.sparkSession, run, "boolean")
+    return docs.filter(keep(utf8(text_col)))

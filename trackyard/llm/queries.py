@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trackyard.llm import bpe, decontamination, hard_negatives, imatch, line_dedup, near_dedup, paragraph_dedup, pii, quality, \
-    token_files, toxicity
+    resampling, simhash, token_files, toxicity
 from trackyard.llm.common import read_table, shared_path
 
 
@@ -157,6 +157,53 @@ QUALIFY rank <= 3
 """
 
 
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+OP12_SQL = r"""
+WITH rule AS (SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+           lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS tab),
+d AS (SELECT row_number() OVER () AS row, doc_id, coalesce(regexp_extract_all(
+             translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS words FROM documents),
+b AS (SELECT regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark),
+df AS (SELECT row, unnest(words || list_transform(range(1, len(words)), lambda k: words[k] || ' ' || words[k + 1])) AS f FROM d),
+bf AS (SELECT unnest(words || list_transform(range(1, len(words)), lambda k: words[k] || ' ' || words[k + 1])) AS f FROM b),
+df1 AS (SELECT row, f, count(*) AS n FROM df GROUP BY ALL),
+bf1 AS (SELECT f, count(*) AS n FROM bf GROUP BY ALL),
+h AS (SELECT f, hex(encode(f)) AS x FROM (SELECT f FROM df1 UNION SELECT f FROM bf1)),
+y AS (SELECT f, list_transform(range(1, len(x), 2), lambda k: (instr('0123456789ABCDEF', substr(x, k, 1)) - 1) * 16
+                                                    + instr('0123456789ABCDEF', substr(x, k + 1, 1)) - 1) AS bytes FROM h),
+c AS (SELECT f, xor(4294967295, list_reduce(list_prepend(4294967295, bytes),
+             lambda a, x: xor(a >> 8, tab[xor(a & 255, x) + 1]))) % 10000 AS bucket FROM y, rule),
+s AS (SELECT bucket, sum(n) AS n FROM df1 JOIN c USING (f) GROUP BY bucket),
+t AS (SELECT bucket, sum(n) AS n FROM bf1 JOIN c USING (f) GROUP BY bucket),
+a AS (SELECT CAST((SELECT coalesce(sum(n), 0) FROM s) AS DOUBLE) AS s_all, CAST((SELECT coalesce(sum(n), 0) FROM t) AS DOUBLE) AS t_all),
+g AS (SELECT s.bucket, CAST(floor(1000 * ln(((CAST(coalesce(t.n, 0) AS DOUBLE) + 1) * (s_all + 10000))
+                                         / ((CAST(s.n AS DOUBLE) + 1) * (t_all + 10000)))) AS BIGINT) AS gain
+      FROM s LEFT JOIN t USING (bucket), a),
+w AS (SELECT row, CAST(sum(n) AS BIGINT) AS n_features, CAST(floor(CAST(sum(n * gain) AS DOUBLE) / sum(n)) AS BIGINT) AS weight
+      FROM df1 JOIN c USING (f) JOIN g USING (bucket) GROUP BY row),
+z AS (SELECT doc_id, len(words) AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+             list_reduce(list_prepend(0, list_transform(range(1, 9), lambda k:
+                 instr('0123456789abcdef', substr(sha256('7:' || CAST(doc_id AS VARCHAR)), k, 1)) - 1)),
+                 lambda a, x: a * 16 + x) AS h
+      FROM d LEFT JOIN w USING (row)),
+r AS (SELECT doc_id, n_words, n_features, weight,
+             weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score FROM z),
+o AS (SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id) AS place FROM r)
+SELECT doc_id, n_features, weight, score,
+       CASE WHEN n_words >= 20 AND place <= (SELECT 25 * count(*) // 100 FROM r WHERE n_words >= 20) THEN place END AS rank
+FROM o
+"""
+
+
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_report(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_paragraph_dedup": (op1_paragraph_dedup, None),
     "op2_decontamination": (op2_decontamination, OP2_SQL),
@@ -169,4 +216,6 @@ QUERIES = {
     "op9_token_files": (op9_token_files, None),
     "op10_line_dedup": (op10_line_dedup, OP10_SQL),
     "op11_hard_negatives": (op11_hard_negatives, OP11_SQL),
+    "op12_importance_resampling": (op12_importance_resampling, OP12_SQL),
+    "op13_simhash": (op13_simhash, None),
 }
