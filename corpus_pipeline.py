@@ -10,7 +10,16 @@
 
 Each stage works on the documents its predecessor kept, as it left them, and
 writes them to the shared checkpoint folder. All but the last return the
-columns of ``documents``.
+columns of ``documents``. A stage's table is deleted once the next one is written;
+the last stage reads the fourth's, which stays for the caller.
+
+Defined results: a null or empty text is scored like any other by ``quality``;
+if it stays, it has no lines to lose, copies nothing, holds no passage and has no tokens
+(a null stays null up to ``tokens``). Rows that share a doc_id are judged by their own texts
+in each stage but ``lines``, where they count as one document. Equal rows
+stay or go together up to ``near_duplicates``, which keeps all rows of the
+group's smallest id whose texts are in the group. A null doc_id is the smallest. Further columns are carried along,
+whatever their names; ``n_chars`` follows the text. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -18,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from trackyard.llm import bpe, decontamination, line_dedup, near_dedup, quality
-from trackyard.llm.common import read_table, stored
+from trackyard.llm.common import drop_path, read_table, shared_path
 
 QUALITY_THRESHOLD = 0.3
 TOKENIZER = "byte_bpe_50k.json"
@@ -56,7 +65,12 @@ STAGES = [("quality", keep_quality), ("lines", drop_lines), ("near_duplicates",
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; the result is the last stage's."""
-    docs = read_table(spark, sf_dir, "documents")
+    docs, read = read_table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        path = shared_path(spark, f"pipeline-{name}")
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+        if read:
+            drop_path(spark, read)
+        read = path
     return STAGES[-1][1](spark, docs, sf_dir)
