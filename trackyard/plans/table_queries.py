@@ -288,6 +288,11 @@ def _silver(table: str, source: str, block: str, keys: str, file_expr: str, row_
     return run, sql
 
 
+# (l_orderkey, l_linenumber) repeats; all columns together don't. No order has 32 rows, so the number is unique,
+# and the latest row of a key is certain.
+LINE_NUMBER = ("l_orderkey * 32 + row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, "
+               "l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate)")
+
 TABLE_QUERIES = {
     "fact_etcs_call": _fact("fact_etcs_call", "exp_etcs_call", "events", FACT_ETCS_CALL, "imsi", "imsi"),
     "fact_transaction": _fact("fact_transaction", "exp_transaction_tracing", "orders", FACT_TRANSACTION, "imsi", "imsi"),
@@ -299,9 +304,8 @@ TABLE_QUERIES = {
     "silver_transaction": _silver("exp_transaction_tracing", "orders", SILVER_TRANSACTION, "imsi, start_time",
                                   "o_orderkey % 3", "o_orderkey"),
     "silver_handover": _silver("exp_ho_tracing", "lineitem", SILVER_HANDOVER, "imsi, ho_start_time, src_lac, src_ci",
-                               "l_orderkey % 4", "l_orderkey * 8 + l_linenumber"),
+                               "l_orderkey % 4", LINE_NUMBER),
     "silver_matrix": _silver("exp_subscriber_matrix", "events", SILVER_MATRIX, "imsi", "event_id % 5", "event_id"),
     "silver_frame_errors": _silver("exp_hdlc_frame_errors", "lineitem", SILVER_FRAME_ERRORS,
-                                   "nid_engine, frame_error_time, calling_number, direction", "l_orderkey % 4",
-                                   "l_orderkey * 8 + l_linenumber"),
+                                   "nid_engine, frame_error_time, calling_number, direction", "l_orderkey % 4", LINE_NUMBER),
 }
