@@ -165,6 +165,11 @@ def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(w[at])], names=["slot", "weight"])
 
 
+def unit(hashed: str):
+    """A 64-bit hash as a number from 0 up to 1."""
+    return F.shiftrightunsigned(F.col(hashed), 11).cast("double") / float(1 << 53)
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, sample: int = SAMPLE, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """(place, label, text) of about ``sample`` labelled rows that are not held out; ``place`` orders them."""
@@ -173,7 +178,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, sample:
                   .withColumn("place", F.xxhash64("__id", F.lit(11)))
     total = known.count()
     if total > sample:
-        known = known.filter(F.pmod("place", F.lit(1_000_000)) < int(1_000_000 * sample / total))
+        known = known.filter(unit("place") < sample / total)
     # bounded by ``sample``, hence small enough to send to every task
     text = docs.select(F.col(id_col).cast("bigint").alias("__id"), utf8(text_col).alias("text"))
     return text.join(F.broadcast(known), "__id").select("place", "label", "text")

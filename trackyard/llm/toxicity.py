@@ -38,8 +38,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trackyard.llm.common import map_batches, utf8
-from trackyard.llm.quality import held_out
+from trackyard.llm.common import Scratch, map_batches, utf8
+from trackyard.llm.quality import held_out, unit
 
 BITS = 18
 SAMPLE = 3_000         # training documents of each label, about
@@ -185,11 +185,11 @@ def balanced_sample(docs: DataFrame, labels: DataFrame, label_col: str, sample:
                   .groupBy(F.col(id_col).cast("bigint").alias("__id")).agg(F.max(label_col).cast("int").alias("label")) \
                   .withColumn("place", F.xxhash64("__id", F.lit(13)))
     totals = {r[0]: r[1] for r in known.groupBy("label").count().collect()}
-    share = F.lit(0)
+    share = F.lit(0.0)
     for label, n in totals.items():
-        share = F.when(F.col("label") == label, F.lit(int(1_000_000 * min(1.0, sample / n)))).otherwise(share)
+        share = F.when(F.col("label") == label, F.lit(min(1.0, sample / n))).otherwise(share)
     # bounded by twice ``sample``, hence small enough to send to every task
-    chosen = known.filter(F.pmod("place", F.lit(1_000_000)) < share)
+    chosen = known.filter(unit("place") < share)
     text = docs.select(F.col(id_col).cast("bigint").alias("__id"), utf8(text_col).alias("text"))
     return text.join(F.broadcast(chosen), "__id").select("place", "label", "text")
 
@@ -326,8 +326,13 @@ def _fit_curve(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", sample: int = SAMPLE,
           train_words: int = TRAIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> Field | None:
-    """The field, or None if there is nothing to learn from."""
-    rows = balanced_sample(docs, labels, label_col, sample, id_col, text_col)
+    """The field, or None if there is nothing to learn from. The sample is written once: ``docs`` is read for it alone."""
+    with Scratch(docs.sparkSession) as scratch:
+        return _learnt(scratch.stored(balanced_sample(docs, labels, label_col, sample, id_col, text_col), "sample"), train_words)
+
+
+def _learnt(rows: DataFrame, train_words: int) -> Field | None:
+    spark = rows.sparkSession
     marks = marking_features(rows)
     if not marks:
         return None
@@ -341,7 +346,7 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", sample:
     weights[slot[slot >= 0]] = value[slot >= 0]
     extra = value[slot < 0]
     field = Field(weights, float(extra[0]), extra[1:5].reshape(2, 2), extra[5:7], np.zeros(3))
-    seen = map_batches(rows, _evidence_of(docs.sparkSession.sparkContext.broadcast(field)),
+    seen = map_batches(rows, _evidence_of(spark.sparkContext.broadcast(field)),
                        "label int, top double, total double").toPandas()  # three numbers a training document
     if len(seen):
         field.curve = _fit_curve(seen[["top", "total"]].to_numpy(), seen["label"].to_numpy(np.float64))
