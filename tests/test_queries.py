@@ -7,6 +7,7 @@ import pytest
 import __spark_entry__ as E
 from tests.oracle import compare, duck
 from trackyard.plans.analogues import QUERIES
+from trackyard.plans.ingest_queries import INGEST_QUERIES
 from trackyard.plans.table_queries import TABLE_QUERIES
 
 SF = os.environ.get("TRACKYARD_TEST_SF", "/root/testdata/sf0.001")
@@ -19,7 +20,7 @@ def con():
 
 
 # the training-data queries, where they are registered, have tests of their own
-WAREHOUSE = sorted(QUERIES | TABLE_QUERIES)
+WAREHOUSE = sorted(QUERIES | TABLE_QUERIES | INGEST_QUERIES)
 
 
 def test_every_query_has_an_oracle():

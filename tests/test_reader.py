@@ -29,14 +29,17 @@ def test_line_numbers_across_splits(spark, tmp_path):
     try:
         paths = ["file:" + big, "file:" + small]
         assert spark.read.text(paths).rdd.getNumPartitions() > 20
-        lines = X.numbered_lines(spark, paths)
+        lines = X.numbered_records(spark, paths)
         got = {(r["path"].split("/")[-1], r["line_index"]): r["value"] for r in lines.collect()}
         for name, path in (("ETCS-Call-tracing_big.csv", big), ("ETCS-Call-tracing_small.csv", small)):
             with open(path, encoding="utf-8-sig") as f:
                 expected = [ln.rstrip("\r\n") for ln in f if ln.strip()]
             assert [got[(name, i)] for i in range(len(expected))] == expected
             assert (name, len(expected)) not in got
-        heads = {r["path"].split("/")[-1]: r["header_index"] for r in X.file_headers(lines).collect()}
+        listing = X.list_files(spark, folder)
+        files = X.content_files(X.survey(spark, paths), listing).collect()
+        heads = {r["filename"]: r["header_index"] for r in files}
+        assert all(r["header"].lower() == ";".join(headers("exp_etcs_call")).lower() and not r["multi"] for r in files)
         assert heads == {"ETCS-Call-tracing_big.csv": 1, "ETCS-Call-tracing_small.csv": 0}
 
         root = str(tmp_path / "wh")
@@ -79,3 +82,79 @@ def test_special_characters_in_names(spark, tmp_path):
     got = {r["_source_file"]: r["n"] for r in
            bronze.read_bronze(spark, root, "exp_etcs_call").groupBy("_source_file").agg(F.count("*").alias("n")).collect()}
     assert got == {"ETCS-Call-tracing #1 (é) 100%.csv": 4, "ETCS-Call-tracing [a]+{b}.csv": 3}
+
+
+CELLS = ['"a;b"', '"say ""x"""', '"two\nlines"', '"blank\n\n  \ninside; ""q""\n"', 'plain', '', '5" pipe', '""', '"xy"', '"end""\n"']
+
+
+def test_line_breaks_in_cells_across_splits(spark, tmp_path):
+    """Records, their numbers and fields are those of a CSV reader, whatever the splits; no cell's quote is taken for another's."""
+    import csv
+
+    folder = tmp_path / "in"
+    folder.mkdir()
+    expected = {}
+    for name, n, eol in (("a.csv", 400, "\n"), ("b.csv", 7, "\r\n"), ("c.csv", 60, "\n")):
+        rows = [[str(i), CELLS[(i * 7 + len(name)) % len(CELLS)], CELLS[(i * i) % len(CELLS)], "e"] for i in range(n)]
+        if name == "c.csv":
+            rows = [[c.replace("\n", " ") for c in r] for r in rows]
+        text = eol.join(";".join(r) for r in rows) + eol
+        (folder / name).write_bytes(text.encode())
+        read = [r for r in csv.reader(text.replace("\r\n", "\n").splitlines(keepends=True), delimiter=";") if r]
+        expected[name] = [[c or None for c in r] for r in read]
+        assert len(read) == n
+    paths = [f"file:{folder}/{n}" for n in expected]
+    prev = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    ids = []
+    try:
+        for size in ("50", "333", "134217728"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            found = X.numbered_records(spark, paths).withColumn("cell", X.cells(F.col("value"), 4)).withColumn(
+                "n", X.token_count(F.col("value"))).collect()
+            for name, rows in expected.items():
+                mine = sorted((r["line_index"], r["cell"], r["n"]) for r in found if r["path"].endswith(name))
+                assert [m[0] for m in mine] == list(range(len(rows)))
+                assert [m[1] for m in mine] == rows and all(m[2] == 4 for m in mine)
+            listing = X.list_files(spark, str(folder))
+            ids.append(sorted((r["filename"], r["file_id"], r["multi"]) for r in
+                              X.content_files(X.survey(spark, paths), listing).collect()))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", prev)
+    assert ids[0] == ids[1] == ids[2] and [m for _, _, m in ids[0]] == [True, True, False]
+
+
+def test_content_ids_tell_contents_apart(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    lines = [f"{i};x{i % 3}" for i in range(50)]
+    other = [*lines[:10], lines[11], lines[10], *lines[12:]]
+    contents = {"a": "\n".join(lines), "copy": "\n".join(lines), "end": "\n".join(lines) + "\n", "order": "\n".join(other),
+                "crlf": "\r\n".join(lines), "mark": "\ufeff" + "\n".join(lines), "empty": "", "blank": "\n", "turn": "\n".join(lines[::-1])}
+    for name, text in contents.items():
+        (folder / name).write_bytes(text.encode())
+    listing = X.list_files(spark, str(folder))
+    splits = X.survey(spark, [r["path"] for r in listing.collect()])
+    ids = {r["filename"]: r["file_id"] for r in X.content_files(splits, listing).collect()}
+    assert ids["a"] == ids["copy"] and len(set(ids.values())) == len(contents) - 1
+
+
+def test_layouts_are_rows(spark, tmp_path):
+    """Forty header lines of one table in one load, and an unclosed cell beside them."""
+    folder, h = str(tmp_path / "in"), headers("exp_ho_tracing")
+    row = ["2026-05-13 10:00:00.000", "", "2026-05-13 10:00:30.000", "1.5", "1", "2", "3", "4", "604070051706194", "", "", "",
+           "Voice", "", '"a; ""b""', "", ""]
+    row[14] = '"a; ""b""\n\nc"'
+    for k in range(40):
+        by = k % 17
+        short = [x for i, x in enumerate(zip(h, row, strict=True)) if k < 17 or i != 5 + k % 3]
+        turned = short[by % len(short):] + short[:by % len(short)]
+        turned[0] = (f"  {turned[0].upper()}\t", turned[0][1])
+        write_export(folder, f"HO-tracing_{k:02d}.csv", [a for a, _ in turned], [[b for _, b in turned]] * 2)
+    write_export(folder, "HO-tracing_x.csv", h, [row, ['"never', *row[1:]]])
+    root = str(tmp_path / "wh")
+    _, status, st = bronze.run_ingestion(spark, folder, None, root)
+    assert status == "PARTIAL" and (st.files_success, st.files_failed, st.rows_loaded) == (40, 1, 80)
+    b = bronze.read_bronze(spark, root, "exp_ho_tracing")
+    assert b.filter("imsi = 604070051706194 and ho_duration = 1.5 and call_type = 'Voice'").count() == 80
+    assert {r[0] for r in b.select("ho_end_event").distinct().collect()} == {'a; "b"\n\nc'}
+    assert sum(b.filter(f"{c} is null").count() for c in ("src_ci", "trg_lac", "trg_ci")) == 2 * 23

@@ -6,7 +6,7 @@ import shutil
 from pyspark.sql import functions as F
 
 from tests.conftest import SAMPLES
-from tests.exportfiles import headers, transactions_rows, write_export
+from tests.exportfiles import INCIDENT_HEADER, headers, incident_rows, transactions_rows, write_export
 from trackyard.plans import bronze, tracking
 from trackyard.streaming import incremental as U
 
@@ -50,9 +50,9 @@ def test_silver_stream_latest_wins(spark, tmp_path):
     assert merged.count() == 4
     changed = merged.filter(F.col("start_time") == F.lit("2026-05-13 10:00:00").cast("timestamp_ntz")).first()
     assert changed["transaction_duration"] == 540000
-    # a batch on another day leaves the existing day partition untouched
-    day13 = os.path.join(sroot, "incremental", "exp_transaction_tracing", "_part=2026-05-13")
-    before = sorted(f for f in os.listdir(day13) if f.endswith(".parquet"))
+    # a batch on another day leaves the existing day's version untouched
+    before = {r["_part"]: r["version"] for r in U.current_versions(spark, sroot, "exp_transaction_tracing").collect()}
+    assert set(before) == {"2026-05-13"}
     other = transactions_rows()[:1]
     other[0][0] = "2026-05-20 08:00:00.000"
     write_export(inbox, "Transaction-tracing_3.csv", headers("exp_transaction_tracing"), other)
@@ -60,9 +60,69 @@ def test_silver_stream_latest_wins(spark, tmp_path):
     U.start_silver_stream(spark, broot, sroot, "exp_transaction_tracing", str(tmp_path / "c2")).awaitTermination()
     final = U.current_table(spark, sroot, "exp_transaction_tracing")
     assert final.count() == 5
-    days = sorted(os.listdir(os.path.join(sroot, "incremental", "exp_transaction_tracing")))
-    assert [d for d in days if d.startswith("_part=")] == ["_part=2026-05-13", "_part=2026-05-20"]
-    assert sorted(f for f in os.listdir(day13) if f.endswith(".parquet")) == before
+    after = {r["_part"]: r["version"] for r in U.current_versions(spark, sroot, "exp_transaction_tracing").collect()}
+    assert set(after) == {"2026-05-13", "2026-05-20"} and after["2026-05-13"] == before["2026-05-13"]
+    rows = sorted(map(repr, final.collect()))
+    U.drop_old_versions(spark, sroot, "exp_transaction_tracing")
+    assert sorted(map(repr, U.current_table(spark, sroot, "exp_transaction_tracing").collect())) == rows
+    data = os.path.join(sroot, "incremental", "exp_transaction_tracing", "data")
+    assert len([d for d in os.listdir(data) if d.startswith("version=")]) == 2
+
+
+def test_lost_before_publish_changes_nothing(spark, tmp_path, monkeypatch):
+    """A job lost after its data is written, before the version is published, leaves the old state; its repetition is whole."""
+    table, broot, sroot = "exp_transaction_tracing", str(tmp_path / "bronze"), str(tmp_path / "silver")
+    inbox = str(tmp_path / "inbox")
+    write_export(inbox, "Transaction-tracing_1.csv", headers(table), transactions_rows())
+    bronze.ingest_folder(spark, inbox, broot, "b1")
+    U.merge_epoch(spark, bronze.read_bronze(spark, broot, table), sroot, table, "e1")
+    old = sorted(map(repr, U.current_table(spark, sroot, table).collect()))
+    rows = transactions_rows()
+    rows[0][4] = "9min"
+    write_export(inbox, "Transaction-tracing_2.csv", headers(table), rows)
+    bronze.ingest_folder(spark, inbox, broot, "b2")
+    batch = bronze.read_bronze(spark, broot, table).filter("_batch_id = 'b2'")
+    real = tracking.now
+    calls = []
+
+    def lost():  # the second stamp of an epoch is its publication's
+        calls.append(1)
+        if len(calls) == 2:
+            raise OSError("driver lost")
+        return real()
+
+    monkeypatch.setattr(tracking, "now", lost)
+    try:
+        U.merge_epoch(spark, batch, sroot, table, "e2")
+        raise AssertionError("not lost")
+    except OSError:
+        pass
+    monkeypatch.setattr(tracking, "now", real)
+    assert sorted(map(repr, U.current_table(spark, sroot, table).collect())) == old
+    for _ in range(2):  # a repeated epoch comes to the same rows
+        U.merge_epoch(spark, batch, sroot, table, "e2")
+        merged = U.current_table(spark, sroot, table)
+        assert merged.count() == 4 and merged.filter("transaction_duration = 540000").count() == 1
+
+
+def test_repaired_files_load_with_the_next_trigger(spark, tmp_path):
+    """Both sources; a file that failed is offered again, and loaded once it has been repaired in place."""
+    exports, incidents = str(tmp_path / "exports"), str(tmp_path / "incidents")
+    broot = str(tmp_path / "bronze")
+    broken = transactions_rows()
+    broken[1][13] = "no number"
+    write_export(exports, "Transaction-tracing_1.csv", headers("exp_transaction_tracing"), broken)
+    write_export(incidents, "sheet.csv", INCIDENT_HEADER + ["Surprise"], [r + ["x"] for r in incident_rows()], sep_line=False, bom=False)
+
+    def trigger():
+        U.start_export_stream(spark, exports, broot, str(tmp_path / "c1")).awaitTermination()
+        U.start_incident_stream(spark, incidents, broot, str(tmp_path / "c2")).awaitTermination()
+        return [bronze.read_bronze(spark, broot, t).count() for t in ("exp_transaction_tracing", "sp_ertms_disconnects")]
+
+    assert trigger() == [0, 0] and trigger() == [0, 0]
+    write_export(exports, "Transaction-tracing_1.csv", headers("exp_transaction_tracing"), transactions_rows())
+    write_export(incidents, "sheet.csv", INCIDENT_HEADER, incident_rows(), sep_line=False, bom=False)
+    assert trigger() == [5, 4] and trigger() == [5, 4]
 
 
 def test_stream_special_names(spark, tmp_path):

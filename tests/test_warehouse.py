@@ -251,3 +251,20 @@ def test_gold_views_mode(spark, warehouse, tmp_path):
         a = sorted(map(repr, views[name].collect()))
         b = sorted(map(repr, warehouse["gold"][name].collect()))
         assert a == b, name
+
+
+def test_retention(spark, warehouse, tmp_path):
+    """Three loads, of which two are kept: two snapshots of silver and gold are left, and nothing frozen."""
+    root, ckpt = str(tmp_path / "wh"), spark.sparkContext.getCheckpointDir()
+    local = ckpt.removeprefix("file:")
+    held = set(os.listdir(local))
+    for _ in range(3):
+        report = orchestrate.run_all(spark, root, warehouse["exports"], keep_snapshots=2)
+        assert report.silver_status == "SUCCESS"
+    for layer in ("silver", "gold"):
+        names = [d for d in os.listdir(os.path.join(root, layer)) if d.startswith("snapshot=")]
+        assert len(names) == 2 and f"snapshot={report.silver_batch}" in names
+    assert orchestrate.read_gold(spark, os.path.join(root, "gold"), register=False)["fact_etcs_call"].count() == 57
+    assert not [d for d in set(os.listdir(local)) - held if d.startswith(("frozen-", "bronze-"))]
+    with pytest.raises(ValueError):
+        silver.retain_snapshots(spark, os.path.join(root, "silver"), 0)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -23,19 +21,14 @@ def route_source(file_name) -> Column:
     return expr
 
 
-def route_source_py(file_name: str) -> str | None:
-    """Driver-side twin of :func:`route_source` for one name (used on headers/paths)."""
-    name = file_name.lower()
-    for table, tokens in ROUTING:
-        if all(t in name for t in tokens):
-            return table
-    return None
+# white space as a text reader strips it, Unicode's and the separators of ASCII included
+_EDGES = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
 
 
-def normalise_header(c) -> Column:
-    """strip (any whitespace) + lower."""
-    col = F.col(c) if isinstance(c, str) else c
-    return F.lower(F.regexp_replace(col, r"^\s+|\s+$", ""))
+def normalise_header(c, keep_case: bool | Column = False) -> Column:
+    """strip (any white space), and lower unless ``keep_case``."""
+    bare = F.regexp_replace(F.col(c) if isinstance(c, str) else c, _EDGES, "")
+    return F.when(keep_case if isinstance(keep_case, Column) else F.lit(keep_case), bare).otherwise(F.lower(bare))
 
 
 def sanitise_name(c) -> Column:
@@ -43,15 +36,3 @@ def sanitise_name(c) -> Column:
     col = F.col(c) if isinstance(c, str) else c
     replaced = F.regexp_replace(col, r"[^a-zA-Z0-9_]", "_")
     return F.lower(F.regexp_replace(replaced, r"^_+|_+$", ""))
-
-
-_NON_WORD = re.compile(r"[^a-zA-Z0-9_]")
-
-
-def sanitise_name_py(name: str) -> str:
-    return _NON_WORD.sub("_", name).strip("_").lower()
-
-
-def normalise_header_py(name: str, case_sensitive: bool = False) -> str:
-    name = name.strip()
-    return name if case_sensitive else name.lower()

@@ -129,10 +129,15 @@ def na_to_null(c) -> Column:
 _INT_TEXT = r"^\s*[+-]?\d+\s*\z"
 
 
+def is_whole(c) -> Column:
+    """Null, or a whole number's text."""
+    text = _col(c)
+    return text.isNull() | F.coalesce(text.try_cast("decimal(38,10)") % 1 == 0, F.lit(False))
+
+
 def all_whole(c) -> Column:
     """Aggregate: every non-null text is a whole number (other text counts as not whole, not as NULL)."""
-    text = _col(c)
-    return F.bool_and(text.isNull() | F.coalesce(text.try_cast("decimal(38,10)") % 1 == 0, F.lit(False)))
+    return F.bool_and(is_whole(c))
 
 
 def integral_value(c, dtype="bigint") -> Column:

@@ -3,36 +3,40 @@
 One run is a handful of Spark jobs over all files of the folder, not a loop
 over files:
 
-1. list + hash every file (binaryFile, executors), classify against the
-   file log: already ingested / second copy in this batch / routing failure;
-2. per target table, one text scan of its files: header per file, then one
-   validation aggregation per file (row count, surplus fields, bad cells,
-   numeric-text columns);
-3. per target table, one typed append of the files that passed, partitioned
-   by batch (a retried batch overwrites its own partition only);
-4. one append of the per-file results to the file log.
-
-Only per-file summaries (one row per file) reach the driver; row data never do.
+1. one look at every file (``exports.survey``): content id, header, whether cells hold line
+   breaks; then the files are classified against the file log: already ingested / second copy in
+   this batch / routing failure;
+2. header lines are resolved to positions once for each distinct line (``resolve_layouts``);
+3. per target table, one text scan parses every record and writes it to a staged table: typed
+   values, raw texts, and narrow flags (bad cells, surplus fields, whole numbers);
+4. the flags alone are read to judge each file; the records of good files go from the staged table to bronze,
+   partitioned by batch (a retried batch overwrites its own partition only);
+5. one append of the per-file results to the file log.
+
+Files are rows of small tables all the way. The driver gets their paths, because a scan is told
+what to read, and single totals; it never gets a file's summary or any data.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 import secrets
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trackyard.functions import names as N
 from trackyard.functions import parse as P
+from trackyard.operators.ordinal import global_ordinal
 from trackyard.plans import tracking
 from trackyard.schemas import EXPORT_TABLES, INCIDENT_TABLE, SOURCE_EXPORTS, SOURCE_INCIDENTS, SOURCES, SourceSpec
-from trackyard.session import run_concurrently
+from trackyard.session import ensure_checkpoint_dir, frozen_scope, run_concurrently
 from trackyard.sources import exports as X
+from trackyard.sources.files import delete
 
 
 @dataclass
@@ -49,12 +53,6 @@ class Stats:
     def astuple(self):
         return (self.files_total, self.files_success, self.files_skipped, self.files_failed, self.rows_loaded)
 
-    @property
-    def status(self) -> str:
-        if self.files_failed == 0:
-            return "SUCCESS"
-        return "PARTIAL" if self.files_success > 0 else "FAILED"
-
 
 def create_batch_id(prefix: str = "run", at: _dt.datetime | None = None) -> str:
     """A run's own id; it names folders, so it holds nothing that a file system refuses."""
@@ -93,8 +91,8 @@ def classify_listed_files(listed: DataFrame, log: DataFrame) -> DataFrame:
 # typing of one raw text cell
 # --------------------------------------------------------------------------
 
-# FIXED VALUES: how a spreadsheet exported in a French locale writes dates and booleans
-# (English true/false/yes/no/1/0 are understood by the cast itself).
+# how a spreadsheet exported in a French locale writes dates and booleans
+# (English true/false/yes/no/1/0 are understood by the cast itself)
 SHEET_DATE_FORMATS = ("dd/MM/yyyy", "dd/MM/yyyy HH:mm", "dd/MM/yyyy HH:mm:ss")
 SHEET_TRUE = ("VRAI", "OUI")
 SHEET_FALSE = ("FAUX", "NON")
@@ -136,164 +134,180 @@ def typed_cell(raw: Column, kind: str, dtype: T.DataType) -> tuple[Column, Colum
 # per-table load
 # --------------------------------------------------------------------------
 
-@dataclass
-class FileResult:
-    path: str
-    filename: str
-    file_id: str
-    table: str | None
-    status: str
-    row_count: int = 0
-    error: str | None = None
-
-
-def _layout(spec: SourceSpec, header: str | None, sep: str) -> tuple[list[str], list[str]]:
-    """Column name per header position, and unknown names (file fails on those)."""
-    out, unknown = [], []
-    for h in X.split_header(header, sep):
-        key = N.normalise_header_py(h, spec.case_sensitive_headers)
-        name = spec.header_map.get(key)
-        if name is None:
-            # the incident sheet sanitises leftover names; exports keep them
-            name = N.sanitise_name_py(key) if spec.case_sensitive_headers else key
-            if name not in spec.names:
-                unknown.append(name)
-        if name in out:
-            # a CSV reader de-duplicates repeated names as "name.1", which no table has
-            name = f"{name}.{out.count(name)}"
-            unknown.append(name)
-        out.append(name)
-    return out, unknown
-
-
-def _load_table(spark: SparkSession, spec: SourceSpec, files: list[dict], bronze_root: str,
-                batch_id: str, sep: str) -> list[FileResult]:
-    """Validate and append the files routed to one table; returns per-file results."""
-    paths = [f["path"] for f in files]
-    by_path = {f["path"]: f for f in files}
-    # the batch's numbered lines feed three actions (headers, validation, write):
-    # keep them for the duration of this load; a lost block is recomputed from
-    # the files (the numbering is deterministic)
-    lines = X.numbered_lines(spark, paths).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return _load_lines(spark, spec, files, lines, bronze_root, batch_id, sep)
-    finally:
-        lines.unpersist()
+class Staging:
+    """Tables of one run in the shared checkpoint folder; all go when the run ends."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.path = spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/bronze-{uuid.uuid4().hex}"
+
+    def __enter__(self) -> Staging:
+        return self
+
+    def __exit__(self, *_exc) -> None:
+        delete(self.spark, self.path)
+
+    def written(self, df: DataFrame, what: str) -> DataFrame:
+        path = f"{self.path}/{what}-{uuid.uuid4().hex[:8]}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
 
-def _load_or_fail(spark: SparkSession, spec: SourceSpec, files: list[dict], bronze_root: str, batch_id: str,
-                  sep: str) -> list[FileResult]:
+def resolve_layouts(spark: SparkSession, headers: DataFrame, sep: str = X.SEP) -> DataFrame:
+    """(table, header, width, positions, unknown) of each distinct header line of a table.
+
+    ``headers`` has (table, header). A cell is normalised and looked up in the table's header map; what the map
+    doesn't have is a column's own name (sanitised first for the incident sheet) or unknown, and so is a repeated
+    name, as ``name.1``. ``positions`` gives, for each column in table order, the cell that holds it, or null.
+    Layouts are rows, however many there are; the plan is the same.
+    """
+    heads = headers.filter(F.col("header").isNotNull()).distinct().withColumn("width", X.token_count(F.col("header"), sep))
+    most = heads.agg(F.max("width")).first()[0] or 0
+    maps = spark.createDataFrame([(t, h, n) for t, s in SOURCES.items() for h, n in s.header_map.items()],
+                                 "table string, key string, mapped string")
+    columns = spark.createDataFrame([(t, c.name, i) for t, s in SOURCES.items() for i, c in enumerate(s.columns)],
+                                    "table string, name string, ordinal int")
+    keep_case = F.col("table").isin([t for t, s in SOURCES.items() if s.case_sensitive_headers])
+    cell = heads.withColumn("cell", F.slice(X.cells(F.col("header"), most, sep), 1, F.col("width"))) \
+                .select("table", "header", "width", F.posexplode("cell").alias("pos", "text")) \
+                .withColumn("key", N.normalise_header(F.coalesce("text", F.lit("")), keep_case))
+    named = cell.join(maps, ["table", "key"], "left").withColumn(
+        "name", F.coalesce("mapped", F.when(keep_case, N.sanitise_name("key")).otherwise(F.col("key"))))
+    known = named.join(columns, ["table", "name"], "left")
+    earlier = F.col("pos") > F.min("pos").over(Window.partitionBy("table", "header", "name"))
+    judged = known.withColumn("bad", F.when(earlier, F.concat("name", F.lit(".1"))).when(F.col("ordinal").isNull(),
+                                                                                         F.col("name")))
+    at = F.map_from_entries(F.collect_list(F.when(F.col("bad").isNull(), F.struct("ordinal", "pos"))))
+    unknown = F.transform(F.array_sort(F.collect_list(F.when(F.col("bad").isNotNull(), F.struct("pos", "bad")))),
+                          lambda x: x["bad"])
+    widest = max(len(s.columns) for s in SOURCES.values())
+    return judged.groupBy("table", "header", "width").agg(at.alias("at"), unknown.alias("unknown")).select(
+        "table", "header", "width",
+        F.transform(F.sequence(F.lit(0), F.lit(widest - 1)), lambda i: F.try_element_at("at", i)).alias("positions"),
+        F.array_join("unknown", ", ").alias("unknown"))
+
+
+def _failed(files: DataFrame, error: Column) -> DataFrame:
+    return files.select("no", F.lit("FAILED").alias("status"), F.lit(0).cast("bigint").alias("row_count"), error.alias("error"))
+
+
+def _load_table(spark: SparkSession, spec: SourceSpec, files: DataFrame, bronze_root: str, batch_id: str, sep: str,
+                staging: Staging) -> DataFrame:
+    """Parse, judge and append the files routed to one table; returns (no, status, row_count, error) of each.
+
+    ``files`` is a written table of (no, path, filename, file_id, ingested_at, header, header_index, multi).
+    """
+    multi = [r[0] for r in files.filter("multi").select("path").collect()]
+    plain = [r[0] for r in files.filter("not multi").select("path").collect()]
+    if multi:  # a header's cells may hold line breaks too, and a cell may never be closed
+        of, ends = X.multi_line_records(spark, multi, sep)
+        first = of.filter(F.col("id") < 2).groupBy("path").agg(
+            F.max(F.when(F.col("id") == 0, F.col("value"))).alias("l0"), F.max(F.when(F.col("id") == 1, F.col("value"))).alias("l1"))
+        named = F.coalesce(F.col("l0").contains("sep="), F.lit(False))
+        heads = ends.join(first, "path", "left").select("path", "unclosed", F.when(named, F.col("l1")).otherwise(F.col("l0")).alias(
+            "__header"), named.cast("bigint").alias("__at"))
+        files = staging.written(files.join(heads, "path", "left").withColumns(
+            {"header": F.when(F.col("multi"), F.col("__header")).otherwise(F.col("header")),
+             "header_index": F.when(F.col("multi"), F.col("__at")).otherwise(F.col("header_index")),
+             "unclosed": F.coalesce("unclosed", F.lit(False))}).drop("__header", "__at"), "files")
+    else:
+        files = files.withColumn("unclosed", F.lit(False))
+
+    layouts = resolve_layouts(spark, files.select(F.lit(spec.table).alias("table"), "header"), sep).drop("table")
+    laid = staging.written(files.join(layouts, "header", "left").withColumn(
+        "problem", F.when(F.col("unclosed"), F.lit("Error tokenizing data: EOF inside a quoted cell"))
+        .when(F.col("header").isNull(), F.lit("No columns to parse from file"))
+        .when(F.col("unknown") != "", F.concat(F.lit("column(s) "), "unknown",
+                                               F.lit(f' of relation "{spec.table}" do not exist')))), "layouts")
+    refused = _failed(laid.filter("problem is not null"), F.col("problem"))
+    able = laid.filter("problem is null")
+    width = able.agg(F.max("width")).first()[0]
+    if width is None:
+        return staging.written(refused, "results")
+
+    # one text scan: typed values, raw texts, and a flag a column in three numbers a record
+    rows = X.records(spark, plain, multi, sep).join(able.select("path", "no", "width", "positions"), "path")
+    cells = rows.withColumn("__cells", X.cells(F.col("value"), width, sep))
+    raw = {c.name: P.na_to_null(F.get("__cells", F.get("positions", F.lit(i)))) for i, c in enumerate(spec.columns)}
+    cells = cells.withColumns({f"__raw_{n}": v for n, v in raw.items()})
+    typed = {c.name: typed_cell(F.col(f"__raw_{c.name}"), c.kind, c.dtype) for c in spec.columns}
+    texts = [i for i, c in enumerate(spec.columns) if c.kind == "string"]
+    others = [i for i, c in enumerate(spec.columns) if c.kind != "string"]
+    flag = lambda marks: _bits([F.when(m, F.lit(1 << i)).otherwise(F.lit(0)) for i, m in marks])
+    raw_at = lambda i: F.col(f"__raw_{spec.columns[i].name}")
+    staged = staging.written(cells.select(
+        "no", "block", "id", (X.token_count(F.col("value"), sep) > F.col("width")).alias("__surplus"),
+        flag([(i, typed[spec.columns[i].name][1]) for i in others]).alias("__bad"),
+        flag([(i, P.is_whole(raw_at(i))) for i in texts]).alias("__whole"),
+        flag([(i, raw_at(i).isNotNull()) for i in texts]).alias("__filled"),
+        *[typed[c.name][0].cast(c.dtype).alias(c.name) for c in spec.columns]), "staged")
+
+    # the flags alone: records before and in the header line don't count
+    numbered = X.with_index(staged, "no").join(able.select("no", "header_index"), "no") \
+                .filter(F.col("line_index") > F.col("header_index"))
+    judged = numbered.groupBy("no").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if("__surplus").alias("surplus"),
+        *[F.count_if(F.col("__bad").bitwiseAND(F.lit(1 << i)) != 0).alias(f"__bad_{i}") for i in others],
+        F.bit_and("__whole").bitwiseAND(F.bit_or("__filled")).alias("coerce"))
+    amount = lambda c: F.coalesce(F.col(c), F.lit(0))
+    problems = [F.when(amount("surplus") > 0, F.concat(F.lit("Error tokenizing data: "), F.col("surplus"), F.lit(
+        " line(s) with more than "), F.col("width"), F.lit(" fields")))]
+    problems += [F.when(amount(f"__bad_{i}") > 0, F.concat(
+        F.lit(f"invalid input for column {spec.columns[i].name} ({spec.columns[i].kind}): "), F.col(f"__bad_{i}"),
+        F.lit(" value(s)"))) for i in others]
+    verdicts = staging.written(able.join(judged, "no", "left").select(
+        "no", "file_id", "filename", "ingested_at", "header_index", amount("rows").cast("bigint").alias("rows"),
+        amount("coerce").alias("coerce"), F.concat_ws("; ", *problems).alias("problem")), "verdicts")
+    good = verdicts.filter("problem = ''")
+    accepted = good.select("no", F.lit("SUCCESS").alias("status"), F.col("rows").alias("row_count"),
+                           F.lit(None).cast("string").alias("error"))
+    results = staging.written(refused.unionByName(accepted).unionByName(
+        _failed(verdicts.filter("problem <> ''"), F.col("problem"))), "results")
+    if good.isEmpty():
+        return results
+
+    out = []
+    for i, c in enumerate(spec.columns):
+        value = F.col(c.name)
+        if c.kind == "string":
+            # numeric-text columns whose values are all whole are written as integers (13042.0 -> 13042)
+            value = F.when(F.col("coerce").bitwiseAND(F.lit(1 << i)) != 0, P.whole_number_text(value)).otherwise(value)
+        out.append(value.alias(c.name))
+    out += [F.lit(batch_id).alias("_batch_id"), F.col("filename").alias("_source_file"), F.col("ingested_at").alias("_ingested_at"),
+            (F.col("line_index") - F.col("header_index")).cast("int").alias("_row_num"), F.col("file_id").alias("_file_hash")]
+    published = X.with_index(staged, "no").join(good.drop("rows", "problem"), "no") \
+                 .filter(F.col("line_index") > F.col("header_index")).select(*out)
+    write_bronze(published, bronze_root, spec.table, batch_id, good.select(F.col("file_id").alias("_file_hash")))
+    return results
+
+
+def _bits(parts: list[Column]) -> Column:
+    total = F.lit(0).cast("bigint")
+    for part in parts:
+        total = total.bitwiseOR(part.cast("bigint"))
+    return total
+
+
+def _load_or_fail(spark: SparkSession, spec: SourceSpec, files: DataFrame, bronze_root: str, batch_id: str,
+                  sep: str, staging: Staging) -> DataFrame:
     """A table whose load throws fails its own files; the others are loaded and logged."""
     try:
-        return _load_table(spark, spec, files, bronze_root, batch_id, sep)
+        return _load_table(spark, spec, files, bronze_root, batch_id, sep, staging)
     except Exception as exc:  # noqa: BLE001 - recorded for each of its files
         text = f"{type(exc).__name__}: {exc}".splitlines()[0][:500]
-        return [FileResult(f["path"], f["filename"], f["file_id"], spec.table, "FAILED", error=text) for f in files]
-
-
-def _load_lines(spark: SparkSession, spec: SourceSpec, files: list[dict], lines: DataFrame, bronze_root: str,
-                batch_id: str, sep: str) -> list[FileResult]:
-    paths = [f["path"] for f in files]
-    by_path = {f["path"]: f for f in files}
-    headers = {r["path"]: (r["header"], r["header_index"]) for r in X.file_headers(lines).collect()}
-
-    results: list[FileResult] = []
-    layouts: dict[tuple, int] = {}
-    file_rows = []
-    for path in paths:
-        f = by_path[path]
-        header, header_index = headers.get(path, (None, 0))
-        cols, unknown = _layout(spec, header, sep)
-        if not cols:
-            results.append(FileResult(path, f["filename"], f["file_id"], spec.table, "FAILED",
-                                      error="No columns to parse from file"))
-            continue
-        if unknown:
-            results.append(FileResult(path, f["filename"], f["file_id"], spec.table, "FAILED",
-                                      error=f'column(s) {", ".join(unknown)} of relation "{spec.table}" do not exist'))
-            continue
-        lid = layouts.setdefault(tuple(cols), len(layouts))
-        file_rows.append((path, lid, int(header_index), len(cols), f["file_id"], f["filename"],
-                          f["ingested_at"]))
-    if not file_rows:
-        return results
-
-    info = spark.createDataFrame(file_rows, "path string, __layout int, __hidx long, __width int, "
-                                            "_file_hash string, _source_file string, _ingested_at timestamp_ntz")
-    width = max(len(cols) for cols in layouts)
-    # one row per file of the batch (bounded by the listing): broadcast, so the
-    # lines keep their split partitioning instead of being shuffled by file
-    data = (lines.join(F.broadcast(info), "path").filter(F.col("line_index") > F.col("__hidx"))
-                 .withColumn("__p", X.parse_fields(F.col("value"), width, sep))
-                 .withColumn("__tokens", X.token_count(F.col("value"), sep)))
-
-    raw: dict[str, Column] = {}
-    for c in spec.columns:
-        expr = None
-        for cols, lid in layouts.items():
-            if c.name in cols:
-                cell = F.col("__p").getField(f"_c{cols.index(c.name)}")
-                expr = F.when(F.col("__layout") == lid, cell) if expr is None else \
-                    expr.when(F.col("__layout") == lid, cell)
-        raw[c.name] = P.na_to_null(expr) if expr is not None else F.lit(None).cast("string")
-
-    typed = {c.name: typed_cell(raw[c.name], c.kind, c.dtype) for c in spec.columns}
-    string_cols = [c.name for c in spec.columns if c.kind == "string"]
-
-    # pass 1: one aggregation per file (partial per task, one row per file out)
-    aggs = [F.count(F.lit(1)).alias("rows"),
-            F.count_if(F.col("__tokens") > F.col("__width")).alias("surplus")]
-    aggs += [F.count_if(typed[n][1]).alias(f"bad__{n}") for n in typed if n not in string_cols]
-    aggs += [P.all_whole(raw[n]).alias(f"int__{n}") for n in string_cols]
-    aggs += [F.count(raw[n]).alias(f"nn__{n}") for n in string_cols]
-    checks = {r["path"]: r.asDict() for r in data.groupBy("path").agg(*aggs).collect()}
-
-    good_rows = []
-    for path, lid, hidx, w, fid, fname, ing in file_rows:
-        chk = checks.get(path, {"rows": 0, "surplus": 0})
-        problems = []
-        if chk.get("surplus"):
-            problems.append(f"Error tokenizing data: {chk['surplus']} line(s) with more than {w} fields")
-        for n in typed:
-            if n not in string_cols and chk.get(f"bad__{n}"):
-                problems.append(f"invalid input for column {n} ({spec.column(n).kind}): {chk[f'bad__{n}']} value(s)")
-        if problems:
-            results.append(FileResult(path, fname, fid, spec.table, "FAILED", error="; ".join(problems)))
-            continue
-        # numeric-text columns whose values are all whole are written as integers (13042.0 -> 13042)
-        coerce = [n for n in string_cols if chk.get(f"int__{n}") and chk.get(f"nn__{n}")]
-        good_rows.append((path, "|".join(coerce)))
-        results.append(FileResult(path, fname, fid, spec.table, "SUCCESS", row_count=int(chk.get("rows", 0))))
-
-    if good_rows:
-        good = spark.createDataFrame(good_rows, "path string, __coerce string")
-        out = data.join(F.broadcast(good), "path")
-        cols = []
-        for c in spec.columns:
-            value = typed[c.name][0]
-            if c.kind == "string":
-                value = F.when(F.array_contains(F.split("__coerce", r"\|"), F.lit(c.name)),
-                               P.whole_number_text(raw[c.name])).otherwise(raw[c.name])
-            cols.append(value.cast(c.dtype).alias(c.name))
-        cols += [F.lit(batch_id).alias("_batch_id"), F.col("_source_file"), F.col("_ingested_at"),
-                 (F.col("line_index") - F.col("__hidx")).cast("int").alias("_row_num"), F.col("_file_hash")]
-        own = {r.file_id for r in results if r.status == "SUCCESS"}
-        write_bronze(out.select(*cols), bronze_root, spec.table, batch_id, own)
-    return results
+        return staging.written(_failed(files, F.lit(text)), "results")
 
 
 def write_bronze(df: DataFrame, bronze_root: str, table: str, batch_id: str | None = None,
-                 hashes: set[str] | None = None) -> None:
+                 hashes: DataFrame | None = None) -> None:
     """Typed append, one directory per batch; a retried batch replaces only its own directory.
 
-    With ``batch_id`` and the ``hashes`` about to be written, a batch directory that holds
+    With ``batch_id`` and the ``hashes`` (``_file_hash``) about to be written, a batch directory that holds
     any other file's rows is left alone and the write refused: another run has used the id.
     """
     if batch_id is not None and hashes is not None:
         held = f"{bronze_root}/{table}/_batch_id={batch_id}"
         if tracking._exists(df.sparkSession, held):
-            others = (df.sparkSession.read.parquet(held).filter(~F.col("_file_hash").isin(sorted(hashes)))
-                        .select("_file_hash"))
+            others = df.sparkSession.read.parquet(held).select("_file_hash").join(hashes, "_file_hash", "left_anti")
             if not others.isEmpty():
                 raise ValueError(f"batch {batch_id} of {table} holds rows of other files")
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -315,16 +329,24 @@ def read_bronze(spark: SparkSession, bronze_root: str, table: str) -> DataFrame:
 def ingest_folder(spark: SparkSession, folder: str | Sequence[str], bronze_root: str, batch_id: str,
                   source_system: str = SOURCE_EXPORTS, tables: Sequence[str] | dict | None = None,
                   sep: str = X.SEP, tracking_root: str | None = None,
-                  started: _dt.datetime | None = None) -> Stats:
+                  started: _dt.datetime | None = None, ledger: str | None = None) -> Stats:
     """Ingest every file of ``folder`` (or an explicit list of files); returns the run statistics.
 
     ``tables`` None routes export files by name (S3); a single table (the
     incident sheet) takes every file; a dict ``{folder: table}`` routes a
-    directory-per-source layout. Per-file outcomes go to the file log.
+    directory-per-source layout. Per-file outcomes go to the file log, and by path to ``ledger`` if there is one.
     """
     tracking_root = tracking_root or bronze_root
     started = started or tracking.now()
-    hashed = X.list_files(spark, folder, with_hash=True)
+    listing = X.list_files(spark, folder)
+    # Spark's scans are told their files by the driver; nothing else of a file is there
+    paths = [r["path"] for r in listing.select("path").collect()]
+    unread = spark.createDataFrame([(n,) for _, n in X.hidden_files(spark, folder)], "filename string").select(
+        F.concat(F.lit("unread:"), "filename").alias("file_id"), "filename", F.lit(0).cast("bigint").alias("no"),
+        F.lit("FAILED").alias("status"), F.lit(0).cast("bigint").alias("row_count"),
+        F.lit("a name beginning with _ or . is not read").alias("error"))
+    if not paths and unread.isEmpty():
+        return Stats()
     if tables is None:
         route = N.route_source("filename")
     elif isinstance(tables, dict):
@@ -334,71 +356,82 @@ def ingest_folder(spark: SparkSession, folder: str | Sequence[str], bronze_root:
             route = F.when(cond, F.lit(table)) if route is None else route.when(cond, F.lit(table))
     else:
         route = F.lit(tables[0])
-    # one row per listed file (metadata only) reaches the driver
-    listing = hashed.withColumn("table", route).select("path", "filename", "file_id", "table").collect()
-    # the file log grows with history: read only this listing's hashes (a scan filter,
-    # no join against, and no shuffle of, every file ever seen)
-    ids = sorted({r["file_id"] for r in listing})
-    log = tracking.read_log(spark, tracking_root, tracking.FILE_LOG).filter(F.col("file_id").isin(ids))
-    unread = [FileResult(p, n, f"unread:{n}", None, "FAILED", error="a name beginning with _ or . is not read")
-              for p, n in X.hidden_files(spark, folder)]
-    listed = spark.createDataFrame([tuple(r) for r in listing],
-                                   "path string, filename string, file_id string, table string")
-    classified = classify_listed_files(listed, log)
-    files = sorted((r.asDict() for r in classified.collect()),
-                   key=lambda r: (r["filename"].lower(), r["filename"], r["path"]))
-    if not files and not unread:
-        return Stats()
 
-    stats = Stats(files_total=len(files) + len(unread))
-    results: list[FileResult] = unread
-    todo: dict[str, list[dict]] = {}
-    waves = 0
-    copies: list[dict] = []
-    for i, f in enumerate(files):
-        # one load stamp per file, in processing order: a later file wins ties in silver
-        f["ingested_at"] = started + _dt.timedelta(microseconds=i)
-        if f["decision"] == "SKIPPED":
-            results.append(FileResult(f["path"], f["filename"], f["file_id"], f["table"], "SKIPPED"))
-        elif f["decision"] == "COPY":
-            copies.append(f)
-        elif f["decision"] == "UNROUTED":
-            results.append(FileResult(f["path"], f["filename"], f["file_id"], None, "FAILED",
-                                      error="the name fits no known export"))
-        else:
-            todo.setdefault(f["table"], []).append(f)
-
-    while todo:
+    with Staging(spark) as staging, frozen_scope(spark):
+        splits = staging.written(X.survey(spark, paths, sep), "splits") if paths else None
+        files = _decided(spark, X.content_files(splits, listing).withColumn("table", route), tracking_root, started,
+                         staging) if paths else None
+        results = _load_files(spark, files, bronze_root, batch_id, sep, staging) if paths else []
+        outcome = unread
+        if paths:
+            judged = staging.written(files.join(_union(results), "no").select(
+                "file_id", "filename", "no", "status", "row_count", "error", "path"), "judged")
+            outcome = outcome.unionByName(judged.drop("path"))
+            if ledger:
+                tracking.record_paths(judged, ledger, batch_id)
+        # processed_at follows processing order, so the current state per hash is the last decision
+        processed = F.lit(tracking.now()).cast("timestamp_ntz")
+        logged = staging.written(outcome.select(
+            "file_id", F.lit(batch_id).alias("batch_id"), F.lit(source_system).alias("source_system"),
+            _after_micros(processed, F.col("no")).alias("processed_at"), "filename",
+            F.when(F.col("status") == "SUCCESS", F.col("row_count")).otherwise(0).cast("bigint").alias("row_count"),
+            "status", F.col("error").alias("error_message")), "log")
+        tracking.record_file_results(logged, tracking_root)
+        of = lambda status: F.count_if(F.col("status") == status)
+        return Stats(*logged.agg(F.count(F.lit(1)), of("SUCCESS"), of("SKIPPED"), of("FAILED"),
+                                 F.coalesce(F.sum("row_count"), F.lit(0))).first())
+
+
+def _after_micros(stamp: Column, n: Column) -> Column:
+    return stamp + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), (n / F.lit(1_000_000)).cast("decimal(18,6)"))
+
+
+def _decided(spark: SparkSession, files: DataFrame, tracking_root: str, started: _dt.datetime, staging: Staging) -> DataFrame:
+    """The files with their decision, place in processing order (``no``, from 0) and load stamp."""
+    files = staging.written(files, "listing")
+    # the file log grows with history: only the rows of this listing's contents leave its scan
+    log = tracking.read_log(spark, tracking_root, tracking.FILE_LOG).join(
+        files.select("file_id").distinct(), "file_id", "left_semi")
+    ordered = global_ordinal(classify_listed_files(files, log), [F.lower("filename"), F.col("filename"), F.col("path")], "no")
+    # one load stamp per file, in processing order: a later file wins ties in silver
+    placed = ordered.withColumn("no", F.col("no") - 1)
+    return staging.written(placed.withColumn(
+        "ingested_at", _after_micros(F.lit(started).cast("timestamp_ntz"), F.col("no"))), "decided")
+
+
+def _load_files(spark: SparkSession, files: DataFrame, bronze_root: str, batch_id: str, sep: str,
+                staging: Staging) -> list[DataFrame]:
+    """Load what is new, table by table; returns the files' results as tables of (no, status, row_count, error)."""
+    skipped = lambda df: df.select("no", F.lit("SKIPPED").alias("status"), F.lit(0).cast("bigint").alias("row_count"),
+                                   F.lit(None).cast("string").alias("error"))
+    results = [skipped(files.filter("decision = 'SKIPPED'")),
+               _failed(files.filter("decision = 'UNROUTED'"), F.lit("the name fits no known export"))]
+    todo, copies, wave = files.filter("decision = 'NEW'"), files.filter("decision = 'COPY'"), 0
+    while True:
         # the tables are independent: their jobs run side by side
-        loads = [lambda t=t, fs=fs: _load_or_fail(spark, SOURCES[t], fs, bronze_root, wave_id, sep)
-                 for wave_id in [batch_id if not waves else f"{batch_id}-{waves}"] for t, fs in todo.items()]
-        for table_results in run_concurrently(loads):
-            results.extend(table_results)
+        names = [r[0] for r in todo.select("table").distinct().collect()]
+        wave_id = f"{batch_id}-{wave}" if wave else batch_id
+        results += run_concurrently([
+            lambda t=t, w=wave_id: _load_or_fail(spark, SOURCES[t], staging.written(todo.filter(F.col("table") == t), "todo"),
+                                                 bronze_root, w, sep, staging) for t in names])
+        if copies.isEmpty():
+            return results
         # a copy is skipped once its content is in; else the next copy has its turn
-        done = {r.file_id for r in results if r.status == "SUCCESS"}
-        todo, later, waves = {}, [], waves + 1
-        for f in copies:
-            if f["file_id"] in done:
-                results.append(FileResult(f["path"], f["filename"], f["file_id"], f["table"], "SKIPPED"))
-            elif any(g["file_id"] == f["file_id"] for fs in todo.values() for g in fs):
-                later.append(f)
-            else:
-                todo.setdefault(f["table"], []).append(f)
-        copies = later
-
-    for r in results:
-        stats.files_success += r.status == "SUCCESS"
-        stats.files_skipped += r.status == "SKIPPED"
-        stats.files_failed += r.status == "FAILED"
-        stats.rows_loaded += r.row_count if r.status == "SUCCESS" else 0
-
-    # processed_at follows processing order, so the current state per hash is the last decision
-    processed = tracking.now()
-    order = {f["path"]: i for i, f in enumerate(files)}
-    rows = [(r.file_id, batch_id, source_system, processed + _dt.timedelta(microseconds=order.get(r.path, 0)),
-             r.filename, r.row_count if r.status == "SUCCESS" else 0, r.status, r.error) for r in results]
-    tracking.record_file_results(spark.createDataFrame(rows, tracking.FILE_LOG_SCHEMA), tracking_root)
-    return stats
+        done = files.join(_union(results[2:]).filter("status = 'SUCCESS'"), "no", "left_semi").select("file_id").distinct() \
+            if len(results) > 2 else files.select("file_id").limit(0)
+        results.insert(2, skipped(staging.written(copies.join(done, "file_id", "left_semi"), "copies")))
+        left = staging.written(copies.join(done, "file_id", "left_anti"), "copies")
+        first = left.groupBy("file_id").agg(F.min("no").alias("no"))
+        todo, copies, wave = left.join(first, ["file_id", "no"], "left_semi"), left.join(first, ["file_id", "no"], "left_anti"), wave + 1
+        if left.isEmpty():
+            return results
+
+
+def _union(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
 
 
 def run_ingestion(spark: SparkSession, exports_dir: str | None, incidents_dir: str | None, bronze_root: str,
@@ -414,7 +447,7 @@ def run_ingestion(spark: SparkSession, exports_dir: str | None, incidents_dir: s
         if incidents_dir:
             total = total + ingest_folder(spark, incidents_dir, bronze_root, batch_id, SOURCE_INCIDENTS,
                                           tables=[INCIDENT_TABLE], sep=incidents_sep, started=started)
-        status = total.status
+        status = tracking.batch_status(spark, bronze_root, batch_id)
     except Exception as exc:  # noqa: BLE001 - the run row records any failure
         status, error, total = "FAILED", f"{type(exc).__name__}: {exc}", Stats()
     tracking.record_run_end(spark, bronze_root, batch_id, "bronze", started, status, total.files_total,

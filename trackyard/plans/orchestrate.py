@@ -15,7 +15,7 @@ from trackyard.plans import bronze as B
 from trackyard.plans import gold as G
 from trackyard.plans import silver as S
 from trackyard.plans import tracking
-from trackyard.session import run_concurrently
+from trackyard.session import frozen_scope, run_concurrently
 
 
 @dataclass
@@ -35,8 +35,9 @@ def publish_gold(spark: SparkSession, silver_root: str, gold_root: str, snapshot
     write the facts next to it, or, with ``materialise_facts=False``, leave them as
     views that ``read_gold`` builds on the fly, as the original's gold views were."""
     silver = S.read_silver(spark, silver_root, snapshot)
-    dim, dim_rows = G.build_dim(silver)
-    dim.write.mode("overwrite").parquet(f"{gold_root}/snapshot={snapshot}/dim_subscriber")
+    with frozen_scope(spark):
+        dim, dim_rows = G.build_dim(silver)
+        dim.write.mode("overwrite").parquet(f"{gold_root}/snapshot={snapshot}/dim_subscriber")
     rows = {"dim_subscriber": dim_rows}
     if materialise_facts:
         dim = spark.read.parquet(f"{gold_root}/snapshot={snapshot}/dim_subscriber")
@@ -76,7 +77,8 @@ def read_gold(spark: SparkSession, gold_root: str, register: bool = True, silver
 
 
 def run_all(spark: SparkSession, warehouse: str, exports_dir: str | None, incidents_dir: str | None = None,
-            incidents_sep: str = ";") -> RunReport:
+            incidents_sep: str = ";", keep_snapshots: int | None = None) -> RunReport:
+    """Bronze, silver and gold; with ``keep_snapshots`` older snapshots of silver and gold are removed afterwards."""
     bronze_root, silver_root, gold_root = (f"{warehouse}/bronze", f"{warehouse}/silver", f"{warehouse}/gold")
     bid, bstatus, bstats = B.run_ingestion(spark, exports_dir, incidents_dir, bronze_root,
                                            incidents_sep=incidents_sep)
@@ -87,4 +89,7 @@ def run_all(spark: SparkSession, warehouse: str, exports_dir: str | None, incide
     report.silver_batch, report.silver_status, report.silver_counts = sid, sstatus, counts
     if sstatus == "SUCCESS":
         report.gold_rows = publish_gold(spark, silver_root, gold_root, sid)
+        if keep_snapshots:
+            for root in (silver_root, gold_root):
+                S.retain_snapshots(spark, root, keep_snapshots)
     return report

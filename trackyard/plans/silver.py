@@ -22,6 +22,7 @@ from trackyard.plans import tracking
 from trackyard.plans.bronze import read_bronze
 from trackyard.schemas import ALL_TABLES, LINEAGE_COLUMNS, SOURCES
 from trackyard.session import run_concurrently
+from trackyard.sources.files import delete
 
 RATE_COLUMNS = ("sccp_success_rate", "cell_success_rate", "dispatcher_success_rate")
 POINTER = "_published"
@@ -113,6 +114,26 @@ def current_snapshot(spark: SparkSession, root: str) -> str | None:
     return latest[0]["snapshot"] if latest else None
 
 
+def retain_snapshots(spark: SparkSession, root: str, keep: int) -> list[str]:
+    """Delete the snapshots that were published before the latest ``keep`` ones; returns their names.
+
+    Only snapshots that the pointer log names are touched: one that is being written has no pointer yet. A reader
+    of the current snapshot is safe for the next ``keep - 1`` loads.
+    """
+    if keep < 1:
+        raise ValueError("the current snapshot has to stay")
+    path = f"{root}/{POINTER}"
+    if not tracking._exists(spark, path):
+        return []
+    # one row a snapshot name; a name that was published again counts by its last time
+    names = [r["snapshot"] for r in spark.read.parquet(path).groupBy("snapshot").agg(F.max("published_at").alias("at"))
+             .orderBy(F.col("at").desc(), F.col("snapshot").desc()).select("snapshot").collect()]
+    gone = [n for n in names[keep:] if tracking._exists(spark, f"{root}/snapshot={n}")]
+    for name in gone:
+        delete(spark, f"{root}/snapshot={name}")
+    return gone
+
+
 def read_silver(spark: SparkSession, silver_root: str, snapshot: str | None = None) -> dict[str, DataFrame]:
     snapshot = snapshot or current_snapshot(spark, silver_root)
     if snapshot is None:

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from trackyard.operators.merge import latest_state
 from trackyard.schemas import FILE_LOG_SCHEMA, RUN_LOG_SCHEMA
+from trackyard.sources.files import exists as _exists
 
 RUN_LOG = "_tracking/ingest_runs"
 FILE_LOG = "_tracking/ingest_files"
@@ -27,16 +28,6 @@ def now() -> _dt.datetime:
     return _dt.datetime.now(_dt.UTC).replace(tzinfo=None)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    """Whether the path is there, as the file system it belongs to says.
-
-    Only a real "not found" is False. A store that can't be asked (no connector,
-    no permission, throttling) raises: an unreadable table is not an empty one.
-    """
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
-
-
 def _schema(which: str):
     return RUN_LOG_SCHEMA if which == RUN_LOG else FILE_LOG_SCHEMA
 
@@ -111,6 +102,19 @@ def files(spark: SparkSession, root: str) -> DataFrame:
     return latest_state(read_log(spark, root, FILE_LOG), ["file_id"], "processed_at")
 
 
+def record_paths(results: DataFrame, ledger: str, batch_id: str) -> None:
+    """Append what became of each path (path, status, error)."""
+    results.select("path", "status", "error", F.lit(batch_id).alias("batch_id"), F.lit(now()).cast("timestamp_ntz").alias(
+        "recorded_at")).write.mode("append").parquet(ledger)
+
+
+def failed_paths(spark: SparkSession, ledger: str) -> DataFrame:
+    """(path, error) of the paths whose last outcome is FAILED."""
+    if not _exists(spark, ledger):
+        return spark.createDataFrame([], "path string, error string")
+    return latest_state(spark.read.parquet(ledger), ["path"], "recorded_at").filter("status = 'FAILED'").select("path", "error")
+
+
 # --- T5 / T6 status roll-up -------------------------------------------------
 
 def rollup_status(failed, success):
@@ -162,6 +166,13 @@ def run_totals(spark: SparkSession, root: str) -> DataFrame:
     return totals_by_source(latest_state(log, ["batch_id", "file_id", "filename"], "processed_at"))
 
 
+def batch_status(spark: SparkSession, root: str, batch_id: str) -> str:
+    """T5: the status of a run, rolled up from its files' results; a run without files has succeeded."""
+    log = read_log(spark, root, FILE_LOG).filter(F.col("batch_id") == batch_id)
+    row = totals_by_source(log).filter(F.col("source_system").isNull()).select("status").first()
+    return row["status"] if row else "SUCCESS"
+
+
 def totals_by_source(per_file: DataFrame) -> DataFrame:
     """ROLLUP(batch_id, source_system) of per-file results; the NULL-source row is the run total."""
     agg = per_file.rollup("batch_id", "source_system").agg(

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -75,6 +76,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         "so lineage cuts survive executor loss")
 
 
+_SCOPES: list[list[str]] = []
+
+
 def freeze(df):
     """Cut lineage by writing ``df`` as Parquet under the checkpoint folder and reading it back.
 
@@ -82,14 +86,30 @@ def freeze(df):
     it twice unless persisted), the copy lives on the shared checkpoint
     storage so it survives executor loss, and later scans of it get column
     pruning. Used where a recomputation could change the result (sampled range
-    bounds, monotonically increasing ids).
+    bounds, monotonically increasing ids). Inside a ``frozen_scope`` the copy goes when the scope ends.
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/frozen-{uuid.uuid4().hex}"
+    if _SCOPES:
+        _SCOPES[-1].append(path)
     df.write.parquet(path)
     return spark.read.parquet(path)
 
 
+@contextmanager
+def frozen_scope(spark: SparkSession):
+    """What is frozen inside is deleted at the end; results that read it must have been written by then."""
+    _SCOPES.append(paths := [])
+    try:
+        yield
+    finally:
+        _SCOPES.pop()
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        for path in paths:
+            target = jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(conf).delete(target, True)
+
+
 def run_concurrently(tasks, max_workers: int | None = None) -> list:
     """Run independent driver-side job builders (one table each) on threads.
 

@@ -1,55 +1,52 @@
 """Readers for delimited exports (S1, S2, S4, S8, S10) as distributed scans.
 
 An export is UTF-8 text, optionally with a BOM and an Excel ``sep=`` first
-line, CRLF endings, ``;`` separated, header on the next line. Spark's text
-source splits big files, strips the BOM and the CR, and tags every line with
-its file; per-split line counts give exact per-file line numbers without
-sending a whole file to one task.
+line, CRLF endings, ``;`` separated, header on the next line. Quoted cells may
+hold separators, quotes and line breaks.
+
+Spark's text source splits big files, strips the BOM and line ends, and tags
+every line with its file and split. No file is ever funnelled through one task:
+
+* ``survey`` reads each file once and keeps one row a split: a digest of its lines that
+  can be shifted to any place in the file, its first lines, and whether a line leaves a cell open.
+* ``content_files`` puts the splits of a file together: content id, header, and
+  whether cells hold line breaks. Ids don't depend on how a file was split.
+* ``records`` gives one row a record. Only files with a line that leaves a cell open
+  need their lines' quote states carried through; the rest are taken line by line.
+* ``with_index`` numbers the records of a file from 0, by its splits' counts.
 """
 
 from __future__ import annotations
 
-import csv
-import io
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from trackyard.sources.files import exists, hadoop_path
+
 SEP = ";"
-CSV_OPTIONS = {"sep": SEP, "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
+QUOTE = '"'
+CSV_OPTIONS = {"sep": SEP, "quote": QUOTE, "escape": QUOTE, "mode": "PERMISSIVE"}
+LANES = 4  # independent 48-bit line hashes in a content id
+_POSITION = (1 << 33) - 1  # the part of monotonically_increasing_id that counts within a partition
 
 
-def list_files(spark: SparkSession, folder: str | Sequence[str], with_hash: bool = False) -> DataFrame:
-    """S2 (+S10): files directly in ``folder`` (not recursive); empty if the folder is missing.
+def list_files(spark: SparkSession, folder: str | Sequence[str]) -> DataFrame:
+    """(path, length, filename) of the files directly in ``folder`` (not recursive); none if it is missing.
 
-    Listing goes through the binaryFile source: without ``with_hash`` the
-    content column is pruned and only metadata is read; with it, each file's
-    sha-256 is computed on the executors (``file_id``).
+    Listing goes through the binaryFile source; the content column is pruned, so only metadata is read.
     """
-    cols = [F.col("path"), F.col("length"), F.element_at(F.split("path", "/"), -1).alias("filename")]
-    schema = "path string, length bigint, filename string"
-    if with_hash:
-        cols.append(F.sha2("content", 256).alias("file_id"))
-        schema += ", file_id string"
-    try:
-        src = glob_escape(folder) if isinstance(folder, str) else [glob_escape(f) for f in folder]
-        if not src:
-            return spark.createDataFrame([], schema)
-        listed = (spark.read.format("binaryFile").option("recursiveFileLookup", "false")
-                  .load(src).select(*cols))
-        listed.schema  # noqa: B018 - resolves the folder now
-    except Exception as exc:  # noqa: BLE001
-        if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
-            return spark.createDataFrame([], schema)
-        raise
-    return listed
+    found = [glob_escape(f) for f in ([folder] if isinstance(folder, str) else folder) if exists(spark, f)]
+    if not found:
+        return spark.createDataFrame([], "path string, length bigint, filename string")
+    return (spark.read.format("binaryFile").option("recursiveFileLookup", "false").load(found)
+                 .select("path", "length", F.element_at(F.split("path", "/"), -1).alias("filename")))
 
 
 def qualified(spark: SparkSession, path: str) -> str:
     """The path as listings report it: with its file system's scheme and authority."""
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    p, fs = hadoop_path(spark, path)
     return fs.makeQualified(p).toString()
 
 
@@ -60,8 +57,7 @@ def hidden_files(spark: SparkSession, folder: str | Sequence[str]) -> list[tuple
     """
     out = []
     for one in [folder] if isinstance(folder, str) else folder:
-        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(one)
-        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        p, fs = hadoop_path(spark, one)
         if not fs.exists(p):
             continue
         for status in fs.listStatus(p):
@@ -88,58 +84,198 @@ def file_path_column():
     return F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B"))).alias("path")
 
 
-def numbered_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Non-blank lines of the files with a 0-based per-file line index.
+def raw_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """(path, block, value, id) of every line; ``block`` is its split's first byte, ``id`` grows within a split."""
+    return (spark.read.text([glob_escape(p) for p in paths])
+                 .select(file_path_column(), F.col("_metadata.file_block_start").alias("block"), "value")
+                 .withColumn("id", F.monotonically_increasing_id()))
+
+
+def not_blank(value: str | Column = "value") -> Column:
+    return F.trim(F.col(value) if isinstance(value, str) else value) != ""
+
+
+# --------------------------------------------------------------------------
+# quoted cells
+# --------------------------------------------------------------------------
+# A line is cut at its quotes. Between them a reader is in one of four states:
+# 0 at the start of a cell, 1 inside a plain cell, 2 inside a quoted cell, 3 after
+# a quote inside a quoted cell, which ends it unless another quote follows.
+
+def _after_quote(state: Column) -> Column:
+    return F.when(state == 0, 2).when(state == 1, 1).when(state == 2, 3).otherwise(2)
+
+
+def _after_text(state: Column, text: Column, sep: str) -> Column:
+    return F.when((text == "") | (state == 2), state).when(text.endswith(sep), 0).otherwise(1)
+
 
-    ``monotonically_increasing_id`` numbers the rows of each scan partition
-    contiguously; a split of a file lives in one partition, so its lines are
-    ``first_id .. first_id + n - 1``. The per-split counts (one row per split)
-    give each split's offset inside its file. The scan is deterministic, so
-    the two uses of it agree on the ids.
+def leaves_open(value: Column, begins_open: bool, sep: str = SEP) -> Column:
+    """1 if a line that begins inside a quoted cell (or not) ends inside one, else 0."""
+    pieces = F.split(value, QUOTE, -1)
+    start = _after_text(F.lit(2 if begins_open else 0), pieces[0], sep)
+    last = F.aggregate(F.slice(pieces, 2, F.size(pieces)), start,
+                       lambda state, text: _after_text(_after_quote(state), text, sep))
+    return F.when(value.contains(QUOTE), (last == 2).cast("int")).otherwise(int(begins_open))
+
+
+def _states(df: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """Add ``if_closed`` and ``if_open``: the state before each row if its group begins closed, or open.
+
+    ``c`` and ``o`` are the states after a row that begins closed, or open. A row either fixes the state,
+    turns it round, or leaves it: the state is the last fixed one, turned as often as has happened since.
+    """
+    before = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    turns = F.coalesce(F.sum(((F.col("c") == 1) & (F.col("o") == 0)).cast("int")).over(before), F.lit(0))
+    out = df.withColumn("__turns", turns)
+    fixed = F.last(F.when(F.col("c") == F.col("o"), F.struct("c", "__turns")), ignorenulls=True).over(before)
+    out = out.withColumn("__fixed", fixed)
+    since = F.col("__turns") - F.coalesce(F.col("__fixed.__turns"), F.lit(0))
+    state = lambda start: (F.coalesce(F.col("__fixed.c"), F.lit(start)) + since) % 2
+    return out.withColumns({"if_closed": state(0), "if_open": state(1)}).drop("__turns", "__fixed")
+
+
+def _after(state: str) -> Column:
+    return F.when(F.col(state) == 0, F.col("c")).otherwise(F.col("o"))
+
+
+def multi_line_records(spark: SparkSession, paths: Sequence[str], sep: str = SEP) -> tuple[DataFrame, DataFrame]:
+    """Records (path, block, value, id) of files whose cells may hold line breaks, and (path, unclosed) of the files.
+
+    States are carried within each split, then from split to split by one row a split. ``block`` is -1 and
+    ``id`` the record's number. Line breaks inside a cell become ``\\n``; blank lines between records are skipped.
     """
-    raw = (spark.read.text([glob_escape(p) for p in paths])
-                .select("value", file_path_column(), F.col("_metadata.file_block_start").alias("block")))
-    lines = raw.filter(F.trim(F.col("value")) != "").withColumn("__id", F.monotonically_increasing_id())
-    splits = lines.groupBy("path", "block").agg(F.min("__id").alias("__first"), F.count(F.lit(1)).alias("__n"))
-    w = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    splits = splits.select("path", "block", "__first",
-                           F.coalesce(F.sum("__n").over(w), F.lit(0)).alias("__offset"))
-    # one row per input split (bytes / split size): a bounded table, broadcast so
-    # the lines keep the scan's split parallelism for the parsing that follows
-    return (lines.join(F.broadcast(splits), ["path", "block"])
-                 .select("path", "value",
-                         (F.col("__offset") + F.col("__id") - F.col("__first")).alias("line_index")))
-
-
-def file_headers(lines: DataFrame) -> DataFrame:
-    """Per file the header text and its line index (1 after a ``sep=`` line, else 0)."""
-    first_two = lines.filter(F.col("line_index") < 2).groupBy("path").agg(
-        F.max(F.when(F.col("line_index") == 0, F.col("value"))).alias("__l0"),
-        F.max(F.when(F.col("line_index") == 1, F.col("value"))).alias("__l1"))
-    has_sep = F.col("__l0").contains("sep=")
-    return first_two.select(
-        "path",
-        F.when(has_sep, F.col("__l1")).otherwise(F.col("__l0")).alias("header"),
-        F.when(has_sep, F.lit(1)).otherwise(F.lit(0)).cast("long").alias("header_index"))
-
-
-def split_header(header: str | None, sep: str = SEP) -> list[str]:
-    """Driver-side split of one header line (CSV quoting aware)."""
-    if header is None:
-        return []
-    return next(csv.reader(io.StringIO(header), delimiter=sep, quotechar='"'), [])
+    lines = raw_lines(spark, paths).withColumns({"c": leaves_open(F.col("value"), False, sep),
+                                                 "o": leaves_open(F.col("value"), True, sep)})
+    lines = _states(lines, ["path", "block"], "id")
+    starts = lambda state: ((F.col(state) == 0) & not_blank()).cast("int")
+    splits = lines.groupBy("path", "block").agg(
+        F.max_by(_after("if_closed"), "id").alias("c"), F.max_by(_after("if_open"), "id").alias("o"),
+        F.sum(starts("if_closed")).alias("n_closed"), F.sum(starts("if_open")).alias("n_open"))
+    splits = _states(splits, ["path"], "block").withColumnRenamed("if_closed", "begins").drop("if_open")
+    earlier = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    own = F.when(F.col("begins") == 0, F.col("n_closed")).otherwise(F.col("n_open"))
+    splits = splits.withColumn("before", F.coalesce(F.sum(own).over(earlier), F.lit(0)))
+    files = splits.groupBy("path").agg((F.max_by(_after("begins"), "block") == 1).alias("unclosed"))
+
+    placed = lines.drop("c", "o").join(splits.select("path", "block", "begins", "before"), ["path", "block"])
+    placed = placed.withColumn("state", F.when(F.col("begins") == 0, F.col("if_closed")).otherwise(F.col("if_open")))
+    running = Window.partitionBy("path", "block").orderBy("id").rowsBetween(Window.unboundedPreceding, 0)
+    numbered = placed.filter((F.col("state") == 1) | not_blank()).withColumn(
+        "record", F.col("before") + F.sum((F.col("state") == 0).cast("int")).over(running) - 1)
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("block", "id", "value"))),
+                                    lambda x: x["value"]), "\n")
+    whole = numbered.join(files.filter(~F.col("unclosed")), "path").groupBy("path", "record").agg(text.alias("value"))
+    return whole.select("path", F.lit(-1).cast("bigint").alias("block"), "value", F.col("record").alias("id")), files
+
+
+def records(spark: SparkSession, plain: Sequence[str], multi: Sequence[str] = (), sep: str = SEP) -> DataFrame:
+    """(path, block, value, id) of each record; ``multi`` are the files whose cells may hold line breaks."""
+    out = raw_lines(spark, plain).filter(not_blank()).withColumn("id", F.monotonically_increasing_id()) if plain else None
+    if multi:
+        more = multi_line_records(spark, multi, sep)[0]
+        out = more if out is None else out.unionByName(more)
+    return out if out is not None else spark.createDataFrame([], "path string, block bigint, value string, id bigint")
+
+
+def with_index(rows: DataFrame, file: str = "path", out: str = "line_index") -> DataFrame:
+    """Number the records of each file from 0: (``file``, block, id) to ``out``.
+
+    ``id`` grows by one within a split. The splits' counts, one row a split, give each split's offset in its
+    file. They are joined by split, so that a large file stays dealt over its splits.
+    """
+    splits = rows.groupBy(file, "block").agg(F.min("id").alias("__first"), F.count(F.lit(1)).alias("__n"))
+    earlier = Window.partitionBy(file).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.select(file, "block", "__first", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__offset"))
+    return (rows.join(splits, [file, "block"])
+                .withColumn(out, F.col("__offset") + F.col("id") - F.col("__first")).drop("__first", "__offset"))
+
+
+def numbered_records(spark: SparkSession, paths: Sequence[str], sep: str = SEP) -> DataFrame:
+    """(path, value, line_index) of all records of the files, whatever their cells hold."""
+    flags = survey(spark, paths, sep).groupBy("path").agg((F.sum("n_open") > 0).alias("multi")).collect()
+    multi = [r["path"] for r in flags if r["multi"]]
+    plain = [r["path"] for r in flags if not r["multi"]]
+    return with_index(records(spark, plain, multi, sep)).select("path", "value", "line_index")
+
+
+# --------------------------------------------------------------------------
+# one look at every file
+# --------------------------------------------------------------------------
+
+def survey(spark: SparkSession, paths: Sequence[str], sep: str = SEP) -> DataFrame:
+    """One row a split: its lines' count, digest, first two lines, and how many leave a cell open.
+
+    With the hash h and the place i of each line, the digest holds the sums of h and of i * h: the latter follows
+    from the former if the split's place in the file becomes known. Four hashes of 48 bits are summed.
+    """
+    lines = raw_lines(spark, paths)
+    place = F.col("id").bitwiseAND(F.lit(_POSITION))
+    sums = []
+    for k in range(LANES):
+        h = F.shiftright(F.xxhash64(F.lit(k), "value"), 16).cast("decimal(20,0)")
+        sums += [F.sum(h).cast("decimal(38,0)").alias(f"s{k}"),
+                 F.sum((h * place.cast("decimal(12,0)")).cast("decimal(38,0)")).cast("decimal(38,0)").alias(f"t{k}")]
+    line = F.struct("id", "value")
+    # the first two lines: neighbours differ in parity, and the first that names a separator doesn't count twice
+    first = [F.min(F.when(not_blank() & cond, line)) for cond in
+             (F.col("id") % 2 == 0, F.col("id") % 2 == 1, ~F.col("value").contains("sep="))]
+    heads = F.slice(F.array_sort(F.array_distinct(F.filter(F.array(*first), lambda x: x.isNotNull()))), 1, 2)
+    opens = F.when(not_blank(), leaves_open(F.col("value"), False, sep)).otherwise(0)
+    return lines.groupBy("path", "block").agg(
+        F.count(F.lit(1)).alias("n"), F.min(place).alias("first"), heads.alias("heads"), F.sum(opens).alias("n_open"), *sums)
+
+
+def content_files(splits: DataFrame, listing: DataFrame) -> DataFrame:
+    """(path, filename, file_id, header, header_index, multi) of each listed file, from ``survey``'s splits.
+
+    ``file_id`` is a digest of the file's length and of its lines in order, however the file was split; no part
+    of the run holds a whole file. ``header_index`` is 1 after a ``sep=`` line, else 0; a file without lines has no header.
+    """
+    earlier = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    shift = (F.coalesce(F.sum("n").over(earlier), F.lit(0)) - F.col("first")).cast("decimal(19,0)")
+    moved = splits.withColumn("__shift", shift)
+    sums = []
+    for k in range(LANES):
+        sums += [F.sum(f"s{k}").cast("decimal(38,0)").alias(f"s{k}"),
+                 F.sum((F.col(f"t{k}") + (F.col("__shift") * F.col(f"s{k}")).cast("decimal(38,0)")).cast("decimal(38,0)"))
+                 .cast("decimal(38,0)").alias(f"t{k}")]
+    files = moved.groupBy("path").agg(
+        F.sum("n").alias("n"), (F.sum("n_open") > 0).alias("multi"),
+        F.slice(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("block", "heads"))), lambda x: x["heads"])), 1, 2)
+        .alias("heads"), *sums)
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("string")
+    parts = [zero(c) for c in ["length", "n", *[f"{x}{k}" for k in range(LANES) for x in "st"]]]
+    first, second = F.get("heads", F.lit(0)).getField("value"), F.get("heads", F.lit(1)).getField("value")
+    named = F.coalesce(first.contains("sep="), F.lit(False))
+    return listing.join(files, "path", "left").select(
+        "path", "filename", F.sha2(F.concat_ws("|", *parts), 256).alias("file_id"),
+        F.when(named, second).otherwise(first).alias("header"), named.cast("bigint").alias("header_index"),
+        F.coalesce("multi", F.lit(False)).alias("multi"))
 
 
 def token_count(value_col, sep: str = SEP):
-    """Number of fields in a line, ignoring separators inside quoted fields."""
-    plain = F.length(value_col) - F.length(F.replace(value_col, F.lit(sep), F.lit(""))) + 1
-    unquoted = F.regexp_replace(value_col, r'"([^"]|"")*"', "")
-    quoted = F.size(F.split(unquoted, sep, -1))
-    return F.when(value_col.contains('"'), quoted).otherwise(plain)
+    """Number of fields in a record, ignoring separators inside quoted fields."""
+    pieces = F.split(value_col, QUOTE, -1)
+    count = lambda text: F.length(text) - F.length(F.replace(text, F.lit(sep), F.lit("")))
+    def add(acc, text):
+        state = F.when(acc["state"] < 0, 0).otherwise(_after_quote(acc["state"]))
+        return F.struct(_after_text(state, text, sep).alias("state"),
+                        (acc["n"] + F.when(state == 2, 0).otherwise(count(text))).alias("n"))
+
+    first = F.struct(F.lit(-1).alias("state"), F.lit(1).alias("n"))
+    quoted = F.aggregate(pieces, first, add)["n"]
+    return F.when(value_col.contains(QUOTE), quoted).otherwise(count(value_col) + 1)
 
 
 def parse_fields(value_col, width: int, sep: str = SEP):
     """Struct ``_c0.._c{width-1}`` of string fields; empty fields are NULL."""
     schema = ", ".join(f"_c{i} string" for i in range(max(width, 1)))
-    opts = dict(CSV_OPTIONS, sep=sep)
+    opts = dict(CSV_OPTIONS, sep=sep, multiLine="true")
     return F.from_csv(value_col, schema, opts)
+
+
+def cells(value_col, width: int, sep: str = SEP):
+    """The first ``width`` fields as an array."""
+    parsed = parse_fields(value_col, width, sep)
+    return F.array(*[parsed.getField(f"_c{i}") for i in range(max(width, 1))])

@@ -4,17 +4,20 @@ The hourly poll of the original becomes a file-stream query run with
 ``trigger(availableNow=True)``: the stream checkpoint remembers which files
 were seen (exactly-once discovery, survives driver restarts), and each
 micro-batch goes through the same batch code as a bronze run. Content hashes
-stay necessary: a renamed copy of a seen file is a new path to the stream.
+stay necessary: a renamed copy of a seen file is a new path to the stream. A file that failed is
+a path that the stream has seen; a ledger of outcomes by path offers it again with each trigger until it succeeds.
 
 Silver follows incrementally: each new bronze micro-batch is merged with the
 current silver table by business key (latest ``_ingested_at`` wins, so a late
 re-export still wins whatever its event time; no watermark, which would drop
-such rows) and published as a new version.
+such rows). The partitions it touches are written anew under a version of their own, which
+becomes current by one row appended last: until then, and if the job is lost, readers see the state before.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,7 +28,8 @@ from trackyard.operators.dedup import dedup_latest
 from trackyard.plans import bronze as B
 from trackyard.plans import silver as S
 from trackyard.plans import tracking
-from trackyard.schemas import SOURCE_EXPORTS, SOURCES
+from trackyard.schemas import INCIDENT_TABLE, SOURCE_EXPORTS, SOURCE_INCIDENTS, SOURCES
+from trackyard.sources.files import delete, exists
 
 BINARY_FILE_SCHEMA = T.StructType([
     T.StructField("path", T.StringType()),
@@ -44,47 +48,62 @@ def query_id(spark: SparkSession, checkpoint: str) -> str:
 def start_export_stream(spark: SparkSession, exports_dir: str, bronze_root: str, checkpoint: str,
                         source_system: str = SOURCE_EXPORTS, tables=None, sep: str = ";",
                         available_now: bool = True, max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """New export files only, each exactly once, through the bronze batch code.
+    """New export files only, each exactly once, through the bronze batch code; failed ones again until they succeed.
 
     Only the ``path`` column is used from the stream (content is pruned); the
     micro-batch's file list (one row per new file) drives ``ingest_folder``.
     A replayed micro-batch reuses its batch id, so its bronze partition is
     overwritten rather than duplicated.
     """
+    ledger = f"{bronze_root}/_tracking/paths/{source_system}"
     reader = spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     files = reader.load(exports_dir).select("path")
 
-    def on_batch(batch: DataFrame, epoch_id: int) -> None:
-        paths = sorted(r["path"] for r in batch.distinct().collect())
-        if not paths:
-            return
-        # the query's own id: another stream, or a new checkpoint, can't reuse a batch's name
-        batch_id = f"stream-{query_id(spark, checkpoint)}-{epoch_id:08d}"
+    def ingest(paths: list[str], batch_id: str) -> None:
         started = tracking.record_run_start(spark, bronze_root, batch_id, "bronze")
         try:
             stats = B.ingest_folder(spark, paths, bronze_root, batch_id, source_system, tables=tables, sep=sep,
-                                    started=started)
-            tracking.record_run_end(spark, bronze_root, batch_id, "bronze", started, stats.status,
-                                    stats.files_total, stats.rows_loaded)
+                                    started=started, ledger=ledger)
+            tracking.record_run_end(spark, bronze_root, batch_id, "bronze", started,
+                                    tracking.batch_status(spark, bronze_root, batch_id), stats.files_total, stats.rows_loaded)
         except Exception as exc:
             tracking.record_run_end(spark, bronze_root, batch_id, "bronze", started, "FAILED", 0, 0,
                                     f"{type(exc).__name__}: {exc}")
             raise
 
+    def failed() -> list[str]:
+        return [r["path"] for r in tracking.failed_paths(spark, ledger).select("path").collect() if exists(spark, r["path"])]
+
+    def on_batch(batch: DataFrame, epoch_id: int) -> None:
+        # the scan has to be told its files; nothing else of them is collected
+        paths = sorted(r["path"] for r in batch.distinct().collect())
+        if paths:
+            # the query's own id: another stream, or a new checkpoint, can't reuse a batch's name
+            ingest(paths, f"stream-{query_id(spark, checkpoint)}-{epoch_id:08d}")
+
+    # a trigger without new files makes no batch, so what has failed is offered before the stream starts
+    if again := failed():
+        ingest(sorted(again), B.create_batch_id("retry"))
     writer = files.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="60 minutes")
     return writer.start()
 
 
+def start_incident_stream(spark: SparkSession, incidents_dir: str, bronze_root: str, checkpoint: str, sep: str = ";",
+                          **options) -> StreamingQuery:
+    """U1 for the incident sheet: every file of its folder belongs to its table."""
+    return start_export_stream(spark, incidents_dir, bronze_root, checkpoint, SOURCE_INCIDENTS, [INCIDENT_TABLE], sep, **options)
+
+
 # --------------------------------------------------------------------------
 # U2 / U3 incremental latest-per-key
 # --------------------------------------------------------------------------
 # Every dedup key carries a time column except the matrix's (imsi alone), so
 # all copies of a key share one day: the incremental silver table is
 # partitioned by that day (the matrix by a hash bucket of imsi) and an epoch
-# rewrites only the partitions its rows touch, not the whole table.
+# writes only the partitions its rows touch anew, not the whole table.
 
 MATRIX_BUCKETS = 64
 PART = "_part"
@@ -105,52 +124,77 @@ def _table_root(silver_root: str, table: str) -> str:
     return f"{silver_root}/incremental/{table}"
 
 
-def current_table(spark: SparkSession, silver_root: str, table: str) -> DataFrame | None:
-    root = _table_root(silver_root, table)
-    if not tracking._exists(spark, root):
+VERSIONS = "version string, parts array<string>, published_at timestamp_ntz"
+
+
+def current_versions(spark: SparkSession, silver_root: str, table: str) -> DataFrame | None:
+    """(``PART``, version): the last published version of each partition; None before the first."""
+    path = f"{_table_root(silver_root, table)}/versions"
+    if not tracking._exists(spark, path):
+        return None
+    rows = spark.read.schema(VERSIONS).parquet(path).select(F.explode("parts").alias(PART), "version", "published_at")
+    return rows.groupBy(PART).agg(F.max_by("version", F.struct("published_at", "version")).alias("version"))
+
+
+def current_table(spark: SparkSession, silver_root: str, table: str, parts: DataFrame | None = None) -> DataFrame | None:
+    """The current rows, of the partitions in ``parts`` only if given; None before the first epoch.
+
+    The join with the partitions' current versions prunes the scan's folders at run time.
+    """
+    versions = current_versions(spark, silver_root, table)
+    if versions is None:
         return None
-    return spark.read.parquet(root).drop(PART)
+    if parts is not None:
+        versions = versions.join(parts, PART, "left_semi")
+    data = spark.read.parquet(f"{_table_root(silver_root, table)}/data")
+    return data.withColumn(PART, F.col(PART).cast("string")).join(versions, ["version", PART], "left_semi").drop("version", PART)
 
 
-def merge_batch(current: DataFrame | None, batch_bronze: DataFrame, table: str, loaded_at,
-                touched: list[str] | None = None) -> DataFrame:
-    """Silver rows of the touched partitions + projected new bronze rows, latest per key."""
-    projected = S.build_silver_table(batch_bronze, table, loaded_at).withColumn(PART, partition_column(table))
+def merge_batch(current: DataFrame | None, batch_bronze: DataFrame, table: str, loaded_at) -> DataFrame:
+    """Silver rows of the touched partitions and projected new bronze rows, the latest per key."""
+    projected = S.build_silver_table(batch_bronze, table, loaded_at)
     if current is None:
         return projected
-    if touched is not None:
-        current = current.filter(F.col(PART).isin(touched))  # partition pruning
     return dedup_latest(current.unionByName(projected), SOURCES[table].dedup_keys)
 
 
+def merge_epoch(spark: SparkSession, batch: DataFrame, silver_root: str, table: str, epoch: str) -> None:
+    """Merge one micro-batch: write the partitions it touches under a new version, then publish it.
+
+    Nothing that is read is overwritten. A repeated epoch, published or not, gets a version of its own and
+    comes to the same rows.
+    """
+    root, version = _table_root(silver_root, table), f"{epoch}-{uuid.uuid4().hex[:8]}"
+    touched = batch.select(partition_column(table).alias(PART)).distinct()
+    merged = merge_batch(current_table(spark, silver_root, table, touched), batch, table, tracking.now())
+    merged.withColumns({"version": F.lit(version), PART: partition_column(table)}) \
+          .write.mode("append").partitionBy("version", PART).parquet(f"{root}/data")
+    written = spark.read.parquet(f"{root}/data").filter(F.col("version") == version).select(F.col(PART).cast("string")).distinct()
+    written.agg(F.lit(version).alias("version"), F.array_sort(F.collect_set(PART)).alias("parts"),
+                F.lit(tracking.now()).cast("timestamp_ntz").alias("published_at")) \
+           .coalesce(1).write.mode("append").parquet(f"{root}/versions")
+
+
+def drop_old_versions(spark: SparkSession, silver_root: str, table: str) -> None:
+    """Delete the folders of versions that are no partition's current one. No epoch and no reader may be at work."""
+    versions = current_versions(spark, silver_root, table)
+    if versions is None:
+        return
+    data = f"{_table_root(silver_root, table)}/data"
+    published = spark.read.schema(VERSIONS).parquet(f"{_table_root(silver_root, table)}/versions").select("version").distinct()
+    for row in published.join(versions, "version", "left_anti").collect():
+        delete(spark, f"{data}/version={row['version']}")
+
+
 def start_silver_stream(spark: SparkSession, bronze_root: str, silver_root: str, table: str, checkpoint: str,
                         available_now: bool = True) -> StreamingQuery:
     """Fold each new bronze micro-batch of ``table`` into the silver table, partition by partition."""
-    spec = SOURCES[table]
-    stream = spark.readStream.schema(spec.bronze_schema).parquet(f"{bronze_root}/{table}")
-    root = _table_root(silver_root, table)
+    stream = spark.readStream.schema(SOURCES[table].bronze_schema).parquet(f"{bronze_root}/{table}")
 
     def on_batch(batch: DataFrame, epoch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        # the days (or buckets) this batch touches: bounded by the batch's time span
-        touched = [r[0] for r in batch.select(partition_column(table).alias(PART)).distinct().collect()]
-        current = spark.read.parquet(root) if tracking._exists(spark, root) else None
-        merged = merge_batch(current, batch, table, tracking.now(), touched)
-        # dynamic overwrite: only the touched partitions are replaced (staged, moved at commit)
-        (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-               .partitionBy(PART).parquet(root))
+        if not batch.isEmpty():
+            merge_epoch(spark, batch, silver_root, table, f"{query_id(spark, checkpoint)}-{epoch_id:08d}")
 
     writer = stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="60 minutes")
     return writer.start()
-
-
-def ingested_counts(spark: SparkSession, bronze_root: str) -> DataFrame:
-    """Per stream batch: rows appended per table (monitoring helper over the bronze tables)."""
-    out = None
-    for table in SOURCES:
-        df = B.read_bronze(spark, bronze_root, table).groupBy("_batch_id").agg(
-            F.count(F.lit(1)).alias("rows")).withColumn("table_name", F.lit(table))
-        out = df if out is None else out.unionByName(df)
-    return out
