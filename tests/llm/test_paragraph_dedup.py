@@ -69,11 +69,56 @@ def test_edited_prose_links_whole(spark):
     assert len(got) == len(spans) and spans == edited
 
 
-def test_dissimilar_neighbours_stay_apart():
-    a, b = [0, 30, 7, 1, 100], [60, 90, 7, 1, 100]
-    assert P._near_passages([a, b], 9, 75) == [(0, 30, 7), (60, 90, 7)]
-    assert P._near_passages([a, [31, 90, 7, 1, 100]], 9, 75) == [(0, 90, 7)]
-    assert P._near_passages([a, [31, 90, 7, 1, 400]], 9, 75) == [(0, 30, 7), (31, 90, 7)]
+def test_follow_and_match():
+    a = list(range(100, 160))
+    assert P.follow(a[:20], a[:20])[-1] == (20, 20, 20)
+    b = [*a[:10], 1, *a[11:30], *a[32:60]]  # a word replaced, two dropped
+    assert P.follow(a, b)[-1] == (60, 58, 10 + 15 + 24)
+    assert P.follow(a, [7, *a[5:9], 8, 9])[-1][0] == 0  # too much is different
+    own, its = [1, 2, 3, *a, 4, 5, 6], [9, 8, *b, 7]
+    assert P.matched(own, 16, 30, its, 15, 29, 65) == (3, 63, 2, 60)
+    # strange words beyond a passage, and passages that are too different, stay outside
+    c = [x if k % 6 else -k for k, x in enumerate(a)]
+    first, last, _, _ = P.matched([*a[:20], *c[20:]], 0, 20, [*a[:20], *a[20:]], 0, 20, 75)
+    assert (first, last) == (0, 24)
+
+
+def jaccard(a, b):
+    x, y = ({tuple(w[k:k + 5]) for k in range(len(w) - 4)} for w in (a, b))
+    return len(x & y) / len(x | y)
+
+
+def test_edits_at_random_places_are_covered(spark):
+    """Passages of 60-120 words, an edit per 35 words anywhere, ends included; at least 0.95 of the words are found."""
+    import random
+
+    r, rows, copies = random.Random(11), [], {}
+    for k in range(120):
+        passage = words(3000 + k, r.randint(60, 120), 3000)
+        while True:
+            copy = list(passage)
+            for _ in range(max(1, len(passage) // 35)):
+                at, kind = r.randrange(len(copy)), r.randrange(3)
+                copy[at:at + (kind != 1)] = [f"edited{at}"] if kind < 2 else []
+            if jaccard(passage, copy) >= 0.75:
+                break
+        for side, inner in ((0, passage), (1, copy)):
+            rows.append((2 * k + side, " ".join(words(5000 + 2 * k + side, 40, 3000) + inner + words(7000 + 2 * k + side, 30, 3000))))
+        copies[2 * k + 1] = copy
+    covered = total = beyond = 0
+    got = [r for r in P.repeat_report(docs_frame(spark, rows)).collect() if r.removed]
+    texts = dict(rows)
+    for doc, copy in copies.items():
+        whole = texts[doc].encode().split()
+        marked = set()
+        for x in got:
+            if x.doc_id == doc:
+                a = len(texts[doc].encode()[:x.begin].split())
+                marked |= set(range(a, a + x.n_words))
+        inner = set(range(40, 40 + len(copy)))
+        assert len(whole) == 70 + len(copy)
+        covered, total, beyond = covered + len(marked & inner), total + len(inner), beyond + len(marked - inner)
+    assert covered >= 0.95 * total and beyond <= 0.01 * total
 
 
 def test_empty_table(spark):

@@ -1,37 +1,31 @@
-"""Repeated passages: paragraph MinHash banding, confirmed, clustered, cut out.
+"""Repeated passages: paragraph MinHash banding, confirmed, clustered, followed to their ends, cut out.
 
 A passage may be pasted anywhere in a text, so paragraphs are cut by content:
 a paragraph begins at each word whose word-pair hash is the least within
 ``REACH`` words on either side. Two texts that share a passage cut it alike,
-but for its first and last few words; a passage of 50 words holds several whole
-paragraphs (``2 * REACH + 1`` words on average, ``REACH + 1`` at least).
+but for its first and last few words. Paragraphs have ``2 * REACH + 1`` words on
+average and ``REACH + 1`` at least: a passage of 50 words holds several whole ones, and
+an edited one still some that no edit has touched.
 
 1. Every paragraph's set of 5-word shingles gives ``BANDS`` universal hash
    minima, each a band of its own: two paragraphs of similarity s collide with
-   probability 1 - (1 - s)^3, 0.984 at 0.75 and 0.999 at 0.9.
+   probability 1 - (1 - s)^3, 0.984 at 0.75 and 0.999 at 0.9. A text's bands are
+   hashed once and written as arrays, one row a text.
 2. The bands' hashes are counted; paragraphs with a hash that some other
-   document has go on, the others are done. Counting sends one number a band
-   and document, partly summed up before the shuffle.
-3. Paragraphs that go on are read from the texts again, grouped into classes of
+   text has go on, the others are done.
+3. Only texts with such paragraphs are read again. Their words around the paragraphs
+   (``CONTEXT`` on either side) are written as segments. Paragraphs form classes of
    equal word sequences, and near-equal classes are linked by exact Jaccard
    similarity and put together by components (``near_dedup.class_components``:
    stars, then whole buckets in blocks; no centre or cap costs a link).
-4. Exact passages: each window of ``EXACT`` words names its least ``GRAM`` words
-   by hash (winnowing), so equal windows name equal seeds. Seeds are counted
-   along with the bands; all windows around a seed that some other document has
-   are compared by 64-bit hashes. So each word of a passage of ``EXACT`` words or
-   more that another document holds is found, up to the passage's true ends.
-5. Near-equal passages: runs of windows that follow each other both in the text
-   and in the smallest document that holds them are one passage, words between
-   them included, if the runs' shingles alone make the two sides' similarity
-   0.75 or more. Two passages of 45 words or more that are so similar share
-   a run of 18 words, for each edit costs several shingles.
-6. Of the documents that hold a window, and in a component that spans documents,
-   the smallest keeps its words; elsewhere they are removed, if the run of
+4. Each paragraph is compared, word by word, with its component's one in the smallest document,
+   from the paragraph outwards and across edits of up to ``EDIT`` words, as far as the
+   two sides stay similar (0.75 of their shingles). So a passage is found up to its true ends, edited or not.
+5. In a component that spans documents, the smallest keeps its words; elsewhere they are removed, if the run of
    neighbouring repeated words they belong to has ``MIN_WORDS`` words or more.
 
-Paragraphs of fewer than ``SHINGLE`` words, at the ends of texts, are not
-compared. Repeats within one document are left alone.
+Paragraphs of fewer than ``SHINGLE`` words, at the ends of texts, are found as what lies around others.
+Repeats within one document are left alone.
 
 Defined results: null and empty texts have no paragraphs. Rows that share a
 doc_id count as one document; each row is cut by its own text. A null doc_id
@@ -42,6 +36,7 @@ is the smallest id. Columns beyond id and text are carried by
 from __future__ import annotations
 
 from collections.abc import Iterator
+from difflib import SequenceMatcher
 
 import numpy as np
 import pyarrow as pa
@@ -49,15 +44,16 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trackyard.llm.common import map_batches, stored, utf8
-from trackyard.llm.near_dedup import SHINGLE, SIMILARITY, _A, _B, _LONG_MIN, _P, _WordHashes, _lists, _mixed, \
+from trackyard.llm.common import Scratch, arrow_column, map_batches, stored, utf8
+from trackyard.llm.near_dedup import SHINGLE, SIMILARITY, _A, _B, _LONG_MIN, _P, _WordHashes, _lists, _mixed, _tag, \
     class_components, normalised_words
 
-REACH = 6
+REACH = 4
 BANDS = 3
 MIN_WORDS = 20
-EXACT = 18  # words of a window that is compared as it stands
-GRAM = 9    # words of a seed
+CONTEXT = 64  # words on either side of a paragraph in which its passage is followed; the next paragraph goes on from there
+EDIT = 3      # words that an edit may replace, insert or drop
+AGREE = 3     # equal words after an edit that make it one
 _TOP = np.iinfo(np.uint64).max
 
 
@@ -77,37 +73,6 @@ def paragraph_starts(w: np.ndarray, reach: int = REACH) -> np.ndarray:
     return np.flatnonzero(least)
 
 
-_BASE = 0xC2B2AE3D27D4EB4F
-_POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]  # of the base and of its inverse
-
-
-def _powers(n: int) -> list[np.ndarray]:
-    if len(_POWERS[0]) < n:
-        for k, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
-            _POWERS[k] = np.concatenate(([np.uint64(1)], np.cumprod(np.full(2 * n, base, np.uint64))))
-    return _POWERS
-
-
-def window_hashes(w: np.ndarray, size: int) -> np.ndarray:
-    """A hash of each window of ``size`` words."""
-    n = len(w)
-    if n < size:
-        return np.zeros(0, np.uint64)
-    up, down = _powers(n)
-    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_mixed(w) * up[:n], dtype=np.uint64)))
-    return _mixed((sums[size:] - sums[:-size]) * down[:n - size + 1] + np.uint64(size))
-
-
-def seeds(w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places and hashes of the least ``GRAM`` words in each window of ``EXACT``: equal windows have equal ones."""
-    grams = window_hashes(w, GRAM)
-    if len(w) < EXACT:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    view = np.lib.stride_tricks.sliding_window_view(grams, EXACT - GRAM + 1)
-    at = np.unique(view.argmin(axis=1) + np.arange(len(view)))
-    return at, grams[at].view(np.int64)
-
-
 class Paragraphs:
     """The paragraphs of one text: places, sizes, shingle hashes."""
 
@@ -147,206 +112,173 @@ class Paragraphs:
         return np.unique(self.shingles[a:a + self.sizes[k] - SHINGLE + 1])
 
 
-def _band_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hashes = _WordHashes()
-    for whole in batches:
-        for at in range(0, whole.num_rows, 2048):
-            own = []
-            for text in whole.column(1).slice(at, 2048):
-                p = Paragraphs(normalised_words(text.as_py()), hashes)
-                own.append(np.unique(np.append(p.minima()[p.whole].ravel(), seeds(p.words)[1])))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(own) if own else np.zeros(0, np.int64))],
-                                             names=["h"])
+def _word_places(raw: bytes, words: list[bytes]) -> list[tuple[int, int]]:
+    """Byte offsets of the white-space separated words."""
+    out, at, low = [], 0, raw.lower()
+    for w in words:
+        a = low.index(w, at)
+        at = a + len(w)
+        out.append((a, at))
+    return out
 
 
-def _band_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The numbers of a text's whole paragraphs, and ``BANDS`` hashes of each one after the other."""
     hashes = _WordHashes()
     for whole in batches:
         for at in range(0, whole.num_rows, 1024):
             batch = whole.slice(at, 1024)
-            docs, paras, bands = [], [], []
-            for doc, text in zip(batch.column(0), batch.column(1), strict=True):
+            paras, bands = [], []
+            for text in batch.column(2):
                 p = Paragraphs(normalised_words(text.as_py()), hashes)
                 which = np.flatnonzero(p.whole)
-                own = np.unique(seeds(p.words)[1])
-                docs.append(np.full(BANDS * len(which) + len(own), doc.as_py(), np.int64))
-                paras.append(np.append(np.repeat(which, BANDS), np.full(len(own), -1)).astype(np.int32))
-                bands.append(np.append(p.minima()[which].reshape(-1), own))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(x)) for x in (docs, paras, bands)], names=["doc", "para", "h"])
+                paras.append(which.astype(np.int32))
+                bands.append(p.minima()[which].reshape(-1))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), _lists(paras, np.int32), _lists(bands, np.int64)],
+                                             names=["doc", "tag", "paras", "bands"])
+
 
+_PARA = pa.struct([("first", pa.int32()), ("last", pa.int32()), ("key", pa.binary()), ("set", pa.binary()),
+                   ("bands", pa.list_(pa.int64()))])
+SEGMENT = ("doc bigint, tag bigint, seg int, words binary, places binary, "
+           "paras array<struct<first: int, last: int, key: binary, set: binary, bands: array<bigint>>>")
 
-def _reread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Paragraphs of the given numbers with offsets, class, set and bands."""
+
+def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Runs of words around the given paragraphs: word hashes, byte places (begin, end), and the paragraphs in them."""
     hashes = _WordHashes()
     for whole in batches:
-        for at in range(0, whole.num_rows, 256):
-            batch = whole.slice(at, 256)
-            rows = []
-            for doc, text, which in zip(*batch.columns, strict=True):
+        for at in range(0, whole.num_rows, 128):
+            docs, tags, segs, words_, places_, paras = [], [], [], [], [], []
+            for doc, tag, text, which in zip(*whole.slice(at, 128).columns, strict=True):
                 raw = text.as_py()
                 words = normalised_words(raw)
                 p = Paragraphs(words, hashes)
-                m, tag = p.minima(), xxhash.xxh3_64_intdigest(raw) >> 1
+                minima = p.minima()
+                place = np.array(_word_places(raw, words), np.int64).reshape(-1, 2)
+                end = None
                 for k in sorted(which.as_py()):
-                    if k < len(p.starts) and p.whole[k]:
-                        a, b = int(p.starts[k]), int(p.starts[k] + p.sizes[k])
-                        rows.append((doc.as_py(), tag, a, b, p.key(k), p.set(k).tobytes(), m[k]))
-            cols = list(zip(*rows, strict=True)) or [()] * 7
-            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
+                    a, b = int(p.starts[k]), int(p.starts[k] + p.sizes[k])
+                    if end is None or a - CONTEXT > end:  # a segment of its own
+                        docs.append(doc.as_py())
+                        tags.append(tag.as_py())
+                        segs.append([max(0, a - CONTEXT), 0])
+                        paras.append([])
+                    end = segs[-1][1] = min(len(words), b + CONTEXT)
+                    paras[-1].append({"first": a, "last": b, "key": p.key(k), "set": p.set(k).tobytes(),
+                                      "bands": minima[k].tolist()})
+                for lo, hi in segs[len(words_):]:
+                    words_.append(p.words[lo:hi].tobytes())
+                    places_.append(place[lo:hi].tobytes())
             yield pa.RecordBatch.from_arrays(
-                [*(pa.array(c, t) for c, t in zip(cols[:6], kinds, strict=True)), _lists(list(cols[6]), np.int64)],
-                names=["doc", "tag", "first", "last", "key", "set", "bands"])
-
-
-def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Hashes of all windows of ``EXACT`` words that hold one of the given seeds."""
-    hashes = _WordHashes()
-    for whole in batches:
-        for at in range(0, whole.num_rows, 256):
-            docs, tags, places, found = [], [], [], []
-            for doc, text, wanted in zip(*whole.slice(at, 256).columns, strict=True):
-                raw = text.as_py()
-                words = normalised_words(raw)
-                w = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
-                h = window_hashes(w, EXACT)
-                if not len(h):
-                    continue
-                place, seed = seeds(w)
-                edges = np.zeros(len(w) + 1, np.int64)
-                hit = place[np.isin(seed, np.array(wanted.as_py(), np.int64))]
-                np.add.at(edges, np.maximum(hit + GRAM - EXACT, 0), 1)
-                np.add.at(edges, hit + 1, -1)
-                own = np.flatnonzero(np.cumsum(edges)[:len(h)])
-                docs.append(np.full(len(own), doc.as_py(), np.int64))
-                tags.append(np.full(len(own), xxhash.xxh3_64_intdigest(raw) >> 1, np.int64))
-                places.append(own.astype(np.int32))
-                found.append(h[own].view(np.int64))
-            if docs:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (docs, tags, places, found)],
-                                                 names=["doc", "tag", "pos", "h"])
-
-
-def _word_places(raw: bytes, words: list[bytes]) -> list[tuple[int, int]]:
-    """Byte offsets of the white-space separated words."""
-    out, at, low = [], 0, raw.lower()
-    for w in words:
-        a = low.index(w, at)
-        at = a + len(w)
-        out.append((a, at))
-    return out
-
-
-def repeated_paragraphs(rows: DataFrame, wanted: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
-    """(doc, tag, first, last, component) of each paragraph in a component of several documents: its words from
-    ``first`` up to ``last``, and the smallest document."""
-    read = stored(map_batches(rows.join(wanted.filter(F.size("which") > 0), "doc").select("doc", "text", "which"), _reread,
-                              "doc bigint, tag bigint, first int, last int, key binary, set binary, "
-                              "bands array<bigint>"), "paragraphs")
-    classes = stored(read.groupBy("key").agg(F.first("set").alias("set"), F.first("bands").alias("bands"))
-                         .select("key", "set", "bands", (F.octet_length("set") / 8).cast("bigint").alias("n"),
-                                 F.array().cast("array<smallint>").alias("sig")), "paragraph-classes")
-    # all classes are few enough to be written with their sets already
-    roots = class_components(classes.select("key", "n", "bands", "sig"), lambda wanted: classes.select("key", "set"),
-                             similarity)
-    label = roots.select(F.col("u").alias("key"), F.col("v").alias("root"))
-    placed = stored(read.drop("set", "bands").join(label, "key", "left")
-                        .withColumn("root", F.coalesce("root", "key")).drop("key"), "placed")
-    clusters = stored(placed.groupBy("root").agg(F.min("doc").alias("component"), F.max("doc").alias("top"))
-                            .filter("component < top").select("root", "component"), "clusters")
-    return placed.join(clusters, "root").select("doc", "tag", "first", "last", "component")
-
-
-def repeated_windows(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(doc, tag, pos, component, its_tag, its_pos) of each window of ``EXACT`` words that several documents hold;
-    the last three are its place in the smallest of them."""
-    windows = stored(map_batches(rows.join(wanted.filter(F.size("seeds") > 0), "doc").select("doc", "text", "seeds"),
-                                 _windows, "doc bigint, tag bigint, pos int, h bigint"), "windows")
-    shared = stored(windows.groupBy("h").agg(F.min(F.struct("doc", "tag", "pos")).alias("at"), F.max("doc").alias("top"))
-                           .filter("at.doc < top").select("h", F.col("at.doc").alias("component"),
-                                                          F.col("at.tag").alias("its_tag"),
-                                                          F.col("at.pos").alias("its_pos")), "shared-windows")
-    return windows.join(shared, "h").drop("h")
-
-
-def _window_runs(found: list[tuple[int, int, int, int]]) -> list[list[int]]:
-    """[first, last, component, its_tag, shift] of windows (pos, component, its_tag, its_pos) that go on side by side."""
-    runs: list[list[int]] = []
-    for pos, *its, its_pos in sorted(found, key=lambda x: (x[1], x[2], x[3] - x[0], x[0])):
-        if runs and runs[-1][2:] == [*its, its_pos - pos] and pos <= runs[-1][1]:
-            runs[-1][1] = pos + EXACT
+                [pa.array(docs, pa.int64()), pa.array(tags, pa.int64()), pa.array([s[0] for s in segs], pa.int32()),
+                 pa.array(words_, pa.binary()), pa.array(places_, pa.binary()), pa.array(paras, pa.list_(_PARA))],
+                names=["doc", "tag", "seg", "words", "places", "paras"])
+
+
+_EDITS = sorted(((d, e) for d in range(EDIT + 1) for e in range(EDIT + 1) if d or e), key=lambda x: (x[0] + x[1], abs(x[0] - x[1])))
+
+
+def follow(a: list[int], b: list[int]) -> list[tuple[int, int, int]]:
+    """Where two word sequences that go on from an equal passage agree: (words of a, words of b, common shingles)
+    at the end of each run of equal words, from nothing to as far as edits can be bridged."""
+    i = j = common = 0
+    run, ends = SHINGLE - 1, [(0, 0, 0)]
+    while True:
+        start = i
+        while i < len(a) and j < len(b) and a[i] == b[j]:
+            i, j, run = i + 1, j + 1, run + 1
+            common += run >= SHINGLE
+        if i > start:
+            ends.append((i, j, common))
+        for d, e in _EDITS:
+            if a[i + d:i + d + AGREE] == b[j + e:j + e + AGREE] and len(a[i + d:i + d + AGREE]) == AGREE:
+                i, j, run = i + d, j + e, 0
+                break
         else:
-            runs.append([pos, pos + EXACT, *its, its_pos - pos])
-    return runs
-
+            return ends
 
-def _trimmed(first: int, last: int, runs: list[list[int]]) -> tuple[int, int]:
-    """A paragraph without what juts out of a run by so few words that no equal shingle lies there."""
-    for a, b, *_ in runs:
-        if a < last and first < b:
-            if 0 < a - first <= SHINGLE:
-                first = a
-            if 0 < last - b <= SHINGLE:
-                last = b
-    return first, last
 
+def matched(own: list[int], first: int, last: int, its: list[int], its_first: int, its_last: int,
+            similarity: int) -> tuple[int, int, int, int]:
+    """The longest stretches around two similar paragraphs whose shingles stay so similar: (first, last) of either.
 
-def _near_passages(runs: list[list[int]], doc: int, similarity: int) -> list[tuple[int, int, int]]:
-    """(first, last, component) of passages that neighbouring runs show to be near equal to one of a smaller document.
-
-    The runs' shingles are common for certain; all between them counts as different.
+    They begin with the longest run of words that the paragraphs have in common.
     """
-    places: dict[tuple[int, int], list[list[int]]] = {}
-    for a, b, component, its_tag, shift in runs:
-        if component != doc:
-            places.setdefault((component, its_tag), []).append([a, b, a + shift, b + shift, b - a - SHINGLE + 1])
-    out = []
-    for (component, _), chain in places.items():
-        chain.sort()
-        merged = True
-        while merged and len(chain) > 1:
-            merged, rest = False, [chain[0]]
-            for x in chain[1:]:
-                y = rest[-1]
-                common, here, there = y[4] + x[4], x[1] - y[0] - SHINGLE + 1, x[3] - y[2] - SHINGLE + 1
-                # runs may overlap by words that an edit repeats, their shingles may not
-                if min(x[0] - y[1], x[2] - y[3]) > -SHINGLE and 100 * common >= similarity * (here + there - common):
-                    rest[-1], merged = [y[0], x[1], y[2], x[3], common], True
-                else:
-                    rest.append(x)
-            chain = rest
-        out += [(x[0], x[1], component) for x in chain]
-    return out
+    core = SequenceMatcher(None, own[first:last], its[its_first:its_last], False).find_longest_match()
+    first, its_first = first + core.a, its_first + core.b
+    last, its_last = first + core.size, its_first + core.size
+    here = there = core.size
+    common = max(0, core.size - SHINGLE + 1)
+    out = [first, last, its_first, its_last]
+
+    def far(ends: list[tuple[int, int, int]]) -> tuple[int, int, int]:
+        best = ends[0]
+        for i, j, n in ends:
+            both = common + n
+            if 100 * both >= similarity * (here + i + there + j - 2 * (SHINGLE - 1) - both):
+                best = i, j, n
+        return best
+
+    for side in (1, 0):
+        a, b = (own[last:], its[its_last:]) if side else (own[:first][::-1], its[:its_first][::-1])
+        i, j, n = far(follow(a, b))
+        here, there, common = here + i, there + j, common + n
+        out[side] += i if side else -i
+        out[2 + side] += j if side else -j
+    return tuple(out)
+
+
+MARK = "doc bigint, tag bigint, seg int, root binary, first int, last int, component bigint"
+
+
+def _marked(similarity: int):
+    """Marks of each segment's paragraphs, and of the stretches of the smallest documents that they were compared with."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for doc, tag, seg, words, members in zip(*batch.columns, strict=True):
+                doc, tag, seg = doc.as_py(), tag.as_py(), seg.as_py()
+                own = np.frombuffer(words.as_py(), np.uint64).tolist()
+                known: dict[bytes, list[int]] = {}
+                for m in members.as_py():
+                    first, last, at = m["first"] - seg, m["last"] - seg, m["at"]
+                    if at["doc"] == doc:  # what the others are compared with; they say how far it reaches
+                        continue
+                    its = known.get(m["context"])
+                    if its is None:
+                        its = known[m["context"]] = np.frombuffer(m["context"], np.uint64).tolist()
+                    base = max(at["seg"], at["first"] - CONTEXT)
+                    a, b, c, d = matched(own[max(0, first - CONTEXT):last + CONTEXT], min(first, CONTEXT),
+                                         min(first, CONTEXT) + last - first, its, at["first"] - base, at["last"] - base, similarity)
+                    low = seg + max(0, first - CONTEXT)
+                    rows.append((doc, tag, seg, m["root"], low + a, low + b, at["doc"]))
+                    rows.append((at["doc"], at["tag"], at["seg"], m["root"], base + c, base + d, at["doc"]))
+            cols = list(zip(*rows, strict=True)) or [()] * 7
+            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int32(), pa.int32(), pa.int64()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)],
+                                             names=["doc", "tag", "seg", "root", "first", "last", "component"])
+    return run
 
 
-def _spans(min_words: int, similarity: int):
+def _spans(min_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for doc, text, paras, windows in zip(*batch.columns, strict=True):
-                doc, raw = doc.as_py(), text.as_py()
-                tag = xxhash.xxh3_64_intdigest(raw) >> 1
-                runs = _window_runs([(x["pos"], x["component"], x["its_tag"], x["its_pos"])
-                                     for x in windows.as_py() or [] if x["tag"] == tag])
-                marks = [(*_trimmed(x["first"], x["last"], runs), x["component"])
-                         for x in paras.as_py() or [] if x["tag"] == tag]
-                marks += [tuple(r[:3]) for r in runs] + _near_passages(runs, doc, similarity)
-                if not marks:
-                    continue
-                words = normalised_words(raw)
-                state = np.zeros(len(words), np.int8)  # 1 repeated and kept, 2 removed
+            for doc, tag, seg, places, marks in zip(*batch.columns, strict=True):
+                doc, seg, marks = doc.as_py(), seg.as_py(), [(m["first"], m["last"], m["component"]) for m in marks.as_py()]
+                place = np.frombuffer(places.as_py(), np.int64).reshape(-1, 2)
+                state = np.zeros(len(place), np.int8)  # 1 repeated and kept, 2 removed
                 for gone in (False, True):
                     for a, b, component in marks:
                         if (component != doc) == gone:
-                            state[a:b] = 1 + gone
+                            state[a - seg:b - seg] = 1 + gone
                 edges = np.flatnonzero(np.diff(np.concatenate(([0], state, [0])))).tolist()
-                places = None
                 for a, b in zip(edges, edges[1:], strict=False):
                     if state[a] and b - a >= min_words:
-                        places = places or _word_places(raw, words)
-                        mine = [m for m in marks if m[0] < b and m[1] > a and (m[2] != doc) == (state[a] == 2)]
-                        out.append((doc, tag, places[a][0], places[b - 1][1], b - a, len(mine), min(m[2] for m in mine),
-                                    bool(state[a] == 2)))
+                        mine = [m for m in marks if m[0] - seg < b and m[1] - seg > a and (m[2] != doc) == (state[a] == 2)]
+                        out.append((doc, tag.as_py(), int(place[a, 0]), int(place[b - 1, 1]), b - a, len(mine),
+                                    min(m[2] for m in mine), bool(state[a] == 2)))
             cols = list(zip(*out, strict=True)) or [()] * 8
             yield pa.RecordBatch.from_arrays(
                 [*(pa.array(c, pa.int64()) for c in cols[:7]), pa.array(cols[7], pa.bool_())],
@@ -354,26 +286,70 @@ def _spans(min_words: int, similarity: int):
     return run
 
 
+def _colliding_segments(rows: DataFrame, scratch: Scratch) -> DataFrame:
+    """Steps 1 to 3: the written segments around paragraphs that share a band with another text's."""
+    sketch = scratch.stored(map_batches(rows, _sketched, "doc bigint, tag bigint, paras array<int>, bands array<bigint>")
+                            .withColumn("row", F.monotonically_increasing_id()), "sketch")
+    once = sketch.select(F.explode(F.array_distinct("bands")).alias("h"))
+    shared = scratch.stored(once.groupBy("h").count().filter("count > 1").select("h"), "colliding")
+    hits = sketch.select("row", F.posexplode("bands").alias("pos", "h")).join(shared, "h", "left_semi") \
+                 .select("row", F.floor(F.col("pos") / BANDS).cast("int").alias("nth")).groupBy("row").agg(
+                     F.collect_set("nth").alias("nth"))
+    wanted = scratch.stored(sketch.select("row", "doc", "tag", "paras").join(hits, "row").select(
+        "doc", "tag", F.transform("nth", lambda i: F.get("paras", i)).alias("which")).dropDuplicates(["doc", "tag"]), "wanted")
+    again = rows.join(wanted, ["doc", "tag"]).dropDuplicates(["doc", "tag"]).select("doc", "tag", "text", "which")
+    return scratch.stored(map_batches(again, _segments, SEGMENT), "segments")
+
+
+def _clustered(segments: DataFrame, similarity: int, scratch: Scratch) -> DataFrame:
+    """(doc, tag, seg, first, last, root, at) of the paragraphs in components of several documents.
+
+    ``at`` is the place (doc, tag, seg, first, last) of the component's first paragraph in its smallest document.
+    """
+    paras = segments.select("doc", "tag", "seg", F.explode("paras").alias("p")).select("doc", "tag", "seg", "p.*")
+    classes = scratch.stored(paras.groupBy("key").agg(F.first("set").alias("set"), F.first("bands").alias("bands"))
+                             .select("key", "set", "bands", (F.octet_length("set") / 8).cast("bigint").alias("n"),
+                                     F.array().cast("array<smallint>").alias("sig")), "paragraph-classes")
+    # all classes are few enough to be written with their sets already
+    roots = class_components(classes.select("key", "n", "bands", "sig"), lambda wanted: classes.select("key", "set"),
+                             similarity, scratch=scratch)
+    placed = scratch.stored(paras.drop("set", "bands").join(roots.select(F.col("u").alias("key"), F.col("v").alias("root")),
+                                                            "key", "left")
+                            .withColumn("root", F.coalesce("root", "key")).drop("key"), "placed")
+    spot = F.struct("doc", "tag", "seg", "first", "last")
+    clusters = scratch.stored(placed.groupBy("root").agg(F.min(spot).alias("at"), F.max("doc").alias("top"))
+                              .filter("at.doc < top").select("root", "at"), "clusters")
+    return placed.join(clusters, "root")
+
+
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: int = SIMILARITY,
                    min_words: int = MIN_WORDS) -> DataFrame:
     """(doc, tag, begin, end, n_words, n_paragraphs, component, removed): runs of repeated words, in byte offsets.
 
-    A run's words are all removed or all kept; ``component`` is the smallest among its paragraphs and windows.
+    A run's words are all removed or all kept; ``component`` is the smallest among its paragraphs. The one
+    table left in the shared folder holds the result.
     """
-    rows = docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(_LONG_MIN)).alias("doc"),
+    rows = docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(_LONG_MIN)).alias("doc"), _tag(text_col).alias("tag"),
                        utf8(text_col).alias("text"))
-    shared = stored(map_batches(rows.select("doc", "text"), _band_hashes, "h bigint").groupBy("h").count()
-                    .filter("count > 1").select("h"), "colliding")
-    hits = map_batches(rows, _band_rows, "doc bigint, para int, h bigint").join(shared, "h", "left_semi")
-    wanted = stored(hits.groupBy("doc").agg(F.collect_set(F.when(F.col("para") >= 0, F.col("para"))).alias("which"),
-                                            F.collect_set(F.when(F.col("para") < 0, F.col("h"))).alias("seeds")), "wanted")
-    paras = repeated_paragraphs(rows, wanted, similarity).groupBy("doc").agg(
-        F.collect_set(F.struct("tag", "first", "last", "component")).alias("paras"))
-    windows = repeated_windows(rows, wanted).groupBy("doc").agg(
-        F.collect_set(F.struct("tag", "pos", "component", "its_tag", "its_pos")).alias("windows"))
-    marked = rows.join(paras.join(windows, "doc", "full"), "doc").select("doc", "text", "paras", "windows")
-    return map_batches(marked, _spans(min_words, similarity), "doc bigint, tag bigint, begin bigint, end bigint, n_words bigint, "
-                       "n_paragraphs bigint, component bigint, removed boolean").dropDuplicates(["doc", "tag", "begin"])
+    place = ["doc", "tag", "seg"]
+    with Scratch(docs.sparkSession) as scratch:
+        segments = _colliding_segments(rows, scratch)
+        members = scratch.stored(_clustered(segments, similarity, scratch), "members")
+        # the words around each component's first paragraph, once; its segment holds them
+        spots = members.select("root", "at").distinct().select("root", "at", "at.doc", "at.tag", "at.seg")
+        contexts = spots.join(segments.select(*place, "words"), place).withColumn(
+            "low", F.greatest("at.seg", F.col("at.first") - CONTEXT) - F.col("at.seg")).select("root", F.substring(
+                "words", F.col("low") * 8 + 1, (F.col("at.last") + CONTEXT - F.col("at.seg") - F.col("low")) * 8).alias("context"))
+        own = members.join(contexts, "root").groupBy(*place).agg(
+            F.collect_list(F.struct("first", "last", "root", "at", "context")).alias("members"))
+        compared = segments.select(*place, "words").join(own, place).select(*place, "words", "members")
+        marks = scratch.stored(map_batches(compared, _marked(similarity), MARK).groupBy(*place, "root", "component", F.when(
+            F.col("doc") != F.col("component"), F.col("first")).alias("one")).agg(
+            F.min("first").alias("first"), F.max("last").alias("last")), "marks")
+        of = marks.groupBy(*place).agg(F.collect_set(F.struct("first", "last", "component")).alias("marks"))
+        found = segments.select(*place, "places").join(of, place).select(*place, "places", "marks")
+        return stored(map_batches(found, _spans(min_words), "doc bigint, tag bigint, begin bigint, end bigint, n_words bigint, "
+                                  "n_paragraphs bigint, component bigint, removed boolean"), "repeated-spans")
 
 
 def repeat_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
@@ -389,32 +365,28 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     gone = repeated_spans(docs, id_col, text_col, **options).filter("removed").groupBy("doc", "tag").agg(
         F.sort_array(F.collect_list(F.struct("begin", "end"))).alias("__cut")).select(
         F.col("doc").alias("__doc"), F.col("tag").alias("__tag"), "__cut")
-    texts = gone.groupBy("__doc").agg(F.collect_list(F.struct("__tag", "__cut")).alias("__cuts"))
-    joined = docs.join(texts, F.coalesce(F.col(id_col).cast("bigint"), F.lit(_LONG_MIN)) == F.col("__doc"), "left") \
-                 .drop("__doc")
-    at, names = docs.columns.index(text_col), docs.columns
+    same = (F.coalesce(F.col(id_col).cast("bigint"), F.lit(_LONG_MIN)) == F.col("__doc")) & (_tag(text_col) == F.col("__tag"))
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def cut(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            old, out = batch.column(at).to_pylist(), []
-            for text, cuts in zip(old, batch.column(len(names)), strict=True):
-                raw = (text or "").encode()
-                mine = next((c["__cut"] for c in cuts.as_py() or []
-                             if c["__tag"] == xxhash.xxh3_64_intdigest(raw) >> 1), None)
-                if mine is None:
-                    out.append(text)
-                    continue
-                kept, place = [], 0
-                for span in mine:
-                    kept.append(raw[place:span["begin"]])
-                    place = span["end"]
-                out.append(b"".join([*kept, raw[place:]]).decode())
-            arrays = list(batch.columns[:len(names)])
-            arrays[at] = pa.array(out, arrays[at].type)
-            if "n_chars" in names:
-                k = names.index("n_chars")
-                arrays[k] = pa.array([c if n == o else len(n) for n, o, c in
-                                      zip(out, old, arrays[k].to_pylist(), strict=True)], arrays[k].type)
-            yield pa.RecordBatch.from_arrays(arrays, names=names)
-
-    return map_batches(joined, cut, docs.schema)
+            out = []
+            for text, spans in zip(batch.field("text"), batch.field("cut"), strict=True):
+                raw, kept, at = text.as_py(), [], 0
+                for span in spans.as_py() or []:
+                    kept.append(raw[at:span["begin"]])
+                    at = span["end"]
+                out.append(b"".join([*kept, raw[at:]]).decode() if at else None)
+            yield pa.array(out, pa.string())
+
+    # only texts that lose something go to Python
+    seen = F.struct(F.when(F.col("__cut").isNotNull(), utf8(text_col)).alias("text"), F.col("__cut").alias("cut"))
+    judged = docs.join(gone, same, "left").withColumn("__left", arrow_column(docs.sparkSession, cut, "string")(seen))
+    lost, out = F.col("__left").isNotNull(), []
+    for c in docs.columns:
+        if c == text_col:
+            out.append(F.coalesce("__left", F.col(c)).alias(c))
+        elif c == "n_chars":
+            out.append(F.when(lost, F.char_length("__left")).otherwise(F.col(c)).cast(docs.schema[c].dataType).alias(c))
+        else:
+            out.append(F.col(c))
+    return judged.select(*out)
