@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -105,6 +106,9 @@ class Scratch:
     def __exit__(self, *_exc) -> None:
         for path in self._paths:
             drop_path(self.spark, path)
+        # Spark deletes the shuffle files of plans that nobody holds any more when the driver collects its garbage
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
 
     def path(self, what: str) -> str:
         self._paths.append(shared_path(self.spark, what))

@@ -145,7 +145,8 @@ SEGMENT = ("doc bigint, tag bigint, seg int, words binary, places binary, "
 
 
 def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Runs of words around the given paragraphs: word hashes, byte places (begin, end), and the paragraphs in them."""
+    """Runs of words around the given paragraphs: 32-bit word hashes, steps between the words' byte places (begin, end),
+    and the paragraphs in them."""
     hashes = _WordHashes()
     for whole in batches:
         for at in range(0, whole.num_rows, 128):
@@ -168,8 +169,8 @@ def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     paras[-1].append({"first": a, "last": b, "key": p.key(k), "set": p.set(k).tobytes(),
                                       "bands": minima[k].tolist()})
                 for lo, hi in segs[len(words_):]:
-                    words_.append(p.words[lo:hi].tobytes())
-                    places_.append(place[lo:hi].tobytes())
+                    words_.append(p.words[lo:hi].astype(np.uint32).tobytes())
+                    places_.append(np.diff(place[lo:hi].reshape(-1), prepend=0).astype(np.uint32).tobytes())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(docs, pa.int64()), pa.array(tags, pa.int64()), pa.array([s[0] for s in segs], pa.int32()),
                  pa.array(words_, pa.binary()), pa.array(places_, pa.binary()), pa.array(paras, pa.list_(_PARA))],
@@ -229,7 +230,19 @@ def matched(own: list[int], first: int, last: int, its: list[int], its_first: in
     return tuple(out)
 
 
-MARK = "doc bigint, tag bigint, seg int, root binary, first int, last int, component bigint"
+MARK = "doc bigint, tag bigint, seg int, first int, last int, component bigint"
+
+
+def _stretch(own: list[int], its: list[int], at: tuple[int, int, int, int], similarity: int) -> tuple[int, int, int, int]:
+    """``matched`` within ``CONTEXT`` words of two paragraphs."""
+    low, its_low = max(0, at[0] - CONTEXT), max(0, at[2] - CONTEXT)
+    a, b, c, d = matched(own[low:at[1] + CONTEXT], at[0] - low, at[1] - low, its[its_low:at[3] + CONTEXT], at[2] - its_low,
+                         at[3] - its_low, similarity)
+    return a + low, b + low, c + its_low, d + its_low
+
+
+def _within(at: tuple[int, int, int, int], stretches: list[tuple[int, int, int, int]]) -> bool:
+    return any(a <= at[0] and at[1] <= b and c <= at[2] and at[3] <= d for a, b, c, d in stretches)
 
 
 def _marked(similarity: int):
@@ -237,27 +250,30 @@ def _marked(similarity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for doc, tag, seg, words, members in zip(*batch.columns, strict=True):
+            for doc, tag, seg, words, partners in zip(*batch.columns, strict=True):
                 doc, tag, seg = doc.as_py(), tag.as_py(), seg.as_py()
-                own = np.frombuffer(words.as_py(), np.uint64).tolist()
-                known: dict[bytes, list[int]] = {}
-                for m in members.as_py():
-                    first, last, at = m["first"] - seg, m["last"] - seg, m["at"]
-                    if at["doc"] == doc:  # what the others are compared with; they say how far it reaches
-                        continue
-                    its = known.get(m["context"])
-                    if its is None:
-                        its = known[m["context"]] = np.frombuffer(m["context"], np.uint64).tolist()
-                    base = max(at["seg"], at["first"] - CONTEXT)
-                    a, b, c, d = matched(own[max(0, first - CONTEXT):last + CONTEXT], min(first, CONTEXT),
-                                         min(first, CONTEXT) + last - first, its, at["first"] - base, at["last"] - base, similarity)
-                    low = seg + max(0, first - CONTEXT)
-                    rows.append((doc, tag, seg, m["root"], low + a, low + b, at["doc"]))
-                    rows.append((at["doc"], at["tag"], at["seg"], m["root"], base + c, base + d, at["doc"]))
-            cols = list(zip(*rows, strict=True)) or [()] * 7
-            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int32(), pa.int32(), pa.int64()]
+                own = np.frombuffer(words.as_py(), np.uint32).tolist()
+                for partner in partners.as_py():
+                    at, base = partner["at"], partner["base"]
+                    its = np.frombuffer(partner["context"], np.uint32).tolist()
+                    seen: list[tuple[int, int, int, int]] = []
+                    inside = None  # the last paragraph within a stretch that is matched already: it may reach further
+                    for m in [*sorted(partner["paras"], key=lambda m: (m["first"], m["its_first"])), None]:
+                        here = m and (m["first"] - seg, m["last"] - seg, m["its_first"] - base, m["its_last"] - base)
+                        if inside and not (here and _within(here, seen[-4:])):
+                            seen.append(_stretch(own, its, inside, similarity))
+                            inside = None
+                        if here and _within(here, seen[-4:]):
+                            inside = here
+                        elif here:
+                            seen.append(_stretch(own, its, here, similarity))
+                    for a, b, c, d in seen:
+                        rows.append((doc, tag, seg, seg + a, seg + b, at["doc"]))
+                        rows.append((at["doc"], at["tag"], at["seg"], base + c, base + d, at["doc"]))
+            cols = list(zip(*rows, strict=True)) or [()] * 6
+            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)],
-                                             names=["doc", "tag", "seg", "root", "first", "last", "component"])
+                                             names=["doc", "tag", "seg", "first", "last", "component"])
     return run
 
 
@@ -267,7 +283,7 @@ def _spans(min_words: int):
             out = []
             for doc, tag, seg, places, marks in zip(*batch.columns, strict=True):
                 doc, seg, marks = doc.as_py(), seg.as_py(), [(m["first"], m["last"], m["component"]) for m in marks.as_py()]
-                place = np.frombuffer(places.as_py(), np.int64).reshape(-1, 2)
+                place = np.cumsum(np.frombuffer(places.as_py(), np.uint32), dtype=np.int64).reshape(-1, 2)
                 state = np.zeros(len(place), np.int8)  # 1 repeated and kept, 2 removed
                 for gone in (False, True):
                     for a, b, component in marks:
@@ -288,38 +304,39 @@ def _spans(min_words: int):
 
 def _colliding_segments(rows: DataFrame, scratch: Scratch) -> DataFrame:
     """Steps 1 to 3: the written segments around paragraphs that share a band with another text's."""
-    sketch = scratch.stored(map_batches(rows, _sketched, "doc bigint, tag bigint, paras array<int>, bands array<bigint>")
+    with Scratch(rows.sparkSession) as own:
+        sketch = own.stored(map_batches(rows, _sketched, "doc bigint, tag bigint, paras array<int>, bands array<bigint>")
                             .withColumn("row", F.monotonically_increasing_id()), "sketch")
-    once = sketch.select(F.explode(F.array_distinct("bands")).alias("h"))
-    shared = scratch.stored(once.groupBy("h").count().filter("count > 1").select("h"), "colliding")
-    hits = sketch.select("row", F.posexplode("bands").alias("pos", "h")).join(shared, "h", "left_semi") \
-                 .select("row", F.floor(F.col("pos") / BANDS).cast("int").alias("nth")).groupBy("row").agg(
-                     F.collect_set("nth").alias("nth"))
-    wanted = scratch.stored(sketch.select("row", "doc", "tag", "paras").join(hits, "row").select(
-        "doc", "tag", F.transform("nth", lambda i: F.get("paras", i)).alias("which")).dropDuplicates(["doc", "tag"]), "wanted")
-    again = rows.join(wanted, ["doc", "tag"]).dropDuplicates(["doc", "tag"]).select("doc", "tag", "text", "which")
-    return scratch.stored(map_batches(again, _segments, SEGMENT), "segments")
+        once = sketch.select(F.explode(F.array_distinct("bands")).alias("h"))
+        shared = own.stored(once.groupBy("h").count().filter("count > 1").select("h"), "colliding")
+        hits = sketch.select("row", F.posexplode("bands").alias("pos", "h")).join(shared, "h", "left_semi") \
+                     .select("row", F.floor(F.col("pos") / BANDS).cast("int").alias("nth")).groupBy("row").agg(
+                         F.collect_set("nth").alias("nth"))
+        wanted = own.stored(sketch.select("row", "doc", "tag", "paras").join(hits, "row").select(
+            "doc", "tag", F.transform("nth", lambda i: F.get("paras", i)).alias("which")).dropDuplicates(["doc", "tag"]), "wanted")
+        again = rows.join(wanted, ["doc", "tag"]).dropDuplicates(["doc", "tag"]).select("doc", "tag", "text", "which")
+        return scratch.stored(map_batches(again, _segments, SEGMENT), "segments")
 
 
 def _clustered(segments: DataFrame, similarity: int, scratch: Scratch) -> DataFrame:
-    """(doc, tag, seg, first, last, root, at) of the paragraphs in components of several documents.
-
-    ``at`` is the place (doc, tag, seg, first, last) of the component's first paragraph in its smallest document.
-    """
+    """(doc, tag, seg, first, last, at) of the paragraphs in components of several documents, but for those of the
+    smallest document; ``at`` is the place (doc, tag, seg, first, last) of the component's first paragraph there."""
     paras = segments.select("doc", "tag", "seg", F.explode("paras").alias("p")).select("doc", "tag", "seg", "p.*")
-    classes = scratch.stored(paras.groupBy("key").agg(F.first("set").alias("set"), F.first("bands").alias("bands"))
+    with Scratch(segments.sparkSession) as own:
+        classes = own.stored(paras.groupBy("key").agg(F.first("set").alias("set"), F.first("bands").alias("bands"))
                              .select("key", "set", "bands", (F.octet_length("set") / 8).cast("bigint").alias("n"),
                                      F.array().cast("array<smallint>").alias("sig")), "paragraph-classes")
-    # all classes are few enough to be written with their sets already
-    roots = class_components(classes.select("key", "n", "bands", "sig"), lambda wanted: classes.select("key", "set"),
-                             similarity, scratch=scratch)
-    placed = scratch.stored(paras.drop("set", "bands").join(roots.select(F.col("u").alias("key"), F.col("v").alias("root")),
+        # all classes are few enough to be written with their sets already
+        roots = class_components(classes.select("key", "n", "bands", "sig"), lambda wanted: classes.select("key", "set"),
+                                 similarity, scratch=own)
+        placed = own.stored(paras.drop("set", "bands").join(roots.select(F.col("u").alias("key"), F.col("v").alias("root")),
                                                             "key", "left")
                             .withColumn("root", F.coalesce("root", "key")).drop("key"), "placed")
-    spot = F.struct("doc", "tag", "seg", "first", "last")
-    clusters = scratch.stored(placed.groupBy("root").agg(F.min(spot).alias("at"), F.max("doc").alias("top"))
+        spot = F.struct("doc", "tag", "seg", "first", "last")
+        clusters = own.stored(placed.groupBy("root").agg(F.min(spot).alias("at"), F.max("doc").alias("top"))
                               .filter("at.doc < top").select("root", "at"), "clusters")
-    return placed.join(clusters, "root")
+        # what the others are compared with says nothing itself: they say how far it reaches
+        return scratch.stored(placed.join(clusters, "root").filter("doc <> at.doc").drop("root"), "members")
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: int = SIMILARITY,
@@ -334,19 +351,20 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     place = ["doc", "tag", "seg"]
     with Scratch(docs.sparkSession) as scratch:
         segments = _colliding_segments(rows, scratch)
-        members = scratch.stored(_clustered(segments, similarity, scratch), "members")
-        # the words around each component's first paragraph, once; its segment holds them
-        spots = members.select("root", "at").distinct().select("root", "at", "at.doc", "at.tag", "at.seg")
-        contexts = spots.join(segments.select(*place, "words"), place).withColumn(
-            "low", F.greatest("at.seg", F.col("at.first") - CONTEXT) - F.col("at.seg")).select("root", F.substring(
-                "words", F.col("low") * 8 + 1, (F.col("at.last") + CONTEXT - F.col("at.seg") - F.col("low")) * 8).alias("context"))
-        own = members.join(contexts, "root").groupBy(*place).agg(
-            F.collect_list(F.struct("first", "last", "root", "at", "context")).alias("members"))
-        compared = segments.select(*place, "words").join(own, place).select(*place, "words", "members")
-        marks = scratch.stored(map_batches(compared, _marked(similarity), MARK).groupBy(*place, "root", "component", F.when(
-            F.col("doc") != F.col("component"), F.col("first")).alias("one")).agg(
-            F.min("first").alias("first"), F.max("last").alias("last")), "marks")
-        of = marks.groupBy(*place).agg(F.collect_set(F.struct("first", "last", "component")).alias("marks"))
+        members = _clustered(segments, similarity, scratch)
+        # each segment's paragraphs by the segment they are compared with, and that one's words around them, once
+        pairs = members.groupBy(*place, F.struct("at.doc", "at.tag", "at.seg").alias("at")).agg(
+            F.collect_list(F.struct("first", "last", F.col("at.first").alias("its_first"), F.col("at.last").alias("its_last")))
+            .alias("paras"), F.min("at.first").alias("low"), F.max("at.last").alias("high"))
+        base = F.greatest("at.seg", F.col("low") - CONTEXT)
+        its = segments.select(F.struct(*place).alias("at"), F.col("words").alias("its_words"))
+        partners = pairs.join(its, "at").withColumn("base", base).select(*place, F.struct(
+            "at", "base", F.substring("its_words", (F.col("base") - F.col("at.seg")) * 4 + 1,
+                                      (F.col("high") + CONTEXT - F.col("base")) * 4).alias("context"), "paras").alias("partner"))
+        compared = segments.select(*place, "words").join(
+            partners.groupBy(*place).agg(F.collect_list("partner").alias("partners")), place)
+        marks = scratch.stored(map_batches(compared, _marked(similarity), MARK).distinct(), "marks")
+        of = marks.groupBy(*place).agg(F.collect_list(F.struct("first", "last", "component")).alias("marks"))
         found = segments.select(*place, "places").join(of, place).select(*place, "places", "marks")
         return stored(map_batches(found, _spans(min_words), "doc bigint, tag bigint, begin bigint, end bigint, n_words bigint, "
                                   "n_paragraphs bigint, component bigint, removed boolean"), "repeated-spans")
