@@ -131,3 +131,45 @@ def test_stream_special_names(spark, tmp_path):
     broot = str(tmp_path / "bronze")
     U.start_export_stream(spark, inbox, broot, str(tmp_path / "ckpt")).awaitTermination()
     assert bronze.read_bronze(spark, broot, "exp_transaction_tracing").count() == 5
+
+
+def test_gold_follows_changed_subscribers(spark, tmp_path):
+    """Three incremental runs over all sources equal a full rebuild of the same files; untouched ranges keep their files."""
+    from trackyard.plans import gold_incremental as GI
+    from trackyard.plans import orchestrate
+
+    inbox, sheets = str(tmp_path / "in"), str(tmp_path / "sheets")
+    os.makedirs(inbox)
+    rows = transactions_rows()
+    far = [list(rows[0])]
+    far[0][13] = "999000000000001"  # a subscriber of another range
+
+    def exports(step):
+        if step == 0:
+            for f in os.listdir(SAMPLES):
+                shutil.copy(os.path.join(SAMPLES, f), inbox)
+            write_export(inbox, "Transaction-tracing_0.csv", headers("exp_transaction_tracing"), far)
+            write_export(sheets, "sheet.csv", INCIDENT_HEADER, incident_rows(), sep_line=False, bom=False)
+        elif step == 1:
+            write_export(inbox, "Transaction-tracing_1.csv", headers("exp_transaction_tracing"), rows)
+        else:  # a call again, now of another subscriber's number; and a subscriber below all others
+            changed = [list(rows[0]), list(rows[4])]
+            changed[0][14], changed[1][13] = "00212700000001", "604070000000007"
+            write_export(inbox, "Transaction-tracing_2.csv", headers("exp_transaction_tracing"), changed)
+
+    wh = str(tmp_path / "wh")
+    versions = []
+    for step in range(3):
+        exports(step)
+        gold = orchestrate.run_incremental(spark, wh, inbox, sheets)
+        current, _ = GI._current(spark, wh + "/gold")
+        versions.append({r["range"]: r["version"] for r in GI._ranges(spark, wh + "/gold", current).collect()})
+    far_range = 999000000000001 // GI.SPAN
+    assert versions[0][far_range] == versions[2][far_range] and len(set(versions[2].values())) > 1
+    full = str(tmp_path / "full")
+    orchestrate.run_all(spark, full, inbox, sheets)
+    whole = orchestrate.read_gold(spark, full + "/gold", register=False)
+    for name in gold:
+        a, b = (sorted(map(repr, x[name].collect())) for x in (gold, whole))
+        assert a == b, name
+    assert GI.refresh_dim(spark, wh + "/silver", wh + "/gold") == 0

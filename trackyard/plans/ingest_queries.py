@@ -15,7 +15,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackyard.plans import bronze, orchestrate, silver, tracking
+from trackyard.plans import bronze, gold_incremental, orchestrate, silver, tracking
 from trackyard.schemas import SOURCES
 from trackyard.session import ensure_checkpoint_dir, freeze
 from trackyard.sources import exports as X
@@ -210,6 +210,19 @@ FROM ({SQL_SILVER_SNAPSHOT})
 """
 
 
+def q_gold_incremental(spark, d):
+    """G1-G13 over U2: the dimension and its handovers after two epochs, the second with new subscribers among the old."""
+    root, out, gold = (_scratch(spark, x) for x in ("bronze", "silver", "gold"))
+    state = _scratch(spark, "stream")
+    path = handover_files(spark, d, f"k NOT IN ({COPY})")
+    for files in (range(0, COPY, 2), range(COPY)):
+        folders = [f"{path}/file={k}" for k in files]
+        bronze.ingest_folder(spark, folders, root, bronze.create_batch_id(), tables={path: HO})
+        incremental.start_silver_stream(spark, root, out, HO, state).awaitTermination()
+        gold_incremental.refresh_dim(spark, out, gold, span=100)
+    return gold_incremental.read_gold(spark, out, gold, register=False)["fact_handover"]
+
+
 # --------------------------------------------------------------------------
 # records, content ids and header lines by themselves
 # --------------------------------------------------------------------------
@@ -309,4 +322,5 @@ INGEST_QUERIES = {
     "silver_snapshot": (q_silver_snapshot, SQL_SILVER_SNAPSHOT),
     "gold_views": (q_gold_views, SQL_GOLD_VIEWS),
     "incremental_merge": (q_incremental_merge, SQL_INCREMENTAL_MERGE),
+    "gold_incremental": (q_gold_incremental, SQL_GOLD_VIEWS),
 }

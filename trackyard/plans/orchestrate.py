@@ -15,6 +15,7 @@ from trackyard.plans import bronze as B
 from trackyard.plans import gold as G
 from trackyard.plans import silver as S
 from trackyard.plans import tracking
+from trackyard.schemas import ALL_TABLES
 from trackyard.session import frozen_scope, run_concurrently
 
 
@@ -93,3 +94,25 @@ def run_all(spark: SparkSession, warehouse: str, exports_dir: str | None, incide
             for root in (silver_root, gold_root):
                 S.retain_snapshots(spark, root, keep_snapshots)
     return report
+
+
+def run_incremental(spark: SparkSession, warehouse: str, exports_dir: str | None, incidents_dir: str | None = None,
+                    incidents_sep: str = ";") -> dict:
+    """One incremental run of all layers: new and repaired files to bronze, new bronze rows to silver, changed imsi to gold.
+
+    Returns the gold tables. What has been read before is not read again, whatever the length of history.
+    """
+    from trackyard.plans import gold_incremental
+    from trackyard.streaming import incremental as U
+
+    bronze_root, silver_root, gold_root = (f"{warehouse}/{x}" for x in ("bronze", "silver", "gold"))
+    state = f"{warehouse}/_streams"
+    if exports_dir:
+        U.start_export_stream(spark, exports_dir, bronze_root, f"{state}/exports").awaitTermination()
+    if incidents_dir:
+        U.start_incident_stream(spark, incidents_dir, bronze_root, f"{state}/incidents", incidents_sep).awaitTermination()
+    tables = [t for t in ALL_TABLES if tracking._exists(spark, f"{bronze_root}/{t}")]
+    run_concurrently([lambda t=t: U.start_silver_stream(spark, bronze_root, silver_root, t, f"{state}/{t}").awaitTermination()
+                      for t in tables])
+    gold_incremental.refresh_dim(spark, silver_root, gold_root)
+    return gold_incremental.read_gold(spark, silver_root, gold_root)

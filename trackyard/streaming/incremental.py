@@ -166,7 +166,10 @@ def merge_epoch(spark: SparkSession, batch: DataFrame, silver_root: str, table:
     """
     root, version = _table_root(silver_root, table), f"{epoch}-{uuid.uuid4().hex[:8]}"
     touched = batch.select(partition_column(table).alias(PART)).distinct()
-    merged = merge_batch(current_table(spark, silver_root, table, touched), batch, table, tracking.now())
+    current = current_table(spark, silver_root, table, touched)
+    if "imsi" in SOURCES[table].names:
+        _record_changes(current, batch, table, f"{root}/changes/version={version}")
+    merged = merge_batch(current, batch, table, tracking.now())
     merged.withColumns({"version": F.lit(version), PART: partition_column(table)}) \
           .write.mode("append").partitionBy("version", PART).parquet(f"{root}/data")
     written = spark.read.parquet(f"{root}/data").filter(F.col("version") == version).select(F.col(PART).cast("string")).distinct()
@@ -175,6 +178,28 @@ def merge_epoch(spark: SparkSession, batch: DataFrame, silver_root: str, table:
            .coalesce(1).write.mode("append").parquet(f"{root}/versions")
 
 
+def _record_changes(current: DataFrame | None, batch: DataFrame, table: str, path: str) -> None:
+    """Write the imsi whose rows an epoch adds or replaces."""
+    keys, changed = SOURCES[table].dedup_keys, batch.select("imsi")
+    if current is not None:
+        new = batch.select(*[F.col(k).alias(f"__{k}") for k in keys]).distinct()
+        same = [current[k].eqNullSafe(new[f"__{k}"]) for k in keys]
+        changed = changed.unionByName(current.join(new, same, "left_semi").select("imsi"))
+    changed.filter("imsi is not null").distinct().write.parquet(path)
+
+
+def published_versions(spark: SparkSession, silver_root: str, table: str) -> list[str]:
+    path = f"{_table_root(silver_root, table)}/versions"
+    if not tracking._exists(spark, path):
+        return []
+    return [r["version"] for r in spark.read.schema(VERSIONS).parquet(path).select("version").distinct().collect()]
+
+
+def changed_imsi(spark: SparkSession, silver_root: str, table: str, version: str) -> DataFrame:
+    """The imsi whose rows this epoch has added or replaced."""
+    return spark.read.schema("imsi bigint").parquet(f"{_table_root(silver_root, table)}/changes/version={version}")
+
+
 def drop_old_versions(spark: SparkSession, silver_root: str, table: str) -> None:
     """Delete the folders of versions that are no partition's current one. No epoch and no reader may be at work."""
     versions = current_versions(spark, silver_root, table)
