@@ -29,6 +29,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -220,8 +221,60 @@ def _search(unit: list[tuple], similarity: int, least: int) -> list[tuple[bytes,
     return found
 
 
+def _search_rarest(unit: list[tuple], similarity: int) -> list[tuple[bytes, bytes]]:
+    """``_search`` for members without signatures: only sets that share one of their rarest elements are compared."""
+    h, lo, hi = unit[0][:3]
+    members = list({row[4]: row for row in unit}.values())
+    keys = [r[4] for r in members]
+    # the component of each member, as a number; members of one component aren't compared
+    comp = np.unique(np.array([r[5].hex() for r in members]), return_inverse=True)[1]
+    block = np.array([r[3] for r in members])
+    bands = np.array([r[7] for r in members], np.int64)
+    sets = [np.frombuffer(r[6], np.uint64) for r in members]
+    sizes = np.array([len(s) for s in sets])
+    vocabulary, ids = np.unique(np.concatenate(sets), return_inverse=True)
+    starts = np.concatenate(([0], np.cumsum(sizes)))[:-1]
+    found = []
+    # similar sets share one of their rarest elements: as many of each as the similarity may leave out, and one more
+    amount = np.bincount(ids, minlength=len(vocabulary))
+    rare, owner = [], []
+    for k, (at, n) in enumerate(zip(starts.tolist(), sizes.tolist(), strict=True)):
+        own = ids[at:at + n]
+        first = own[np.argsort(amount[own], kind="stable")][:n - -(-similarity * n // 100) + 1]
+        rare.append(first)
+        owner.append(np.full(len(first), k))
+    rare, owner = np.concatenate(rare), np.concatenate(owner)
+    order = np.lexsort((owner, rare))
+    rare, owner = rare[order], owner[order]
+    cuts = np.concatenate(([0], np.flatnonzero(np.diff(rare)) + 1, [len(rare)]))
+    for lo_at in np.flatnonzero(np.diff(cuts) > 1).tolist():
+        group = owner[cuts[lo_at]:cuts[lo_at + 1]]
+        for at, a in enumerate(group[:-1].tolist()):
+            rest = group[at + 1:]
+            rest = rest[comp[rest] != comp[a]]
+            if not len(rest):
+                continue
+            fit = 100 * np.minimum(sizes[rest], sizes[a]) >= similarity * np.maximum(sizes[rest], sizes[a])
+            if lo != hi:
+                fit &= block[rest] != block[a]
+            rest = rest[fit]
+            if len(rest):  # the pair's first common bucket is the one to compare it
+                rest = rest[bands[a][(bands[rest] == bands[a]).argmax(axis=1)] == h]
+            own = ids[starts[a]:starts[a] + sizes[a]]
+            for b in rest.tolist():
+                if comp[b] == comp[a]:  # linked just now
+                    continue
+                both = len(np.intersect1d(own, ids[starts[b]:starts[b] + sizes[b]], assume_unique=True))
+                if 100 * both >= similarity * (sizes[a] + sizes[b] - both):
+                    comp[comp == comp[b]] = comp[a]
+                    found.append((keys[a], keys[b]))
+    return found
+
+
 def _search_units(similarity: int, least: int):
     """Rows come sorted by unit (h, i, j); one unit at a time is held."""
+    search = partial(_search, least=least) if least else _search_rarest
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unit: list[tuple] = []
         found: list[tuple[bytes, bytes]] = []
@@ -229,14 +282,14 @@ def _search_units(similarity: int, least: int):
             for at in range(0, batch.num_rows, 512):
                 for row in zip(*(c.to_pylist() for c in batch.slice(at, 512).columns), strict=True):
                     if unit and unit[0][:3] != row[:3]:
-                        found += _search(unit, similarity, least)
+                        found += search(unit, similarity)
                         unit = []
                     unit.append(row)
             if found:
                 yield _links(found)
                 found = []
         if unit:
-            found = _search(unit, similarity, least)
+            found = search(unit, similarity)
         yield _links(found)
     return run
 

@@ -9,10 +9,11 @@ an edited one still some that no edit has touched.
 
 1. Every paragraph's set of 5-word shingles gives ``BANDS`` universal hash
    minima, each a band of its own: two paragraphs of similarity s collide with
-   probability 1 - (1 - s)^3, 0.984 at 0.75 and 0.999 at 0.9. A text's bands are
+   probability 1 - (1 - s)^3 in one, 0.984 at 0.75 and 0.999 at 0.9. A text's bands are
    hashed once and written as arrays, one row a text.
-2. The bands' hashes are counted; paragraphs with a hash that some other
-   text has go on, the others are done.
+2. The bands' hashes are counted; paragraphs of whose hashes other texts have ``AT_LEAST``
+   go on, the others are done: equal paragraphs always, at similarity 0.9 97 %, and few that
+   have only a common phrase in common.
 3. Only texts with such paragraphs are read again. Their words around the paragraphs
    (``CONTEXT`` on either side) are written as segments. Paragraphs form classes of
    equal word sequences, and near-equal classes are linked by exact Jaccard
@@ -50,6 +51,7 @@ from trackyard.llm.near_dedup import SHINGLE, SIMILARITY, _A, _B, _LONG_MIN, _P,
 
 REACH = 4
 BANDS = 3
+AT_LEAST = 2  # bands of a paragraph that some other text has too
 MIN_WORDS = 20
 CONTEXT = 64  # words on either side of a paragraph in which its passage is followed; the next paragraph goes on from there
 EDIT = 3      # words that an edit may replace, insert or drop
@@ -112,14 +114,13 @@ class Paragraphs:
         return np.unique(self.shingles[a:a + self.sizes[k] - SHINGLE + 1])
 
 
-def _word_places(raw: bytes, words: list[bytes]) -> list[tuple[int, int]]:
-    """Byte offsets of the white-space separated words."""
-    out, at, low = [], 0, raw.lower()
-    for w in words:
-        a = low.index(w, at)
-        at = a + len(w)
-        out.append((a, at))
-    return out
+_SPACE = np.isin(np.arange(256), list(b" \t\n\r\x0b\x0c"))
+
+
+def _word_places(raw: bytes) -> np.ndarray:
+    """Byte offsets (begin, end) of the white-space separated words."""
+    inside = np.concatenate(([False], ~_SPACE[np.frombuffer(raw, np.uint8)], [False]))
+    return np.flatnonzero(inside[1:] != inside[:-1]).reshape(-1, 2)
 
 
 def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -156,7 +157,7 @@ def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 words = normalised_words(raw)
                 p = Paragraphs(words, hashes)
                 minima = p.minima()
-                place = np.array(_word_places(raw, words), np.int64).reshape(-1, 2)
+                place = _word_places(raw)
                 end = None
                 for k in sorted(which.as_py()):
                     a, b = int(p.starts[k]), int(p.starts[k] + p.sizes[k])
@@ -309,11 +310,14 @@ def _colliding_segments(rows: DataFrame, scratch: Scratch) -> DataFrame:
                             .withColumn("row", F.monotonically_increasing_id()), "sketch")
         once = sketch.select(F.explode(F.array_distinct("bands")).alias("h"))
         shared = own.stored(once.groupBy("h").count().filter("count > 1").select("h"), "colliding")
-        hits = sketch.select("row", F.posexplode("bands").alias("pos", "h")).join(shared, "h", "left_semi") \
-                     .select("row", F.floor(F.col("pos") / BANDS).cast("int").alias("nth")).groupBy("row").agg(
-                         F.collect_set("nth").alias("nth"))
-        wanted = own.stored(sketch.select("row", "doc", "tag", "paras").join(hits, "row").select(
-            "doc", "tag", F.transform("nth", lambda i: F.get("paras", i)).alias("which")).dropDuplicates(["doc", "tag"]), "wanted")
+        hits = sketch.select("row", F.posexplode("bands").alias("pos", "h")).join(shared, "h", "left_semi").groupBy("row").agg(
+            F.sort_array(F.collect_list("pos")).alias("pos"))
+        # ``AT_LEAST`` (two) of a paragraph's hashes: they stand side by side
+        nth = lambda i: F.floor(F.get("pos", i) / BANDS)
+        which = F.array_distinct(F.transform(F.filter(F.sequence(F.lit(0), F.size("pos") - 1), lambda i: nth(i) == nth(
+            i + AT_LEAST - 1)), lambda i: F.get("paras", nth(i).cast("int"))))
+        wanted = own.stored(sketch.select("row", "doc", "tag", "paras").join(hits, "row").select("doc", "tag", which.alias("which"))
+                            .filter(F.size("which") > 0).dropDuplicates(["doc", "tag"]), "wanted")
         again = rows.join(wanted, ["doc", "tag"]).dropDuplicates(["doc", "tag"]).select("doc", "tag", "text", "which")
         return scratch.stored(map_batches(again, _segments, SEGMENT), "segments")
 
