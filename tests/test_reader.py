@@ -148,7 +148,7 @@ def test_layouts_are_rows(spark, tmp_path):
         by = k % 17
         short = [x for i, x in enumerate(zip(h, row, strict=True)) if k < 17 or i != 5 + k % 3]
         turned = short[by % len(short):] + short[:by % len(short)]
-        turned[0] = (f"  {turned[0].upper()}\t", turned[0][1])
+        turned[0] = (f"  {turned[0][0].upper()}\t", turned[0][1])
         write_export(folder, f"HO-tracing_{k:02d}.csv", [a for a, _ in turned], [[b for _, b in turned]] * 2)
     write_export(folder, "HO-tracing_x.csv", h, [row, ['"never', *row[1:]]])
     root = str(tmp_path / "wh")

@@ -198,9 +198,11 @@ def _load_table(spark: SparkSession, spec: SourceSpec, files: DataFrame, bronze_
     """
     multi = [r[0] for r in files.filter("multi").select("path").collect()]
     plain = [r[0] for r in files.filter("not multi").select("path").collect()]
+    joined = None
     if multi:  # a header's cells may hold line breaks too, and a cell may never be closed
-        of, ends = X.multi_line_records(spark, multi, sep)
-        first = of.filter(F.col("id") < 2).groupBy("path").agg(
+        joined, ends = X.multi_line_records(spark, multi, sep)
+        joined = staging.written(joined, "records")
+        first = joined.filter(F.col("id") < 2).groupBy("path").agg(
             F.max(F.when(F.col("id") == 0, F.col("value"))).alias("l0"), F.max(F.when(F.col("id") == 1, F.col("value"))).alias("l1"))
         named = F.coalesce(F.col("l0").contains("sep="), F.lit(False))
         heads = ends.join(first, "path", "left").select("path", "unclosed", F.when(named, F.col("l1")).otherwise(F.col("l0")).alias(
@@ -225,7 +227,7 @@ def _load_table(spark: SparkSession, spec: SourceSpec, files: DataFrame, bronze_
         return staging.written(refused, "results")
 
     # one text scan: typed values, raw texts, and a flag a column in three numbers a record
-    rows = X.records(spark, plain, multi, sep).join(able.select("path", "no", "width", "positions"), "path")
+    rows = X.records(spark, plain, joined).join(able.select("path", "no", "width", "positions"), "path")
     cells = rows.withColumn("__cells", X.cells(F.col("value"), width, sep))
     raw = {c.name: P.na_to_null(F.get("__cells", F.get("positions", F.lit(i)))) for i, c in enumerate(spec.columns)}
     cells = cells.withColumns({f"__raw_{n}": v for n, v in raw.items()})

@@ -169,13 +169,12 @@ def multi_line_records(spark: SparkSession, paths: Sequence[str], sep: str = SEP
     return whole.select("path", F.lit(-1).cast("bigint").alias("block"), "value", F.col("record").alias("id")), files
 
 
-def records(spark: SparkSession, plain: Sequence[str], multi: Sequence[str] = (), sep: str = SEP) -> DataFrame:
-    """(path, block, value, id) of each record; ``multi`` are the files whose cells may hold line breaks."""
-    out = raw_lines(spark, plain).filter(not_blank()).withColumn("id", F.monotonically_increasing_id()) if plain else None
-    if multi:
-        more = multi_line_records(spark, multi, sep)[0]
-        out = more if out is None else out.unionByName(more)
-    return out if out is not None else spark.createDataFrame([], "path string, block bigint, value string, id bigint")
+def records(spark: SparkSession, plain: Sequence[str], more: DataFrame | None = None) -> DataFrame:
+    """(path, block, value, id) of each record of ``plain`` files, whose records are lines, and of ``more`` records."""
+    if not plain:
+        return more if more is not None else spark.createDataFrame([], "path string, block bigint, value string, id bigint")
+    out = raw_lines(spark, plain).filter(not_blank()).withColumn("id", F.monotonically_increasing_id())
+    return out if more is None else out.unionByName(more)
 
 
 def with_index(rows: DataFrame, file: str = "path", out: str = "line_index") -> DataFrame:
@@ -196,7 +195,8 @@ def numbered_records(spark: SparkSession, paths: Sequence[str], sep: str = SEP)
     flags = survey(spark, paths, sep).groupBy("path").agg((F.sum("n_open") > 0).alias("multi")).collect()
     multi = [r["path"] for r in flags if r["multi"]]
     plain = [r["path"] for r in flags if not r["multi"]]
-    return with_index(records(spark, plain, multi, sep)).select("path", "value", "line_index")
+    more = multi_line_records(spark, multi, sep)[0] if multi else None
+    return with_index(records(spark, plain, more)).select("path", "value", "line_index")
 
 
 # --------------------------------------------------------------------------
