@@ -305,6 +305,17 @@ def _spans(min_words: int):
 
 def _colliding_segments(rows: DataFrame, scratch: Scratch) -> DataFrame:
     """Steps 1 to 3: the written segments around paragraphs that share a band with another text's."""
+    with Scratch(rows.sparkSession) as own:
+        wanted = _colliding(rows, own)
+        again = rows.join(wanted, ["doc", "tag"]).dropDuplicates(["doc", "tag"]).select("doc", "tag", "text", "which")
+        return scratch.stored(map_batches(again, _segments, SEGMENT), "segments")
+
+
+def _colliding(rows: DataFrame, scratch: Scratch) -> DataFrame:
+    """(doc, tag, which) of the texts with paragraphs of whose bands other texts have ``AT_LEAST``: their numbers.
+
+    The hashes' tables and shuffles go before any text moves.
+    """
     with Scratch(rows.sparkSession) as own:
         sketch = own.stored(map_batches(rows, _sketched, "doc bigint, tag bigint, paras array<int>, bands array<bigint>")
                             .withColumn("row", F.monotonically_increasing_id()), "sketch")
@@ -312,14 +323,13 @@ def _colliding_segments(rows: DataFrame, scratch: Scratch) -> DataFrame:
         shared = own.stored(once.groupBy("h").count().filter("count > 1").select("h"), "colliding")
         hits = sketch.select("row", F.posexplode("bands").alias("pos", "h")).join(shared, "h", "left_semi").groupBy("row").agg(
             F.sort_array(F.collect_list("pos")).alias("pos"))
-        # ``AT_LEAST`` (two) of a paragraph's hashes: they stand side by side
+        # ``AT_LEAST`` of a paragraph's hashes: they stand side by side
         nth = lambda i: F.floor(F.get("pos", i) / BANDS)
         which = F.array_distinct(F.transform(F.filter(F.sequence(F.lit(0), F.size("pos") - 1), lambda i: nth(i) == nth(
             i + AT_LEAST - 1)), lambda i: F.get("paras", nth(i).cast("int"))))
-        wanted = own.stored(sketch.select("row", "doc", "tag", "paras").join(hits, "row").select("doc", "tag", which.alias("which"))
-                            .filter(F.size("which") > 0).dropDuplicates(["doc", "tag"]), "wanted")
-        again = rows.join(wanted, ["doc", "tag"]).dropDuplicates(["doc", "tag"]).select("doc", "tag", "text", "which")
-        return scratch.stored(map_batches(again, _segments, SEGMENT), "segments")
+        return scratch.stored(
+            sketch.select("row", "doc", "tag", "paras").join(hits, "row").select("doc", "tag", which.alias("which"))
+            .filter(F.size("which") > 0).dropDuplicates(["doc", "tag"]), "wanted")
 
 
 def _clustered(segments: DataFrame, similarity: int, scratch: Scratch) -> DataFrame:
