@@ -306,51 +306,47 @@ def _spans(min_words: int):
 def _colliding_segments(rows: DataFrame, scratch: Scratch) -> DataFrame:
     """Steps 1 to 3: the written segments around paragraphs that share a band with another text's."""
     with Scratch(rows.sparkSession) as own:
-        wanted = _colliding(rows, own)
+        with Scratch(rows.sparkSession) as hashes:  # their tables and shuffles go before any text moves
+            wanted = _colliding(rows, hashes, own)
         again = rows.join(wanted, ["doc", "tag"]).dropDuplicates(["doc", "tag"]).select("doc", "tag", "text", "which")
         return scratch.stored(map_batches(again, _segments, SEGMENT), "segments")
 
 
-def _colliding(rows: DataFrame, scratch: Scratch) -> DataFrame:
-    """(doc, tag, which) of the texts with paragraphs of whose bands other texts have ``AT_LEAST``: their numbers.
-
-    The hashes' tables and shuffles go before any text moves.
-    """
-    with Scratch(rows.sparkSession) as own:
-        sketch = own.stored(map_batches(rows, _sketched, "doc bigint, tag bigint, paras array<int>, bands array<bigint>")
-                            .withColumn("row", F.monotonically_increasing_id()), "sketch")
-        once = sketch.select(F.explode(F.array_distinct("bands")).alias("h"))
-        shared = own.stored(once.groupBy("h").count().filter("count > 1").select("h"), "colliding")
-        hits = sketch.select("row", F.posexplode("bands").alias("pos", "h")).join(shared, "h", "left_semi").groupBy("row").agg(
-            F.sort_array(F.collect_list("pos")).alias("pos"))
-        # ``AT_LEAST`` of a paragraph's hashes: they stand side by side
-        nth = lambda i: F.floor(F.get("pos", i) / BANDS)
-        which = F.array_distinct(F.transform(F.filter(F.sequence(F.lit(0), F.size("pos") - 1), lambda i: nth(i) == nth(
-            i + AT_LEAST - 1)), lambda i: F.get("paras", nth(i).cast("int"))))
-        return scratch.stored(
-            sketch.select("row", "doc", "tag", "paras").join(hits, "row").select("doc", "tag", which.alias("which"))
-            .filter(F.size("which") > 0).dropDuplicates(["doc", "tag"]), "wanted")
-
-
-def _clustered(segments: DataFrame, similarity: int, scratch: Scratch) -> DataFrame:
+def _colliding(rows: DataFrame, own: Scratch, scratch: Scratch) -> DataFrame:
+    """(doc, tag, which) of the texts with paragraphs of whose bands other texts have ``AT_LEAST``: their numbers."""
+    sketch = own.stored(map_batches(rows, _sketched, "doc bigint, tag bigint, paras array<int>, bands array<bigint>")
+                        .withColumn("row", F.monotonically_increasing_id()), "sketch")
+    once = sketch.select(F.explode(F.array_distinct("bands")).alias("h"))
+    shared = own.stored(once.groupBy("h").count().filter("count > 1").select("h"), "colliding")
+    hits = sketch.select("row", F.posexplode("bands").alias("pos", "h")).join(shared, "h", "left_semi").groupBy("row").agg(
+        F.sort_array(F.collect_list("pos")).alias("pos"))
+    # ``AT_LEAST`` of a paragraph's hashes: they stand side by side
+    nth = lambda i: F.floor(F.get("pos", i) / BANDS)
+    which = F.array_distinct(F.transform(F.filter(F.sequence(F.lit(0), F.size("pos") - 1), lambda i: nth(i) == nth(
+        i + AT_LEAST - 1)), lambda i: F.get("paras", nth(i).cast("int"))))
+    return scratch.stored(
+        sketch.select("row", "doc", "tag", "paras").join(hits, "row").select("doc", "tag", which.alias("which"))
+        .filter(F.size("which") > 0).dropDuplicates(["doc", "tag"]), "wanted")
+
+
+def _clustered(segments: DataFrame, similarity: int, own: Scratch, scratch: Scratch) -> DataFrame:
     """(doc, tag, seg, first, last, at) of the paragraphs in components of several documents, but for those of the
     smallest document; ``at`` is the place (doc, tag, seg, first, last) of the component's first paragraph there."""
     paras = segments.select("doc", "tag", "seg", F.explode("paras").alias("p")).select("doc", "tag", "seg", "p.*")
-    with Scratch(segments.sparkSession) as own:
-        classes = own.stored(paras.groupBy("key").agg(F.first("set").alias("set"), F.first("bands").alias("bands"))
-                             .select("key", "set", "bands", (F.octet_length("set") / 8).cast("bigint").alias("n"),
-                                     F.array().cast("array<smallint>").alias("sig")), "paragraph-classes")
-        # all classes are few enough to be written with their sets already
-        roots = class_components(classes.select("key", "n", "bands", "sig"), lambda wanted: classes.select("key", "set"),
-                                 similarity, scratch=own)
-        placed = own.stored(paras.drop("set", "bands").join(roots.select(F.col("u").alias("key"), F.col("v").alias("root")),
-                                                            "key", "left")
-                            .withColumn("root", F.coalesce("root", "key")).drop("key"), "placed")
-        spot = F.struct("doc", "tag", "seg", "first", "last")
-        clusters = own.stored(placed.groupBy("root").agg(F.min(spot).alias("at"), F.max("doc").alias("top"))
-                              .filter("at.doc < top").select("root", "at"), "clusters")
-        # what the others are compared with says nothing itself: they say how far it reaches
-        return scratch.stored(placed.join(clusters, "root").filter("doc <> at.doc").drop("root"), "members")
+    classes = own.stored(paras.groupBy("key").agg(F.first("set").alias("set"), F.first("bands").alias("bands"))
+                         .select("key", "set", "bands", (F.octet_length("set") / 8).cast("bigint").alias("n"),
+                                 F.array().cast("array<smallint>").alias("sig")), "paragraph-classes")
+    # all classes are few enough to be written with their sets already
+    roots = class_components(classes.select("key", "n", "bands", "sig"), lambda wanted: classes.select("key", "set"),
+                             similarity, scratch=own)
+    placed = own.stored(paras.drop("set", "bands").join(roots.select(F.col("u").alias("key"), F.col("v").alias("root")),
+                                                        "key", "left")
+                        .withColumn("root", F.coalesce("root", "key")).drop("key"), "placed")
+    spot = F.struct("doc", "tag", "seg", "first", "last")
+    clusters = own.stored(placed.groupBy("root").agg(F.min(spot).alias("at"), F.max("doc").alias("top"))
+                          .filter("at.doc < top").select("root", "at"), "clusters")
+    # what the others are compared with says nothing itself: they say how far it reaches
+    return scratch.stored(placed.join(clusters, "root").filter("doc <> at.doc").drop("root"), "members")
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: int = SIMILARITY,
@@ -365,7 +361,8 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     place = ["doc", "tag", "seg"]
     with Scratch(docs.sparkSession) as scratch:
         segments = _colliding_segments(rows, scratch)
-        members = _clustered(segments, similarity, scratch)
+        with Scratch(docs.sparkSession) as classes:
+            members = _clustered(segments, similarity, classes, scratch)
         # each segment's paragraphs by the segment they are compared with, and that one's words around them, once
         pairs = members.groupBy(*place, F.struct("at.doc", "at.tag", "at.seg").alias("at")).agg(
             F.collect_list(F.struct("first", "last", F.col("at.first").alias("its_first"), F.col("at.last").alias("its_last")))
