@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from trackyard.functions import names, parse
+from trackyard.session import JIT_LIMIT, short_methods
 
 
 def _eval(spark, values, fn, dtype="string"):
@@ -100,3 +101,26 @@ def test_success_rate_signs_and_halves(spark):
     got = [r[0] for r in df.select(parse.success_rate_parts("x")[2]).collect()]
     assert got == [Decimal(v) for v in ("-0.8333", "-0.8333", "0.3333", "0.6667", "0.0313", "-0.0313", "0.0625",
                                         "9.0000", "1.0000")]
+
+
+def test_is_whole_equals_the_decimal_test(spark):
+    texts = [None, "", " ", "7", " 7", "\t7", "+7", "-7", "7.0", "7.5", ".0", "1e3", "1.5e1", "a1", ":5", "~1", "NaN", "Infinity",
+             "９", "٣", "é", "9" * 19, "9" * 25, "9" * 40, "14B36", "7 ", "_", "/3", " 7"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    exact = F.col("t").isNull() | F.coalesce(F.col("t").try_cast("decimal(38,10)") % 1 == 0, F.lit(False))
+    assert df.filter(~parse.is_whole("t").eqNullSafe(exact)).collect() == []
+
+
+def test_short_methods_restores_the_sessions_limit(spark):
+    key = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(key)
+    with short_methods(spark):
+        assert spark.conf.get(key) == JIT_LIMIT
+    assert spark.conf.get(key) == before
+    spark.conf.set(key, "100")
+    try:
+        with short_methods(spark):
+            assert spark.conf.get(key) == "100"
+        assert spark.conf.get(key) == "100"
+    finally:
+        spark.conf.unset(key)

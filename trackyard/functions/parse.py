@@ -130,9 +130,14 @@ _INT_TEXT = r"^\s*[+-]?\d+\s*\z"
 
 
 def is_whole(c) -> Column:
-    """Null, or a whole number's text."""
+    """Null, or a whole number's text.
+
+    Most texts are settled without a decimal: no number begins with an ASCII letter or with one of ``:;<=>?@[\\]^_`{|}~``,
+    and digits alone fit an integer.
+    """
     text = _col(c)
-    return text.isNull() | F.coalesce(text.try_cast("decimal(38,10)") % 1 == 0, F.lit(False))
+    exact = F.coalesce(text.try_cast("decimal(38,10)") % 1 == 0, F.lit(False))
+    return text.isNull() | (~F.ascii(text).between(58, 127) & (text.try_cast("bigint").isNotNull() | exact))
 
 
 def all_whole(c) -> Column:

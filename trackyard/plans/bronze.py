@@ -34,7 +34,7 @@ from trackyard.functions import parse as P
 from trackyard.operators.ordinal import global_ordinal
 from trackyard.plans import tracking
 from trackyard.schemas import EXPORT_TABLES, INCIDENT_TABLE, SOURCE_EXPORTS, SOURCE_INCIDENTS, SOURCES, SourceSpec
-from trackyard.session import ensure_checkpoint_dir, frozen_scope, run_concurrently
+from trackyard.session import ensure_checkpoint_dir, frozen_scope, run_concurrently, short_methods
 from trackyard.sources import exports as X
 from trackyard.sources.files import delete
 
@@ -191,14 +191,15 @@ def _failed(files: DataFrame, error: Column) -> DataFrame:
 
 
 def _load_table(spark: SparkSession, spec: SourceSpec, files: DataFrame, bronze_root: str, batch_id: str, sep: str,
-                staging: Staging) -> DataFrame:
+                staging: Staging, layouts: DataFrame) -> DataFrame:
     """Parse, judge and append the files routed to one table; returns (no, status, row_count, error) of each.
 
-    ``files`` is a written table of (no, path, filename, file_id, ingested_at, header, header_index, multi).
+    ``files`` is a written table of (no, path, filename, file_id, ingested_at, header, header_index, multi), ``layouts``
+    one of the run's headers that are lines (``resolve_layouts``); those of files with line breaks in cells are resolved here.
     """
-    multi = [r[0] for r in files.filter("multi").select("path").collect()]
-    plain = [r[0] for r in files.filter("not multi").select("path").collect()]
-    joined = None
+    paths = files.select("path", "multi").collect()
+    multi, plain = [r["path"] for r in paths if r["multi"]], [r["path"] for r in paths if not r["multi"]]
+    joined, layouts = None, layouts.filter(F.col("table") == spec.table)
     if multi:  # a header's cells may hold line breaks too, and a cell may never be closed
         joined, ends = X.multi_line_records(spark, multi, sep)
         joined = staging.written(joined, "records")
@@ -211,11 +212,11 @@ def _load_table(spark: SparkSession, spec: SourceSpec, files: DataFrame, bronze_
             {"header": F.when(F.col("multi"), F.col("__header")).otherwise(F.col("header")),
              "header_index": F.when(F.col("multi"), F.col("__at")).otherwise(F.col("header_index")),
              "unclosed": F.coalesce("unclosed", F.lit(False))}).drop("__header", "__at"), "files")
+        layouts = resolve_layouts(spark, files.select(F.lit(spec.table).alias("table"), "header"), sep)
     else:
         files = files.withColumn("unclosed", F.lit(False))
 
-    layouts = resolve_layouts(spark, files.select(F.lit(spec.table).alias("table"), "header"), sep).drop("table")
-    laid = staging.written(files.join(layouts, "header", "left").withColumn(
+    laid = staging.written(files.join(layouts.drop("table"), "header", "left").withColumn(
         "problem", F.when(F.col("unclosed"), F.lit("Error tokenizing data: EOF inside a quoted cell"))
         .when(F.col("header").isNull(), F.lit("No columns to parse from file"))
         .when(F.col("unknown") != "", F.concat(F.lit("column(s) "), "unknown",
@@ -290,10 +291,10 @@ def _bits(parts: list[Column]) -> Column:
 
 
 def _load_or_fail(spark: SparkSession, spec: SourceSpec, files: DataFrame, bronze_root: str, batch_id: str,
-                  sep: str, staging: Staging) -> DataFrame:
+                  sep: str, staging: Staging, layouts: DataFrame) -> DataFrame:
     """A table whose load throws fails its own files; the others are loaded and logged."""
     try:
-        return _load_table(spark, spec, files, bronze_root, batch_id, sep, staging)
+        return _load_table(spark, spec, files, bronze_root, batch_id, sep, staging, layouts)
     except Exception as exc:  # noqa: BLE001 - recorded for each of its files
         text = f"{type(exc).__name__}: {exc}".splitlines()[0][:500]
         return staging.written(_failed(files, F.lit(text)), "results")
@@ -359,7 +360,7 @@ def ingest_folder(spark: SparkSession, folder: str | Sequence[str], bronze_root:
     else:
         route = F.lit(tables[0])
 
-    with Staging(spark) as staging, frozen_scope(spark):
+    with Staging(spark) as staging, frozen_scope(spark), short_methods(spark):
         splits = staging.written(X.survey(spark, paths, sep), "splits") if paths else None
         files = _decided(spark, X.content_files(splits, listing).withColumn("table", route), tracking_root, started,
                          staging) if paths else None
@@ -413,9 +414,11 @@ def _load_files(spark: SparkSession, files: DataFrame, bronze_root: str, batch_i
         # the tables are independent: their jobs run side by side
         names = [r[0] for r in todo.select("table").distinct().collect()]
         wave_id = f"{batch_id}-{wave}" if wave else batch_id
+        layouts = staging.written(resolve_layouts(spark, todo.filter("not multi").select("table", "header"), sep),
+                                  "layouts") if names else None
         results += run_concurrently([
-            lambda t=t, w=wave_id: _load_or_fail(spark, SOURCES[t], staging.written(todo.filter(F.col("table") == t), "todo"),
-                                                 bronze_root, w, sep, staging) for t in names])
+            lambda t=t, w=wave_id: _load_or_fail(spark, SOURCES[t], todo.filter(F.col("table") == t), bronze_root, w, sep,
+                                                 staging, layouts) for t in names])
         if copies.isEmpty():
             return results
         # a copy is skipped once its content is in; else the next copy has its turn
@@ -424,7 +427,8 @@ def _load_files(spark: SparkSession, files: DataFrame, bronze_root: str, batch_i
         results.insert(2, skipped(staging.written(copies.join(done, "file_id", "left_semi"), "copies")))
         left = staging.written(copies.join(done, "file_id", "left_anti"), "copies")
         first = left.groupBy("file_id").agg(F.min("no").alias("no"))
-        todo, copies, wave = left.join(first, ["file_id", "no"], "left_semi"), left.join(first, ["file_id", "no"], "left_anti"), wave + 1
+        todo = staging.written(left.join(first, ["file_id", "no"], "left_semi"), "todo")
+        copies, wave = left.join(first, ["file_id", "no"], "left_anti"), wave + 1
         if left.isEmpty():
             return results
 

@@ -110,6 +110,31 @@ def frozen_scope(spark: SparkSession):
             target.getFileSystem(conf).delete(target, True)
 
 
+JIT_LIMIT = "8000"  # bytecodes; the JVM never compiles a longer method and interprets it row by row
+
+
+@contextmanager
+def short_methods(spark: SparkSession):
+    """Wide projections inside are generated as split functions where one method would be too long to be compiled.
+
+    Spark joins a stage's expressions in one method of up to 64 KB of bytecode; a table's parse exceeds ``JIT_LIMIT``.
+    A session's own lower limit stays.
+    """
+    key = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(key, None)
+    if before is not None and int(before) < int(JIT_LIMIT):
+        yield
+        return
+    spark.conf.set(key, JIT_LIMIT)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def run_concurrently(tasks, max_workers: int | None = None) -> list:
     """Run independent driver-side job builders (one table each) on threads.
 
