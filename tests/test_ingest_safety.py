@@ -112,3 +112,13 @@ def test_throwing_table_fails_its_own_files(spark, tmp_path, monkeypatch):
 def test_batch_ids_are_path_safe():
     a, b = bronze.create_batch_id(), bronze.create_batch_id("silver_run")
     assert a != b and not set(a + b) & set(': /\\')
+
+
+def test_empty_file_is_logged_as_failed(spark, tmp_path):
+    ho_file(tmp_path / "in")
+    (tmp_path / "in" / "HO-tracing_2.csv").write_bytes(b"")
+    root = str(tmp_path / "bronze")
+    stats = bronze.ingest_folder(spark, str(tmp_path / "in"), root, "b1")
+    assert (stats.files_total, stats.files_success, stats.files_failed) == (2, 1, 1)
+    errors = {r.filename: r.error_message for r in tracking.read_log(spark, root, tracking.FILE_LOG).collect()}
+    assert errors["HO-tracing_2.csv"] == "No columns to parse from file"

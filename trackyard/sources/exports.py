@@ -35,13 +35,18 @@ _POSITION = (1 << 33) - 1  # the part of monotonically_increasing_id that counts
 def list_files(spark: SparkSession, folder: str | Sequence[str]) -> DataFrame:
     """(path, length, filename) of the files directly in ``folder`` (not recursive); none if it is missing.
 
-    Listing goes through the binaryFile source; the content column is pruned, so only metadata is read.
+    Listing goes through the binaryFile source; the content column is pruned, so only metadata is read. Spark's
+    scans pass over files without a byte, so those come from the folders' status.
     """
-    found = [glob_escape(f) for f in ([folder] if isinstance(folder, str) else folder) if exists(spark, f)]
+    found = [f for f in ([folder] if isinstance(folder, str) else folder) if exists(spark, f)]
+    columns = "path string, length bigint, filename string"
     if not found:
-        return spark.createDataFrame([], "path string, length bigint, filename string")
-    return (spark.read.format("binaryFile").option("recursiveFileLookup", "false").load(found)
-                 .select("path", "length", F.element_at(F.split("path", "/"), -1).alias("filename")))
+        return spark.createDataFrame([], columns)
+    listed = (spark.read.format("binaryFile").option("recursiveFileLookup", "false").load([glob_escape(f) for f in found])
+                   .select("path", "length", F.element_at(F.split("path", "/"), -1).alias("filename")))
+    empty = [(path, 0, name) for path, name in _statuses(
+        spark, found, lambda name, status: status.getLen() == 0 and name[:1] not in ("_", "."))]
+    return listed.filter("length > 0").unionByName(spark.createDataFrame(empty, columns)) if empty else listed
 
 
 def qualified(spark: SparkSession, path: str) -> str:
@@ -55,6 +60,11 @@ def hidden_files(spark: SparkSession, folder: str | Sequence[str]) -> list[tuple
 
     Checksum files (``.name.crc``) are the file system's own and don't count.
     """
+    return _statuses(spark, folder, lambda name, _: name[:1] in ("_", ".") and not name.endswith(".crc"))
+
+
+def _statuses(spark: SparkSession, folder: str | Sequence[str], wanted) -> list[tuple[str, str]]:
+    """(path, name) of the files directly in ``folder`` for which ``wanted(name, status)`` holds."""
     out = []
     for one in [folder] if isinstance(folder, str) else folder:
         p, fs = hadoop_path(spark, one)
@@ -62,7 +72,7 @@ def hidden_files(spark: SparkSession, folder: str | Sequence[str]) -> list[tuple
             continue
         for status in fs.listStatus(p):
             name = status.getPath().getName()
-            if status.isFile() and name[:1] in ("_", ".") and not name.endswith(".crc"):
+            if status.isFile() and wanted(name, status):
                 out.append((status.getPath().toString(), name))
     return sorted(out)
 
