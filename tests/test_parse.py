@@ -124,3 +124,14 @@ def test_short_methods_restores_the_sessions_limit(spark):
         assert spark.conf.get(key) == "100"
     finally:
         spark.conf.unset(key)
+
+
+def test_texts_that_are_no_numbers_are_not_cast(spark):
+    texts = ["12", " 12 ", "-3", "+4", "12.0", "12.5", ".0", "1e3", "1E-1", "x1", "1x", "0.04", "", "-", "99999999999999999999", "1\t"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = df.select("t", parse.is_whole("t").alias("whole"), parse.try_integer("t").alias("i"), parse.try_decimal("t").alias("d"),
+                    F.col("t").try_cast("bigint").alias("cast_i"), F.col("t").try_cast("decimal(38,10)").alias("cast_d"))
+    for r in got.collect():
+        assert (r.i, r.d) == (r.cast_i, r.cast_d) and r.whole == (r.cast_i is not None or (r.cast_d is not None and r.cast_d % 1 == 0))
+    # a failing cast throws and catches an exception a text
+    assert "RLIKE" in df.select(parse.is_whole("t"))._jdf.queryExecution().toString()
