@@ -1,5 +1,6 @@
 """The export reader on files split over many scan partitions."""
 
+import random
 
 from pyspark.sql import functions as F
 
@@ -158,3 +159,26 @@ def test_layouts_are_rows(spark, tmp_path):
     assert b.filter("imsi = 604070051706194 and ho_duration = 1.5 and call_type = 'Voice'").count() == 80
     assert {r[0] for r in b.select("ho_end_event").distinct().collect()} == {'a; "b"\n\nc'}
     assert sum(b.filter(f"{c} is null").count() for c in ("src_ci", "trg_lac", "trg_ci")) == 2 * 23
+
+
+def test_lines_are_read_once_and_their_quotes_followed(spark, tmp_path):
+    def end(text, state, fields=1):  # 0 at a cell's start, 1 in plain text, 2 in a quoted cell, 3 after its quote
+        for ch in text:
+            if ch == '"':
+                state = {0: 2, 1: 1, 2: 3, 3: 2}[state]
+            elif state != 2:
+                fields, state = fields + (ch == ";"), 0 if ch == ";" else 1
+        return state, fields
+
+    r = random.Random(3)
+    texts = ["".join(r.choice('"";ab') for _ in range(r.randrange(12))) for _ in range(3000)]
+    v = F.col("value")
+    found = spark.createDataFrame([(t,) for t in texts], "value string").select(
+        v, X.leaves_open(v, False).alias("c"), X.leaves_open(v, True).alias("o"), X.token_count(v).alias("n")).collect()
+    for row in found:
+        closed, opened = end(row.value, 0), end(row.value, 2)
+        assert (row.c, row.o, row.n) == (closed[0] == 2, opened[0] == 2, closed[1]), row.value
+    (tmp_path / "f").write_text('h;i\n1;"a\nb"\n2;c\n')
+    records, _ = X.multi_line_records(spark, [str(tmp_path / "f")])
+    assert "FileScan text" not in records._jdf.queryExecution().toString()  # their states are written once
+    assert sorted((x.id, x.value) for x in records.collect()) == [(0, "h;i"), (1, '1;"a\nb"'), (2, "2;c")]

@@ -109,8 +109,8 @@ def typed_cell(raw: Column, kind: str, dtype: T.DataType) -> tuple[Column, Colum
     if kind in ("smallint", "int", "bigint"):
         # digits cast directly (exact for 15-19 digit ids); '13042.0' goes
         # through DECIMAL and must be whole; anything else is a bad cell
-        dec = raw.try_cast("decimal(38,10)")
-        value = F.coalesce(raw.try_cast(dtype), F.when(dec % 1 == 0, dec.try_cast(dtype)))
+        dec = P.try_decimal(raw)
+        value = F.coalesce(P.try_integer(raw, dtype), F.when(dec % 1 == 0, dec.try_cast(dtype)))
         return value, raw.isNotNull() & value.isNull()
     if kind == "time_text":
         ts = F.try_to_timestamp(F.concat(F.lit("1970-01-01 "), F.trim(raw)))
@@ -202,7 +202,6 @@ def _load_table(spark: SparkSession, spec: SourceSpec, files: DataFrame, bronze_
     joined, layouts = None, layouts.filter(F.col("table") == spec.table)
     if multi:  # a header's cells may hold line breaks too, and a cell may never be closed
         joined, ends = X.multi_line_records(spark, multi, sep)
-        joined = staging.written(joined, "records")
         first = joined.filter(F.col("id") < 2).groupBy("path").agg(
             F.max(F.when(F.col("id") == 0, F.col("value"))).alias("l0"), F.max(F.when(F.col("id") == 1, F.col("value"))).alias("l1"))
         named = F.coalesce(F.col("l0").contains("sep="), F.lit(False))
@@ -229,7 +228,7 @@ def _load_table(spark: SparkSession, spec: SourceSpec, files: DataFrame, bronze_
 
     # one text scan: typed values, raw texts, and a flag a column in three numbers a record
     rows = X.records(spark, plain, joined).join(able.select("path", "no", "width", "positions"), "path")
-    cells = rows.withColumn("__cells", X.cells(F.col("value"), width, sep))
+    cells = X.with_cells(rows, width, sep)
     raw = {c.name: P.na_to_null(F.get("__cells", F.get("positions", F.lit(i)))) for i, c in enumerate(spec.columns)}
     cells = cells.withColumns({f"__raw_{n}": v for n, v in raw.items()})
     typed = {c.name: typed_cell(F.col(f"__raw_{c.name}"), c.kind, c.dtype) for c in spec.columns}
@@ -245,7 +244,8 @@ def _load_table(spark: SparkSession, spec: SourceSpec, files: DataFrame, bronze_
         *[typed[c.name][0].cast(c.dtype).alias(c.name) for c in spec.columns]), "staged")
 
     # the flags alone: records before and in the header line don't count
-    numbered = X.with_index(staged, "no").join(able.select("no", "header_index"), "no") \
+    offsets = X.split_offsets(staged, "no")
+    numbered = X.with_index(staged, "no", offsets=offsets).join(able.select("no", "header_index"), "no") \
                 .filter(F.col("line_index") > F.col("header_index"))
     judged = numbered.groupBy("no").agg(
         F.count(F.lit(1)).alias("rows"), F.count_if("__surplus").alias("surplus"),
@@ -277,7 +277,7 @@ def _load_table(spark: SparkSession, spec: SourceSpec, files: DataFrame, bronze_
         out.append(value.alias(c.name))
     out += [F.lit(batch_id).alias("_batch_id"), F.col("filename").alias("_source_file"), F.col("ingested_at").alias("_ingested_at"),
             (F.col("line_index") - F.col("header_index")).cast("int").alias("_row_num"), F.col("file_id").alias("_file_hash")]
-    published = X.with_index(staged, "no").join(good.drop("rows", "problem"), "no") \
+    published = X.with_index(staged, "no", offsets=offsets).join(good.drop("rows", "problem"), "no") \
                  .filter(F.col("line_index") > F.col("header_index")).select(*out)
     write_bronze(published, bronze_root, spec.table, batch_id, good.select(F.col("file_id").alias("_file_hash")))
     return results

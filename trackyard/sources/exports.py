@@ -18,11 +18,13 @@ every line with its file and split. No file is ever funnelled through one task:
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from trackyard.session import freeze
 from trackyard.sources.files import exists, hadoop_path
 
 SEP = ";"
@@ -108,25 +110,22 @@ def not_blank(value: str | Column = "value") -> Column:
 # --------------------------------------------------------------------------
 # quoted cells
 # --------------------------------------------------------------------------
-# A line is cut at its quotes. Between them a reader is in one of four states:
-# 0 at the start of a cell, 1 inside a plain cell, 2 inside a quoted cell, 3 after
-# a quote inside a quoted cell, which ends it unless another quote follows.
+# A quote opens a cell if it is the cell's first character; inside, two quotes are one, and a single one ends
+# the quoted part. Quotes elsewhere are text. The patterns never go back over what they have read.
 
-def _after_quote(state: Column) -> Column:
-    return F.when(state == 0, 2).when(state == 1, 1).when(state == 2, 3).otherwise(2)
+_QUOTED = '[^"]*+(?:""[^"]*+)*+'  # inside a quoted cell, up to the quote that ends it or the end
 
 
-def _after_text(state: Column, text: Column, sep: str) -> Column:
-    return F.when((text == "") | (state == 2), state).when(text.endswith(sep), 0).otherwise(1)
+def _not_sep(sep: str) -> str:
+    return f"[^{re.escape(sep)}]"
 
 
 def leaves_open(value: Column, begins_open: bool, sep: str = SEP) -> Column:
     """1 if a line that begins inside a quoted cell (or not) ends inside one, else 0."""
-    pieces = F.split(value, QUOTE, -1)
-    start = _after_text(F.lit(2 if begins_open else 0), pieces[0], sep)
-    last = F.aggregate(F.slice(pieces, 2, F.size(pieces)), start,
-                       lambda state, text: _after_text(_after_quote(state), text, sep))
-    return F.when(value.contains(QUOTE), (last == 2).cast("int")).otherwise(int(begins_open))
+    rest, end = _not_sep(sep), re.escape(sep)
+    opened = f'(?:(?:"{_QUOTED}"{rest}*+|[^"{end}]{rest}*+)?+{end})*+"{_QUOTED}\\z'
+    pattern = f'^{_QUOTED}(?:\\z|"{rest}*+{end}{opened})' if begins_open else f"^{opened}"
+    return F.when(value.contains(QUOTE), value.rlike(pattern).cast("int")).otherwise(int(begins_open))
 
 
 def _states(df: DataFrame, keys: list[str], order: str) -> DataFrame:
@@ -152,30 +151,36 @@ def _after(state: str) -> Column:
 def multi_line_records(spark: SparkSession, paths: Sequence[str], sep: str = SEP) -> tuple[DataFrame, DataFrame]:
     """Records (path, block, value, id) of files whose cells may hold line breaks, and (path, unclosed) of the files.
 
-    States are carried within each split, then from split to split by one row a split. ``block`` is -1 and
-    ``id`` the record's number. Line breaks inside a cell become ``\\n``; blank lines between records are skipped.
+    States are carried within each split, for either state it may begin in, and written; then from split to split by
+    one row a split. ``block`` is -1 and ``id`` the record's number. Only records of several lines are put together
+    by a shuffle. Line breaks inside a cell become ``\\n``; blank lines between records are skipped.
     """
     lines = raw_lines(spark, paths).withColumns({"c": leaves_open(F.col("value"), False, sep),
                                                  "o": leaves_open(F.col("value"), True, sep)})
     lines = _states(lines, ["path", "block"], "id")
     starts = lambda state: ((F.col(state) == 0) & not_blank()).cast("int")
+    running = Window.partitionBy("path", "block").orderBy("id").rowsBetween(Window.unboundedPreceding, 0)
+    lines = freeze(lines.withColumns({"n_closed": F.sum(starts("if_closed")).over(running),
+                                      "n_open": F.sum(starts("if_open")).over(running)}))
     splits = lines.groupBy("path", "block").agg(
         F.max_by(_after("if_closed"), "id").alias("c"), F.max_by(_after("if_open"), "id").alias("o"),
-        F.sum(starts("if_closed")).alias("n_closed"), F.sum(starts("if_open")).alias("n_open"))
+        F.max("n_closed").alias("n_closed"), F.max("n_open").alias("n_open"))
     splits = _states(splits, ["path"], "block").withColumnRenamed("if_closed", "begins").drop("if_open")
     earlier = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     own = F.when(F.col("begins") == 0, F.col("n_closed")).otherwise(F.col("n_open"))
-    splits = splits.withColumn("before", F.coalesce(F.sum(own).over(earlier), F.lit(0)))
-    files = splits.groupBy("path").agg((F.max_by(_after("begins"), "block") == 1).alias("unclosed"))
-
-    placed = lines.drop("c", "o").join(splits.select("path", "block", "begins", "before"), ["path", "block"])
-    placed = placed.withColumn("state", F.when(F.col("begins") == 0, F.col("if_closed")).otherwise(F.col("if_open")))
-    running = Window.partitionBy("path", "block").orderBy("id").rowsBetween(Window.unboundedPreceding, 0)
-    numbered = placed.filter((F.col("state") == 1) | not_blank()).withColumn(
-        "record", F.col("before") + F.sum((F.col("state") == 0).cast("int")).over(running) - 1)
+    # written tables: Spark knows that they are small before it shuffles the lines
+    splits = freeze(splits.withColumn("before", F.coalesce(F.sum(own).over(earlier), F.lit(0))))
+    files = freeze(splits.groupBy("path").agg((F.max_by(_after("begins"), "block") == 1).alias("unclosed")))
+
+    places = splits.select("path", "block", "begins", "before").join(files.filter(~F.col("unclosed")), "path", "left_semi")
+    either = lambda name: F.when(F.col("begins") == 0, F.col(f"{name}_closed")).otherwise(F.col(f"{name}_open"))
+    placed = lines.join(places, ["path", "block"]).withColumn("state", either("if"))
+    numbered = placed.filter((F.col("state") == 1) | not_blank()).withColumn("record", F.col("before") + either("n") - 1)
+    alone = (F.col("state") == 0) & (F.col("c") == 0)
     text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("block", "id", "value"))),
                                     lambda x: x["value"]), "\n")
-    whole = numbered.join(files.filter(~F.col("unclosed")), "path").groupBy("path", "record").agg(text.alias("value"))
+    joined = numbered.filter(~alone).groupBy("path", "record").agg(text.alias("value"))
+    whole = numbered.filter(alone).select("path", "record", "value").unionByName(joined)
     return whole.select("path", F.lit(-1).cast("bigint").alias("block"), "value", F.col("record").alias("id")), files
 
 
@@ -187,15 +192,23 @@ def records(spark: SparkSession, plain: Sequence[str], more: DataFrame | None =
     return out if more is None else out.unionByName(more)
 
 
-def with_index(rows: DataFrame, file: str = "path", out: str = "line_index") -> DataFrame:
-    """Number the records of each file from 0: (``file``, block, id) to ``out``.
+def split_offsets(rows: DataFrame, file: str = "path") -> DataFrame:
+    """One row a split of ``rows`` (``file``, block, id): its first id and the number of its file's records before it.
 
-    ``id`` grows by one within a split. The splits' counts, one row a split, give each split's offset in its
-    file. They are joined by split, so that a large file stays dealt over its splits.
+    It is written, so that Spark knows its size before it would shuffle the records for a join with it.
     """
     splits = rows.groupBy(file, "block").agg(F.min("id").alias("__first"), F.count(F.lit(1)).alias("__n"))
     earlier = Window.partitionBy(file).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    splits = splits.select(file, "block", "__first", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__offset"))
+    return freeze(splits.select(file, "block", "__first", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__offset")))
+
+
+def with_index(rows: DataFrame, file: str = "path", out: str = "line_index", offsets: DataFrame | None = None) -> DataFrame:
+    """Number the records of each file from 0: (``file``, block, id) to ``out``.
+
+    ``id`` grows by one within a split. The splits' counts, one row a split (``split_offsets``), give each split's
+    offset in its file. They are joined by split, so that a large file stays dealt over its splits.
+    """
+    splits = split_offsets(rows, file) if offsets is None else offsets
     return (rows.join(splits, [file, "block"])
                 .withColumn(out, F.col("__offset") + F.col("id") - F.col("__first")).drop("__first", "__offset"))
 
@@ -230,7 +243,9 @@ def survey(spark: SparkSession, paths: Sequence[str], sep: str = SEP) -> DataFra
     # the first two lines: neighbours differ in parity, and the first that names a separator doesn't count twice
     first = [F.min(F.when(not_blank() & cond, line)) for cond in
              (F.col("id") % 2 == 0, F.col("id") % 2 == 1, ~F.col("value").contains("sep="))]
-    heads = F.slice(F.array_sort(F.array_distinct(F.filter(F.array(*first), lambda x: x.isNotNull()))), 1, 2)
+    # the least of texts alone would have Spark sort all lines by split; with a collected list it aggregates by hash
+    start = F.collect_list(F.when((place < 2) & not_blank(), line))
+    heads = F.slice(F.array_sort(F.array_distinct(F.concat(F.filter(F.array(*first), lambda x: x.isNotNull()), start))), 1, 2)
     opens = F.when(not_blank(), leaves_open(F.col("value"), False, sep)).otherwise(0)
     return lines.groupBy("path", "block").agg(
         F.count(F.lit(1)).alias("n"), F.min(place).alias("first"), heads.alias("heads"), F.sum(opens).alias("n_open"), *sums)
@@ -266,16 +281,9 @@ def content_files(splits: DataFrame, listing: DataFrame) -> DataFrame:
 
 def token_count(value_col, sep: str = SEP):
     """Number of fields in a record, ignoring separators inside quoted fields."""
-    pieces = F.split(value_col, QUOTE, -1)
-    count = lambda text: F.length(text) - F.length(F.replace(text, F.lit(sep), F.lit("")))
-    def add(acc, text):
-        state = F.when(acc["state"] < 0, 0).otherwise(_after_quote(acc["state"]))
-        return F.struct(_after_text(state, text, sep).alias("state"),
-                        (acc["n"] + F.when(state == 2, 0).otherwise(count(text))).alias("n"))
-
-    first = F.struct(F.lit(-1).alias("state"), F.lit(1).alias("n"))
-    quoted = F.aggregate(pieces, first, add)["n"]
-    return F.when(value_col.contains(QUOTE), quoted).otherwise(count(value_col) + 1)
+    count = lambda text: F.length(text) - F.length(F.replace(text, F.lit(sep), F.lit(""))) + 1
+    plain = F.regexp_replace(value_col, f'(^|{re.escape(sep)})"{_QUOTED}"?', "$1")
+    return F.when(value_col.contains(QUOTE), count(plain)).otherwise(count(value_col))
 
 
 def parse_fields(value_col, width: int, sep: str = SEP):
@@ -289,3 +297,16 @@ def cells(value_col, width: int, sep: str = SEP):
     """The first ``width`` fields as an array."""
     parsed = parse_fields(value_col, width, sep)
     return F.array(*[parsed.getField(f"_c{i}") for i in range(max(width, 1))])
+
+
+def with_cells(rows: DataFrame, width: int, sep: str = SEP, out: str = "__cells") -> DataFrame:
+    """Add the fields of ``value`` as an array; only records with a quote need the CSV parser.
+
+    The parsed record is a column of its own: within a condition each field would parse the record anew. An
+    empty field is NULL after the parser and empty otherwise.
+    """
+    quoted = F.col("value").contains(QUOTE)
+    fields = F.array(*[F.col(f"__parsed._c{i}") for i in range(max(width, 1))])
+    return (rows.withColumn("__parsed", parse_fields(F.when(quoted, F.col("value")), width, sep))
+                .withColumn(out, F.when(quoted, fields).otherwise(F.split("value", re.escape(sep), -1)))
+                .drop("__parsed"))
