@@ -173,3 +173,33 @@ def test_gold_follows_changed_subscribers(spark, tmp_path):
         a, b = (sorted(map(repr, x[name].collect())) for x in (gold, whole))
         assert a == b, name
     assert GI.refresh_dim(spark, wh + "/silver", wh + "/gold") == 0
+
+
+def test_many_ranges_share_few_files(spark, tmp_path, monkeypatch):
+    """A range a subscriber: files and folders follow the rows; versions that are mostly replaced are written anew."""
+    from trackyard.plans import gold_incremental as GI
+    from trackyard.schemas import SOURCES
+
+    table, sroot, groot = "exp_ho_tracing", str(tmp_path / "silver"), str(tmp_path / "gold")
+    schema = SOURCES[table].bronze_schema
+
+    def epoch(n, first, last, imei):
+        given = {"imsi": "id * 3", "imei": str(imei), "ho_start_time": "timestamp_ntz'2024-01-01'", "src_lac": "1", "src_ci": "1",
+                 "_ingested_at": f"timestamp_ntz'2024-01-0{n}'", "_file_hash": f"'{n}'", "_row_num": "1"}
+        batch = spark.range(first, last).selectExpr(*[
+            f"cast({given.get(f.name, 'null')} as {f.dataType.simpleString()}) as {f.name}" for f in schema.fields])
+        U.merge_epoch(spark, batch, sroot, table, f"e{n}")
+        GI.refresh_dim(spark, sroot, groot, span=1)
+        return [(r["subscriber_key"], r["imsi"], r["imei"]) for r in GI.read_dim(spark, groot).orderBy("imsi").collect()]
+
+    monkeypatch.setattr(GI, "BLOCK", 7)
+    assert epoch(1, 10, 110, 5) == [(i + 1, 3 * (10 + i), 5) for i in range(100)]
+    folders = [f for f, _, files in os.walk(groot) if any(x.endswith(".parquet") for x in files)]
+    held = sum(x.endswith(".parquet") for _, _, files in os.walk(groot) for x in files)
+    assert len(folders) < 10 and held < 20
+    assert epoch(2, 0, 40, 6) == [(i + 1, 3 * i, 6 if i < 40 else 5) for i in range(110)]
+    current = lambda: {r["version"] for r in GI._ranges(spark, groot, GI._current(spark, groot)[0]).collect()}
+    assert len(current()) == 2
+    monkeypatch.setattr(GI, "FEW", 0)
+    assert epoch(3, 30, 90, 7) == [(i + 1, 3 * i, 6 if i < 30 else 7 if i < 90 else 5) for i in range(110)]
+    assert len(current()) == 2  # the first epoch's version, with 20 of 100 rows current, is gone
