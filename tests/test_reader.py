@@ -182,3 +182,27 @@ def test_lines_are_read_once_and_their_quotes_followed(spark, tmp_path):
     records, _ = X.multi_line_records(spark, [str(tmp_path / "f")])
     assert "FileScan text" not in records._jdf.queryExecution().toString()  # their states are written once
     assert sorted((x.id, x.value) for x in records.collect()) == [(0, "h;i"), (1, '1;"a\nb"'), (2, "2;c")]
+
+
+def test_survey_adds_in_64_bits_and_decodes_encoded_paths_only(spark, tmp_path):
+    """Digest sums stay in longs, the ends of their range included; a path is decoded where its URI holds a '%'."""
+    folder = tmp_path / "in"
+    folder.mkdir()
+    names = ["a%2Bb+c", "plain+x", "two words", "100%", "é#1", "k=v"]
+    for n in names:
+        (folder / n).write_text("h;x\n1;2\n3;4\n")
+    listing = X.list_files(spark, str(folder))
+    splits = X.survey(spark, [r["path"] for r in listing.collect()])
+    assert "decimal" not in splits._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert "contains(" in splits._jdf.queryExecution().optimizedPlan().toString().lower()
+    files = X.content_files(splits, listing).collect()
+    assert sorted(r["filename"] for r in files) == sorted(names)
+    assert {r["header"] for r in files} == {"h;x"} and len({r["file_id"] for r in files}) == 1
+    # splits whose sums and places are as large as they get: two neighbours, the second one's places beyond them
+    top = X._PRIME - 1
+    sums = ", ".join(f"cast({top} as bigint) {x}{k}" for k in range(X.LANES) for x in "st")
+    two = spark.sql(f"""SELECT 'p' AS path, b AS block, cast(1 as bigint) << 32 AS n, f AS first, 0L AS n_open,
+                        array(named_struct('id', 0L, 'value', 'h')) AS heads, {sums}
+                        FROM VALUES (0L, 0L), (1L, 8589934591L) AS t(b, f)""")
+    rows = X.content_files(two, spark.createDataFrame([("p", 1, "p")], "path string, length bigint, filename string")).collect()
+    assert len(rows[0]["file_id"]) == 64

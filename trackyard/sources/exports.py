@@ -30,7 +30,8 @@ from trackyard.sources.files import exists, hadoop_path
 SEP = ";"
 QUOTE = '"'
 CSV_OPTIONS = {"sep": SEP, "quote": QUOTE, "escape": QUOTE, "mode": "PERMISSIVE"}
-LANES = 4  # independent 48-bit line hashes in a content id
+LANES = 4  # independent line hashes in a content id, two from each 64-bit hash
+_PRIME = (1 << 31) - 1  # they and their sums are taken modulo this
 _POSITION = (1 << 33) - 1  # the part of monotonically_increasing_id that counts within a partition
 
 
@@ -91,9 +92,11 @@ def glob_escape(path: str) -> str:
 def file_path_column():
     """The text source's ``_metadata.file_path`` is a URI (space -> %20, # -> %23, % -> %25);
     decode it to the plain path the binaryFile listing reports. A literal '+' is legal in a
-    URI path, so it is protected from the form-decoding rule '+' -> ' '."""
+    URI path, so it is protected from the form-decoding rule '+' -> ' '. A URI without '%' is
+    its own path: decoding is for every line and costs more than most of what is done with it."""
     encoded = F.col("_metadata.file_path")
-    return F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B"))).alias("path")
+    decoded = F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B")))
+    return F.when(encoded.contains("%"), decoded).otherwise(encoded).alias("path")
 
 
 def raw_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
@@ -230,15 +233,16 @@ def survey(spark: SparkSession, paths: Sequence[str], sep: str = SEP) -> DataFra
     """One row a split: its lines' count, digest, first two lines, and how many leave a cell open.
 
     With the hash h and the place i of each line, the digest holds the sums of h and of i * h: the latter follows
-    from the former if the split's place in the file becomes known. Four hashes of 48 bits are summed.
+    from the former if the split's place in the file becomes known. Four hashes of 31 bits are summed, modulo a prime of
+    31 bits: no product or sum of up to 2^32 lines leaves 64 bits.
     """
-    lines = raw_lines(spark, paths)
+    lines = raw_lines(spark, paths).withColumns({f"h{k}": F.xxhash64(F.lit(k), "value") for k in range(LANES // 2)})
     place = F.col("id").bitwiseAND(F.lit(_POSITION))
     sums = []
     for k in range(LANES):
-        h = F.shiftright(F.xxhash64(F.lit(k), "value"), 16).cast("decimal(20,0)")
-        sums += [F.sum(h).cast("decimal(38,0)").alias(f"s{k}"),
-                 F.sum((h * place.cast("decimal(12,0)")).cast("decimal(38,0)")).cast("decimal(38,0)").alias(f"t{k}")]
+        bits = F.shiftrightunsigned(f"h{k // 2}", 33) if k % 2 else F.col(f"h{k // 2}").bitwiseAND(F.lit(_PRIME))
+        h = bits.cast("bigint")
+        sums += [(F.sum(h) % _PRIME).alias(f"s{k}"), (F.sum(h * (place % _PRIME) % _PRIME) % _PRIME).alias(f"t{k}")]
     line = F.struct("id", "value")
     # the first two lines: neighbours differ in parity, and the first that names a separator doesn't count twice
     first = [F.min(F.when(not_blank() & cond, line)) for cond in
@@ -258,13 +262,13 @@ def content_files(splits: DataFrame, listing: DataFrame) -> DataFrame:
     of the run holds a whole file. ``header_index`` is 1 after a ``sep=`` line, else 0; a file without lines has no header.
     """
     earlier = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    shift = (F.coalesce(F.sum("n").over(earlier), F.lit(0)) - F.col("first")).cast("decimal(19,0)")
+    # pmod: a split's first place may exceed the number of lines before it
+    shift = F.pmod(F.coalesce(F.sum("n").over(earlier), F.lit(0)) - F.col("first"), F.lit(_PRIME).cast("bigint"))
     moved = splits.withColumn("__shift", shift)
     sums = []
     for k in range(LANES):
-        sums += [F.sum(f"s{k}").cast("decimal(38,0)").alias(f"s{k}"),
-                 F.sum((F.col(f"t{k}") + (F.col("__shift") * F.col(f"s{k}")).cast("decimal(38,0)")).cast("decimal(38,0)"))
-                 .cast("decimal(38,0)").alias(f"t{k}")]
+        sums += [(F.sum(f"s{k}") % _PRIME).alias(f"s{k}"),
+                 (F.sum((F.col(f"t{k}") + F.col("__shift") * F.col(f"s{k}")) % _PRIME) % _PRIME).alias(f"t{k}")]
     files = moved.groupBy("path").agg(
         F.sum("n").alias("n"), (F.sum("n_open") > 0).alias("multi"),
         F.slice(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("block", "heads"))), lambda x: x["heads"])), 1, 2)
