@@ -1,3 +1,6 @@
+import numpy as np
+import pyarrow as pa
+
 from tests.llm.conftest import docs_frame, prose, words
 from trackyard.llm import paragraph_dedup as P
 
@@ -123,3 +126,53 @@ def test_edits_at_random_places_are_covered(spark):
 
 def test_empty_table(spark):
     assert P.repeat_report(docs_frame(spark, [])).collect() == []
+
+
+TEXTS = [b"", b"a", b" ", *(prose(k, n).encode() for k, n in enumerate((3, 4, 5, 9, 30, 200, 400))), b"", b"the " * 300, b"\n", PASSAGE.encode()]
+
+
+def sketched(texts):
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array([7] * len(texts), pa.int64()),
+                                        pa.array(texts, pa.binary())], names=["doc", "tag", "text"])
+    return batch, pa.Table.from_batches(P._sketched(iter([batch]))).to_pylist()
+
+
+def segments(batch, rows):
+    kind = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))
+    which = [[{"first": a, "last": b} for a, b in zip(r["paras"][::2], r["paras"][1::2], strict=True)][::-3] for r in rows]
+    found = P._segments(iter([pa.RecordBatch.from_arrays([*batch.columns, pa.array(which, kind)], names=["doc", "tag", "text", "which"])]))
+    return [r for b in found for r in b.to_pylist()]
+
+
+def test_texts_are_hashed_together_and_cut_apart(monkeypatch):
+    calls, mixed = [], P._mixed
+    monkeypatch.setattr(P, "_mixed", lambda x: calls.append(len(x)) or mixed(x))
+    batch, rows = sketched(TEXTS * 20)
+    assert len(calls) <= 10  # not some for each of the texts
+    calls.clear()
+    found = segments(batch, rows)
+    assert len(calls) <= 10
+    alone = [sketched([t]) for t in TEXTS]
+    assert [(r["paras"], r["bands"]) for r in rows] == [(a["paras"], a["bands"]) for _, (a,) in alone] * 20
+    parts = [segments(b, r) for b, r in alone]
+    expected = [{**x, "doc": n} for n, part in enumerate(parts * 20) for x in part]
+    assert found == expected and len(found) > 100
+    for text, (_, (row,)) in zip(TEXTS, alone, strict=True):  # the hashes of segments are the sketch's, their places the text's
+        places, bands = [*zip(row["paras"][::2], row["paras"][1::2], strict=True)], row["bands"]
+        for seg in segments(*sketched([text])):
+            at = np.cumsum(np.frombuffer(seg["places"], np.uint32)).reshape(-1, 2)
+            assert [text[a:b] for a, b in at] == text.split()[seg["seg"]:seg["seg"] + len(at)]
+            for p in seg["paras"]:
+                k = places.index((p["first"], p["last"]))
+                assert p["bands"] == bands[k * P.BANDS:(k + 1) * P.BANDS]
+
+
+def test_paragraphs_begin_at_the_least_pairs():
+    w = np.random.default_rng(5).integers(0, 6, 3000).astype(np.uint64)  # ties: the first of equal ones
+    begins = np.array([0, 1, 5, 12, 21, 22, 500, 1700, 2996])
+    expected = []
+    for a, b in zip(begins, [*begins[1:], len(w)], strict=True):
+        v = P._mixed(w[a:b] * P._P + np.append(w[a + 1:b], np.uint64(0))).tolist()
+        expected += [a + k for k in range(b - a) if k == 0 or P.REACH <= k < b - a - P.REACH and all(
+            v[k] < x for x in v[k - P.REACH:k]) and all(v[k] <= x for x in v[k + 1:k + P.REACH + 1])]
+    assert P.paragraph_starts(w, begins).tolist() == expected

@@ -41,13 +41,14 @@ from difflib import SequenceMatcher
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trackyard.llm.common import Scratch, arrow_column, map_batches, stored, utf8
-from trackyard.llm.near_dedup import SHINGLE, SIMILARITY, _A, _B, _LONG_MIN, _P, _WordHashes, _lists, _mixed, _tag, \
-    class_components, normalised_words
+from trackyard.llm.near_dedup import SHINGLE, SIMILARITY, _A, _B, _LONG_MIN, _P, _mixed, _tag, class_components, \
+    normalised_words
 
 REACH = 4
 BANDS = 3
@@ -56,91 +57,132 @@ MIN_WORDS = 20
 CONTEXT = 64  # words on either side of a paragraph in which its passage is followed; the next paragraph goes on from there
 EDIT = 3      # words that an edit may replace, insert or drop
 AGREE = 3     # equal words after an edit that make it one
-_TOP = np.iinfo(np.uint64).max
 
 
-def paragraph_starts(w: np.ndarray, reach: int = REACH) -> np.ndarray:
-    """Word numbers where paragraphs begin; 0 is one."""
+def paragraph_starts(w: np.ndarray, begins: np.ndarray, reach: int = REACH) -> np.ndarray:
+    """Word numbers where paragraphs begin; a text's first word, ``begins``, is one. The texts' words follow each other."""
     n = len(w)
     if n == 0:
         return np.zeros(0, np.int64)
-    v = _mixed(w * _P + np.append(w[1:], np.uint64(0)))
+    ends = np.append(begins[1:], n)
+    after = np.append(w[1:], np.uint64(0))
+    after[ends - 1] = 0
+    v = _mixed(w * _P + after)
     least = np.ones(n, bool)
-    least[max(0, n - reach):] = False
-    least[:reach] = False
     for k in range(1, reach + 1):
-        least[k:] &= v[k:] < v[:-k]
-        least[:-k] &= v[:-k] <= v[k:]
-    least[0] = True
+        less = v[k:] < v[:-k]
+        least[k:] &= less
+        least[:-k] &= ~less
+    for k in range(reach):  # so words of two texts are never compared in earnest
+        least[np.minimum(begins + k, ends - 1)] = False
+        least[np.maximum(ends - 1 - k, begins)] = False
+    least[begins] = True
     return np.flatnonzero(least)
 
 
 class Paragraphs:
-    """The paragraphs of one text: places, sizes, shingle hashes."""
+    """Some whole paragraphs of a run of words: places, sizes, shingle hashes."""
 
-    def __init__(self, words: list[bytes], hashes: dict, reach: int = REACH):
+    def __init__(self, words: np.ndarray, starts: np.ndarray, sizes: np.ndarray):
+        """``words``: hashes."""
+        self.words, self.starts, self.sizes = words, starts, sizes
         n = len(words)
-        w = np.fromiter(map(hashes.__getitem__, words), np.uint64, n)
-        self.words = w
-        self.starts = paragraph_starts(w, reach)
-        self.sizes = np.diff(np.append(self.starts, n))
-        shingles = np.full(n, _TOP, np.uint64)
+        shingles = np.zeros(n, np.uint64)
         if n >= SHINGLE:
-            acc = np.zeros(n - SHINGLE + 1, np.uint64)
-            for j in range(SHINGLE):
-                acc = acc * _P + w[j:n - SHINGLE + 1 + j]
-            shingles[:n - SHINGLE + 1] = _mixed(acc)
-        left = np.repeat(self.starts + self.sizes, self.sizes) - np.arange(n)  # words to the paragraph's end
-        self.inside = left >= SHINGLE
-        self.shingles = shingles
-        self.whole = self.sizes >= SHINGLE
+            acc = words[:n - SHINGLE + 1] * _P
+            for j in range(1, SHINGLE - 1):
+                acc = (acc + words[j:n - SHINGLE + 1 + j]) * _P
+            shingles[:n - SHINGLE + 1] = _mixed(acc + words[SHINGLE - 1:])
+        self.amount = sizes - SHINGLE + 1
+        # those inside a paragraph, one paragraph after the other
+        self.shingles = shingles[_ranges(starts, self.amount)]
 
     def minima(self) -> np.ndarray:
         """paragraphs x BANDS hashes; the band's number is part of them."""
         if not len(self.starts):
             return np.zeros((0, BANDS), np.int64)
-        out = []
-        for band in range(BANDS):
-            v = np.where(self.inside, _A[band] * self.shingles + _B[band], _TOP)
-            out.append(_mixed((np.minimum.reduceat(v, self.starts) ^ np.uint64(band + 1)) * _P))
-        return np.stack(out, axis=1).view(np.int64)
+        at = np.cumsum(self.amount) - self.amount
+        return np.stack([_mixed((np.minimum.reduceat(_A[band] * self.shingles + _B[band], at) ^ np.uint64(band + 1)) * _P)
+                         for band in range(BANDS)], axis=1).view(np.int64)
 
-    def key(self, k: int) -> bytes:
-        a = self.starts[k]
-        return xxhash.xxh3_128_digest(self.words[a:a + self.sizes[k]].tobytes())
+    def keys(self) -> list[bytes]:
+        raw, begins = memoryview(self.words).cast("B"), self.starts * 8
+        return [xxhash.xxh3_128_digest(raw[a:b]) for a, b in zip(begins.tolist(), (begins + self.sizes * 8).tolist(), strict=True)]
 
-    def set(self, k: int) -> np.ndarray:
-        a = self.starts[k]
-        return np.unique(self.shingles[a:a + self.sizes[k] - SHINGLE + 1])
+    def sets(self) -> tuple[np.ndarray, np.ndarray]:
+        """The sorted distinct shingles, one paragraph after the other, and each one's number of them."""
+        owner = np.repeat(np.arange(len(self.starts)), self.amount)
+        shingles = self.shingles[np.lexsort((self.shingles, owner))]  # the owners are in order already
+        new = np.ones(len(shingles), bool)
+        new[1:] = (shingles[1:] != shingles[:-1]) | (owner[1:] != owner[:-1])
+        return shingles[new], np.bincount(owner[new], minlength=len(self.starts))
 
 
-_SPACE = np.isin(np.arange(256), list(b" \t\n\r\x0b\x0c"))
+def _hashed(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+
+
+def _ranges(begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """begin, begin + 1, ... of each range, one range after the other."""
+    return np.repeat(begins - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+
+
+_GROUP_BYTES = 256 << 10  # of texts taken together: their arrays fit the processor's cache
 
 
 def _word_places(raw: bytes) -> np.ndarray:
     """Byte offsets (begin, end) of the white-space separated words."""
-    inside = np.concatenate(([False], ~_SPACE[np.frombuffer(raw, np.uint8)], [False]))
+    data = np.frombuffer(raw, np.uint8)
+    inside = np.zeros(len(raw) + 2, bool)
+    inside[1:-1] = (data - np.uint8(9) > 4) & (data != 32)  # \t \n \x0b \x0c \r follow each other
     return np.flatnonzero(inside[1:] != inside[:-1]).reshape(-1, 2)
 
 
+def _groups(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """(first, last) rows of neighbouring texts of ``_GROUP_BYTES`` together, or one longer text."""
+    ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64)
+    at = 0
+    while at < len(ends):
+        last = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + _GROUP_BYTES, "right")))
+        yield at, last
+        at = last
+
+
+def _listed(values: pa.Array, amounts: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(amounts)).astype(np.int32)), values)
+
+
+def _binaries(data: np.ndarray, amounts: np.ndarray) -> pa.Array:
+    """Binary values of some elements of ``data`` each, one after the other."""
+    ends = np.append(0, np.cumsum(amounts) * data.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(amounts), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(data))])
+
+
 def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The numbers of a text's whole paragraphs, and ``BANDS`` hashes of each one after the other."""
-    hashes = _WordHashes()
+    """The places (first, last) of a text's whole paragraphs, and ``BANDS`` hashes of each one after the other."""
     for whole in batches:
-        for at in range(0, whole.num_rows, 1024):
-            batch = whole.slice(at, 1024)
-            paras, bands = [], []
-            for text in batch.column(2):
-                p = Paragraphs(normalised_words(text.as_py()), hashes)
-                which = np.flatnonzero(p.whole)
-                paras.append(which.astype(np.int32))
-                bands.append(p.minima()[which].reshape(-1))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), _lists(paras, np.int32), _lists(bands, np.int64)],
-                                             names=["doc", "tag", "paras", "bands"])
-
-
-_PARA = pa.struct([("first", pa.int32()), ("last", pa.int32()), ("key", pa.binary()), ("set", pa.binary()),
-                   ("bands", pa.list_(pa.int64()))])
+        for at, last in _groups(whole.column(2)):
+            batch = whole.slice(at, last - at)
+            words: list[bytes] = []
+            counts = np.zeros(batch.num_rows, np.int64)
+            for k, text in enumerate(batch.column(2).to_pylist()):
+                own = normalised_words(text)
+                counts[k] = len(own)
+                words += own
+            hashes, begins = _hashed(words), np.cumsum(counts) - counts
+            starts = paragraph_starts(hashes, begins[counts > 0])
+            sizes = np.diff(np.append(starts, len(words)))
+            starts, sizes = starts[sizes >= SHINGLE], sizes[sizes >= SHINGLE]
+            row = np.searchsorted(begins, starts, "right") - 1
+            amounts = np.bincount(row, minlength=batch.num_rows)
+            first = starts - begins[row]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1),
+                 _listed(pa.array(np.stack([first, first + sizes], axis=1).reshape(-1).astype(np.int32)), 2 * amounts),
+                 _listed(pa.array(Paragraphs(hashes, starts, sizes).minima().reshape(-1)), BANDS * amounts)],
+                names=["doc", "tag", "paras", "bands"])
+
+
 SEGMENT = ("doc bigint, tag bigint, seg int, words binary, places binary, "
            "paras array<struct<first: int, last: int, key: binary, set: binary, bands: array<bigint>>>")
 
@@ -148,34 +190,43 @@ SEGMENT = ("doc bigint, tag bigint, seg int, words binary, places binary, "
 def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Runs of words around the given paragraphs: 32-bit word hashes, steps between the words' byte places (begin, end),
     and the paragraphs in them."""
-    hashes = _WordHashes()
     for whole in batches:
-        for at in range(0, whole.num_rows, 128):
-            docs, tags, segs, words_, places_, paras = [], [], [], [], [], []
-            for doc, tag, text, which in zip(*whole.slice(at, 128).columns, strict=True):
-                raw = text.as_py()
-                words = normalised_words(raw)
-                p = Paragraphs(words, hashes)
-                minima = p.minima()
-                place = _word_places(raw)
-                end = None
-                for k in sorted(which.as_py()):
-                    a, b = int(p.starts[k]), int(p.starts[k] + p.sizes[k])
-                    if end is None or a - CONTEXT > end:  # a segment of its own
-                        docs.append(doc.as_py())
-                        tags.append(tag.as_py())
-                        segs.append([max(0, a - CONTEXT), 0])
-                        paras.append([])
-                    end = segs[-1][1] = min(len(words), b + CONTEXT)
-                    paras[-1].append({"first": a, "last": b, "key": p.key(k), "set": p.set(k).tobytes(),
-                                      "bands": minima[k].tolist()})
-                for lo, hi in segs[len(words_):]:
-                    words_.append(p.words[lo:hi].astype(np.uint32).tobytes())
-                    places_.append(np.diff(place[lo:hi].reshape(-1), prepend=0).astype(np.uint32).tobytes())
+        for at, last in _groups(whole.column(2)):
+            batch = whole.slice(at, last - at)
+            which = batch.column(3).flatten()
+            if not len(which):
+                continue
+            texts = batch.column(2).to_pylist()
+            raw = b" ".join(texts)
+            place, words = _word_places(raw), normalised_words(raw)
+            ends = np.cumsum([len(text) + 1 for text in texts])
+            counts = np.diff(np.searchsorted(place[:, 0], ends), prepend=0)
+            row = np.repeat(np.arange(len(texts)), pc.list_value_length(batch.column(3)).to_numpy(zero_copy_only=False))
+            a, b = (which.field(c).to_numpy().astype(np.int64) for c in ("first", "last"))
+            order = np.lexsort((a, row))
+            row, a, b = row[order], a[order], b[order]
+            size = counts[row]
+            new = np.ones(len(a), bool)  # a segment of its own
+            new[1:] = (row[1:] != row[:-1]) | (a[1:] - CONTEXT > np.minimum(size, b + CONTEXT)[:-1])
+            first = np.flatnonzero(new)
+            final = np.append(first[1:], len(a)) - 1
+            owner = row[first]
+            lo, hi = np.maximum(0, a[first] - CONTEXT), np.minimum(size[first], b[final] + CONTEXT)
+            sizes, begin = hi - lo, (np.cumsum(counts) - counts)[owner] + lo
+            inside, heads = _ranges(begin, sizes), np.cumsum(sizes) - sizes
+            steps = np.diff(place.reshape(-1), prepend=0).reshape(-1, 2)[inside]
+            steps[heads, 0] = place[begin, 0] - np.append(0, ends)[owner]
+            hashes = _hashed([w for x, y in zip(begin.tolist(), (begin + sizes).tolist(), strict=True) for w in words[x:y]])
+            p = Paragraphs(hashes, np.repeat(heads - lo, final - first + 1) + a, b - a)
+            sets, n_set = p.sets()
+            paras = pa.StructArray.from_arrays(
+                [pa.array(a.astype(np.int32)), pa.array(b.astype(np.int32)), pa.array(p.keys(), pa.binary()),
+                 _binaries(sets, n_set), _listed(pa.array(p.minima().reshape(-1)), np.full(len(a), BANDS))],
+                names=["first", "last", "key", "set", "bands"])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(docs, pa.int64()), pa.array(tags, pa.int64()), pa.array([s[0] for s in segs], pa.int32()),
-                 pa.array(words_, pa.binary()), pa.array(places_, pa.binary()), pa.array(paras, pa.list_(_PARA))],
-                names=["doc", "tag", "seg", "words", "places", "paras"])
+                [batch.column(0).take(pa.array(owner)), batch.column(1).take(pa.array(owner)), pa.array(lo.astype(np.int32)),
+                 _binaries(hashes.astype(np.uint32), sizes), _binaries(steps.astype(np.uint32).reshape(-1), 2 * sizes),
+                 _listed(paras, final - first + 1)], names=["doc", "tag", "seg", "words", "places", "paras"])
 
 
 _EDITS = sorted(((d, e) for d in range(EDIT + 1) for e in range(EDIT + 1) if d or e), key=lambda x: (x[0] + x[1], abs(x[0] - x[1])))
@@ -187,15 +238,19 @@ def follow(a: list[int], b: list[int]) -> list[tuple[int, int, int]]:
     i = j = common = 0
     run, ends = SHINGLE - 1, [(0, 0, 0)]
     while True:
-        start = i
-        while i < len(a) and j < len(b) and a[i] == b[j]:
-            i, j, run = i + 1, j + 1, run + 1
-            common += run >= SHINGLE
-        if i > start:
+        n = 0
+        for x, y in zip(a[i:], b[j:], strict=False):
+            if x != y:
+                break
+            n += 1
+        if n:
+            common += max(0, run + n - SHINGLE + 1) - max(0, run - SHINGLE + 1)
+            i, j = i + n, j + n
             ends.append((i, j, common))
         for d, e in _EDITS:
-            if a[i + d:i + d + AGREE] == b[j + e:j + e + AGREE] and len(a[i + d:i + d + AGREE]) == AGREE:
-                i, j, run = i + d, j + e, 0
+            x, y = i + d, j + e
+            if x + AGREE <= len(a) and y + AGREE <= len(b) and a[x] == b[y] and a[x:x + AGREE] == b[y:y + AGREE]:
+                i, j, run = x, y, 0
                 break
         else:
             return ends
@@ -207,11 +262,12 @@ def matched(own: list[int], first: int, last: int, its: list[int], its_first: in
 
     They begin with the longest run of words that the paragraphs have in common.
     """
-    core = SequenceMatcher(None, own[first:last], its[its_first:its_last], False).find_longest_match()
-    first, its_first = first + core.a, its_first + core.b
-    last, its_last = first + core.size, its_first + core.size
-    here = there = core.size
-    common = max(0, core.size - SHINGLE + 1)
+    if own[first:last] != its[its_first:its_last]:
+        core = SequenceMatcher(None, own[first:last], its[its_first:its_last], False).find_longest_match()
+        first, its_first = first + core.a, its_first + core.b
+        last, its_last = first + core.size, its_first + core.size
+    here = there = last - first
+    common = max(0, here - SHINGLE + 1)
     out = [first, last, its_first, its_last]
 
     def far(ends: list[tuple[int, int, int]]) -> tuple[int, int, int]:
@@ -246,34 +302,59 @@ def _within(at: tuple[int, int, int, int], stretches: list[tuple[int, int, int,
     return any(a <= at[0] and at[1] <= b and c <= at[2] and at[3] <= d for a, b, c, d in stretches)
 
 
+def _stretches(own: list[int], its: list[int], paras: list[tuple[int, int, int, int]], similarity: int) -> list[tuple[int, ...]]:
+    """The stretches around pairs of paragraphs (first and last of either), in order."""
+    seen: list[tuple[int, int, int, int]] = []
+    inside = None  # the last paragraph within a stretch that is matched already: it may reach further
+    for here in paras:
+        within = _within(here, seen[-4:])
+        if inside and not within:
+            seen.append(_stretch(own, its, inside, similarity))
+            inside, within = None, _within(here, seen[-4:])
+        if within:
+            inside = here
+        else:
+            seen.append(_stretch(own, its, here, similarity))
+    if inside:
+        seen.append(_stretch(own, its, inside, similarity))
+    return seen
+
+
 def _marked(similarity: int):
     """Marks of each segment's paragraphs, and of the stretches of the smallest documents that they were compared with."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for doc, tag, seg, words, partners in zip(*batch.columns, strict=True):
-                doc, tag, seg = doc.as_py(), tag.as_py(), seg.as_py()
-                own = np.frombuffer(words.as_py(), np.uint32).tolist()
-                for partner in partners.as_py():
-                    at, base = partner["at"], partner["base"]
-                    its = np.frombuffer(partner["context"], np.uint32).tolist()
-                    seen: list[tuple[int, int, int, int]] = []
-                    inside = None  # the last paragraph within a stretch that is matched already: it may reach further
-                    for m in [*sorted(partner["paras"], key=lambda m: (m["first"], m["its_first"])), None]:
-                        here = m and (m["first"] - seg, m["last"] - seg, m["its_first"] - base, m["its_last"] - base)
-                        if inside and not (here and _within(here, seen[-4:])):
-                            seen.append(_stretch(own, its, inside, similarity))
-                            inside = None
-                        if here and _within(here, seen[-4:]):
-                            inside = here
-                        elif here:
-                            seen.append(_stretch(own, its, here, similarity))
-                    for a, b, c, d in seen:
-                        rows.append((doc, tag, seg, seg + a, seg + b, at["doc"]))
-                        rows.append((at["doc"], at["tag"], at["seg"], base + c, base + d, at["doc"]))
-            cols = list(zip(*rows, strict=True)) or [()] * 6
+            partners = batch.column(4).flatten()
+            amounts = pc.list_value_length(batch.column(4)).to_numpy(zero_copy_only=False)
+            row = np.repeat(np.arange(batch.num_rows), amounts)
+            doc, tag, seg = (batch.column(k).to_numpy() for k in range(3))
+            at_doc, at_tag, at_seg = (partners.field("at").field(c).to_numpy() for c in ("doc", "tag", "seg"))
+            base, paras = partners.field("base").to_numpy(), partners.field("paras")
+            n_paras = pc.list_value_length(paras).to_numpy(zero_copy_only=False)
+            of, paras = np.repeat(np.arange(len(row)), n_paras), paras.flatten()
+            first, last, its_first, its_last = (paras.field(c).to_numpy() for c in ("first", "last", "its_first", "its_last"))
+            order = np.lexsort((its_first, first, of))
+            # where they are in the words of the two sides
+            pairs = [*zip((first - seg[row[of]])[order].tolist(), (last - seg[row[of]])[order].tolist(),
+                          (its_first - base[of])[order].tolist(), (its_last - base[of])[order].tolist(), strict=True)]
+            stretches: list[tuple[int, ...]] = []
+            found, k, held, own = [], 0, -1, []
+            for r, n, context in zip(row.tolist(), n_paras.tolist(), partners.field("context").to_pylist(), strict=True):
+                if r != held:
+                    held, own = r, np.frombuffer(batch.column(3)[r].as_py(), np.uint32).tolist()
+                seen = _stretches(own, np.frombuffer(context, np.uint32).tolist(), pairs[k:k + n], similarity)
+                stretches += seen
+                found.append(len(seen))
+                k += n
+            of = np.repeat(np.arange(len(row)), np.array(found, np.int64))
+            at = np.array(stretches, np.int64).reshape(-1, 4)
+            at[:, :2] += seg[row[of], None]
+            at[:, 2:] += base[of, None]
+            both = ((doc[row], at_doc), (tag[row], at_tag), (seg[row], at_seg))
+            cols = [*(np.append(x[of], y[of]) for x, y in both), np.append(at[:, 0], at[:, 2]), np.append(at[:, 1], at[:, 3]),
+                    np.append(at_doc[of], at_doc[of])]
             kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)],
+            yield pa.RecordBatch.from_arrays([pa.array(c.astype(t.to_pandas_dtype()), t) for c, t in zip(cols, kinds, strict=True)],
                                              names=["doc", "tag", "seg", "first", "last", "component"])
     return run
 
@@ -282,9 +363,12 @@ def _spans(min_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for doc, tag, seg, places, marks in zip(*batch.columns, strict=True):
-                doc, seg, marks = doc.as_py(), seg.as_py(), [(m["first"], m["last"], m["component"]) for m in marks.as_py()]
-                place = np.cumsum(np.frombuffer(places.as_py(), np.uint32), dtype=np.int64).reshape(-1, 2)
+            every = batch.column(4).flatten()
+            every = [*zip(*(every.field(c).to_numpy().tolist() for c in ("first", "last", "component")), strict=True)]
+            amounts, at = pc.list_value_length(batch.column(4)), 0
+            for doc, tag, seg, places, n in zip(*(c.to_pylist() for c in (*batch.columns[:4], amounts)), strict=True):
+                marks, at = every[at:at + n], at + n
+                place = np.cumsum(np.frombuffer(places, np.uint32), dtype=np.int64).reshape(-1, 2)
                 state = np.zeros(len(place), np.int8)  # 1 repeated and kept, 2 removed
                 for gone in (False, True):
                     for a, b, component in marks:
@@ -294,7 +378,7 @@ def _spans(min_words: int):
                 for a, b in zip(edges, edges[1:], strict=False):
                     if state[a] and b - a >= min_words:
                         mine = [m for m in marks if m[0] - seg < b and m[1] - seg > a and (m[2] != doc) == (state[a] == 2)]
-                        out.append((doc, tag.as_py(), int(place[a, 0]), int(place[b - 1, 1]), b - a, len(mine),
+                        out.append((doc, tag, int(place[a, 0]), int(place[b - 1, 1]), b - a, len(mine),
                                     min(m[2] for m in mine), bool(state[a] == 2)))
             cols = list(zip(*out, strict=True)) or [()] * 8
             yield pa.RecordBatch.from_arrays(
@@ -313,40 +397,41 @@ def _colliding_segments(rows: DataFrame, scratch: Scratch) -> DataFrame:
 
 
 def _colliding(rows: DataFrame, own: Scratch, scratch: Scratch) -> DataFrame:
-    """(doc, tag, which) of the texts with paragraphs of whose bands other texts have ``AT_LEAST``: their numbers."""
+    """(doc, tag, which) of the texts with paragraphs of whose bands other texts have ``AT_LEAST``: their places."""
     sketch = own.stored(map_batches(rows, _sketched, "doc bigint, tag bigint, paras array<int>, bands array<bigint>")
                         .withColumn("row", F.monotonically_increasing_id()), "sketch")
     once = sketch.select(F.explode(F.array_distinct("bands")).alias("h"))
     shared = own.stored(once.groupBy("h").count().filter("count > 1").select("h"), "colliding")
-    hits = sketch.select("row", F.posexplode("bands").alias("pos", "h")).join(shared, "h", "left_semi").groupBy("row").agg(
-        F.sort_array(F.collect_list("pos")).alias("pos"))
-    # ``AT_LEAST`` of a paragraph's hashes: they stand side by side
-    nth = lambda i: F.floor(F.get("pos", i) / BANDS)
-    which = F.array_distinct(F.transform(F.filter(F.sequence(F.lit(0), F.size("pos") - 1), lambda i: nth(i) == nth(
-        i + AT_LEAST - 1)), lambda i: F.get("paras", nth(i).cast("int"))))
+    # a paragraph's hashes stand side by side; all of a text's meet in one place, where they are counted and then listed
+    hits = sketch.select("row", F.posexplode("bands").alias("pos", "h")).withColumn("n", F.floor(F.col("pos") / BANDS).cast("int")) \
+                 .join(shared, "h", "left_semi").select("row", "n").repartition("row")
+    often = hits.groupBy("row", "n").count().filter(F.col("count") >= AT_LEAST).groupBy("row").agg(F.collect_list("n").alias("n"))
+    place = lambda n: F.struct(F.get("paras", 2 * n).alias("first"), F.get("paras", 2 * n + 1).alias("last"))
     return scratch.stored(
-        sketch.select("row", "doc", "tag", "paras").join(hits, "row").select("doc", "tag", which.alias("which"))
-        .filter(F.size("which") > 0).dropDuplicates(["doc", "tag"]), "wanted")
+        sketch.select("row", "doc", "tag", "paras").join(often, "row").select("doc", "tag", F.transform("n", place).alias("which"))
+        .dropDuplicates(["doc", "tag"]), "wanted")
 
 
 def _clustered(segments: DataFrame, similarity: int, own: Scratch, scratch: Scratch) -> DataFrame:
     """(doc, tag, seg, first, last, at) of the paragraphs in components of several documents, but for those of the
     smallest document; ``at`` is the place (doc, tag, seg, first, last) of the component's first paragraph there."""
     paras = segments.select("doc", "tag", "seg", F.explode("paras").alias("p")).select("doc", "tag", "seg", "p.*")
-    classes = own.stored(paras.groupBy("key").agg(F.first("set").alias("set"), F.first("bands").alias("bands"))
-                         .select("key", "set", "bands", (F.octet_length("set") / 8).cast("bigint").alias("n"),
+    spot = F.struct("doc", "tag", "seg", "first", "last")
+    classes = own.stored(paras.groupBy("key").agg(F.first("set").alias("set"), F.first("bands").alias("bands"),
+                                                  F.min(spot).alias("at"), F.max("doc").alias("top"))
+                         .select("key", "set", "bands", "at", "top", (F.octet_length("set") / 8).cast("bigint").alias("n"),
                                  F.array().cast("array<smallint>").alias("sig")), "paragraph-classes")
     # all classes are few enough to be written with their sets already
     roots = class_components(classes.select("key", "n", "bands", "sig"), lambda wanted: classes.select("key", "set"),
                              similarity, scratch=own)
-    placed = own.stored(paras.drop("set", "bands").join(roots.select(F.col("u").alias("key"), F.col("v").alias("root")),
-                                                        "key", "left")
-                        .withColumn("root", F.coalesce("root", "key")).drop("key"), "placed")
-    spot = F.struct("doc", "tag", "seg", "first", "last")
-    clusters = own.stored(placed.groupBy("root").agg(F.min(spot).alias("at"), F.max("doc").alias("top"))
-                          .filter("at.doc < top").select("root", "at"), "clusters")
+    rooted = own.stored(classes.select("key", "at", "top").join(roots.select(F.col("u").alias("key"), F.col("v").alias("root")),
+                                                                "key", "left")
+                        .withColumn("root", F.coalesce("root", "key")), "rooted")
+    clusters = rooted.groupBy("root").agg(F.min("at").alias("at"), F.max("top").alias("top")).filter("at.doc < top").select(
+        "root", "at")
+    spread = own.stored(rooted.select("key", "root").join(clusters, "root").select("key", "at"), "spread")
     # what the others are compared with says nothing itself: they say how far it reaches
-    return scratch.stored(placed.join(clusters, "root").filter("doc <> at.doc").drop("root"), "members")
+    return scratch.stored(paras.drop("set", "bands").join(spread, "key").filter("doc <> at.doc").drop("key"), "members")
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: int = SIMILARITY,
