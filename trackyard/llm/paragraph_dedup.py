@@ -183,13 +183,29 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 names=["doc", "tag", "paras", "bands"])
 
 
-SEGMENT = ("doc bigint, tag bigint, seg int, words binary, places binary, "
+SEGMENT = ("doc bigint, tag bigint, seg int, begin int, words binary, places binary, "
            "paras array<struct<first: int, last: int, key: binary, set: binary, bands: array<bigint>>>")
 
 
+def _packed(steps: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """Of each segment a byte that tells the numbers' width, the gaps before its words, and the words' lengths."""
+    width = 1 if steps.max(initial=0) < 256 else 4
+    at = np.arange(len(steps)) + np.repeat(np.cumsum(sizes) - sizes, sizes)
+    out = np.empty(2 * len(steps), np.uint8 if width == 1 else np.uint32)
+    out[at], out[at + np.repeat(sizes, sizes)] = steps[:, 0], steps[:, 1]
+    raw, ends = memoryview(out).cast("B"), (2 * width * np.cumsum(sizes)).tolist()
+    return pa.array([bytes([width]) + raw[a:b] for a, b in zip([0, *ends], ends, strict=False)], pa.binary())
+
+
+def _unpacked(begin: int, places: bytes) -> np.ndarray:
+    """The words' places (begin, end) in the text."""
+    steps = np.frombuffer(places, np.uint8 if places[0] == 1 else np.uint32, offset=1)
+    return begin + np.cumsum(steps.reshape(2, -1).T, dtype=np.int64).reshape(-1, 2)
+
+
 def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Runs of words around the given paragraphs: 32-bit word hashes, steps between the words' byte places (begin, end),
-    and the paragraphs in them."""
+    """Runs of words around the given paragraphs: the byte where they begin, 32-bit word hashes, the words' places
+    (``_packed``), and the paragraphs in them."""
     for whole in batches:
         for at, last in _groups(whole.column(2)):
             batch = whole.slice(at, last - at)
@@ -213,9 +229,9 @@ def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             owner = row[first]
             lo, hi = np.maximum(0, a[first] - CONTEXT), np.minimum(size[first], b[final] + CONTEXT)
             sizes, begin = hi - lo, (np.cumsum(counts) - counts)[owner] + lo
-            inside, heads = _ranges(begin, sizes), np.cumsum(sizes) - sizes
-            steps = np.diff(place.reshape(-1), prepend=0).reshape(-1, 2)[inside]
-            steps[heads, 0] = place[begin, 0] - np.append(0, ends)[owner]
+            heads = np.cumsum(sizes) - sizes
+            steps = np.diff(place.reshape(-1), prepend=0).reshape(-1, 2)[_ranges(begin, sizes)]
+            steps[heads, 0] = 0
             hashes = _hashed([w for x, y in zip(begin.tolist(), (begin + sizes).tolist(), strict=True) for w in words[x:y]])
             p = Paragraphs(hashes, np.repeat(heads - lo, final - first + 1) + a, b - a)
             sets, n_set = p.sets()
@@ -225,8 +241,9 @@ def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 names=["first", "last", "key", "set", "bands"])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array(owner)), batch.column(1).take(pa.array(owner)), pa.array(lo.astype(np.int32)),
-                 _binaries(hashes.astype(np.uint32), sizes), _binaries(steps.astype(np.uint32).reshape(-1), 2 * sizes),
-                 _listed(paras, final - first + 1)], names=["doc", "tag", "seg", "words", "places", "paras"])
+                 pa.array((place[begin, 0] - np.append(0, ends)[owner]).astype(np.int32)),
+                 _binaries(hashes.astype(np.uint32), sizes), _packed(steps, sizes), _listed(paras, final - first + 1)],
+                names=["doc", "tag", "seg", "begin", "words", "places", "paras"])
 
 
 _EDITS = sorted(((d, e) for d in range(EDIT + 1) for e in range(EDIT + 1) if d or e), key=lambda x: (x[0] + x[1], abs(x[0] - x[1])))
@@ -363,12 +380,12 @@ def _spans(min_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            every = batch.column(4).flatten()
+            every = batch.column(5).flatten()
             every = [*zip(*(every.field(c).to_numpy().tolist() for c in ("first", "last", "component")), strict=True)]
-            amounts, at = pc.list_value_length(batch.column(4)), 0
-            for doc, tag, seg, places, n in zip(*(c.to_pylist() for c in (*batch.columns[:4], amounts)), strict=True):
+            amounts, at = pc.list_value_length(batch.column(5)), 0
+            for doc, tag, seg, begin, places, n in zip(*(c.to_pylist() for c in (*batch.columns[:5], amounts)), strict=True):
                 marks, at = every[at:at + n], at + n
-                place = np.cumsum(np.frombuffer(places, np.uint32), dtype=np.int64).reshape(-1, 2)
+                place = _unpacked(begin, places)
                 state = np.zeros(len(place), np.int8)  # 1 repeated and kept, 2 removed
                 for gone in (False, True):
                     for a, b, component in marks:
@@ -401,7 +418,8 @@ def _colliding(rows: DataFrame, own: Scratch, scratch: Scratch) -> DataFrame:
     sketch = own.stored(map_batches(rows, _sketched, "doc bigint, tag bigint, paras array<int>, bands array<bigint>")
                         .withColumn("row", F.monotonically_increasing_id()), "sketch")
     once = sketch.select(F.explode(F.array_distinct("bands")).alias("h"))
-    shared = own.stored(once.groupBy("h").count().filter("count > 1").select("h"), "colliding")
+    with Scratch(rows.sparkSession):  # the count's shuffle goes before the hashes are shuffled again
+        shared = own.stored(once.groupBy("h").count().filter("count > 1").select("h"), "colliding")
     # a paragraph's hashes stand side by side; all of a text's meet in one place, where they are counted and then listed
     hits = sketch.select("row", F.posexplode("bands").alias("pos", "h")).withColumn("n", F.floor(F.col("pos") / BANDS).cast("int")) \
                  .join(shared, "h", "left_semi").select("row", "n").repartition("row")
@@ -417,10 +435,11 @@ def _clustered(segments: DataFrame, similarity: int, own: Scratch, scratch: Scra
     smallest document; ``at`` is the place (doc, tag, seg, first, last) of the component's first paragraph there."""
     paras = segments.select("doc", "tag", "seg", F.explode("paras").alias("p")).select("doc", "tag", "seg", "p.*")
     spot = F.struct("doc", "tag", "seg", "first", "last")
-    classes = own.stored(paras.groupBy("key").agg(F.first("set").alias("set"), F.first("bands").alias("bands"),
-                                                  F.min(spot).alias("at"), F.max("doc").alias("top"))
-                         .select("key", "set", "bands", "at", "top", (F.octet_length("set") / 8).cast("bigint").alias("n"),
-                                 F.array().cast("array<smallint>").alias("sig")), "paragraph-classes")
+    with Scratch(segments.sparkSession):  # this shuffle goes before the classes' own
+        classes = own.stored(paras.groupBy("key").agg(F.first("set").alias("set"), F.first("bands").alias("bands"),
+                                                      F.min(spot).alias("at"), F.max("doc").alias("top"))
+                             .select("key", "set", "bands", "at", "top", (F.octet_length("set") / 8).cast("bigint").alias("n"),
+                                     F.array().cast("array<smallint>").alias("sig")), "paragraph-classes")
     # all classes are few enough to be written with their sets already
     roots = class_components(classes.select("key", "n", "bands", "sig"), lambda wanted: classes.select("key", "set"),
                              similarity, scratch=own)
@@ -459,9 +478,10 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                                       (F.col("high") + CONTEXT - F.col("base")) * 4).alias("context"), "paras").alias("partner"))
         compared = segments.select(*place, "words").join(
             partners.groupBy(*place).agg(F.collect_list("partner").alias("partners")), place)
-        marks = scratch.stored(map_batches(compared, _marked(similarity), MARK).distinct(), "marks")
+        with Scratch(docs.sparkSession):  # the words' shuffles go before the places'
+            marks = scratch.stored(map_batches(compared, _marked(similarity), MARK).distinct(), "marks")
         of = marks.groupBy(*place).agg(F.collect_list(F.struct("first", "last", "component")).alias("marks"))
-        found = segments.select(*place, "places").join(of, place).select(*place, "places", "marks")
+        found = segments.select(*place, "begin", "places").join(of, place).select(*place, "begin", "places", "marks")
         return stored(map_batches(found, _spans(min_words), "doc bigint, tag bigint, begin bigint, end bigint, n_words bigint, "
                                   "n_paragraphs bigint, component bigint, removed boolean"), "repeated-spans")
 
