@@ -206,3 +206,38 @@ def test_survey_adds_in_64_bits_and_decodes_encoded_paths_only(spark, tmp_path):
                         FROM VALUES (0L, 0L), (1L, 8589934591L) AS t(b, f)""")
     rows = X.content_files(two, spark.createDataFrame([("p", 1, "p")], "path string, length bigint, filename string")).collect()
     assert len(rows[0]["file_id"]) == 64
+
+
+def test_lines_are_joined_where_they_are_read(spark, tmp_path, monkeypatch):
+    """Cells and headers with line breaks load alike however files are split; no copy of the lines is written for it."""
+    h, rows, folder = headers("exp_etcs_call"), _etcs_rows(60), tmp_path / "in"
+    folder.mkdir()
+    for i, r in enumerate(rows):
+        r[25] = ('"a; ""b""\n\nc"', "plain", '"one line"', '"\n"', '"' + "long\n" * 40 + '"')[i % 5]
+    files = {"plain": [h, *rows[:9]], "broken": [[f'"{h[0]}\n"', *h[1:]], *rows], "open": [h, *rows[9:20], ["1", '"never']]}
+    for name, lines in files.items():
+        (folder / f"ETCS-Call-tracing_{name}.csv").write_text("sep=;\n\n" + "".join(";".join(r) + "\n" for r in lines))
+    frozen, freeze = [], X.freeze
+
+    def counted(df):
+        out = freeze(df)
+        frozen.append(out.count())
+        return out
+
+    monkeypatch.setattr(X, "freeze", counted)
+    loaded, prev = [], spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("200", "900", "134217728"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            root = str(tmp_path / f"wh{size}")
+            frozen.clear()
+            _, status, st = bronze.run_ingestion(spark, str(folder), None, root)
+            assert (status, st.files_success, st.files_failed, st.rows_loaded) == ("PARTIAL", 2, 1, 69)
+            b = bronze.read_bronze(spark, root, "exp_etcs_call")
+            loaded.append(sorted(b.select("_source_file", "_row_num", "imsi", "start_time", "isdn_port_probe").collect(), key=str))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", prev)
+    assert loaded[0] == loaded[1] == loaded[2] and all(r.start_time for r in loaded[0])
+    texts = {r._row_num: r.isdn_port_probe for r in loaded[0] if "broken" in r._source_file}
+    assert [texts[i] for i in (1, 2, 3, 5)] == ['a; "b"\n\nc', "plain", "one line", "long\n" * 40]
+    assert max(frozen) <= len(files)  # of files in one split each: rows a split

@@ -3,45 +3,16 @@
 from __future__ import annotations
 
 import gc
-import os
-import tempfile
 import uuid
-import zipfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import trackyard
-from trackyard.session import ensure_checkpoint_dir
+from trackyard.session import bounded_batches, ensure_checkpoint_dir, map_batches, ship_package
 
-_SHIPPED: set[str] = set()
-BATCH_BYTES = 8 << 20
-_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Send this package's source to the executors once per application.
-
-    Python functions of an operator are pickled by reference, so the workers
-    must be able to import the package. Only code travels this way, never data.
-    """
-    app = spark.sparkContext.applicationId
-    if app in _SHIPPED:
-        return
-    root = os.path.dirname(os.path.abspath(trackyard.__file__))
-    if os.path.isdir(root):  # else: already running from a shipped archive
-        archive = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="trackyard-code-")),
-                               f"trackyard_{uuid.uuid4().hex[:8]}.zip")
-        with zipfile.ZipFile(archive, "w") as z:
-            for folder, _dirs, names in os.walk(root):
-                for name in names:
-                    if name.endswith(".py"):
-                        full = os.path.join(folder, name)
-                        z.write(full, os.path.join("trackyard", os.path.relpath(full, root)))
-        spark.sparkContext.addPyFile(archive)
-    _SHIPPED.add(app)
+__all__ = ["Scratch", "arrow_column", "batch_of", "drop_path", "map_batches", "read_table", "shared_path", "stored", "utf8"]
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,23 +25,6 @@ def utf8(col: str | Column) -> Column:
     return F.coalesce(c, F.lit("")).cast("binary")
 
 
-def bounded_batches(spark: SparkSession) -> None:
-    """Let Arrow batches hold ``BATCH_BYTES`` at most, unless the session says otherwise.
-
-    A batch is held several times over at once: in the JVM's buffers, in the worker, and as what is made of it.
-    """
-    if spark.conf.get(_BATCH_SETTING, None) is None:
-        spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
-
-
-def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
-                schema) -> DataFrame:
-    """``mapInArrow`` with the package on the workers."""
-    ship_package(df.sparkSession)
-    bounded_batches(df.sparkSession)
-    return df.mapInArrow(fn, schema)
-
-
 def arrow_column(spark: SparkSession, fn: Callable[[Iterator[pa.Array]], Iterator[pa.Array]], kind: str):
     """A function of one column that works on Arrow arrays; the other columns of a row stay in the JVM."""
     ship_package(spark)

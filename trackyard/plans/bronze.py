@@ -34,7 +34,7 @@ from trackyard.functions import parse as P
 from trackyard.operators.ordinal import global_ordinal
 from trackyard.plans import tracking
 from trackyard.schemas import EXPORT_TABLES, INCIDENT_TABLE, SOURCE_EXPORTS, SOURCE_INCIDENTS, SOURCES, SourceSpec
-from trackyard.session import ensure_checkpoint_dir, frozen_scope, run_concurrently, short_methods
+from trackyard.session import ensure_checkpoint_dir, frozen_scope, run_concurrently, same_splits, short_methods, shuffles_let_go
 from trackyard.sources import exports as X
 from trackyard.sources.files import delete
 
@@ -197,20 +197,24 @@ def _load_table(spark: SparkSession, spec: SourceSpec, files: DataFrame, bronze_
     ``files`` is a written table of (no, path, filename, file_id, ingested_at, header, header_index, multi), ``layouts``
     one of the run's headers that are lines (``resolve_layouts``); those of files with line breaks in cells are resolved here.
     """
-    paths = files.select("path", "multi").collect()
+    paths = files.select("path", "multi", "broken").collect()
     multi, plain = [r["path"] for r in paths if r["multi"]], [r["path"] for r in paths if not r["multi"]]
-    joined, layouts = None, layouts.filter(F.col("table") == spec.table)
-    if multi:  # a header's cells may hold line breaks too, and a cell may never be closed
-        joined, ends = X.multi_line_records(spark, multi, sep)
-        first = joined.filter(F.col("id") < 2).groupBy("path").agg(
-            F.max(F.when(F.col("id") == 0, F.col("value"))).alias("l0"), F.max(F.when(F.col("id") == 1, F.col("value"))).alias("l1"))
-        named = F.coalesce(F.col("l0").contains("sep="), F.lit(False))
-        heads = ends.join(first, "path", "left").select("path", "unclosed", F.when(named, F.col("l1")).otherwise(F.col("l0")).alias(
-            "__header"), named.cast("bigint").alias("__at"))
-        files = staging.written(files.join(heads, "path", "left").withColumns(
-            {"header": F.when(F.col("multi"), F.col("__header")).otherwise(F.col("header")),
-             "header_index": F.when(F.col("multi"), F.col("__at")).otherwise(F.col("header_index")),
-             "unclosed": F.coalesce("unclosed", F.lit(False))}).drop("__header", "__at"), "files")
+    layouts = layouts.filter(F.col("table") == spec.table)
+    if multi:  # a cell may never be closed
+        splits, ends = X.multi_line_splits(spark, multi, sep)
+        files = files.join(ends.select("path", "file", "unclosed"), "path", "left").withColumn(
+            "unclosed", F.coalesce("unclosed", F.lit(False)))
+        if any(r["broken"] for r in paths):  # a header's cells may hold line breaks too
+            some = splits.join(files.filter("broken").select("file"), "file", "left_semi")
+            first = X.whole_records(X.split_records(spark, some, ends, sep, first=2), "file").groupBy("file").agg(
+                F.max(F.when(F.col("id") == 0, F.col("value"))).alias("l0"), F.max(F.when(F.col("id") == 1, F.col("value"))).alias("l1"))
+            named = F.coalesce(F.col("l0").contains("sep="), F.lit(False))
+            heads = first.select("file", F.when(named, F.col("l1")).otherwise(F.col("l0")).alias("__header"),
+                                 named.cast("bigint").alias("__at"))
+            files = files.join(heads, "file", "left").withColumns(
+                {"header": F.when(F.col("broken"), F.col("__header")).otherwise(F.col("header")),
+                 "header_index": F.when(F.col("broken"), F.col("__at")).otherwise(F.col("header_index"))}).drop("__header", "__at")
+        files = staging.written(files, "files")
         layouts = resolve_layouts(spark, files.select(F.lit(spec.table).alias("table"), "header"), sep)
     else:
         files = files.withColumn("unclosed", F.lit(False))
@@ -227,21 +231,18 @@ def _load_table(spark: SparkSession, spec: SourceSpec, files: DataFrame, bronze_
         return staging.written(refused, "results")
 
     # one text scan: typed values, raw texts, and a flag a column in three numbers a record
-    rows = X.records(spark, plain, joined).join(able.select("path", "no", "width", "positions"), "path")
-    cells = X.with_cells(rows, width, sep)
-    raw = {c.name: P.na_to_null(F.get("__cells", F.get("positions", F.lit(i)))) for i, c in enumerate(spec.columns)}
-    cells = cells.withColumns({f"__raw_{n}": v for n, v in raw.items()})
-    typed = {c.name: typed_cell(F.col(f"__raw_{c.name}"), c.kind, c.dtype) for c in spec.columns}
-    texts = [i for i, c in enumerate(spec.columns) if c.kind == "string"]
+    facts, staged = able.select("no", "width", "positions", "path", *(["file"] if multi else [])), []
+    if plain:
+        staged.append(staging.written(_parsed(X.records(spark, plain).join(facts, "path"), spec, width, sep), "staged"))
+    if multi:
+        # a record that goes on in another split is staged as it is, part by part, and parsed once it is whole
+        rows = X.split_records(spark, splits, ends, sep).join(facts, "file")
+        found = staging.written(_parsed(rows, spec, width, sep, F.when(F.col("part"), F.col("value"))), "staged")
+        parts = found.filter("__part is not null").select("no", "id", "block", F.col("__part").alias("value"))
+        whole = X.whole_records(parts, "no").join(facts, "no")
+        staged += [found.filter("__part is null").drop("__part"), staging.written(_parsed(whole, spec, width, sep), "staged")]
+    staged = _union(staged)
     others = [i for i, c in enumerate(spec.columns) if c.kind != "string"]
-    flag = lambda marks: _bits([F.when(m, F.lit(1 << i)).otherwise(F.lit(0)) for i, m in marks])
-    raw_at = lambda i: F.col(f"__raw_{spec.columns[i].name}")
-    staged = staging.written(cells.select(
-        "no", "block", "id", (X.token_count(F.col("value"), sep) > F.col("width")).alias("__surplus"),
-        flag([(i, typed[spec.columns[i].name][1]) for i in others]).alias("__bad"),
-        flag([(i, P.is_whole(raw_at(i))) for i in texts]).alias("__whole"),
-        flag([(i, raw_at(i).isNotNull()) for i in texts]).alias("__filled"),
-        *[typed[c.name][0].cast(c.dtype).alias(c.name) for c in spec.columns]), "staged")
 
     # the flags alone: records before and in the header line don't count
     offsets = X.split_offsets(staged, "no")
@@ -283,6 +284,25 @@ def _load_table(spark: SparkSession, spec: SourceSpec, files: DataFrame, bronze_
     return results
 
 
+def _parsed(rows: DataFrame, spec: SourceSpec, width: int, sep: str, part: Column | None = None) -> DataFrame:
+    """Typed values of the records, and flags (bits by column): bad cells, whole numbers, filled cells."""
+    cells = X.with_cells(rows, width, sep)
+    raw = {c.name: P.na_to_null(F.get("__cells", F.get("positions", F.lit(i)))) for i, c in enumerate(spec.columns)}
+    cells = cells.withColumns({f"__raw_{n}": v for n, v in raw.items()})
+    typed = {c.name: typed_cell(F.col(f"__raw_{c.name}"), c.kind, c.dtype) for c in spec.columns}
+    texts = [i for i, c in enumerate(spec.columns) if c.kind == "string"]
+    others = [i for i, c in enumerate(spec.columns) if c.kind != "string"]
+    flag = lambda marks: _bits([F.when(m, F.lit(1 << i)).otherwise(F.lit(0)) for i, m in marks])
+    raw_at = lambda i: F.col(f"__raw_{spec.columns[i].name}")
+    return cells.select(
+        "no", "block", "id", *([] if part is None else [part.alias("__part")]),
+        (X.token_count(F.col("value"), sep) > F.col("width")).alias("__surplus"),
+        flag([(i, typed[spec.columns[i].name][1]) for i in others]).alias("__bad"),
+        flag([(i, P.is_whole(raw_at(i))) for i in texts]).alias("__whole"),
+        flag([(i, raw_at(i).isNotNull()) for i in texts]).alias("__filled"),
+        *[typed[c.name][0].cast(c.dtype).alias(c.name) for c in spec.columns])
+
+
 def _bits(parts: list[Column]) -> Column:
     total = F.lit(0).cast("bigint")
     for part in parts:
@@ -360,9 +380,9 @@ def ingest_folder(spark: SparkSession, folder: str | Sequence[str], bronze_root:
     else:
         route = F.lit(tables[0])
 
-    with Staging(spark) as staging, frozen_scope(spark), short_methods(spark):
+    with Staging(spark) as staging, frozen_scope(spark), short_methods(spark), same_splits(spark), shuffles_let_go(spark):
         splits = staging.written(X.survey(spark, paths, sep), "splits") if paths else None
-        files = _decided(spark, X.content_files(splits, listing).withColumn("table", route), tracking_root, started,
+        files = _decided(spark, X.content_files(splits, listing, sep).withColumn("table", route), tracking_root, started,
                          staging) if paths else None
         results = _load_files(spark, files, bronze_root, batch_id, sep, staging) if paths else []
         outcome = unread

@@ -5,9 +5,12 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job of this package relies on. ANSI mode makes bad casts and
 # decimal overflow raise, as the SQL the layers are modelled on does.
@@ -125,7 +128,14 @@ def short_methods(spark: SparkSession):
     if before is not None and int(before) < int(JIT_LIMIT):
         yield
         return
-    spark.conf.set(key, JIT_LIMIT)
+    with _setting(spark, key, JIT_LIMIT):
+        yield
+
+
+@contextmanager
+def _setting(spark: SparkSession, key: str, value: str):
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
     try:
         yield
     finally:
@@ -135,6 +145,18 @@ def short_methods(spark: SparkSession):
             spark.conf.set(key, before)
 
 
+def shuffles_let_go(spark: SparkSession):
+    """Inside, a query's shuffle files go when the query ends, not when the driver happens to collect its garbage."""
+    return _setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+
+
+def same_splits(spark: SparkSession):
+    """Inside, scans of the same files have the same splits, also if executors come or go meanwhile."""
+    key = "spark.sql.files.minPartitionNum"
+    least = spark.conf.get(key, None) or spark.conf.get("spark.sql.leafNodeDefaultParallelism", None)
+    return _setting(spark, key, str(least or spark.sparkContext.defaultParallelism))
+
+
 def run_concurrently(tasks, max_workers: int | None = None) -> list:
     """Run independent driver-side job builders (one table each) on threads.
 
@@ -155,3 +177,48 @@ def run_concurrently(tasks, max_workers: int | None = None) -> list:
         if e is not None:
             raise e
     return [f.result() for f in futures]
+
+
+_SHIPPED: set[str] = set()
+BATCH_BYTES = 8 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's source to the executors once per application.
+
+    Python functions of an operator are pickled by reference, so the workers
+    must be able to import the package. Only code travels this way, never data.
+    """
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    if os.path.isdir(root):  # else: already running from a shipped archive
+        archive = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="trackyard-code-")),
+                               f"trackyard_{uuid.uuid4().hex[:8]}.zip")
+        with zipfile.ZipFile(archive, "w") as z:
+            for folder, _dirs, names in os.walk(root):
+                for name in names:
+                    if name.endswith(".py"):
+                        full = os.path.join(folder, name)
+                        z.write(full, os.path.join("trackyard", os.path.relpath(full, root)))
+        spark.sparkContext.addPyFile(archive)
+    _SHIPPED.add(app)
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Let Arrow batches hold ``BATCH_BYTES`` at most, unless the session says otherwise.
+
+    A batch is held several times over at once: in the JVM's buffers, in the worker, and as what is made of it.
+    """
+    if spark.conf.get(_BATCH_SETTING, None) is None:
+        spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
+
+
+def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+                schema) -> DataFrame:
+    """``mapInArrow`` with the package on the workers."""
+    ship_package(df.sparkSession)
+    bounded_batches(df.sparkSession)
+    return df.mapInArrow(fn, schema)

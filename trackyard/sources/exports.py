@@ -18,13 +18,17 @@ every line with its file and split. No file is ever funnelled through one task:
 
 from __future__ import annotations
 
+import itertools
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from trackyard.session import freeze
+from trackyard.session import freeze, map_batches
 from trackyard.sources.files import exists, hadoop_path
 
 SEP = ";"
@@ -151,48 +155,161 @@ def _after(state: str) -> Column:
     return F.when(F.col(state) == 0, F.col("c")).otherwise(F.col("o"))
 
 
-def multi_line_records(spark: SparkSession, paths: Sequence[str], sep: str = SEP) -> tuple[DataFrame, DataFrame]:
-    """Records (path, block, value, id) of files whose cells may hold line breaks, and (path, unclosed) of the files.
-
-    States are carried within each split, for either state it may begin in, and written; then from split to split by
-    one row a split. ``block`` is -1 and ``id`` the record's number. Only records of several lines are put together
-    by a shuffle. Line breaks inside a cell become ``\\n``; blank lines between records are skipped.
+def _marked(lines: DataFrame, sep: str) -> DataFrame:
+    """Add ``mark``, a bit each: ends open if it begins closed, ends open if it begins open, is not blank."""
+    marks = [leaves_open(F.col("value"), False, sep), leaves_open(F.col("value"), True, sep) * 2, not_blank().cast("int") * 4]
+    return lines.withColumn("mark", (marks[0] + marks[1] + marks[2]).cast("tinyint"))
+
+
+def _states_in(mark: np.ndarray, state: int) -> np.ndarray:
+    """The state before each line, and that after the last one, if it is ``state`` before the first (see ``_states``)."""
+    c, o = mark & 1, (mark >> 1) & 1
+    turns = np.concatenate(([0], np.cumsum((c == 1) & (o == 0))))
+    fixed = np.maximum.accumulate(np.concatenate(([-1], np.where(c == o, np.arange(len(mark)), -1))))
+    at = np.maximum(fixed, 0)
+    return np.where(fixed < 0, state + turns, c[at] + turns - turns[at]) % 2
+
+
+def _by_split(batch: pa.RecordBatch) -> Iterator[tuple[tuple[int, int], int, int]]:
+    """((file, block), from, to) of the batch's neighbouring lines of one split."""
+    file, block = batch.column("file").to_numpy(), batch.column("block").to_numpy()
+    cuts = np.flatnonzero((file[1:] != file[:-1]) | (block[1:] != block[:-1])) + 1
+    for i, j in itertools.pairwise([0, *cuts.tolist(), len(file)]):
+        if i < j:
+            yield (int(file[i]), int(block[i])), i, j
+
+
+def _split_ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row a split: the state after it, and how many records begin in it, for either state it may begin in."""
+    rows: list[tuple] = []
+    for batch in batches:
+        marks = batch.column("mark").to_numpy()
+        for key, i, j in _by_split(batch):
+            if not rows or rows[-1][:2] != key:
+                rows.append((*key, 0, 1, 0, 0))
+            mark, ends, begun = marks[i:j], [], []
+            for state, n in zip(rows[-1][2:4], rows[-1][4:], strict=True):
+                states = _states_in(mark, state)
+                ends.append(int(states[-1]))
+                begun.append(n + int(np.count_nonzero((states[:-1] == 0) & (mark >= 4))))
+            rows[-1] = (*key, *ends, *begun)
+    if rows:
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _ENDS, strict=True)],
+                                         schema=_ENDS)
+
+
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The records of splits whose state and record number at their first byte are known; at most one is held meanwhile."""
+    now, state, number, held = None, 0, 0, []
+    cut = False  # whether the record at hand began in an earlier split
+
+    def at_hand(part: bool) -> Iterator[pa.RecordBatch]:
+        if held:
+            row = (now[0], now[1] if part else -1, number, part, "\n".join(held))
+            held.clear()
+            yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, _RECORDS, strict=True)], schema=_RECORDS)
+
+    for batch in batches:
+        if batch.column("before").null_count:
+            raise ValueError("the files' splits are not those of the scan before")
+        marks, values = batch.column("mark").to_numpy(), batch.column("value")
+        begins, before = batch.column("begins").to_numpy(), batch.column("before").to_numpy()
+        for key, i, j in _by_split(batch):
+            if now != key:
+                yield from at_hand(True)
+                now, state, number = key, int(begins[i]), int(before[i]) - 1
+                cut = state == 1
+            states = _states_in(marks[i:j], state)
+            state, states = int(states[-1]), states[:-1]
+            kept = np.flatnonzero((states == 1) | (marks[i:j] >= 4))
+            lines = values.slice(i, j - i) if len(kept) == j - i else values.take(pa.array(kept + i))
+            starts = np.flatnonzero(states[kept] == 0)
+            held += lines.slice(0, starts[0] if len(starts) else len(kept)).to_pylist()
+            if len(starts):
+                yield from at_hand(cut)
+                cut, n = False, len(starts) - 1
+                if n:
+                    text = pc.binary_join(pa.ListArray.from_arrays(pa.array(starts, pa.int32()), lines), "\n")
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(n, key[0], np.int64)), pa.array(np.full(n, -1, np.int64)),
+                         pa.array(np.arange(number + 1, number + 1 + n)), pa.array(np.zeros(n, bool)), text], schema=_RECORDS)
+                number += n + 1
+                held += lines.slice(starts[-1]).to_pylist()
+            if state == 0:
+                yield from at_hand(cut)
+                cut = False
+    yield from at_hand(True)
+
+
+_ENDS = pa.schema([("file", pa.int64()), ("block", pa.int64()), ("c", pa.int32()), ("o", pa.int32()), ("n_closed", pa.int64()),
+                   ("n_open", pa.int64())])
+_RECORDS = pa.schema([("file", pa.int64()), ("block", pa.int64()), ("id", pa.int64()), ("part", pa.bool_()), ("value", pa.string())])
+
+
+def multi_line_splits(spark: SparkSession, paths: Sequence[str], sep: str = SEP) -> tuple[DataFrame, DataFrame]:
+    """How the splits of files whose cells may hold line breaks begin: (file, block, begins, before), and (file, path, unclosed).
+
+    One scan gives a row a split: the state after it for either state it may begin in. From these rows follow the state
+    and the number of records before each split's first byte. ``paths`` are a listing's; ``file`` is a number for each,
+    a hash by a seed that tells them all apart: it costs a line less than a join by its path.
     """
-    lines = raw_lines(spark, paths).withColumns({"c": leaves_open(F.col("value"), False, sep),
-                                                 "o": leaves_open(F.col("value"), True, sep)})
-    lines = _states(lines, ["path", "block"], "id")
-    starts = lambda state: ((F.col(state) == 0) & not_blank()).cast("int")
-    running = Window.partitionBy("path", "block").orderBy("id").rowsBetween(Window.unboundedPreceding, 0)
-    lines = freeze(lines.withColumns({"n_closed": F.sum(starts("if_closed")).over(running),
-                                      "n_open": F.sum(starts("if_open")).over(running)}))
-    splits = lines.groupBy("path", "block").agg(
-        F.max_by(_after("if_closed"), "id").alias("c"), F.max_by(_after("if_open"), "id").alias("o"),
-        F.max("n_closed").alias("n_closed"), F.max("n_open").alias("n_open"))
-    splits = _states(splits, ["path"], "block").withColumnRenamed("if_closed", "begins").drop("if_open")
-    earlier = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    known = spark.createDataFrame([(p,) for p in paths], "path string")
+    for seed in itertools.count():
+        named = known.withColumn("file", F.xxhash64(F.lit(seed), "path")).withColumn("seed", F.lit(seed))
+        if named.agg(F.count_distinct("file")).first()[0] == len(paths):
+            break
+    marks = _marked(raw_lines(spark, paths), sep).select(F.xxhash64(F.lit(seed), "path").alias("file"), "block", "mark")
+    ends = freeze(map_batches(marks, _split_ends, "file bigint, block bigint, c int, o int, n_closed bigint, n_open bigint"))
+    splits = _states(ends, ["file"], "block").withColumnRenamed("if_closed", "begins").drop("if_open")
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     own = F.when(F.col("begins") == 0, F.col("n_closed")).otherwise(F.col("n_open"))
-    # written tables: Spark knows that they are small before it shuffles the lines
     splits = freeze(splits.withColumn("before", F.coalesce(F.sum(own).over(earlier), F.lit(0))))
-    files = freeze(splits.groupBy("path").agg((F.max_by(_after("begins"), "block") == 1).alias("unclosed")))
-
-    places = splits.select("path", "block", "begins", "before").join(files.filter(~F.col("unclosed")), "path", "left_semi")
-    either = lambda name: F.when(F.col("begins") == 0, F.col(f"{name}_closed")).otherwise(F.col(f"{name}_open"))
-    placed = lines.join(places, ["path", "block"]).withColumn("state", either("if"))
-    numbered = placed.filter((F.col("state") == 1) | not_blank()).withColumn("record", F.col("before") + either("n") - 1)
-    alone = (F.col("state") == 0) & (F.col("c") == 0)
-    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("block", "id", "value"))),
-                                    lambda x: x["value"]), "\n")
-    joined = numbered.filter(~alone).groupBy("path", "record").agg(text.alias("value"))
-    whole = numbered.filter(alone).select("path", "record", "value").unionByName(joined)
-    return whole.select("path", F.lit(-1).cast("bigint").alias("block"), "value", F.col("record").alias("id")), files
-
-
-def records(spark: SparkSession, plain: Sequence[str], more: DataFrame | None = None) -> DataFrame:
-    """(path, block, value, id) of each record of ``plain`` files, whose records are lines, and of ``more`` records."""
+    unclosed = splits.groupBy("file").agg((F.max_by(_after("begins"), "block") == 1).alias("unclosed"))
+    return splits.select("file", "block", F.col("begins").cast("tinyint").alias("begins"), "before"), \
+        freeze(named.join(unclosed, "file", "left"))
+
+
+def split_records(spark: SparkSession, splits: DataFrame, files: DataFrame, sep: str = SEP, first: int | None = None) -> DataFrame:
+    """(file, block, value, id, part): the records of ``multi_line_splits``' files, their first ``first`` ones if given.
+
+    Lines are joined as a scan reads them; none is sorted, shuffled or written. ``id`` is the record's number and ``block``
+    -1. A record that goes on in another split has a row a split, its ``part``s; ``whole_records`` puts those together. Line
+    breaks inside a cell become ``\\n``; blank lines between records are skipped, and so are files that end in a cell.
+    """
+    # all files, so that they are split as they were before
+    found = files.select("path", "seed").collect()
+    known = splits.join(files.select("file", "unclosed"), "file")
+    if first is not None:
+        known = known.filter(F.col("before") - F.col("begins") < first)
+    lines = raw_lines(spark, sorted(r["path"] for r in found)).withColumn("file", F.xxhash64(F.lit(found[0]["seed"]), "path"))
+    # a line of a split that isn't known must not be passed over
+    lines = lines.join(F.broadcast(known), ["file", "block"], "left" if first is None else "inner").filter("unclosed is not true")
+    joined = map_batches(_marked(lines, sep).select("file", "block", "mark", "begins", "before", "value"), _joined,
+                         "file bigint, block bigint, id bigint, part boolean, value string")
+    return joined if first is None else joined.filter(F.col("id") < first)
+
+
+def whole_records(parts: DataFrame, file: str = "path") -> DataFrame:
+    """(``file``, block, value, id) of records of which each row is a part, or the whole; ``block`` is -1."""
+    lines = F.transform(F.array_sort(F.collect_list(F.struct("block", "value"))), lambda x: x["value"])
+    return parts.groupBy(file, "id").agg(F.array_join(lines, "\n").alias("value")).select(
+        file, F.lit(-1).cast("bigint").alias("block"), "value", "id")
+
+
+def multi_line_records(spark: SparkSession, paths: Sequence[str], sep: str = SEP) -> tuple[DataFrame, DataFrame]:
+    """Records (path, block, value, id) of files whose cells may hold line breaks, written, and (path, unclosed) of the files."""
+    listed = spark.read.format("binaryFile").load([glob_escape(p) for p in paths]).select("path")
+    splits, files = multi_line_splits(spark, [r["path"] for r in listed.collect()], sep)
+    found = freeze(split_records(spark, splits, files, sep))
+    whole = found.filter("not part").drop("part").unionByName(whole_records(found.filter("part"), "file"))
+    return whole.join(files, "file").select("path", "block", "value", "id"), files.select("path", "unclosed")
+
+
+def records(spark: SparkSession, plain: Sequence[str]) -> DataFrame:
+    """(path, block, value, id) of each record of files whose records are lines."""
     if not plain:
-        return more if more is not None else spark.createDataFrame([], "path string, block bigint, value string, id bigint")
-    out = raw_lines(spark, plain).filter(not_blank()).withColumn("id", F.monotonically_increasing_id())
-    return out if more is None else out.unionByName(more)
+        return spark.createDataFrame([], "path string, block bigint, value string, id bigint")
+    return raw_lines(spark, plain).filter(not_blank()).withColumn("id", F.monotonically_increasing_id())
 
 
 def split_offsets(rows: DataFrame, file: str = "path") -> DataFrame:
@@ -221,8 +338,10 @@ def numbered_records(spark: SparkSession, paths: Sequence[str], sep: str = SEP)
     flags = survey(spark, paths, sep).groupBy("path").agg((F.sum("n_open") > 0).alias("multi")).collect()
     multi = [r["path"] for r in flags if r["multi"]]
     plain = [r["path"] for r in flags if not r["multi"]]
-    more = multi_line_records(spark, multi, sep)[0] if multi else None
-    return with_index(records(spark, plain, more)).select("path", "value", "line_index")
+    found = records(spark, plain)
+    if multi:
+        found = found.unionByName(multi_line_records(spark, multi, sep)[0])
+    return with_index(found).select("path", "value", "line_index")
 
 
 # --------------------------------------------------------------------------
@@ -255,11 +374,12 @@ def survey(spark: SparkSession, paths: Sequence[str], sep: str = SEP) -> DataFra
         F.count(F.lit(1)).alias("n"), F.min(place).alias("first"), heads.alias("heads"), F.sum(opens).alias("n_open"), *sums)
 
 
-def content_files(splits: DataFrame, listing: DataFrame) -> DataFrame:
-    """(path, filename, file_id, header, header_index, multi) of each listed file, from ``survey``'s splits.
+def content_files(splits: DataFrame, listing: DataFrame, sep: str = SEP) -> DataFrame:
+    """(path, filename, file_id, header, header_index, multi, broken) of each listed file, from ``survey``'s splits.
 
     ``file_id`` is a digest of the file's length and of its lines in order, however the file was split; no part
-    of the run holds a whole file. ``header_index`` is 1 after a ``sep=`` line, else 0; a file without lines has no header.
+    of the run holds a whole file. ``header_index`` is 1 after a ``sep=`` line, else 0; a file without lines has no header. ``broken``: one of these
+    lines leaves a cell open, so that the header goes on in the next.
     """
     earlier = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     # pmod: a split's first place may exceed the number of lines before it
@@ -280,7 +400,8 @@ def content_files(splits: DataFrame, listing: DataFrame) -> DataFrame:
     return listing.join(files, "path", "left").select(
         "path", "filename", F.sha2(F.concat_ws("|", *parts), 256).alias("file_id"),
         F.when(named, second).otherwise(first).alias("header"), named.cast("bigint").alias("header_index"),
-        F.coalesce("multi", F.lit(False)).alias("multi"))
+        F.coalesce("multi", F.lit(False)).alias("multi"),
+        F.coalesce((leaves_open(first, False, sep) == 1) | named & (leaves_open(second, False, sep) == 1), F.lit(False)).alias("broken"))
 
 
 def token_count(value_col, sep: str = SEP):
