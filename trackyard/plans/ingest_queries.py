@@ -17,13 +17,16 @@ from pyspark.sql import functions as F
 
 from trackyard.plans import bronze, gold_incremental, orchestrate, silver, tracking
 from trackyard.schemas import SOURCES
-from trackyard.session import ensure_checkpoint_dir, freeze
+from trackyard.session import ensure_checkpoint_dir, freeze, short_methods, shuffles_let_go
 from trackyard.sources import exports as X
+from trackyard.sources.files import delete
 from trackyard.streaming import incremental
 
 HO = "exp_ho_tracing"
 UNKNOWN, BAD_CELL, SURPLUS, UNCLOSED, COPIED, COPY, SHORT = 8, 9, 10, 11, 12, 13, 4
+SEP, HEAD, LINE, LAST = range(4)  # a file's parts in order
 DEALT = 13
+LATER = 9  # files from this one on are written after the others
 
 # column | the cell's text, in Spark SQL | the value, in DuckDB SQL; k is the file
 HANDOVERS = [line.split(" | ") for line in r"""
@@ -53,10 +56,13 @@ def _scratch(spark: SparkSession, what: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{what}-{uuid.uuid4().hex}"
 
 
-def _write_files(lines: DataFrame, order: list, path: str) -> str:
-    """``lines`` (file, value) as one text file a value of ``file``, in ``order``."""
-    (lines.repartition("file").sortWithinPartitions("file", *order).select("file", "value")
-          .write.partitionBy("file").text(path))
+def _write_files(lines: DataFrame, order: list, path: str, made: dict[str, Column] | None = None) -> str:
+    """``lines`` (file, value) as one text file a value of ``file``, in ``order``; columns ``made`` are added once they are sorted."""
+    with shuffles_let_go(lines.sparkSession), short_methods(lines.sparkSession):
+        placed = lines.repartition("file").sortWithinPartitions("file", *order)
+        for name, column in (made or {}).items():
+            placed = placed.withColumn(name, column)
+        placed.select("file", "value").write.mode("append").partitionBy("file").text(path)
     return path
 
 
@@ -68,28 +74,34 @@ def _turned(cells: Column, k: Column, n: int) -> Column:
 
 
 def handover_files(spark: SparkSession, sf_dir: str, keep: str = "true", duration: str = "0") -> str:
-    """Write the exports; ``keep`` chooses files by ``k``, ``duration`` is added to each one's milliseconds."""
+    """Write the exports; ``keep`` chooses files by ``k``, ``duration`` is added to each one's milliseconds.
+
+    The lines' columns are dealt and sorted; their texts, several times as long, are made where they are written. Two writes
+    hold fewer shuffle files at once than one.
+    """
     n, path = len(HANDOVERS), _scratch(spark, "exports")
     li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    dealt = li.withColumn("k", (F.col("l_orderkey") % DEALT).cast("int"))
-    k = F.col("k")
+    rows = li.select((F.col("l_orderkey") % DEALT).cast("int").alias("k"), F.lit(LINE).alias("part"), *ORDER)
+    # the separator line, the header, and a last line that is never closed
+    more = spark.range(DEALT).select(F.col("id").cast("int").alias("k"), F.explode(F.array(*map(F.lit, (SEP, HEAD, LAST)))).alias("part"))
+    more = more.filter(f"part = {HEAD} OR part = {SEP} AND k % 2 = 0 OR part = {LAST} AND k = {UNCLOSED}")
+    lines = rows.unionByName(more, allowMissingColumns=True).withColumn("of", F.col("k"))
+    lines = lines.unionByName(lines.filter(F.col("k") == COPIED).withColumn("k", F.lit(COPY))).filter(keep)
+    lines = lines.withColumnsRenamed({"k": "file", "of": "k"})
+    k, part = F.col("k"), F.col("part")
     end = F.when(k % 4 == 1, F.lit("\r")).otherwise("")
+    mark = F.when(k % 3 == 0, F.lit("\ufeff")).otherwise("")
     texts = [F.expr(f"cast({text.strip().replace('.250', f'.{250 + int(duration)}')} as string)") for _, text, _ in HANDOVERS]
     extra = F.when(k.isin(UNKNOWN, SURPLUS), F.lit(";x")).otherwise("")
-    rows = dealt.select(k, F.lit(2).alias("part"), *ORDER,
-                        F.concat(F.concat_ws(";", _turned(F.array(*texts), k, n)), extra, end).alias("value"))
     names = F.array(*[F.lit(c.header.title()) for c in SOURCES[HO].columns])
-    files = spark.range(DEALT).select(F.col("id").cast("int").alias("k"))
-    head = F.concat(F.concat_ws(";", _turned(names, k, n)), F.when(k == UNKNOWN, F.lit(";Surprise")).otherwise(""), end)
-    mark = F.when(k % 3 == 0, F.lit("﻿")).otherwise("")
-    first = files.select("k", F.explode(F.when(k % 2 == 0, F.array(
-        F.struct(F.lit(0).alias("part"), F.concat(mark, F.lit('"sep=;"'), end).alias("value")),
-        F.struct(F.lit(1).alias("part"), head.alias("value")))).otherwise(
-        F.array(F.struct(F.lit(1).alias("part"), F.concat(mark, head).alias("value"))))).alias("x")).select("k", "x.*")
-    last = files.filter(k == UNCLOSED).select("k", F.lit(3).alias("part"), F.lit('"never closed').alias("value"))
-    lines = rows.unionByName(first, allowMissingColumns=True).unionByName(last, allowMissingColumns=True)
-    lines = lines.unionByName(lines.filter(k == COPIED).withColumn("k", F.lit(COPY))).filter(keep)
-    return _write_files(lines.withColumnRenamed("k", "file"), ["part", *ORDER], path)
+    head = F.concat(F.when(k % 2 == 0, "").otherwise(mark), F.concat_ws(";", _turned(names, k, n)),
+                    F.when(k == UNKNOWN, F.lit(";Surprise")).otherwise(""), end)
+    # the cells are a column of their own: within a condition each use would make them anew
+    value = F.when(part == LINE, F.concat(F.concat_ws(";", _turned(F.col("cells"), k, n)), extra, end)) \
+             .when(part == HEAD, head).when(part == SEP, F.concat(mark, F.lit('"sep=;"'), end)).otherwise('"never closed')
+    for some in (F.col("file") < LATER, F.col("file") >= LATER):  # the latter's shuffle begins when the former's is gone
+        _write_files(lines.filter(some), ["part", *ORDER], path, {"cells": F.array(*texts), "value": value})
+    return path
 
 
 def _folders(spark: SparkSession, path: str) -> list[str]:
@@ -104,6 +116,7 @@ def _ingested(spark: SparkSession, sf_dir: str) -> str:
     stats = bronze.ingest_folder(spark, _folders(spark, path), root, batch, tables={path: HO}, started=started)
     tracking.record_run_end(spark, root, batch, "bronze", started, tracking.batch_status(spark, root, batch),
                             stats.files_total, stats.rows_loaded)
+    delete(spark, path)  # the exports, once they are loaded
     return root
 
 
@@ -148,6 +161,7 @@ def q_run_log_state(spark, d):
         stats = bronze.ingest_folder(spark, _folders(spark, path), root, batch, tables={path: HO}, started=started)
         tracking.record_run_end(spark, root, batch, "bronze", started, tracking.batch_status(spark, root, batch),
                                 stats.files_total, stats.rows_loaded)
+    delete(spark, path)
     states = tracking.latest_runs(tracking.runs(spark, root))
     return states.select("layer", "status", "total_files", "total_rows")
 
@@ -200,6 +214,7 @@ def q_incremental_merge(spark, d):
     again = handover_files(spark, d, "k IN (0, 1, 2)", duration="500")
     for path in (first, again):
         bronze.ingest_folder(spark, _folders(spark, path), root, bronze.create_batch_id(), tables={path: HO})
+        delete(spark, path)
         incremental.start_silver_stream(spark, root, out, HO, state).awaitTermination()
     return incremental.current_table(spark, out, HO).select(*_NAMES, "_row_num")
 
@@ -218,6 +233,8 @@ def q_gold_incremental(spark, d):
     for files in (range(0, COPY, 2), range(COPY)):
         folders = [f"{path}/file={k}" for k in files]
         bronze.ingest_folder(spark, folders, root, bronze.create_batch_id(), tables={path: HO})
+        if len(folders) == COPY:
+            delete(spark, path)
         incremental.start_silver_stream(spark, root, out, HO, state).awaitTermination()
         gold_incremental.refresh_dim(spark, out, gold, span=100)
     return gold_incremental.read_gold(spark, out, gold, register=False)["fact_handover"]
