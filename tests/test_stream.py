@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from tests.conftest import SAMPLES
 from tests.exportfiles import INCIDENT_HEADER, headers, incident_rows, transactions_rows, write_export
-from trackyard.plans import bronze, tracking
+from trackyard.plans import bronze, silver, tracking
+from trackyard.schemas import SOURCES
 from trackyard.streaming import incremental as U
 
 
@@ -203,3 +204,19 @@ def test_many_ranges_share_few_files(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(GI, "FEW", 0)
     assert epoch(3, 30, 90, 7) == [(i + 1, 3 * i, 6 if i < 30 else 7 if i < 90 else 5) for i in range(110)]
     assert len(current()) == 2  # the first epoch's version, with 20 of 100 rows current, is gone
+
+
+def test_merge_moves_a_batch_once(spark, tmp_path):
+    """Unparsed rows are deduplicated together with the current ones; with imsi in the key these aren't read for what has changed."""
+    table, at = "exp_ho_tracing", tracking.now()
+    rows = spark.range(6).select(*[
+        {"imsi": F.col("id") % 3, "_row_num": F.col("id"), "src_lac": F.lit(1)}.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name)
+        for f in SOURCES[table].bronze_schema.fields])
+    current = silver.build_silver_table(rows.filter("_row_num < 3"), table, at)
+    current = spark.createDataFrame(current.collect(), current.schema)
+    merged = U.merge_batch(current, rows.filter("_row_num > 0"), table, at)
+    assert sorted((r["imsi"], r["_row_num"]) for r in merged.collect()) == [(0, 3), (1, 4), (2, 5)]
+    assert merged._jdf.queryExecution().sparkPlan().toString().count("Window [") == 1
+    unread = rows.withColumn("imsi", F.raise_error(F.lit("read")).cast("bigint"))
+    U._record_changes(unread, rows.filter("imsi > 0"), table, str(tmp_path / "changes"))
+    assert sorted(r[0] for r in spark.read.parquet(str(tmp_path / "changes")).collect()) == [1, 2]

@@ -287,6 +287,8 @@ def _load_table(spark: SparkSession, spec: SourceSpec, files: DataFrame, bronze_
 def _parsed(rows: DataFrame, spec: SourceSpec, width: int, sep: str, part: Column | None = None) -> DataFrame:
     """Typed values of the records, and flags (bits by column): bad cells, whole numbers, filled cells."""
     cells = X.with_cells(rows, width, sep)
+    # a record without a quote has been split at every separator
+    fields = F.when(F.col("value").contains(X.QUOTE), X.token_count(F.col("value"), sep)).otherwise(F.size("__cells"))
     raw = {c.name: P.na_to_null(F.get("__cells", F.get("positions", F.lit(i)))) for i, c in enumerate(spec.columns)}
     cells = cells.withColumns({f"__raw_{n}": v for n, v in raw.items()})
     typed = {c.name: typed_cell(F.col(f"__raw_{c.name}"), c.kind, c.dtype) for c in spec.columns}
@@ -296,7 +298,7 @@ def _parsed(rows: DataFrame, spec: SourceSpec, width: int, sep: str, part: Colum
     raw_at = lambda i: F.col(f"__raw_{spec.columns[i].name}")
     return cells.select(
         "no", "block", "id", *([] if part is None else [part.alias("__part")]),
-        (X.token_count(F.col("value"), sep) > F.col("width")).alias("__surplus"),
+        (fields > F.col("width")).alias("__surplus"),
         flag([(i, typed[spec.columns[i].name][1]) for i in others]).alias("__bad"),
         flag([(i, P.is_whole(raw_at(i))) for i in texts]).alias("__whole"),
         flag([(i, raw_at(i).isNotNull()) for i in texts]).alias("__filled"),

@@ -63,6 +63,11 @@ def _derived(table: str) -> dict[str, Column | list[tuple[str, Column]]]:
     return {}
 
 
+def has_derived(table: str) -> bool:
+    """Whether silver values are parsed from bronze ones; else they are the same."""
+    return bool(_prepared(table) or _derived(table))
+
+
 def silver_projection(table: str, loaded_at: _dt.datetime) -> list[Column]:
     """L4: silver column list in table order, lineage last (with the load stamp)."""
     derived = _derived(table)

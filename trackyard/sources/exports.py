@@ -407,7 +407,8 @@ def content_files(splits: DataFrame, listing: DataFrame, sep: str = SEP) -> Data
 def token_count(value_col, sep: str = SEP):
     """Number of fields in a record, ignoring separators inside quoted fields."""
     count = lambda text: F.length(text) - F.length(F.replace(text, F.lit(sep), F.lit(""))) + 1
-    plain = F.regexp_replace(value_col, f'(^|{re.escape(sep)})"{_QUOTED}"?', "$1")
+    # a quote is looked for first, and what stands before it then: other characters cost less so
+    plain = F.regexp_replace(value_col, f'"(?<!{_not_sep(sep)}"){_QUOTED}"?', "")
     return F.when(value_col.contains(QUOTE), count(plain)).otherwise(count(value_col))
 
 

@@ -152,7 +152,12 @@ def current_table(spark: SparkSession, silver_root: str, table: str, parts: Data
 
 def merge_batch(current: DataFrame | None, batch_bronze: DataFrame, table: str, loaded_at) -> DataFrame:
     """Silver rows of the touched partitions and projected new bronze rows, the latest per key."""
-    projected = S.build_silver_table(batch_bronze, table, loaded_at)
+    # a table whose silver rows are its bronze rows is deduplicated once, together with what is there; where values are
+    # parsed, rows that a later one replaces must not be: they may hold what can't be parsed
+    if current is None or S.has_derived(table):
+        projected = S.build_silver_table(batch_bronze, table, loaded_at)
+    else:
+        projected = S.to_silver(batch_bronze, table, loaded_at)
     if current is None:
         return projected
     return dedup_latest(current.unionByName(projected), SOURCES[table].dedup_keys)
@@ -181,7 +186,7 @@ def merge_epoch(spark: SparkSession, batch: DataFrame, silver_root: str, table:
 def _record_changes(current: DataFrame | None, batch: DataFrame, table: str, path: str) -> None:
     """Write the imsi whose rows an epoch adds or replaces."""
     keys, changed = SOURCES[table].dedup_keys, batch.select("imsi")
-    if current is not None:
+    if current is not None and "imsi" not in keys:  # else a row and the one that replaces it have the same imsi
         new = batch.select(*[F.col(k).alias(f"__{k}") for k in keys]).distinct()
         same = [current[k].eqNullSafe(new[f"__{k}"]) for k in keys]
         changed = changed.unionByName(current.join(new, same, "left_semi").select("imsi"))
